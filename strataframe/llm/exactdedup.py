@@ -110,7 +110,8 @@ def exact_duplicates(docs: DataFrame, params: ChunkParams = ChunkParams(), key:
         verified = path.join(pieces.withColumnRenamed("ids", "own"), ["doc_id", "n_code_points", "text_sha256"], "left").withColumn("ids", F.coalesce("own", "ids")).drop("own")
     best = F.min(F.struct((-F.col("n_code_points")).alias("order"), F.col("doc_id").alias("keep_id"))).alias("best")
     groups = verified.groupBy("ids").agg(best, F.count("*").alias("group_size"))
-    groups = groups.select("ids", "best.keep_id", F.negative("best.order").alias("most"), "group_size")
+    # written first: both sides of the join are then plain shuffles, whose hot keys adaptive execution splits
+    groups = stored(groups.select("ids", "best.keep_id", F.negative("best.order").alias("most"), "group_size"), "groups")
     rows = verified.join(groups, "ids")
     first = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_code_points") == F.col("most"))
     # rows that repeat text and doc_id: one of them is kept
