@@ -24,7 +24,7 @@ class LeakParams:
     """error_rate: edits allowed per character of an item. min_chars: shorter items must occur exactly, as whole words.
     block_bytes: items are broadcast in blocks of at most so many characters, one pass over the texts per block."""
 
-    error_rate: float = 0.05
+    error_rate: float = 0.08
     min_chars: int = 40
     block_bytes: int = 4_000_000
 

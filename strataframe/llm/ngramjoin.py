@@ -261,5 +261,6 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     named = parts.join(nodes, parts["node"] == nodes["sid"]).select("sid", "component", "least")
     named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("sid", "component_id")
     labels = nodes.join(named, "sid", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"))
-    out = texts.join(labels, "sid", "left")
+    # written first, so that adaptive execution can split the texts of a set that many rows have
+    out = texts.join(stored(labels, "labels"), "sid", "left")
     return out.select(F.col("key").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.llm.batches import bound_batches
-from strataframe.storage import fresh_path
+from strataframe.storage import fresh_path, stored
 
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
@@ -77,8 +77,9 @@ def deduplicated(pages: DataFrame, params: WarcParams, key: str = "page_id", url
     size = F.octet_length("payload")
     rows = rows.withColumns({"sha1": F.sha1("payload"), "same": F.when(size >= params.least_revisit, F.unhex(F.sha2("payload", 256)))})
     groups = rows.filter("same IS NOT NULL").groupBy("same", "sha1").agg(F.max("page_id").alias("largest"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    # the side of rows is the large and skewed one; adaptive execution splits its hot keys, groups has each key once
-    rows = rows.join(groups, ["same", "sha1"], "left")
+    # groups has each key once and is written first: both sides of the join are then plain shuffles, whose hot keys
+    # adaptive execution splits
+    rows = rows.join(stored(groups, "digests"), ["same", "sha1"], "left")
     refers = F.when(F.col("largest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest"))
     return rows.select("page_id", "url", "payload", "sha1", refers.alias("refers_to"))
 
