@@ -2,8 +2,9 @@
 
 Every text becomes the set of its hashed word n-grams (tokens). Tokens are ordered by class, rare before frequent,
 then by hash. If two sets of sizes n and m overlap enough for the threshold, each holds the k least common tokens
-among its first n - ceil(t * n) + k. So a pair shares a rare token of these extended prefixes, or k frequent ones:
-rare tokens are indexed alone, frequent ones as k-combinations (k = 2). A set with very many frequent tokens in its
+among its first n - ceil(t * n) + k. So a pair shares k tokens of these extended prefixes, and either a rare one is
+among them or at least two frequent ones are: rare tokens are indexed alone, frequent ones as 2-combinations. A pair
+whose shared rare tokens and possible frequent ones stay below k is dropped unseen. A set with very many frequent tokens in its
 prefix is indexed by these one by one, and is then compared with all others that hold one of them.
 
 Candidates are verified on whole sets. Sets that are equal are one node from the start, and what links to the same
@@ -13,7 +14,7 @@ hub is compared no further, so groups of copies cost in proportion to their size
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from strataframe.llm.batches import bound_batches
 from strataframe.operators.graph import connected_components
-from strataframe.storage import stored
+from strataframe.storage import fresh_path, released, stored
 
 RARE, COMBINED, FEW, MANY = range(4)
 
@@ -34,7 +35,7 @@ RARE, COMBINED, FEW, MANY = range(4)
 class JoinParams:
     """words: n of the n-grams. num, den: link when den * intersection >= num * union. frequent: documents that make a
     token frequent (raised by doubling until at most max_frequent tokens are, the bound of the broadcast).
-    max_combined: frequent tokens in a prefix up to which their pairs are indexed. seed: of the set identifiers."""
+    max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. seed: of the set identifiers."""
 
     words: int = 5
     num: int = 80
@@ -42,6 +43,7 @@ class JoinParams:
     frequent: int = 64
     max_frequent: int = 1_000_000
     max_combined: int = 40
+    common: int = 16
     seed: int = 0
 
     def least(self, n):
@@ -49,32 +51,71 @@ class JoinParams:
         return -(-self.num * n // self.den)
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash; forgets all when it holds `most`."""
+#: A multiplier of the rolling word hash and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+BASE_INVERSE = pow(BASE, -1, 1 << 64)
+_BYTE = np.frombuffer(np.random.default_rng(20240101).bytes(256 * 8), np.uint64) | np.uint64(1)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
+_BYTE_OF = _BYTE[_LOWER]
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    most = 1_000_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        size = max(n, 1 << 21)
+        for k, base in enumerate((BASE, BASE_INVERSE)):
+            step = np.full(size, base, np.uint64)
+            step[0] = 1
+            _POWERS[k] = np.cumprod(step)
+    return _POWERS
 
 
-def token_set(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes (int64) of the word n-grams; of a shorter text the whole sequence as one; empty without words."""
-    own = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space alone
-    if not own:
-        return np.zeros(0, np.int64)
-    h = np.array([hashes[w] for w in own], np.uint64)
-    n = min(words, len(h))
-    out = np.full(len(h) - n + 1, n, np.uint64)
+def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n-grams of word hashes."""
+    out = np.full(max(len(h) - n + 1, 0), n, np.uint64)
     for k in range(n):
-        out = (out ^ h[k : len(h) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        out = (out ^ h[k : len(h) - n + 1 + k]) * np.uint64(BASE)
         out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(32)
-    return np.unique(out.view(np.int64))
+    return out.view(np.int64)
+
+
+def _some_sets(data: list[bytes], words: int) -> list[np.ndarray]:
+    b = np.frombuffer(b"\n".join([b"", *data, b""]), np.uint8)
+    power, inverse = _powers(len(b))
+    space = _SPACE[b]
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    ends = np.flatnonzero(~space[:-1] & space[1:])  # last byte of each word
+    rolled = np.cumsum(_BYTE_OF[b] * power[: len(b)])
+    h = (rolled[ends] - rolled[starts - 1]) * inverse[starts]  # of a word's bytes, wherever it stands
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    first = np.cumsum([1, *(len(x) + 1 for x in data)])
+    cuts = np.searchsorted(starts, first).tolist()
+    grams = _ngrams(h, words)
+    out = []
+    for a, c in zip(cuts[:-1], cuts[1:]):
+        out.append(np.unique(grams[a : c - words + 1] if c - a >= words else _ngrams(h[a:c], c - a) if c > a else grams[:0]))
+    return out
+
+
+def token_sets(texts: list[str | None], words: int, slab: int = 1 << 21) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes (int64) of its word n-grams; of a shorter text the whole sequence as one; none without words.
+
+    A-Z count as a-z, words are what stands between ASCII white space. Texts are hashed together, about slab bytes at a time.
+    """
+    out: list[np.ndarray] = []
+    group: list[bytes] = []
+    size = 0
+    for t in texts:
+        group.append((t or "").encode("utf-8", "surrogatepass"))
+        size += len(group[-1])
+        if size >= slab:
+            out += _some_sets(group, words)
+            group, size = [], 0
+    return out + (_some_sets(group, words) if group else [])
 
 
 def set_id(tokens: np.ndarray, seed: int) -> tuple[int, int]:
@@ -83,9 +124,6 @@ def set_id(tokens: np.ndarray, seed: int) -> tuple[int, int]:
     return tuple(int(np.uint64(f(data, seed=seed)).view(np.int64)) for f in (xxhash.xxh3_64_intdigest, xxhash.xxh64_intdigest))
 
 
-_HASHES = WordHashes()
-
-
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     for batch in batches:
         yield batch.column(0), batch.column(1)
@@ -101,22 +139,23 @@ def frequent_tokens(docs: DataFrame, p: JoinParams, key: str, text: str) -> np.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _texts(batches):
-            low = [s[: len(s) // 4 + 8] for s in (token_set(t, p.words, _HASHES) for t in texts.to_pylist())]
+            low = [s[: len(s) // 4 + 8] for s in token_sets(texts.to_pylist(), p.words)]
             token, n = np.unique(np.concatenate(low) if low else np.zeros(0, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int32))], names=["token", "n"])
 
     counts = _two(docs, key, text).mapInArrow(count, "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
     counts = stored(counts.filter(F.col("n") >= p.frequent), "frequent")
+    released(docs.sparkSession)
     least = p.frequent
     while counts.filter(F.col("n") >= least).count() > p.max_frequent:
         least *= 2
     return np.sort(counts.filter(F.col("n") >= least).select("token").toPandas()["token"].to_numpy(np.int64))
 
 
-def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, p: JoinParams) -> tuple[np.ndarray, np.ndarray]:
-    """(index keys, their class) of a set."""
+def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, p: JoinParams) -> tuple[np.ndarray, np.ndarray, int]:
+    """(index keys, their class, number of frequent tokens in the prefix) of a set."""
     n = len(tokens)
-    size = min(n, n - p.least(n) + 2)
+    size = min(n, n - p.least(n) + p.common)
     at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
     often = frequent[at] == tokens if len(frequent) else np.zeros(n, bool)
     rare = tokens[~often][:size]
@@ -128,45 +167,39 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, p: JoinParams) -> tupl
         kinds.append(np.full(len(i), COMBINED))
     keys.append(dense)
     kinds.append(np.full(len(dense), FEW if len(dense) <= p.max_combined else MANY))
-    return np.concatenate(keys), np.concatenate(kinds)
+    return np.concatenate(keys), np.concatenate(kinds), len(dense)
 
 
 def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, text: str) -> DataFrame:
-    """Rows of two kinds in one pass: of texts (key, n, sid, check; token null) and of the index (token, kind, sid, n)."""
+    """Rows of two kinds in one pass: of texts (key, n, dense, sid, check; token null) and of the index (token, kind, sid)."""
     held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _texts(batches):
-            sizes, sids, checks = [], [], []
-            parts: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
-            for t in texts.to_pylist():
-                own = token_set(t, p.words, _HASHES)
-                sid, check = set_id(own, p.seed)
-                sizes.append(len(own))
-                sids.append(sid)
-                checks.append(check)
-                if len(own) and sid not in parts:
-                    parts[sid] = (*prefix_keys(own, held.value, p), len(own))
-            count = [len(k) for k, *_ in parts.values()]
-            total, m = sum(count), len(sids)
-            cat = lambda xs, kind: np.concatenate([*xs, np.zeros(0, kind)]).astype(kind)
-            none = pa.nulls
+            own = token_sets(texts.to_pylist(), p.words)
+            ids = np.array([set_id(x, p.seed) for x in own], np.int64).reshape(-1, 2)
+            parts = [prefix_keys(x, held.value, p) for x in own]
+            # equal sets of a batch are indexed once
+            new = np.zeros(len(own), bool)
+            new[np.unique(ids[:, 0], return_index=True)[1]] = True
+            kept = [x for x, some in zip(parts, new) if some]
+            sid = np.repeat(ids[new, 0], [len(k) for k, *_ in kept])
+            m, total = len(own), len(sid)
+            cat = lambda xs, kind: np.concatenate([np.zeros(0, kind), *xs]).astype(kind)
+            both = lambda a, b, kind: pa.concat_arrays([pa.nulls(m, kind) if a is None else pa.array(a, kind), pa.nulls(total, kind) if b is None else pa.array(b, kind)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays([none(m, pa.int64()), pa.array(cat((k for k, *_ in parts.values()), np.int64))]),
-                    pa.concat_arrays([none(m, pa.int32()), pa.array(cat((c for _, c, _ in parts.values()), np.int32))]),
-                    pa.array(np.r_[np.array(sids, np.int64), np.repeat(np.array(list(parts), np.int64), count)]),
-                    pa.array(np.r_[np.array(sizes, np.int32), np.repeat(np.array([n for *_, n in parts.values()], np.int32), count)].astype(np.int32)),
-                    pa.concat_arrays([pa.array(np.array(checks, np.int64)), none(total, pa.int64())]),
-                    pa.concat_arrays([keys.cast(kind), none(total, kind)]),
+                    both(None, cat((k for k, *_ in kept), np.int64), pa.int64()), both(None, cat((c for _, c, _ in kept), np.int32), pa.int32()), both(ids[:, 0], sid, pa.int64()),
+                    both(np.array([len(x) for x in own], np.int32), None, pa.int32()), both(np.array([d for *_, d in parts], np.int32), None, pa.int32()),
+                    both(ids[:, 1], None, pa.int64()), pa.concat_arrays([keys.cast(kind), pa.nulls(total, kind)]),
                 ],
-                names=["token", "kind", "sid", "n", "check", "key"],
-            )
+                names=["token", "kind", "sid", "n", "dense", "check", "key"],
+            )
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(docs.schema[key].dataType)
-    return _two(docs, key, text).mapInArrow(run, f"token long, kind int, sid long, n int, check long, key {docs.schema[key].dataType.simpleString()}")
+    return _two(docs, key, text).mapInArrow(run, f"token long, kind int, sid long, n int, dense int, check long, key {docs.schema[key].dataType.simpleString()}")
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str, text: str, most_bits: int = 26) -> DataFrame:
@@ -182,10 +215,8 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
         for batch in batches:
             b = batch.column(2).to_numpy()
             some = held.value[b >> 5] >> (b & 31).astype(np.uint32) & 1 == 1
-            found: dict[int, np.ndarray] = {}
-            for t in pc.filter(batch.column(1), pa.array(some)).to_pylist():
-                own = token_set(t, p.words, _HASHES)
-                found.setdefault(set_id(own, p.seed)[0], own)
+            own = token_sets(pc.filter(batch.column(1), pa.array(some)).to_pylist(), p.words)
+            found = {set_id(x, p.seed)[0]: x for x in own}
             ends = np.cumsum([0, *map(len, found.values())]).astype(np.int32)
             flat = np.concatenate([*found.values(), np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "tokens"])
@@ -193,6 +224,13 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
     return _two(docs, key, text).withColumn("b", place).mapInArrow(run, "sid long, tokens array<long>")
 
 
+def sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, p: JoinParams, key: str, text: str) -> DataFrame:
+    """(sid, tokens) of the sets on pairs, written to the shared folder, each once."""
+    ids = stored(pairs.select(F.explode(F.array("src", "dst")).alias("sid")).distinct(), "wanted")
+    wanted = ids.join(nodes, "sid").select(F.col("least").alias("key"))
+    return stored(candidate_sets(docs, wanted, p, key, text).join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
     """(src, dst, overlap, total) of the pairs (src, dst) whose sets link."""
 
@@ -223,40 +261,50 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     unless they link to others. Other columns are not read.
     """
     p = params
+    spark = docs.sparkSession
     frequent = frequent_tokens(docs, p, key, text)
-    rows = stored(index_rows(docs, frequent, p, key, text), "index")
-    texts = rows.filter("token IS NULL").select("key", "n", "sid", "check")
-    nodes = texts.filter("n > 0").groupBy("sid").agg(F.min("key").alias("least"), F.min("check").alias("c0"), F.max("check").alias("c1"))
+    path = fresh_path(spark, "index")
+    index_rows(docs, frequent, p, key, text).write.parquet(path)
+    rows = spark.read.parquet(path)
+    texts = stored(rows.filter("token IS NULL").select("key", "n", "dense", "sid", "check"), "texts")
+    nodes = texts.filter("n > 0").groupBy("sid").agg(F.min("key").alias("least"), F.min("n").alias("n"), F.min("dense").alias("dense"), F.min("check").alias("c0"), F.max("check").alias("c1"))
     nodes = stored(nodes, "nodes")
     if not nodes.filter("c0 <> c1").isEmpty():  # two sets under one identifier: others are needed
-        return jaccard_components(docs, JoinParams(**{**p.__dict__, "seed": p.seed + 1}), key, text)
+        return jaccard_components(docs, replace(p, seed=p.seed + 1), key, text)
     # buckets that hold two different sets at least; of the frequent tokens alone, those of a set that is not combined
     per = W.partitionBy("token")
-    live = rows.filter("token IS NOT NULL").select("token", "kind", "sid", "n")
+    live = rows.filter("token IS NOT NULL").select("token", "kind", "sid")
     live = live.withColumns({"low": F.min("sid").over(per), "high": F.max("sid").over(per), "top": F.max("kind").over(per)})
     live = live.filter((F.col("low") < F.col("high")) & ((F.col("kind") < FEW) | (F.col("top") == MANY)))
     live = stored(live.drop("top"), "live")
-    wanted = live.select("sid").distinct().join(nodes, "sid").select(F.col("least").alias("key"))
-    sets = candidate_sets(docs, wanted, p, key, text).join(live.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"])
-    sets = stored(sets, "sets")
-    fits = lambda a, b: p.den * F.least(a, b) >= p.num * F.greatest(a, b)
-    # first the hubs of each bucket, its least and greatest identifier: the same for most buckets of a group of copies
-    sizes = live.select(F.col("sid").alias("hub"), F.col("n").alias("m")).distinct()
-    hubs = live.select("sid", "n", F.explode(F.array("low", "high")).alias("hub")).filter("sid <> hub").distinct()
-    hubs = hubs.join(sizes, "hub").filter(fits(F.col("n"), F.col("m")))
-    hubs = stored(hubs.select(F.least("sid", "hub").alias("src"), F.greatest("sid", "hub").alias("dst")).distinct(), "hubs")
-    links = stored(verified(hubs, sets, p), "links")
+    released(spark, path)
+    sized = lambda name: nodes.select(F.col("sid").alias(name), F.col("n").alias(f"n_{name}"), F.col("dense").alias(f"dense_{name}"))
+    most, fewest = F.greatest("n_src", "n_dst"), F.least("n_src", "n_dst")
+    fits = p.den * fewest >= p.num * most
+    # first the hubs of each bucket, its least and greatest identifier: the same for most buckets of a group of copies.
+    # This only spares comparisons, so that pairs that share little of their prefixes are left to the next step.
+    hubs = live.select("sid", F.explode(F.array("low", "high")).alias("hub")).filter("sid <> hub")
+    hubs = hubs.groupBy(F.least("sid", "hub").alias("src"), F.greatest("sid", "hub").alias("dst")).agg(F.count("*").alias("c"))
+    hubs = hubs.join(sized("src"), "src").join(sized("dst"), "dst").filter(fits & (4 * p.den * F.col("c") >= (p.den - p.num) * most))
+    hubs = stored(hubs.select("src", "dst"), "hubs")
+    links = stored(verified(hubs, sets_of(docs, hubs, nodes, p, key, text), p), "links")
     known = connected_components(links)
-    # then what shares a bucket and is not connected yet
-    placed = live.join(known, F.col("sid") == F.col("node"), "left").select("token", "kind", "sid", "n", F.coalesce("component", "sid").alias("part")).distinct()
+    released(spark)
+    # then what shares a bucket and is not connected yet, and shares as many rare tokens as the prefixes demand
+    placed = live.join(known, F.col("sid") == F.col("node"), "left").select("token", "kind", "sid", F.coalesce("component", "sid").alias("part")).distinct()
     mixed = placed.groupBy("token").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("token")
-    placed = placed.join(mixed, "token", "left_semi")
+    placed = stored(placed.join(mixed, "token", "left_semi").join(nodes.select("sid", "n"), "sid"), "placed")
     a, b = placed.alias("a"), placed.alias("b")
-    meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid")) & (F.col("a.part") != F.col("b.part")) & fits(F.col("a.n"), F.col("b.n"))
-    meet &= (F.col("a.kind") < FEW) | (F.greatest("a.kind", "b.kind") == MANY)
-    rest = a.join(b, meet).select(F.col("a.sid").alias("src"), F.col("b.sid").alias("dst")).distinct()
-    rest = stored(rest.join(hubs, ["src", "dst"], "left_anti"), "rest")
-    links = links.unionByName(stored(verified(rest, sets, p), "links"))
+    meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid")) & (F.col("a.part") != F.col("b.part"))
+    meet &= (p.den * F.least("a.n", "b.n") >= p.num * F.greatest("a.n", "b.n")) & ((F.col("a.kind") < FEW) | (F.greatest("a.kind", "b.kind") == MANY))
+    rest = a.join(b, meet).groupBy(F.col("a.sid").alias("src"), F.col("b.sid").alias("dst")).agg(F.sum((F.col("a.kind") == RARE).cast("int")).alias("rare"))
+    rest = rest.join(sized("src"), "src").join(sized("dst"), "dst")
+    demanded = F.least(F.lit(p.common), F.ceil(p.num * most / p.den))
+    rest = rest.filter(F.col("rare") + F.least("dense_src", "dense_dst") >= demanded)
+    rest = stored(rest.join(hubs, ["src", "dst"], "left_anti").select("src", "dst"), "rest")
+    if not rest.isEmpty():
+        links = links.unionByName(stored(verified(rest, sets_of(docs, rest, nodes, p, key, text), p), "links"))
+    released(spark)
     parts = connected_components(links)
     named = parts.join(nodes, parts["node"] == nodes["sid"]).select("sid", "component", "least")
     named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("sid", "component_id")

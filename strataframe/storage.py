@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -35,3 +36,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """checkpoint() into the shared folder; the files go when the driver drops the frame."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def released(spark: SparkSession, path: str | None = None) -> None:
+    """Lets go of what is no longer read: the files under path, and shuffles whose frames the driver has dropped."""
+    if path:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    gc.collect()
+    spark._jvm.System.gc()
