@@ -25,6 +25,8 @@ from strataframe.llm.batches import bound_batches, map_texts
 META = "▁"
 #: Stands between segments: no code point, above them all.
 BORDER = np.uint32(0x110000)
+#: The piece of a character that the vocabulary lacks; no segment text encoded together is longer than CHARS, but for single ones.
+LONE, CHARS = -2, 1_000_000
 
 
 def default_model_path() -> str:
@@ -67,6 +69,7 @@ class PieceModel:
         self.pair_keys, self.pair_ranks = keys[order], np.array([r for *_, r in pairs] or [0], np.int64)[order]
         # a segment ends before a space mark that no piece can hold after another character
         self.inner_mark = any(re.search(f"[^{META}]{META}", p) for p in self.ids)
+        self._pairs: dict[tuple[int, int], bool] = {}
         self.longest = max((len(p) for i, p in enumerate(self.pieces) if i in self.usable), default=1)
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in range(1, self.longest + 1):
@@ -112,6 +115,14 @@ class PieceModel:
             live = live[(rx > 0) | (ry > 0)]
         return ok
 
+    def pair_joins(self, first: int, second: int) -> bool:
+        known = self._pairs.get((first, second))
+        if known is None:
+            if len(self._pairs) > 200_000:
+                self._pairs.clear()
+            known = self._pairs[first, second] = bool(self.joins(np.array([first]), np.array([second]))[0])
+        return known
+
     def segments(self, text: str) -> list[str]:
         """Parts of the marked text that merging never crosses."""
         marked = META + text.replace(" ", META) if text else ""
@@ -176,27 +187,27 @@ def occurrences(codes: np.ndarray, order: np.ndarray, pieces: np.ndarray) -> tup
     return ends[0], ends[1]
 
 
-def edges(codes: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, piece) of all occurrences of all pieces in codes, which ends with a run of borders."""
+def edges(codes: np.ndarray, model: PieceModel) -> np.ndarray:
+    """Edges of all pieces over codes (which end with a run of borders), sorted by position: [size, end] is the piece or -1."""
     inner = len(codes) - model.longest - 1
     order = suffix_array(codes, model.longest)
     order = order[order < inner]
-    starts, sizes, ids = [], [], []
+    table = np.full((model.longest + 1, len(codes)), -1, np.int32)
     for n, (own, text) in model.by_length.items():
         lo, hi = occurrences(codes, order, text)
         count = hi - lo
         some = count > 0
-        count, lo, own = count[some], lo[some], own[some]
+        count, lo = count[some], lo[some]
         at = np.repeat(lo - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-        starts.append(order[at])
-        sizes.append(np.full(len(at), n, np.int64))
-        ids.append(np.repeat(own, count))
-    start, size, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, sizes, ids))
-    return start, start + size, piece
+        table[n, order[at] + n] = np.repeat(own[some], count)
+    # a character outside the vocabulary is an edge of its own that merges with nothing
+    lone = (table[1, 1:] < 0) & (codes[:-1] != BORDER)
+    table[1, 1:][lone] = LONE
+    return table
 
 
 def encode_segments(segments: list[str], model: PieceModel) -> list[bytes]:
-    """Piece ids of each distinct segment, as int32 bytes."""
+    """Piece ids of each distinct segment, as int32 bytes. Segments should be in the order of their lengths."""
     if not segments:
         return []
     text = "\0".join([*segments, "\0" * model.longest])
@@ -205,37 +216,44 @@ def encode_segments(segments: list[str], model: PieceModel) -> list[bytes]:
     first = np.r_[0, np.cumsum(sizes + 1)[:-1]]
     codes[first + sizes] = BORDER
     codes[first[-1] + sizes[-1] :] = BORDER
-    start, end, piece = edges(codes, model)
-    # characters outside the vocabulary are edges of their own that merge with nothing: piece -1
-    single = np.zeros(len(codes), bool)
-    single[start[end - start == 1]] = True
-    lone = np.flatnonzero(~single & (codes != BORDER))
-    start, end, piece = np.r_[start, lone], np.r_[end, lone + 1], np.r_[piece, np.full(len(lone), -1)]
-    base = np.repeat(first, sizes + 1)
-    depth = end - base[end]
-    # by position: first the distance from the segment's start, so that all segments relax step by step together
-    by = np.argsort(depth * len(codes) + end)
-    start, end, piece, depth = start[by], end[by], piece[by], depth[by]
-    last = np.full(len(codes) + 1, -2, np.int64)  # the piece that ends at a position
-    back = np.zeros(len(codes) + 1, np.int64)  # and where it starts
+    table = edges(codes, model)
+    last = np.full(len(codes) + 1, -1, np.int32)  # the piece that ends at a position
+    back = np.zeros(len(codes) + 1, np.int32)  # and its size
     begins = np.zeros(len(codes) + 1, bool)
     begins[first] = True
-    cuts = np.r_[0, np.flatnonzero(np.diff(depth)) + 1, len(depth)]
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        s, e, p = start[a:b], end[a:b], piece[a:b]
-        before = last[s]
-        sure = begins[s] | (p < 0) | (before == -1)
-        ask = np.flatnonzero(~sure)
-        sure[ask] = model.joins(before[ask], p[ask])
-        last[e[sure]], back[e[sure]] = p[sure], s[sure]
+    begin = 0  # segments from here on are long enough
+    for depth in range(1, int(sizes.max()) + 1):  # all segments relax step by step together
+        begin = int(np.searchsorted(sizes, depth))
+        if len(segments) - begin < 4:
+            for i in range(begin, len(segments)):
+                _relax_on(table, last, back, int(first[i]), depth, int(sizes[i]), model)
+            break
+        ends = first[begin:] + depth
+        for n in range(min(depth, model.longest), 0, -1):
+            p = table[n, ends]
+            some = np.flatnonzero(p != -1)
+            if not len(some):
+                continue
+            e, p = ends[some], p[some]
+            start = e - n
+            before = last[start]
+            sure = begins[start] | (p == LONE) | (before == LONE)
+            ask = np.flatnonzero(~sure)
+            sure[ask] = model.joins(before[ask].astype(np.int64), p[ask].astype(np.int64))
+            last[e[sure]], back[e[sure]] = p[sure], n
+            if sure.any():
+                open_ = np.ones(len(ends), bool)
+                open_[some[sure]] = False
+                ends = ends[open_]
+                if not len(ends):
+                    break
     # walk back from the ends of all segments together
     own, at = np.arange(len(segments)), first + sizes
-    owners, places, found = [], [], []
+    places, found = [], []
     while len(own):
-        owners.append(own)
-        places.append(back[at])
         found.append(last[at])
-        at = back[at]
+        at = at - back[at]
+        places.append(at)
         more = at > first[own]
         own, at = own[more], at[more]
     place, got = np.concatenate(places), np.concatenate(found)
@@ -243,7 +261,7 @@ def encode_segments(segments: list[str], model: PieceModel) -> list[bytes]:
     place, got = place[by], got[by]
     ends = np.searchsorted(place, first + sizes)
     starts = np.r_[0, ends[:-1]]
-    plain = got.astype(np.int32).tobytes()
+    plain = got.tobytes()
     out = [plain[a * 4 : b * 4] for a, b in zip(starts.tolist(), ends.tolist())]
     for i in np.unique(np.searchsorted(ends, np.flatnonzero(got < 0), "right")).tolist():  # byte fallback
         ids: list[int] = []
@@ -257,10 +275,23 @@ def encode_segments(segments: list[str], model: PieceModel) -> list[bytes]:
     return out
 
 
+def _relax_on(table: np.ndarray, last: np.ndarray, back: np.ndarray, first: int, depth: int, size: int, model: PieceModel) -> None:
+    """The same relaxation for one segment from `depth` on: few and long ones are left."""
+    for end in range(first + depth, first + size + 1):
+        for n in range(min(end - first, model.longest), 0, -1):
+            p = int(table[n, end])
+            if p == -1:
+                continue
+            before = int(last[end - n])
+            if end - n == first or LONE in (p, before) or model.pair_joins(before, p):
+                last[end], back[end] = p, n
+                break
+
+
 class BatchEncoder:
     """Encodes batches of texts. Remembers the segments of late, in two generations of at most `generation` each."""
 
-    def __init__(self, model: PieceModel, generation: int = 500_000):
+    def __init__(self, model: PieceModel, generation: int = 250_000):
         self.model, self.generation = model, generation
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -278,7 +309,13 @@ class BatchEncoder:
         known.update((s, older[s]) for s in again)
         new.difference_update(again)
         fresh = sorted(new, key=len)
-        known.update(zip(fresh, encode_segments(fresh, self.model)))
+        at = 0
+        ends = np.cumsum([len(x) + 1 for x in fresh])
+        while at < len(fresh):
+            base = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, base + CHARS, "right")))
+            known.update(zip(fresh[at:end], encode_segments(fresh[at:end], self.model)))
+            at = end
         return [np.frombuffer(b"".join([known[s] for s in p]), np.int32) for p in parts]
 
 
@@ -307,7 +344,7 @@ def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", i
     path = model_path or default_model_path()
     fields = [T.StructField(ids_out, T.ArrayType(T.IntegerType()))]
     # searching the pieces costs the same for any batch, so batches are large
-    return map_texts(docs, [text], fields, lambda: lambda texts: [batch_encoder(path).encode(texts)], slab=6_000_000)
+    return map_texts(docs, [text], fields, lambda: lambda texts: [batch_encoder(path).encode(texts)], slab=4_000_000)
 
 
 def decode(docs: DataFrame, model_path: str | None = None, ids: str = "piece_ids", text_out: str = "decoded") -> DataFrame:
