@@ -5,7 +5,7 @@ then by hash. If two sets of sizes n and m overlap enough for the threshold, eac
 among its first n - ceil(t * n) + k. So a pair shares k tokens of these extended prefixes, and either a rare one is
 among them or at least two frequent ones are: rare tokens are indexed alone, frequent ones as 2-combinations. A pair
 whose shared rare tokens and possible frequent ones stay below k is dropped unseen. A set with very many frequent tokens in its
-prefix is indexed by these one by one, and is then compared with all others that hold one of them.
+prefix is indexed by these one by one. What meets in combinations is compared in blocks, by matrix products.
 
 Candidates are verified on whole sets. Sets that are equal are one node from the start, and what links to the same
 hub is compared no further, so groups of copies cost in proportion to their size.
@@ -35,7 +35,8 @@ RARE, COMBINED, FEW, MANY = range(4)
 class JoinParams:
     """words: n of the n-grams. num, den: link when den * intersection >= num * union. frequent: documents that make a
     token frequent (raised by doubling until at most max_frequent tokens are, the bound of the broadcast).
-    max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. seed: of the set identifiers."""
+    max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. block_rows, block_tokens: bounds of
+    a block of sets that are compared all with all (a larger set stands alone). seed: of the set identifiers."""
 
     words: int = 5
     num: int = 80
@@ -44,6 +45,8 @@ class JoinParams:
     max_frequent: int = 1_000_000
     max_combined: int = 40
     common: int = 16
+    block_rows: int = 512
+    block_tokens: int = 1_000_000
     seed: int = 0
 
     def least(self, n):
@@ -135,38 +138,75 @@ def _two(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def frequent_tokens(docs: DataFrame, p: JoinParams, key: str, text: str) -> np.ndarray:
-    """Tokens that are among the lowest quarter (and 8) of the hashes of p.frequent sets at least: only these can matter in a prefix."""
+    """The tokens that p.frequent sets at least hold, as far as a prefix can reach them.
+
+    First the lowest quarter (and 8) of each set's hashes is counted: where it has enough rare tokens, the prefix ends
+    there. The sets in which it has not are then counted whole.
+    """
+    spark = docs.sparkSession
+
+    def counted(part) -> DataFrame:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, texts in _texts(batches):
+                own = [part(s) for s in token_sets(texts.to_pylist(), p.words)]
+                token, n = np.unique(np.concatenate([np.zeros(0, np.int64), *own]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int32))], names=["token", "n"])
+
+        counts = _two(docs, key, text).mapInArrow(count, "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
+        return stored(counts.filter(F.col("n") >= p.frequent), "frequent")
+
+    def bounded(counts: DataFrame) -> np.ndarray:
+        least = p.frequent
+        while counts.filter(F.col("n") >= least).count() > p.max_frequent:
+            least *= 2
+        return np.sort(counts.filter(F.col("n") >= least).select("token").toPandas()["token"].to_numpy(np.int64))
+
+    low = lambda s: s[: len(s) // 4 + 8]
+    first = bounded(counted(low))
+    if not len(first):
+        return first
+    held = spark.sparkContext.broadcast(first)
+
+    def whole(s: np.ndarray) -> np.ndarray:
+        seen = low(s)
+        rare = len(seen) - int(np.count_nonzero(_among(seen, held.value)))
+        return s if rare < min(len(s), len(s) - p.least(len(s)) + p.common) else s[:0]
+
+    both = np.union1d(first, bounded(counted(whole)))
+    released(spark)
+    return both
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _texts(batches):
-            low = [s[: len(s) // 4 + 8] for s in token_sets(texts.to_pylist(), p.words)]
-            token, n = np.unique(np.concatenate(low) if low else np.zeros(0, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int32))], names=["token", "n"])
 
-    counts = _two(docs, key, text).mapInArrow(count, "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = stored(counts.filter(F.col("n") >= p.frequent), "frequent")
-    released(docs.sparkSession)
-    least = p.frequent
-    while counts.filter(F.col("n") >= least).count() > p.max_frequent:
-        least *= 2
-    return np.sort(counts.filter(F.col("n") >= least).select("token").toPandas()["token"].to_numpy(np.int64))
+def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each token is in the sorted array known."""
+    if not len(known):
+        return np.zeros(len(tokens), bool)
+    return known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
 
 
 def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, p: JoinParams) -> tuple[np.ndarray, np.ndarray, int]:
     """(index keys, their class, number of frequent tokens in the prefix) of a set."""
     n = len(tokens)
     size = min(n, n - p.least(n) + p.common)
-    at = np.minimum(np.searchsorted(frequent, tokens), max(len(frequent) - 1, 0))
-    often = frequent[at] == tokens if len(frequent) else np.zeros(n, bool)
+    often = _among(tokens, frequent)
     rare = tokens[~often][:size]
     dense = tokens[often][: size - len(rare)]
+    need = min(p.common, p.least(n))  # tokens that a link shares of the prefixes
+    # Too few rare tokens to reach that with all frequent ones: no link shares a rare token. And if none is shared, all
+    # are frequent: the first two of them are among the first dense - need + 2.
+    if len(rare) + len(dense) < need:
+        rare = rare[:0]
     keys, kinds = [rare], [np.full(len(rare), RARE)]
-    if 2 <= len(dense) <= p.max_combined:
-        i, j = np.triu_indices(len(dense), 1)
-        keys.append((dense[i].view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) ^ dense[j].view(np.uint64)).view(np.int64))
-        kinds.append(np.full(len(i), COMBINED))
-    keys.append(dense)
-    kinds.append(np.full(len(dense), FEW if len(dense) <= p.max_combined else MANY))
+    if len(dense) >= max(need, 2):
+        few = len(dense) <= p.max_combined
+        if few:
+            first = dense[: len(dense) - need + 2]
+            i, j = np.triu_indices(len(first), 1)
+            keys.append((first[i].view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) ^ first[j].view(np.uint64)).view(np.int64))
+            kinds.append(np.full(len(i), COMBINED))
+        single = dense[: len(dense) - need + 1]
+        keys.append(single)
+        kinds.append(np.full(len(single), FEW if few else MANY))
     return np.concatenate(keys), np.concatenate(kinds), len(dense)
 
 
@@ -253,6 +293,70 @@ def verified(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
     return rows.mapInArrow(check, "src long, dst long, overlap long, total long")
 
 
+def family_links(core: DataFrame, docs: DataFrame, nodes: DataFrame, known: DataFrame, p: JoinParams, key: str, text: str) -> DataFrame:
+    """Links that connect what shares combinations of frequent tokens: (src, dst), a spanning forest for each task.
+
+    core: (sid, low), a set and the least set of a bucket it is in. Sets joined by buckets are a family; its members, by
+    size, form blocks of bounded rows and tokens, and each pair of blocks whose sizes can link is one group: the
+    overlaps of all its pairs are one matrix product, so no pair becomes a row and no group holds a whole family.
+    """
+    family = connected_components(core, "sid", "low").select(F.col("node").alias("sid"), F.col("component").alias("family"))
+    family = family.join(nodes.select("sid", "n"), "sid").join(known.withColumnRenamed("node", "sid"), "sid", "left").withColumn("part", F.coalesce("component", "sid")).drop("component")
+    open_ = family.groupBy("family").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("family")
+    family = family.join(open_, "family", "left_semi")
+    by_size = W.partitionBy("family").orderBy("n", "sid").rowsBetween(W.unboundedPreceding, 0)
+    block = F.greatest(F.floor(F.row_number().over(W.partitionBy("family").orderBy("n", "sid")) / p.block_rows), F.floor(F.sum("n").over(by_size) / p.block_tokens))
+    members = stored(family.withColumn("block", block), "members")
+    blocks = members.groupBy("family", "block").agg(F.min("n").alias("small"), F.max("n").alias("large"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    meet = (F.col("a.family") == F.col("b.family")) & (F.col("a.block") <= F.col("b.block")) & (p.den * F.col("a.large") >= p.num * F.col("b.small"))
+    tasks = a.join(b, meet).select(F.col("a.family").alias("family"), F.col("a.block").alias("x"), F.col("b.block").alias("y"))
+    tasks = tasks.withColumn("block", F.explode(F.array_distinct(F.array("x", "y"))))
+    wanted = members.select(F.col("sid").alias("src"), F.col("sid").alias("dst"))
+    sets = sets_of(docs, wanted, nodes, p, key, text)
+    rows = tasks.join(members, ["family", "block"]).join(sets, "sid").select("family", "x", "y", "block", "sid", "part", "tokens")
+
+    def link(group: pa.Table) -> pa.Table:
+        sids, parts = group.column("sid").to_numpy(), group.column("part").to_numpy()
+        sets_ = [x.values.to_numpy() for x in group.column("tokens")]
+        blocks_ = group.column("block").to_numpy()
+        sizes = np.array([len(x) for x in sets_], np.int64)
+        tokens, inverse, counts = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets_)), sizes)
+        column = np.cumsum(counts > 1) - 1
+        shared = counts[inverse] > 1  # a token of one set adds nothing to an overlap
+        owner, at = owner[shared], column[inverse[shared]]
+        overlap = np.zeros((len(sets_), len(sets_)), np.float32)
+        for c in range(0, int(column[-1]) + 1, 4096):
+            own = (at >= c) & (at < c + 4096)
+            m = np.zeros((len(sets_), 4096), np.float32)
+            m[owner[own], at[own] - c] = 1
+            overlap += m @ m.T
+        total = sizes[:, None] + sizes[None, :] - overlap
+        x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        ok = np.triu(p.den * overlap >= p.num * total, 1) & (parts[:, None] != parts[None, :])
+        if x != y:
+            ok &= blocks_[:, None] != blocks_[None, :]
+        head = {}
+
+        def root(v: int) -> int:
+            while head.setdefault(v, v) != v:
+                head[v] = head[head[v]]
+                v = head[v]
+            return v
+
+        src, dst = [], []
+        for i, j in np.argwhere(ok).tolist():
+            r, q = root(int(parts[i])), root(int(parts[j]))
+            if r != q:
+                head[max(r, q)] = min(r, q)
+                src.append(int(sids[i]))
+                dst.append(int(sids[j]))
+        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
+
+    return stored(rows.groupBy("family", "x", "y").applyInArrow(link, "src long, dst long"), "family_links")
+
+
 def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles (set size), component_id (least key reachable by links, its own included).
 
@@ -291,19 +395,24 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     known = connected_components(links)
     released(spark)
     # then what shares a bucket and is not connected yet, and shares as many rare tokens as the prefixes demand
+    core = live.filter(F.col("kind") >= COMBINED).select("sid", "low").filter("sid <> low").distinct()
+    if not core.isEmpty():
+        links = links.select("src", "dst").unionByName(family_links(core, docs, nodes, known, p, key, text))
+        known = connected_components(links)
+    live = live.filter(F.col("kind") == RARE)
     placed = live.join(known, F.col("sid") == F.col("node"), "left").select("token", "kind", "sid", F.coalesce("component", "sid").alias("part")).distinct()
     mixed = placed.groupBy("token").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("token")
     placed = stored(placed.join(mixed, "token", "left_semi").join(nodes.select("sid", "n"), "sid"), "placed")
     a, b = placed.alias("a"), placed.alias("b")
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.sid") < F.col("b.sid")) & (F.col("a.part") != F.col("b.part"))
-    meet &= (p.den * F.least("a.n", "b.n") >= p.num * F.greatest("a.n", "b.n")) & ((F.col("a.kind") < FEW) | (F.greatest("a.kind", "b.kind") == MANY))
-    rest = a.join(b, meet).groupBy(F.col("a.sid").alias("src"), F.col("b.sid").alias("dst")).agg(F.sum((F.col("a.kind") == RARE).cast("int")).alias("rare"))
+    meet &= p.den * F.least("a.n", "b.n") >= p.num * F.greatest("a.n", "b.n")
+    rest = a.join(b, meet).groupBy(F.col("a.sid").alias("src"), F.col("b.sid").alias("dst")).agg(F.count("*").alias("rare"))
     rest = rest.join(sized("src"), "src").join(sized("dst"), "dst")
     demanded = F.least(F.lit(p.common), F.ceil(p.num * most / p.den))
     rest = rest.filter(F.col("rare") + F.least("dense_src", "dense_dst") >= demanded)
     rest = stored(rest.join(hubs, ["src", "dst"], "left_anti").select("src", "dst"), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(stored(verified(rest, sets_of(docs, rest, nodes, p, key, text), p), "links"))
+        links = links.select("src", "dst").unionByName(stored(verified(rest, sets_of(docs, rest, nodes, p, key, text), p), "links").select("src", "dst"))
     released(spark)
     parts = connected_components(links)
     named = parts.join(nodes, parts["node"] == nodes["sid"]).select("sid", "component", "least")
