@@ -7,6 +7,7 @@ Parquet and read again as the next one's docs. All but the last return the colum
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.llm import decontaminate, exactdedup, langid, ngramjoin, spm
@@ -29,8 +30,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, white space aside: the longest, then the smallest doc_id."""
-    gone = exactdedup.exact_duplicates(docs).filter("NOT kept").select("doc_id")
-    return without(docs, gone)
+    rows = stored(exactdedup.exact_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count("*").alias("c")), "decided")
+    left = without(docs, rows.filter("NOT stays").select("doc_id"))
+    # a doc_id that several rows have: of its equal texts the longest row stays
+    several = rows.filter("stays AND c > 1").select("doc_id")
+    if several.isEmpty():
+        return left
+    same = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]", "")
+    order = W.partitionBy("doc_id", F.sha2(same, 256)).orderBy(F.desc(F.length("text")))
+    repeated = left.join(several, "doc_id", "left_semi").withColumn("__k", F.row_number().over(order)).filter("__k = 1")
+    return without(left, several).unionByName(repeated.select(docs.columns))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,9 +44,12 @@ def letters() -> np.ndarray:
 
 
 def letter_codes(texts: list[str | None], gap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased code points of all texts, 0 for what is no letter, gap zeros after each; starts of the texts."""
+    """Lower-cased code points of all texts, 0 for what is no letter, gap zeros before each; starts of these gaps.
+
+    So an n-gram of at most gap + 1 code points touches one text only, that in whose range it begins.
+    """
     low = [(t or "").lower() for t in texts]
-    joined = ("\0" * gap).join([*low, ""]) if low else ""
+    joined = ("\0" * gap).join(["", *low])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where(letters()[codes], codes, np.uint32(0))
     sizes = np.fromiter((len(t) + gap for t in low), np.int64, len(low))
