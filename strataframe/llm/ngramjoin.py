@@ -35,8 +35,9 @@ RARE, COMBINED, FEW, MANY = range(4)
 class JoinParams:
     """words: n of the n-grams. num, den: link when den * intersection >= num * union. frequent: documents that make a
     token frequent (raised by doubling until at most max_frequent tokens are, the bound of the broadcast).
-    max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. block_rows, block_tokens: bounds of
-    a block of sets that are compared all with all (a larger set stands alone). seed: of the set identifiers."""
+    max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. block_rows, block_tokens: mean
+    size, at most, of a block of sets that are compared all with all. class_ratio: between the sizes of the largest and
+    the smallest set of a block, where a family has several. seed: of the set identifiers."""
 
     words: int = 5
     num: int = 80
@@ -47,6 +48,7 @@ class JoinParams:
     common: int = 16
     block_rows: int = 512
     block_tokens: int = 1_000_000
+    class_ratio: float = 1.05
     seed: int = 0
 
     def least(self, n):
@@ -296,17 +298,22 @@ def verified(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
 def family_links(core: DataFrame, docs: DataFrame, nodes: DataFrame, known: DataFrame, p: JoinParams, key: str, text: str) -> DataFrame:
     """Links that connect what shares combinations of frequent tokens: (src, dst), a spanning forest for each task.
 
-    core: (sid, low), a set and the least set of a bucket it is in. Sets joined by buckets are a family; its members, by
-    size, form blocks of bounded rows and tokens, and each pair of blocks whose sizes can link is one group: the
-    overlaps of all its pairs are one matrix product, so no pair becomes a row and no group holds a whole family.
+    core: (sid, low), a set and the least set of a bucket it is in. Sets joined by buckets are a family; its members of
+    like size form blocks of about block_rows rows or block_tokens tokens at most, dealt by their hash identifiers, and
+    each pair of blocks whose sizes can link is one group: the overlaps of all its pairs are one matrix product, so no pair becomes a row and no group holds a whole family.
     """
     family = connected_components(core, "sid", "low").select(F.col("node").alias("sid"), F.col("component").alias("family"))
     family = family.join(nodes.select("sid", "n"), "sid").join(known.withColumnRenamed("node", "sid"), "sid", "left").withColumn("part", F.coalesce("component", "sid")).drop("component")
     open_ = family.groupBy("family").agg(F.min("part").alias("p0"), F.max("part").alias("p1")).filter("p0 <> p1").select("family")
-    family = family.join(open_, "family", "left_semi")
-    by_size = W.partitionBy("family").orderBy("n", "sid").rowsBetween(W.unboundedPreceding, 0)
-    block = F.greatest(F.floor(F.row_number().over(W.partitionBy("family").orderBy("n", "sid")) / p.block_rows), F.floor(F.sum("n").over(by_size) / p.block_tokens))
-    members = stored(family.withColumn("block", block), "members")
+    family = stored(family.join(open_, "family", "left_semi"), "family")
+    # a family beyond one block is dealt by size class, and each class by identifier, so that no task orders a family
+    sizes = (F.count("*") / p.block_rows, F.sum("n") / p.block_tokens)
+    large = family.groupBy("family").agg(F.greatest(*sizes).alias("fill")).filter("fill > 1").select("family", F.lit(True).alias("split"))
+    size = F.when(F.col("split"), F.floor(F.log("n") / F.log(F.lit(p.class_ratio)))).otherwise(0)
+    classed = family.join(stored(large, "large"), "family", "left").withColumn("size", size).drop("split")
+    parts = stored(classed.groupBy("family", "size").agg(F.ceil(F.greatest(*sizes)).alias("parts")), "parts")
+    block = F.col("size") * (1 << 32) + F.pmod("sid", "parts")
+    members = stored(classed.join(parts, ["family", "size"]).withColumn("block", block).drop("size", "parts"), "members")
     blocks = members.groupBy("family", "block").agg(F.min("n").alias("small"), F.max("n").alias("large"))
     a, b = blocks.alias("a"), blocks.alias("b")
     meet = (F.col("a.family") == F.col("b.family")) & (F.col("a.block") <= F.col("b.block")) & (p.den * F.col("a.large") >= p.num * F.col("b.small"))
