@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import geometry
 from strataframe.operators import graph, tables
+from strataframe.plans import occupancy, solids
 
 FLAGSHIP = "weld_components"
 
@@ -91,9 +92,14 @@ FROM part
 """
 
 
+SQL = {
+    covered_days: COVERED_SQL, median_order: MEDIAN_SQL, quantity_profile: PROFILE_SQL, quantity_histogram: HISTOGRAM_SQL, flag_runs: RUNS_SQL, key_checksum: CHECKSUM_SQL,
+} | occupancy.SQL | solids.SQL
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (weld_components, covered_days, median_order, quantity_profile, quantity_histogram, flag_runs, key_checksum)}
+    return {f.__name__: f for f in (weld_components, *SQL)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"covered_days": COVERED_SQL, "median_order": MEDIAN_SQL, "quantity_profile": PROFILE_SQL, "quantity_histogram": HISTOGRAM_SQL, "flag_runs": RUNS_SQL, "key_checksum": CHECKSUM_SQL}
+    return {f.__name__: sql for f, sql in SQL.items()}
