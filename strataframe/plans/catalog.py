@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import geometry
 from strataframe.operators import graph, tables
-from strataframe.plans import occupancy, solids
+from strataframe.plans import levels, occupancy, solids
 
 FLAGSHIP = "weld_components"
 
@@ -94,7 +94,7 @@ FROM part
 
 SQL = {
     covered_days: COVERED_SQL, median_order: MEDIAN_SQL, quantity_profile: PROFILE_SQL, quantity_histogram: HISTOGRAM_SQL, flag_runs: RUNS_SQL, key_checksum: CHECKSUM_SQL,
-} | occupancy.SQL | solids.SQL
+} | occupancy.SQL | solids.SQL | levels.SQL
 
 
 def queries() -> dict:
