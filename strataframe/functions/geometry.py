@@ -45,3 +45,41 @@ def rolling_checksum(text: Column) -> Column:
     """(c * 131 + byte) mod 1000000007 over the characters of an ASCII text."""
     codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("long"))
     return F.aggregate(codes, F.lit(0).cast("long"), lambda s, c: F.pmod(s * 131 + c, F.lit(1_000_000_007).cast("long")))
+
+
+def finite(*values: Column) -> Column:
+    """Whether all are numbers other than NaN and the infinities; null counts as no number."""
+    return F.forall(F.array(*values), lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
+
+
+def turn(a: Column, b: Column, c: Column) -> Column:
+    """Twice the signed area of three struct<x, z>: positive when c is to the left of a to b."""
+    return (b["x"] - a["x"]) * (c["z"] - a["z"]) - (b["z"] - a["z"]) * (c["x"] - a["x"])
+
+
+def segments_meet(a: Column, b: Column, c: Column, d: Column, length_eps: float = 1e-6, area_eps: float = 1e-6) -> Column:
+    """Whether the segments a to b and c to d cross, or an end of one lies on the other."""
+
+    def apart(p: Column, q: Column) -> Column:
+        return ((p > area_eps) & (q < -area_eps)) | ((p < -area_eps) & (q > area_eps))
+
+    def on(p: Column, s: Column, e: Column) -> Column:
+        inside = [p[v].between(F.least(s[v], e[v]) - length_eps, F.greatest(s[v], e[v]) + length_eps) for v in "xz"]
+        return (F.abs(turn(s, e, p)) <= area_eps) & inside[0] & inside[1]
+
+    cross = apart(turn(a, b, c), turn(a, b, d)) & apart(turn(c, d, a), turn(c, d, b))
+    return cross | on(c, a, b) | on(d, a, b) | on(a, c, d) | on(b, c, d)
+
+
+def enclosed(segments: Column, px: Column, pz: Column) -> Column:
+    """Whether an odd number of segments (array of array of two struct<x, z>) is crossed to the left, right, front and back."""
+
+    def odd(along: str, across: str, p: Column, q: Column, before: bool) -> Column:
+        def hit(s: Column) -> Column:
+            a, b = s[0], s[1]
+            at = a[along] + (q - a[across]) * (b[along] - a[along]) / F.nullif(b[across] - a[across], F.lit(0.0))
+            return F.coalesce(crossings(a[across], b[across], q) & ((at < p) if before else (at > p)), F.lit(False))
+
+        return F.size(F.filter(segments, hit)) % 2 == 1
+
+    return odd("x", "z", px, pz, True) & odd("x", "z", px, pz, False) & odd("z", "x", pz, px, True) & odd("z", "x", pz, px, False)
