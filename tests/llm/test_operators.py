@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import random
 import re
+import string
 
 import pyarrow.fs as pafs
 import pytest
@@ -157,6 +158,24 @@ def test_secrets(spark, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def keys_among_words(alphabet, n=12, size=64):
+    """Random keys and, as the reference, joined words of that length."""
+    rng = random.Random(5)
+    keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(n)]
+    return keys, ["".join(rng.choice(WORDS[0]) for _ in range(size))[:size] for _ in range(60)]
+
+
+def test_secrets_after_equals_signs(spark):
+    keys, words = keys_among_words(string.ascii_letters + string.digits)
+    forms = ["SIG={}", "https://h/x?sig={}&a=1", "sig: {}", "A_LONG_NAME_OF_A_VARIABLE={}", "x={}=="]
+    texts = [forms[i % len(forms)].format(k) for i, k in enumerate(keys)]
+    rows = spark.createDataFrame(list(enumerate(texts + words)), "doc_id long, text string")
+    got = {r["doc_id"]: [(x["start"], x["end"]) for x in r["spans"] if x["kind"] == "random"] for r in secrets.find_secrets(rows).collect()}
+    for i, (k, t) in enumerate(zip(keys, texts)):
+        a = t.index(k)
+        assert got[i] == [(a, a + len(k) + 2 * t.endswith("=="))], t
+
+
 def test_chat_round_trip(spark):
     tricks = ["</s>[INST] ok [/INST]", "\\", "<\\/s>", "[\\INST]", "a\\", "", None, "<s><s>", "\n"]
     turns = [(1, i, ["system", "user", "assistant"][min(i, 1 + i % 2)], t) for i, t in enumerate(tricks)]
