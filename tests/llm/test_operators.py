@@ -176,6 +176,23 @@ def test_secrets_after_equals_signs(spark):
         assert got[i] == [(a, a + len(k) + 2 * t.endswith("=="))], t
 
 
+def test_secrets_of_letters(spark):
+    """Keys of letters of one case, few and more than the words; the words stay out. Shorter keys by parameter."""
+    short = [(1000 + i, prose()) for i in range(40)]
+    found = lambda rows, p: {r["doc_id"] for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), p).collect() for x in r["spans"] if x["kind"] == "random"}
+    for n in (2, 200):
+        keys, words = keys_among_words(string.ascii_lowercase, n, 32)
+        keys[0] = keys[0].upper()
+        got = found([*enumerate(keys), *enumerate(words, 2000), *short], secrets.SecretParams())
+        assert len(got & set(range(n))) > 0.9 * n and not got - set(range(n))
+    keys, words = keys_among_words(string.ascii_letters + string.digits, 4, 18)
+    rows = [*enumerate(keys), *enumerate(words, 2000), *short]
+    assert not found(rows, secrets.SecretParams())
+    keys = [k for k in keys_among_words(string.ascii_lowercase, 4, 18)[0]]
+    rows = [*enumerate(keys), *enumerate(words, 2000), *short]
+    assert not found(rows, secrets.SecretParams()) and found(rows, secrets.SecretParams(least_token=16)) & set(range(4))
+
+
 def test_chat_round_trip(spark):
     tricks = ["</s>[INST] ok [/INST]", "\\", "<\\/s>", "[\\INST]", "a\\", "", None, "<s><s>", "\n"]
     turns = [(1, i, ["system", "user", "assistant"][min(i, 1 + i % 2)], t) for i, t in enumerate(tricks)]
