@@ -21,7 +21,7 @@ BEFORE = "__leaks_before"
 
 @dataclass(frozen=True)
 class LeakParams:
-    """error_rate: edits allowed per character of an item. min_chars: shorter items must occur exactly, as whole words.
+    """error_rate: edits allowed per character of an item. min_chars: shorter items must begin and end at word borders.
     block_bytes: items are broadcast in blocks of at most so many characters, one pass over the texts per block."""
 
     error_rate: float = 0.08
@@ -68,19 +68,42 @@ def best_distance(pattern: str, text: str, limit: int) -> int:
     return min(best, limit + 1)
 
 
+def border(text: str, at: int) -> bool:
+    """Whether no word of letters, digits and underscores goes on over position at."""
+    inside = lambda c: c.isalnum() or c == "_"
+    return not (0 < at < len(text) and inside(text[at - 1]) and inside(text[at]))
+
+
+def bordered_distance(pattern: str, text: str, a: int, b: int, limit: int) -> int:
+    """Least edit distance of pattern to a substring of text[a:b] between word borders of text, limit + 1 if above limit."""
+    a, b = max(a, 0), min(b, len(text))
+    far = len(pattern) + b - a
+    ends = [border(text, j) for j in range(a, b + 1)]
+    row = [0 if e else far for e in ends]
+    for c in pattern:
+        new = [row[0] + 1]
+        for j in range(1, len(row)):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != text[a + j - 1])))
+        row = new
+    return min([d for d, e in zip(row, ends) if e] + [limit + 1])
+
+
 class LeakIndex:
     """The pieces of a block of items in one automaton."""
 
     def __init__(self, items: list[tuple[int, str]], params: LeakParams):
-        self.items: dict[int, tuple[int, str, int]] = {}  # by position in the block, as ids may repeat
+        self.items: dict[int, tuple[int, str, int, bool]] = {}  # by position in the block, as ids may repeat
         self.auto = ahocorasick.Automaton()
         at: dict[str, list[tuple[int, int]]] = {}
         for n, (item_id, text) in enumerate(items):
             norm = normalise(text)
             if not norm.strip():
                 continue
-            k = int(params.error_rate * len(norm)) if len(norm) >= params.min_chars else 0
-            self.items[n] = (item_id, norm, k)
+            k = int(params.error_rate * len(norm))
+            short = len(norm) < params.min_chars
+            norm = norm.strip() if short else norm
+            k = min(k, len(norm) - 1)
+            self.items[n] = (item_id, norm, k, short)
             for offset, piece in pieces_of(norm, k):
                 at.setdefault(piece, []).append((n, offset))
         for piece, places in at.items():
@@ -96,7 +119,7 @@ class LeakIndex:
         spans: dict[int, list[list[int]]] = {}
         for end, (size, places) in self.auto.iter(norm):
             for n, offset in places:
-                _, item, k = self.items[n]
+                _, item, k, _ = self.items[n]
                 a = end + 1 - size - offset - k
                 b = a + len(item) + 2 * k
                 own = spans.setdefault(n, [])
@@ -107,8 +130,12 @@ class LeakIndex:
                     own.append([a, b])
         found: dict[int, int] = {}
         for n, windows in spans.items():
-            item_id, item, k = self.items[n]
-            d = 0 if item in norm else min(best_distance(item, norm[max(a, 0) : b], k) for a, b in windows) if k else 1
+            item_id, item, k, short = self.items[n]
+            if short:  # the cheap distance first, as pieces of short items are common
+                near = [(a, b) for a, b in windows if best_distance(item, norm[max(a, 0) : b], k) <= k]
+                d = min([bordered_distance(item, norm, a, b, k) for a, b in near] + [k + 1])
+            else:
+                d = 0 if item in norm else min(best_distance(item, norm[max(a, 0) : b], k) for a, b in windows) if k else 1
             if d <= k:
                 found[item_id] = min(d, found.get(item_id, d))
         return found

@@ -119,6 +119,14 @@ def test_leaks(spark, docs, texts, empty):
     assert {r["doc_id"]: {x["item_id"]: x["edits"] for x in r["leaks"]} for r in one} == got
 
 
+def test_leaks_of_short_items(spark):
+    items = spark.createDataFrame([(1, "the capital of France"), (2, "Paris"), (3, "c++")], "item_id long, text string")
+    cases = [('"The capital of France."', {1: 0}), ("(the capitol of france)", {1: 1}), ("bathe capital of Frances", {}), ("the capitol of frence", {}), ("in 'Paris', not Parisians", {2: 0}), ("parisian, comparis", {}), ("use C++.", {3: 0}), ("c", {}), (None, {})]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: {x["item_id"]: x["edits"] for x in r["leaks"]} for r in decontaminate.find_leaks(docs, items).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
 def test_myers_equals_a_table():
     for _ in range(60):
         p, t = ("".join(RNG.choice("abc") for _ in range(RNG.randrange(1, n))) for n in (9, 15))
