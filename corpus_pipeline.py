@@ -7,7 +7,6 @@ Parquet and read again as the next one's docs. All but the last return the colum
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.llm import decontaminate, exactdedup, langid, ngramjoin, spm
@@ -15,6 +14,8 @@ from strataframe.storage import stored
 
 #: Least posterior of the predicted language; what is below, or undetermined, goes.
 LEAST_SCORE = 0.5
+#: Column by which the deduplication stages decide, as doc_id may repeat or be missing.
+ROW = "__row"
 #: Several stages cannot be expressed in SQL (a trained classifier, byte-pair merging): see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
@@ -29,28 +30,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, white space aside: the longest, then the smallest doc_id."""
-    rows = stored(exactdedup.exact_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count("*").alias("c")), "decided")
-    left = without(docs, rows.filter("NOT stays").select("doc_id"))
-    # a doc_id that several rows have: of its equal texts the longest row stays
-    several = rows.filter("stays AND c > 1").select("doc_id")
-    if several.isEmpty():
-        return left
-    same = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]", "")
-    order = W.partitionBy("doc_id", F.sha2(same, 256)).orderBy(F.desc(F.length("text")))
-    repeated = left.join(several, "doc_id", "left_semi").withColumn("__k", F.row_number().over(order)).filter("__k = 1")
-    return without(left, several).unionByName(repeated.select(docs.columns))
+    """One row of each group of equal texts, white space aside: the longest, then the smallest doc_id (null last)."""
+    rows = keyed(docs)
+    found = exactdedup.exact_duplicates(rows, key=ROW)
+    return without(rows, found.filter("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join (five words, 0.8): that with the smallest doc_id."""
-    found = ngramjoin.jaccard_components(docs)
-    return without(docs, found.filter("doc_id <> component_id").select("doc_id"))
+    """One row of each component of the n-gram Jaccard join (five words, 0.8): that with the smallest doc_id (null last)."""
+    rows = keyed(docs)
+    found = ngramjoin.jaccard_components(rows, key=ROW)
+    return without(rows, found.filter("doc_id <> component_id"))
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in gone, which has each once; rows without a doc_id stay."""
-    return docs.join(stored(gone.distinct(), "gone"), "doc_id", "left_anti").select(docs.columns)
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with ROW, which has no nulls, no value twice, and the order of doc_id, null last."""
+    if docs.groupBy("doc_id").agg(F.count("*").alias("c")).filter("doc_id IS NULL OR c > 1").isEmpty():
+        return docs.withColumn(ROW, F.col("doc_id"))
+    # the second key parts the rows of a doc_id that many have; written, as the numbers must stay
+    ordered = docs.orderBy(F.asc_nulls_last("doc_id"), F.monotonically_increasing_id())
+    return stored(ordered.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """rows without those whose ROW is a doc_id of gone, which has each once; and without ROW."""
+    return rows.join(stored(gone.select(F.col("doc_id").alias(ROW)), "gone"), ROW, "left_anti").select([c for c in rows.columns if c != ROW])
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -252,6 +252,27 @@ def test_toxicity(spark, empty):
     assert 0 <= toxicity.score_texts(["x"], toxicity.fit(df.limit(0)))[0][0] <= 1
 
 
+def test_stages_decide_by_row(spark):
+    """Rows that share a doc_id or have none: copies go, other rows of that doc_id stay."""
+    import corpus_pipeline
+
+    a, b, c, d, e = (prose(0, 60) for _ in range(5))
+    close = lambda t: t + " end"
+    schema = "doc_id long, text string"
+    cases = [
+        ([(1, a), (2, close(a)), (2, b), (3, c)], "near", [(1, a), (2, b), (3, c)]),
+        ([(None, a), (None, close(a)), (4, close(b)), (None, b), (None, c)], "near", [(None, c), (4, close(b))]),
+        ([(None, d), (None, d + " "), (5, e), (5, e + " "), (5, d), (6, e)], "exact", [(None, d + " "), (5, e + " ")]),
+        ([(2, a), (1, a), (1, b), (3, close(b))], "exact", [(1, a), (1, b), (3, close(b))]),
+    ]
+    for rows, stage, want in cases:
+        got = [tuple(r) for r in getattr(corpus_pipeline, stage)(spark, spark.createDataFrame(rows, schema).repartition(2), "").collect()]
+        if (None, c) in want:  # either of the two without an id may stay
+            assert sum(r in got for r in [(None, a), (None, close(a))]) == 1
+            got = [r for r in got if r not in [(None, a), (None, close(a))]]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
