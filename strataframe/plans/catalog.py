@@ -17,9 +17,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def weld_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first two parts of an order weld; components of the graph with their sizes."""
-    lines = _t(spark, sf_dir, "lineitem").filter("l_linenumber <= 2").select("l_orderkey", "l_linenumber", "l_partkey")
-    edges = lines.filter("l_linenumber = 1").select("l_orderkey", F.col("l_partkey").alias("src")).join(lines.filter("l_linenumber = 2").select("l_orderkey", F.col("l_partkey").alias("dst")), "l_orderkey")
+    """The parts of an order weld; components of the graph with their sizes."""
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").filter("l_partkey IS NOT NULL")
+    # every line to the first of its order: a star joins what a chain or all pairs would
+    first = lines.groupBy("l_orderkey").agg(F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("dst"))
+    edges = lines.select("l_orderkey", F.col("l_partkey").alias("src")).join(first, "l_orderkey")
     found = graph.connected_components(edges)
     return found.groupBy("component").agg(F.count("*").alias("n_nodes"), F.max("node").alias("last_node"))
 

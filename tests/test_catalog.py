@@ -27,6 +27,12 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(repr, map(tuple, found.select(columns).collect()))) == sorted(map(repr, wanted.fetchall()))
 
 
+def test_weld_reads_all_lines(spark, tmp_path):
+    rows = [(1, 1, 10), (1, 2, 11), (1, 3, 12), (2, 4, 12), (2, 6, 13), (3, 1, 20), (3, 2, 20), (3, 7, 21), (4, 1, 30)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert sorted(map(tuple, catalog.weld_components(spark, str(tmp_path)).collect())) == [(10, 4, 13), (20, 2, 21)]
+
+
 def test_masks_of_no_cells(spark):
     none = masks.cells(spark.createDataFrame([(None, 1, 1, 1)], "m long, k int, i int, j int"))
     for found in (masks.components(none, 10), masks.floor_jaccard(none), masks.lines(none), masks.boundary(none)):
