@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -33,6 +36,14 @@ def slabs(frame: pd.DataFrame, column: str = "text", slab: int = SLAB) -> Iterat
         yield frame.iloc[a:b]
 
 
+def trim() -> None:
+    """Gives freed memory of this Python worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps its memory
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _LETTER: list[np.ndarray] = []
 
 
@@ -69,11 +80,12 @@ def ngram_buckets(codes: np.ndarray, n: int, bits: int) -> np.ndarray:
     return h >> np.uint32(32 - bits)
 
 
-def map_texts(docs: DataFrame, columns: list[str], fields: list[T.StructField], start: Callable[[], Callable[..., Sequence]], slab: int = SLAB) -> DataFrame:
+def map_texts(docs: DataFrame, columns: list[str], fields: list[T.StructField], start: Callable[[], Callable[..., Sequence]], slab: int = SLAB, arrow: bool = False) -> DataFrame:
     """docs with new fields at the end; start() gives, once a task, the function from lists of columns to the new columns.
 
     Calls see about slab characters of columns[0]: long batches are cut, short ones gathered. All other columns pass
-    through as Arrow arrays, untouched; columns that the fields are named like are replaced.
+    through as Arrow arrays, untouched; columns that the fields are named like are replaced. With arrow, calls get and
+    give Arrow arrays instead of lists. What a call gathered is freed at the end of the task, as workers are reused.
     """
     bound_batches(docs.sparkSession)
     kept = docs.drop(*(f.name for f in fields))
@@ -100,11 +112,14 @@ def map_texts(docs: DataFrame, columns: list[str], fields: list[T.StructField],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = start()
         for group in parts(batches):
-            got = call(*(sum((b.column(b.schema.get_field_index(c)).to_pylist() for b in group), []) for c in columns))
+            own = [[b.column(b.schema.get_field_index(c)) for b in group] for c in columns]
+            got = call(*(pa.concat_arrays(x) if arrow else sum((b.to_pylist() for b in x), []) for x in own))
             at = 0
             for b in group:
-                new = [pa.array(x[at : at + b.num_rows], type=kind) for x, kind in zip(got, kinds)]
+                new = [x[at : at + b.num_rows].cast(kind) if arrow else pa.array(x[at : at + b.num_rows], type=kind) for x, kind in zip(got, kinds)]
                 at += b.num_rows
                 yield pa.RecordBatch.from_arrays([*b.columns, *new], names=names)
+        del call
+        trim()
 
     return kept.mapInArrow(run, schema)

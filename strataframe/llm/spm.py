@@ -1,9 +1,9 @@
-"""SentencePiece encoding and decoding by suffix-array matching.
+"""SentencePiece encoding and decoding by suffix-array matching, for byte-pair models with byte fallback.
 
-A batch's distinct segments are concatenated and indexed by a suffix array; every piece of the vocabulary is
-binary-searched for its occurrence range, the resulting edges (start, end, piece) are sorted by position and
-relaxed. For a byte-pair model the relaxation keeps, for every end position, the one edge that is compatible
-with the piece before it, which is what merging by score yields; for a unigram model it keeps the best score.
+A batch's text, each distinct segment of it once, is concatenated and indexed by a suffix array; every piece of the
+vocabulary is binary-searched for its occurrence range, the resulting edges (end, size, piece) are sorted by position
+and relaxed: for every end position the relaxation keeps the one edge that is compatible with the piece before it,
+which is what merging by score yields. Nothing is remembered from batch to batch but a table of fixed size.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -25,8 +26,8 @@ from strataframe.llm.batches import bound_batches, map_texts
 META = "▁"
 #: Stands between segments: no code point, above them all.
 BORDER = np.uint32(0x110000)
-#: The piece of a character that the vocabulary lacks; no segment text encoded together is longer than CHARS, but for single ones.
-LONE, CHARS = -2, 1_000_000
+#: The piece of a character that the vocabulary lacks; characters indexed together; segments that relax one by one.
+LONE, CHARS, FEW = -2, 1_000_000, 12
 
 
 def default_model_path() -> str:
@@ -34,17 +35,60 @@ def default_model_path() -> str:
     return str(Path(importlib.util.find_spec("public_tokenizers").origin).parent / "piece_bpe_32k.model")
 
 
+def fields_of(data: bytes) -> dict[int, list]:
+    """The fields of a protocol-buffer message by number: numbers, or bytes."""
+    out: dict[int, list] = {}
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            b = data[at]
+            at += 1
+            value |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return value
+
+    while at < len(data):
+        tag = number()
+        kind = tag & 7
+        if kind == 0:
+            value = number()
+        else:
+            size = number() if kind == 2 else 8 if kind == 1 else 4
+            value = data[at : at + size]
+            at += size
+        out.setdefault(tag >> 3, []).append(value)
+    return out
+
+
+def check_model(data: bytes) -> None:
+    """Refuses models that this module would encode otherwise than the library: not byte-pair, or with a normaliser that changes texts."""
+    model = fields_of(data)
+    trainer, norm = (fields_of(model.get(k, [b""])[-1]) for k in (2, 3))
+    if trainer.get(3, [1])[-1] != 2:
+        raise ValueError("only byte-pair piece models are supported")
+    if any(norm.get(2, [])) or norm.get(3, [1])[-1] != 1 or norm.get(4, [1])[-1] != 0 or norm.get(5, [1])[-1] != 1 or any(trainer.get(24, [0])):
+        raise ValueError("the piece model's normaliser changes texts, which is not supported")
+
+
 class PieceModel:
     """Vocabulary, merge splits and segment rule of a byte-pair model file with byte fallback."""
 
     def __init__(self, path: str):
+        check_model(Path(path).read_bytes())
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces = [lib.id_to_piece(i) for i in range(lib.vocab_size())]
         normal = [i for i in range(len(self.pieces)) if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i) or lib.is_unused(i))]
         self.unk = lib.unk_id()
         self.control = {i for i in range(len(self.pieces)) if lib.is_control(i)}
         self.byte_ids = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.byte_ids) if i != self.unk}
+        # what a piece adds to a text
+        byte_of = {i: bytes([b]) for b, i in enumerate(self.byte_ids) if i != self.unk}
+        shown = [byte_of.get(i, b"" if i in self.control else p.replace(META, " ").encode()) for i, p in enumerate(self.pieces)]
+        self.shown = pa.array(shown, pa.large_binary())
         self.ids = {self.pieces[i]: i for i in normal}
         # rank 0: single characters, then merges from the best score down; equal scores by id
         merges = sorted((i for i in normal if len(self.pieces[i]) > 1), key=lambda i: (-lib.get_score(i), i))
@@ -62,14 +106,12 @@ class PieceModel:
             rank[i] = r
         self.ranks = rank
         pairs = [(self.ids[p[:k]], self.ids[p[k:]], self.rank[i]) for i in merges for p in [self.pieces[i]] for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
-        self.pair_rank = {(a, b): r for a, b, r in pairs}
         width = len(self.pieces)
         keys = np.array([a * width + b for a, b, _ in pairs] or [-1], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.array([r for *_, r in pairs] or [0], np.int64)[order]
         # a segment ends before a space mark that no piece can hold after another character
         self.inner_mark = any(re.search(f"[^{META}]{META}", p) for p in self.ids)
-        self._pairs: dict[tuple[int, int], bool] = {}
         self.longest = max((len(p) for i, p in enumerate(self.pieces) if i in self.usable), default=1)
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in range(1, self.longest + 1):
@@ -115,225 +157,253 @@ class PieceModel:
             live = live[(rx > 0) | (ry > 0)]
         return ok
 
-    def pair_joins(self, first: int, second: int) -> bool:
-        known = self._pairs.get((first, second))
-        if known is None:
-            if len(self._pairs) > 200_000:
-                self._pairs.clear()
-            known = self._pairs[first, second] = bool(self.joins(np.array([first]), np.array([second]))[0])
-        return known
-
-    def segments(self, text: str) -> list[str]:
-        """Parts of the marked text that merging never crosses."""
-        marked = META + text.replace(" ", META) if text else ""
-        if self.inner_mark or not marked:
-            return [marked] if marked else []
-        return _SEGMENT.findall(marked)
-
-
-_SEGMENT = re.compile(f"{META}*[^{META}]+|{META}+")
-
 
 @functools.lru_cache(4)
 def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of codes in the order of their first `depth` codes at least: packed keys, then prefix doubling."""
-    values, rank = np.unique(codes, return_inverse=True)
-    bits = max(int(len(values)).bit_length(), 1)
+def suffix_array(rank: np.ndarray, bits: int, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(positions in the order of their first `depth` codes, packed keys, codes a key); rank: 0 the border, 1 and up the codes.
+
+    Beyond a border the order is of no use, as no piece holds one: only positions without a border among the codes of
+    a key are ordered by what follows.
+    """
     per = max(1, 63 // bits)
-    key = np.zeros(len(codes), np.uint64)
-    for k in range(per):  # the first `per` codes in one number; beyond the end counts as less than all codes
+    key = np.zeros(len(rank), np.uint64)
+    clear = np.ones(len(rank), bool)
+    for k in range(per):
         key <<= np.uint64(bits)
-        key[: len(codes) - k] += (rank[k:] + 1).astype(np.uint64)
-    step = per
-    while True:
-        order = np.argsort(key)
-        own = key[order]
-        if step >= depth:
-            return order
-        new = np.empty(len(codes), np.int64)
-        new[order] = np.r_[0, np.cumsum(own[1:] != own[:-1])]
-        key = (new * (int(new.max()) + 2)).astype(np.uint64)
-        key[: len(codes) - step] += (new[step:] + 1).astype(np.uint64)
-        step *= 2
-
-
-def _compare_below(codes: np.ndarray, at: np.ndarray, pieces: np.ndarray, or_equal: bool) -> np.ndarray:
-    """For each row, whether the text at `at` sorts below the piece (or starts with it, if or_equal)."""
-    out = np.full(len(at), or_equal)
-    open_ = np.ones(len(at), bool)
-    for k in range(pieces.shape[1]):
-        c, p = codes[at + k], pieces[:, k]
-        out = np.where(open_ & (c != p), c < p, out)
-        open_ &= c == p
-        if not open_.any():
-            break
-    return out
-
-
-def occurrences(codes: np.ndarray, order: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each piece (a row of codes) the range of the suffix array whose suffixes start with it."""
-    ends = []
-    for or_equal in (False, True):
-        lo, hi = np.zeros(len(pieces), np.int64), np.full(len(pieces), len(order), np.int64)
-        while (lo < hi).any():
-            mid = np.minimum((lo + hi) // 2, len(order) - 1)
-            below = _compare_below(codes, order[mid], pieces, or_equal) & (lo < hi)
-            lo, hi = np.where(below, mid + 1, lo), np.where(below | (lo >= hi), hi, mid)
-        ends.append(lo)
-    return ends[0], ends[1]
-
-
-def edges(codes: np.ndarray, model: PieceModel) -> np.ndarray:
-    """Edges of all pieces over codes (which end with a run of borders), sorted by position: [size, end] is the piece or -1."""
-    inner = len(codes) - model.longest - 1
-    order = suffix_array(codes, model.longest)
-    order = order[order < inner]
-    table = np.full((model.longest + 1, len(codes)), -1, np.int32)
+        own = rank[k:]
+        key[: len(own)] |= own.astype(np.uint64)
+        clear[: len(own)] &= own > 0
+        clear[len(own) :] = False
+    order = np.argsort(key)
+    if per < depth:
+        at = np.flatnonzero(clear[order])
+        own = order[at]
+        by = [key[own]]
+        for step in range(per, depth, per):
+            by.append(key[np.minimum(own + step, len(key) - 1)])
+        order[at] = own[np.lexsort(by[::-1])]
+    return order, key, per
+
+
+def occurrences(order: np.ndarray, key: np.ndarray, per: int, bits: int, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each piece (a row of ranks, all known) the range of the suffix array whose suffixes start with it."""
+    n = pieces.shape[1]
+    lo, hi = np.zeros(len(pieces), np.int64), np.full(len(pieces), len(order), np.int64)
+    for first in range(0, n, per):
+        part = pieces[:, first : first + per]
+        low = np.zeros(len(pieces), np.uint64)
+        for k in range(part.shape[1]):
+            low = low << np.uint64(bits) | part[:, k].astype(np.uint64)
+        free = np.uint64(bits * (per - part.shape[1]))
+        low, high = low << free, ((low + np.uint64(1)) << free) - np.uint64(1)
+        lo, hi = _bisect(order, key, first, low, lo, hi, False), _bisect(order, key, first, high, lo, hi, True)
+    return lo, hi
+
+
+def _bisect(order: np.ndarray, key: np.ndarray, shift: int, value: np.ndarray, lo: np.ndarray, hi: np.ndarray, after: bool) -> np.ndarray:
+    """For each row the first place in order[lo:hi] whose key, `shift` codes on, is not below value (above it, if after)."""
+    lo, hi = lo.copy(), hi.copy()
+    while (open_ := lo < hi).any():
+        mid = (lo + hi) // 2
+        k = key[np.minimum(order[np.minimum(mid, len(order) - 1)] + shift, len(key) - 1)]
+        below = open_ & ((k <= value) if after else (k < value))
+        lo, hi = np.where(below, mid + 1, lo), np.where(open_ & ~below, mid, hi)
+    return lo
+
+
+def edges(codes: np.ndarray, model: PieceModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of all pieces over codes, sorted by end and falling size: (first edge of each end, piece, size).
+
+    codes ends with a border. A character outside the vocabulary is an edge of its own, LONE, that merges with nothing.
+    """
+    place = np.zeros(int(BORDER) + 1, np.int32)
+    place[codes] = 1
+    values = np.flatnonzero(place)
+    border = len(values) - 1  # BORDER is above all code points
+    place[values] = np.r_[1 : border + 1, 0]
+    rank = place[codes]
+    bits = max(border.bit_length(), 1)
+    order, key, per = suffix_array(rank, bits, model.longest)
+    found = []
+    covered = codes == BORDER
     for n, (own, text) in model.by_length.items():
-        lo, hi = occurrences(codes, order, text)
+        at = np.minimum(np.searchsorted(values, text), border)
+        known = (values[at] == text).all(axis=1)
+        own, ranks = own[known], at[known] + 1
+        lo, hi = occurrences(order, key, per, bits, ranks)
         count = hi - lo
         some = count > 0
         count, lo = count[some], lo[some]
-        at = np.repeat(lo - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-        table[n, order[at] + n] = np.repeat(own[some], count)
-    # a character outside the vocabulary is an edge of its own that merges with nothing
-    lone = (table[1, 1:] < 0) & (codes[:-1] != BORDER)
-    table[1, 1:][lone] = LONE
-    return table
-
-
-def encode_segments(segments: list[str], model: PieceModel) -> list[bytes]:
-    """Piece ids of each distinct segment, as int32 bytes. Segments should be in the order of their lengths."""
-    if not segments:
-        return []
-    text = "\0".join([*segments, "\0" * model.longest])
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
-    sizes = np.fromiter(map(len, segments), np.int64, len(segments))
-    first = np.r_[0, np.cumsum(sizes + 1)[:-1]]
-    codes[first + sizes] = BORDER
-    codes[first[-1] + sizes[-1] :] = BORDER
-    table = edges(codes, model)
-    last = np.full(len(codes) + 1, -1, np.int32)  # the piece that ends at a position
-    back = np.zeros(len(codes) + 1, np.int32)  # and its size
-    begins = np.zeros(len(codes) + 1, bool)
-    begins[first] = True
-    begin = 0  # segments from here on are long enough
-    for depth in range(1, int(sizes.max()) + 1):  # all segments relax step by step together
-        begin = int(np.searchsorted(sizes, depth))
-        if len(segments) - begin < 4:
-            for i in range(begin, len(segments)):
-                _relax_on(table, last, back, int(first[i]), depth, int(sizes[i]), model)
-            break
-        ends = first[begin:] + depth
-        for n in range(min(depth, model.longest), 0, -1):
-            p = table[n, ends]
-            some = np.flatnonzero(p != -1)
-            if not len(some):
-                continue
-            e, p = ends[some], p[some]
-            start = e - n
-            before = last[start]
-            sure = begins[start] | (p == LONE) | (before == LONE)
-            ask = np.flatnonzero(~sure)
-            sure[ask] = model.joins(before[ask].astype(np.int64), p[ask].astype(np.int64))
-            last[e[sure]], back[e[sure]] = p[sure], n
-            if sure.any():
-                open_ = np.ones(len(ends), bool)
-                open_[some[sure]] = False
-                ends = ends[open_]
-                if not len(ends):
-                    break
-    # walk back from the ends of all segments together
-    own, at = np.arange(len(segments)), first + sizes
-    places, found = [], []
-    while len(own):
-        found.append(last[at])
-        at = at - back[at]
-        places.append(at)
-        more = at > first[own]
-        own, at = own[more], at[more]
-    place, got = np.concatenate(places), np.concatenate(found)
-    by = np.argsort(place)
-    place, got = place[by], got[by]
-    ends = np.searchsorted(place, first + sizes)
-    starts = np.r_[0, ends[:-1]]
-    plain = got.tobytes()
-    out = [plain[a * 4 : b * 4] for a, b in zip(starts.tolist(), ends.tolist())]
-    for i in np.unique(np.searchsorted(ends, np.flatnonzero(got < 0), "right")).tolist():  # byte fallback
-        ids: list[int] = []
-        for k in range(starts[i], ends[i]):
-            if got[k] >= 0:
-                ids.append(int(got[k]))
-            else:
-                coded = [model.byte_ids[b] for b in segments[i][place[k] - first[i]].encode("utf-8", "replace")]
-                ids += [model.unk] if model.unk in coded else coded
-        out[i] = np.array(ids, np.int32).tobytes()
-    return out
+        places = order[np.repeat(lo - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())]
+        found.append((n, places + n, np.repeat(own[some].astype(np.int32), count)))
+        if n == 1:
+            covered[places] = True
+    lone = np.flatnonzero(~covered) + 1
+    found.append((1, lone, np.full(len(lone), LONE, np.int32)))
+    # a counting sort by position: no two edges of one size end at one place, as pieces and LONE differ
+    count = np.zeros(len(codes) + 2, np.int32)
+    for _, ends, _ in found:
+        count[ends + 1] += 1
+    first = np.cumsum(count)
+    fill = first[:-1].copy()
+    piece, size = np.empty(first[-1], np.int32), np.empty(first[-1], np.int8)
+    for n, ends, own in sorted(found, key=lambda x: -x[0]):
+        at = fill[ends]
+        piece[at], size[at] = own, n
+        fill[ends] += 1
+    return first, piece, size
+
+
+class Encoder:
+    """Encodes batches of texts; keeps the answers of late to `joins`, in tables of fixed size."""
+
+    def __init__(self, model: PieceModel, bits: int = 18):
+        self.model, self.bits = model, bits
+        self.asked, self.answer = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, bool)
 
-
-def _relax_on(table: np.ndarray, last: np.ndarray, back: np.ndarray, first: int, depth: int, size: int, model: PieceModel) -> None:
-    """The same relaxation for one segment from `depth` on: few and long ones are left."""
-    for end in range(first + depth, first + size + 1):
-        for n in range(min(end - first, model.longest), 0, -1):
-            p = int(table[n, end])
-            if p == -1:
-                continue
-            before = int(last[end - n])
-            if end - n == first or LONE in (p, before) or model.pair_joins(before, p):
-                last[end], back[end] = p, n
+    def joins(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        key = first * np.int64(len(self.model.pieces)) + second
+        at = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+        out = self.answer[at]
+        new = np.flatnonzero(self.asked[at] != key)
+        if len(new):
+            ask, back = np.unique(key[new], return_inverse=True)
+            got = self.model.joins(*np.divmod(ask, len(self.model.pieces)))[back]
+            out[new] = got
+            self.asked[at[new]], self.answer[at[new]] = key[new], got  # of keys that share a place the last stays
+        return out
+
+    def segments(self, codes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of the segments, which stand in codes from first on; a border follows each."""
+        begin_edge, piece, size = edges(codes, self.model)
+        last = np.full(len(codes) + 1, -1, np.int32)  # the piece that ends at a position
+        back = np.zeros(len(codes) + 1, np.int8)  # and its size
+        begins = np.zeros(len(codes) + 1, bool)
+        begins[first] = True
+        by_size = np.argsort(sizes, kind="stable")
+        ordered = sizes[by_size]
+        for depth in range(1, int(ordered[-1]) + 1):  # all segments relax step by step together
+            begin = int(np.searchsorted(ordered, depth))
+            if len(sizes) - begin < FEW:
+                for i in by_size[begin:].tolist():
+                    self._relax_on(begin_edge, piece, size, last, back, int(first[i]), depth, int(sizes[i]))
                 break
+            ends = first[by_size[begin:]] + depth
+            at = begin_edge[ends]
+            while len(ends):  # the next longest edge of every end that has none yet
+                p, n = piece[at], size[at]
+                start = ends - n
+                before = last[start]
+                sure = begins[start] | (p == LONE) | (before == LONE)
+                ask = np.flatnonzero(~sure)
+                sure[ask] = self.joins(before[ask].astype(np.int64), p[ask].astype(np.int64))
+                done = ends[sure]
+                last[done], back[done] = p[sure], n[sure]
+                ends, at = ends[~sure], at[~sure] + 1
+        # walk back from the ends of all segments together
+        own, at = np.arange(len(sizes)), first + sizes
+        places, found = [], []
+        while len(own):
+            found.append(last[at])
+            at = at - back[at]
+            places.append(at)
+            more = at > first[own]
+            own, at = own[more], at[more]
+        place, got = np.concatenate(places), np.concatenate(found)
+        by = np.argsort(place)
+        place, got = place[by], got[by]
+        of_first = np.argsort(first)
+        ends = np.empty(len(first), np.int64)
+        ends[of_first] = np.searchsorted(place, (first + sizes)[of_first])
+        lone = np.flatnonzero(got == LONE)
+        if len(lone):  # byte fallback
+            coded = [self._bytes(int(c)) for c in codes[place[lone]]]
+            width = np.ones(len(got), np.int64)
+            width[lone] = [len(c) for c in coded]
+            upto = np.r_[0, np.cumsum(width)]
+            whole = np.repeat(got, width)
+            whole[np.repeat(upto[lone], width[lone]) + np.concatenate([np.arange(len(c)) for c in coded])] = np.concatenate(coded)
+            got, ends = whole, upto[ends]
+        return got, ends
+
+    def _bytes(self, code: int) -> list[int]:
+        ids = [self.model.byte_ids[b] for b in chr(code).encode("utf-8", "replace")]
+        return [self.model.unk] if self.model.unk in ids else ids
+
+    def _relax_on(self, begin_edge, piece, size, last, back, first: int, depth: int, count: int) -> None:
+        """The same relaxation for one segment from `depth` on: few and long ones are left."""
+        for end in range(first + depth, first + count + 1):
+            for e in range(int(begin_edge[end]), int(begin_edge[end + 1])):
+                p, n = int(piece[e]), int(size[e])
+                before = int(last[end - n])
+                if end - n == first or LONE in (p, before) or self.joins(np.array([before]), np.array([p]))[0]:
+                    last[end], back[end] = p, n
+                    break
 
-
-class BatchEncoder:
-    """Encodes batches of texts. Remembers the segments of late, in two generations of at most `generation` each."""
-
-    def __init__(self, model: PieceModel, generation: int = 250_000):
-        self.model, self.generation = model, generation
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [self.model.segments(t or "") for t in texts]
-        if len(self.known) > self.generation:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = set()
-        for p in parts:
-            new.update(p)
-        new.difference_update(known)
-        again = [s for s in new if s in older]
-        known.update((s, older[s]) for s in again)
-        new.difference_update(again)
-        fresh = sorted(new, key=len)
-        at = 0
-        ends = np.cumsum([len(x) + 1 for x in fresh])
-        while at < len(fresh):
-            base = int(ends[at - 1]) if at else 0
-            end = max(at + 1, int(np.searchsorted(ends, base + CHARS, "right")))
-            known.update(zip(fresh[at:end], encode_segments(fresh[at:end], self.model)))
-            at = end
-        return [np.frombuffer(b"".join([known[s] for s in p]), np.int32) for p in parts]
-
-
-@functools.lru_cache(4)
-def batch_encoder(path: str) -> BatchEncoder:
-    return BatchEncoder(piece_model(path))
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The piece ids of each text, as an Arrow array; null texts count as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        # a mark stands for a space, and one is put before each text that is not empty
+        texts = pc.replace_substring(texts, META, " ")
+        head = pc.if_else(pc.equal(pc.binary_length(texts), 0), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
+        marked = pc.binary_join_element_wise(head, texts, pa.scalar("", pa.large_string()))
+        ends = np.frombuffer(marked.buffers()[1], np.int64, len(marked) + 1, marked.offset * 8)
+        data = np.frombuffer(marked.buffers()[2] or b"", np.uint8)[: ends[-1]]
+        begins = np.zeros(len(data) + 1, bool)
+        if not self.model.inner_mark:  # a segment ends before a space mark that no piece can hold after another character
+            begins[1:-1] = (data[1:] == 32) & (data[:-1] != 32)
+        begins[ends] = True
+        begins[len(data)] = True
+        cuts = np.flatnonzero(begins)
+        if not len(data):
+            return pa.ListArray.from_arrays(pa.array(np.zeros(len(texts) + 1, np.int32)), pa.array([], pa.int32()))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), marked.buffers()[2]])
+        held = pieces.dictionary_encode()
+        each = self._distinct(held.dictionary).take(held.indices)
+        upto = np.frombuffer(each.buffers()[1], np.int32, len(each) + 1)
+        return pa.ListArray.from_arrays(pa.array(upto[np.searchsorted(cuts, ends)]), each.values)
+
+    def _distinct(self, segments: pa.Array) -> pa.ListArray:
+        """The piece ids of distinct segments, about CHARS characters of them at a time; a longer one stands alone."""
+        ends = np.frombuffer(segments.buffers()[1], np.int64, len(segments) + 1)
+        data = np.frombuffer(segments.buffers()[2], np.uint8)[: ends[-1]]
+        chars = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][ends]
+        ids, upto, at = [], [np.zeros(1, np.int64)], 0
+        while at < len(segments):
+            to = max(at + 1, int(np.searchsorted(chars, chars[at] + CHARS, "right")) - 1)
+            plain = np.frombuffer(data[ends[at] : ends[to]].tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+            sizes = np.diff(chars[at : to + 1])
+            first = chars[at:to] - chars[at] + np.arange(to - at)
+            codes = np.full(len(plain) + len(sizes), BORDER)
+            codes[np.arange(len(plain)) + np.repeat(np.arange(to - at), sizes)] = np.where(plain == 32, np.uint32(ord(META)), plain)
+            got, own = self.segments(codes, first, sizes)
+            upto.append(upto[-1][-1] + own)
+            ids.append(got.astype(np.int32))
+            at = to
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(upto).astype(np.int32)), pa.array(np.concatenate(ids)))
+
+
+def decode_lists(lists: pa.ListArray, model: PieceModel) -> pa.Array:
+    """The text of each list of ids: byte pieces joined and decoded, marks as spaces, without the leading one. Null gives an empty text."""
+    lists = pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists
+    flat = lists.flatten()
+    upto = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))].astype(np.int64)
+    shown = model.shown.take(flat)
+    offsets = np.frombuffer(shown.buffers()[1], np.int64, len(shown) + 1)[upto]
+    plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets), shown.buffers()[2] or pa.py_buffer(b"")])
+    try:
+        texts = plain.cast(pa.large_string())
+    except pa.ArrowInvalid:  # byte pieces that are no UTF-8
+        texts = pa.array([x.decode("utf-8", "replace") for x in plain.to_pylist()], pa.large_string())
+    return pc.replace_substring_regex(texts, "^ ", "").cast(pa.string())
 
 
 def decode_ids(ids: list[int], model: PieceModel) -> str:
-    """The text of ids: byte pieces joined and decoded, marks as spaces, without the leading one."""
-    out = bytearray()
-    for i in ids:
-        if i in model.byte_of:
-            out.append(model.byte_of[i])
-        elif i not in model.control:
-            out += model.pieces[i].encode()
-    text = out.decode("utf-8", "replace").replace(META, " ")
-    return text[1:] if text.startswith(" ") else text
+    return decode_lists(pa.array([ids], pa.list_(pa.int32())), model)[0].as_py()
 
 
 def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", ids_out: str = "piece_ids") -> DataFrame:
@@ -343,8 +413,12 @@ def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", i
     """
     path = model_path or default_model_path()
     fields = [T.StructField(ids_out, T.ArrayType(T.IntegerType()))]
-    # searching the pieces costs the same for any batch, so batches are large
-    return map_texts(docs, [text], fields, lambda: lambda texts: [batch_encoder(path).encode(texts)], slab=4_000_000)
+
+    def start():
+        encoder = Encoder(piece_model(path))
+        return lambda texts: [encoder.encode(texts)]
+
+    return map_texts(docs, [text], fields, start, slab=4_000_000, arrow=True)
 
 
 def decode(docs: DataFrame, model_path: str | None = None, ids: str = "piece_ids", text_out: str = "decoded") -> DataFrame:
@@ -356,8 +430,7 @@ def decode(docs: DataFrame, model_path: str | None = None, ids: str = "piece_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            texts = pa.array([decode_ids(x or [], piece_model(path)) for x in lists], pa.string())
+            texts = decode_lists(batch.column(batch.schema.get_field_index(ids)), piece_model(path))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)
 
     return kept.mapInArrow(run, schema)

@@ -4,6 +4,7 @@ import random
 import re
 import string
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 import sentencepiece
@@ -147,6 +148,37 @@ def test_pieces(docs, texts, empty):
     assert spm.decode(spm.encode(empty)).count() == 0
 
 
+def test_pieces_of_odd_texts(spark):
+    """Random mixtures of words, marks, spaces, characters outside the vocabulary and long runs, over several chunks; clashing names."""
+    lib = sentencepiece.SentencePieceProcessor(model_file=spm.default_model_path())
+    rng = random.Random(3)
+    parts = [*"abcxyzABC  \n\t.,;0123456789", "the ", " house", "  ", "\u2581", "日本", "🎉", "é", "\x00", "\x1b", "ing", "tion", "un"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([1, 5, 60, 400]))) for _ in range(300)]
+    texts += ["a" * 3000, " " * 500, "🎉" * 300, "ab" * 2000, None, ""]
+    rows = spark.createDataFrame([(i, t, "x", [1]) for i, t in enumerate(texts)], "doc_id long, text string, decoded string, piece_ids array<int>").repartition(3)
+    for r in spm.decode(spm.encode(rows)).collect():
+        own = texts[r["doc_id"]] or ""
+        assert r["piece_ids"] == lib.encode(own) and r["decoded"] == own.replace("\u2581", " ")
+    model = spm.piece_model(spm.default_model_path())
+    small, chunk = spm.Encoder(model, bits=4), spm.CHARS
+    try:
+        spm.CHARS = 50
+        assert small.encode(pa.array(texts)).to_pylist() == [lib.encode(t or "") for t in texts]
+    finally:
+        spm.CHARS = chunk
+    bad = [model.byte_ids[0xFF], model.ids["\u2581a"]]
+    assert spm.decode_lists(pa.array([bad, None, []], pa.list_(pa.int32())), model).to_pylist() == ["\ufffd a", "", ""]
+
+
+def test_piece_models_of_other_kinds_are_refused():
+    whole = open(spm.default_model_path(), "rb").read()
+    spm.check_model(whole)
+    with pytest.raises(ValueError, match="byte-pair"):
+        spm.check_model(b"\x12\x02\x18\x01")  # a trainer that says unigram
+    with pytest.raises(ValueError, match="normaliser"):
+        spm.check_model(b"\x12\x02\x18\x02\x1a\x02\x20\x01")  # white space removed
+
+
 def test_pii(docs, empty, spark):
     t = "a.b@c.de x@y 1.2.3.4.5 999.1.1.1 x 4111 1111 1111 1111 +1 (212) 555-0100, +12 @a.b " + "q" * 50000
     assert pii.show(pii.base_spans(t)) == "email:0:8,ip:13:20,card:35:54,phone:55:72"
