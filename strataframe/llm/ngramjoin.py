@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.llm.batches import bound_batches
+from strataframe.llm.batches import bound_batches, trim
 from strataframe.operators.graph import connected_components
 from strataframe.storage import fresh_path, released, stored
 
@@ -68,14 +68,19 @@ _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _powers(n: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
         for k, base in enumerate((BASE, BASE_INVERSE)):
-            step = np.full(size, base, np.uint64)
+            step = np.full(max(n, 1 << 20), base, np.uint64)
             step[0] = 1
             _POWERS[k] = np.cumprod(step)
     return _POWERS
 
 
+def _freed() -> None:
+    """At the end of a task: workers are reused, and one long text would leave its powers behind."""
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    trim()
+
+
 def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams of word hashes."""
     out = np.full(max(len(h) - n + 1, 0), n, np.uint64)
@@ -106,7 +111,7 @@ def _some_sets(data: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def token_sets(texts: list[str | None], words: int, slab: int = 1 << 21) -> list[np.ndarray]:
+def token_sets(texts: list[str | None], words: int, slab: int = 1 << 20) -> list[np.ndarray]:
     """For each text the sorted distinct hashes (int64) of its word n-grams; of a shorter text the whole sequence as one; none without words.
 
     A-Z count as a-z, words are what stands between ASCII white space. Texts are hashed together, about slab bytes at a time.
@@ -153,6 +158,7 @@ def frequent_tokens(docs: DataFrame, p: JoinParams, key: str, text: str) -> np.n
                 own = [part(s) for s in token_sets(texts.to_pylist(), p.words)]
                 token, n = np.unique(np.concatenate([np.zeros(0, np.int64), *own]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int32))], names=["token", "n"])
+            _freed()
 
         counts = _two(docs, key, text).mapInArrow(count, "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
         return stored(counts.filter(F.col("n") >= p.frequent), "frequent")
@@ -237,6 +243,7 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, t
                 ],
                 names=["token", "kind", "sid", "n", "dense", "check", "key"],
             )
+        _freed()
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -262,6 +269,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
             ends = np.cumsum([0, *map(len, found.values())]).astype(np.int32)
             flat = np.concatenate([*found.values(), np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "tokens"])
+        _freed()
 
     return _two(docs, key, text).withColumn("b", place).mapInArrow(run, "sid long, tokens array<long>")
 
@@ -382,12 +390,17 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     nodes = stored(nodes, "nodes")
     if not nodes.filter("c0 <> c1").isEmpty():  # two sets under one identifier: others are needed
         return jaccard_components(docs, replace(p, seed=p.seed + 1), key, text)
-    # buckets that hold two different sets at least; of the frequent tokens alone, those of a set that is not combined
+    # buckets that hold two different sets at least. Those of rare tokens are small, as a rare token is in few sets
     per = W.partitionBy("token")
-    live = rows.filter("token IS NOT NULL").select("token", "kind", "sid")
-    live = live.withColumns({"low": F.min("sid").over(per), "high": F.max("sid").over(per), "top": F.max("kind").over(per)})
-    live = live.filter((F.col("low") < F.col("high")) & ((F.col("kind") < FEW) | (F.col("top") == MANY)))
-    live = stored(live.drop("top"), "live")
+    index = rows.filter("token IS NOT NULL").select("token", "kind", "sid")
+    rare = index.filter(F.col("kind") == RARE).withColumns({"low": F.min("sid").over(per), "high": F.max("sid").over(per)}).filter("low < high")
+    # the others may hold any share of the sets: summed up before they are dealt, and joined back, where hot keys split;
+    # of the frequent tokens alone, those of a set that is not combined
+    dense = index.filter(F.col("kind") >= COMBINED)
+    buckets = dense.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.max("kind").alias("top"), F.bool_or(F.col("kind") == COMBINED).alias("combined"))
+    buckets = stored(buckets.filter((F.col("low") < F.col("high")) & (F.col("combined") | (F.col("top") == MANY))).drop("combined"), "buckets")
+    dense = dense.join(buckets, "token").filter((F.col("kind") == COMBINED) | (F.col("top") == MANY))
+    live = stored(rare.unionByName(dense.select(rare.columns)), "live")
     released(spark, path)
     sized = lambda name: nodes.select(F.col("sid").alias(name), F.col("n").alias(f"n_{name}"), F.col("dense").alias(f"dense_{name}"))
     most, fewest = F.greatest("n_src", "n_dst"), F.least("n_src", "n_dst")
