@@ -1,7 +1,8 @@
 """Benchmark decontamination: approximate containment of test items by the pigeonhole principle.
 
 An item may occur with up to k edits. Split into k + 1 pieces, at least one piece must occur exactly, so one
-Aho-Corasick pass finds all places that can match; each is verified with Myers' bit-parallel distance.
+Aho-Corasick pass finds all places that can match; each is verified with Myers' bit-parallel distance. What passes
+must also begin and end at word borders of the text, which one more distance over the same window decides.
 """
 
 from __future__ import annotations
@@ -10,28 +11,29 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataframe.llm.batches import map_texts
+from strataframe.storage import stored
 
 BEFORE = "__leaks_before"
 
 
 @dataclass(frozen=True)
 class LeakParams:
-    """error_rate: edits allowed per character of an item. min_chars: shorter items must begin and end at word borders.
-    block_bytes: items are broadcast in blocks of at most so many characters, one pass over the texts per block."""
+    """error_rate: edits allowed per character of an item, at every length. block_bytes: items are broadcast in blocks of
+    about so many characters, one pass over the texts per block."""
 
     error_rate: float = 0.08
-    min_chars: int = 40
     block_bytes: int = 4_000_000
 
 
 def normalise(text: str | None) -> str:
-    """Lower case, runs of white space as one space, with a space at either end."""
-    return f" {' '.join((text or '').lower().split())} "
+    """Lower case, runs of white space as one space, none at the ends."""
+    return " ".join((text or "").lower().split())
 
 
 def pieces_of(item: str, k: int) -> list[tuple[int, str]]:
@@ -78,32 +80,40 @@ def bordered_distance(pattern: str, text: str, a: int, b: int, limit: int) -> in
     """Least edit distance of pattern to a substring of text[a:b] between word borders of text, limit + 1 if above limit."""
     a, b = max(a, 0), min(b, len(text))
     far = len(pattern) + b - a
-    ends = [border(text, j) for j in range(a, b + 1)]
-    row = [0 if e else far for e in ends]
-    for c in pattern:
-        new = [row[0] + 1]
-        for j in range(1, len(row)):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != text[a + j - 1])))
-        row = new
-    return min([d for d, e in zip(row, ends) if e] + [limit + 1])
+    ends = np.array([border(text, j) for j in range(a, b + 1)])
+    codes = np.frombuffer(text[a:b].encode("utf-32-le", "surrogatepass"), np.uint32)
+    step = np.arange(b - a + 1)
+    row = np.where(ends, 0, far)
+    for i, c in enumerate(pattern, 1):
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (codes != ord(c)))
+        row = np.minimum.accumulate(new - step) + step  # insertions: from any place before
+    return min(int(row[ends].min(initial=limit + 1)), limit + 1)
+
+
+def occurs(item: str, text: str) -> bool:
+    """Whether item stands in text between word borders."""
+    at = text.find(item)
+    while at >= 0:
+        if border(text, at) and border(text, at + len(item)):
+            return True
+        at = text.find(item, at + 1)
+    return False
 
 
 class LeakIndex:
     """The pieces of a block of items in one automaton."""
 
     def __init__(self, items: list[tuple[int, str]], params: LeakParams):
-        self.items: dict[int, tuple[int, str, int, bool]] = {}  # by position in the block, as ids may repeat
+        self.items: dict[int, tuple[int, str, int]] = {}  # by position in the block, as ids may repeat
         self.auto = ahocorasick.Automaton()
         at: dict[str, list[tuple[int, int]]] = {}
         for n, (item_id, text) in enumerate(items):
             norm = normalise(text)
-            if not norm.strip():
+            if not norm:
                 continue
-            k = int(params.error_rate * len(norm))
-            short = len(norm) < params.min_chars
-            norm = norm.strip() if short else norm
-            k = min(k, len(norm) - 1)
-            self.items[n] = (item_id, norm, k, short)
+            k = min(int(params.error_rate * len(norm)), len(norm) - 1)
+            self.items[n] = (item_id, norm, k)
             for offset, piece in pieces_of(norm, k):
                 at.setdefault(piece, []).append((n, offset))
         for piece, places in at.items():
@@ -119,7 +129,7 @@ class LeakIndex:
         spans: dict[int, list[list[int]]] = {}
         for end, (size, places) in self.auto.iter(norm):
             for n, offset in places:
-                _, item, k, _ = self.items[n]
+                _, item, k = self.items[n]
                 a = end + 1 - size - offset - k
                 b = a + len(item) + 2 * k
                 own = spans.setdefault(n, [])
@@ -130,12 +140,11 @@ class LeakIndex:
                     own.append([a, b])
         found: dict[int, int] = {}
         for n, windows in spans.items():
-            item_id, item, k, short = self.items[n]
-            if short:  # the cheap distance first, as pieces of short items are common
+            item_id, item, k = self.items[n]
+            d = 0 if occurs(item, norm) else k + 1
+            if d and k:  # the cheap distance first, as pieces of short items are common
                 near = [(a, b) for a, b in windows if best_distance(item, norm[max(a, 0) : b], k) <= k]
                 d = min([bordered_distance(item, norm, a, b, k) for a, b in near] + [k + 1])
-            else:
-                d = 0 if item in norm else min(best_distance(item, norm[max(a, 0) : b], k) for a, b in windows) if k else 1
             if d <= k:
                 found[item_id] = min(d, found.get(item_id, d))
         return found
@@ -159,13 +168,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
 
     Case and white space do not count. Null and empty texts and items match nothing; a null item_id is ignored;
     items repeated under one id count once each with their least edits. A column named like out is replaced;
-    other columns pass through. The items go out in blocks of params.block_bytes, a bound on every broadcast.
+    other columns pass through, but for one called __leaks_before. The items go out in blocks of params.block_bytes, a bound on every broadcast; where
+    there are several, the result of each is written before the next, so that one block is in memory at a time.
     """
     spark = docs.sparkSession
     leak = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType())]))
     have = docs.withColumn(out, F.array().cast(leak))
     items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")
-    for block in _blocks(items, params):
+    for number, block in enumerate(_blocks(items, params)):
+        if number:
+            have = stored(have, "leaks")
         held = spark.sparkContext.broadcast(block)
 
         def start(held=held):
