@@ -1,10 +1,11 @@
 r"""Chat formatting into budgeted, turn-aligned windows, with DataFrame functions only.
 
 A conversation's turns are numbered and their tokens summed by prefix sums over fixed blocks of turn numbers, so a
-very long conversation is spread over tasks. The budget that the repeated part leaves is cut in halves: turns of at
-most half are binned by the half that their prefix sum starts in (a bin never exceeds the whole), longer turns
-stand alone. Each window but the first repeats the system turn and the last few turns before it that fit the
-history budget; repeated turns are not under the loss mask.
+very long conversation is spread over tasks. What a conversation's own system turn and the history leave of the budget
+is cut in halves: turns of at most half are binned by the half that their prefix sum starts in (a bin never exceeds the
+whole), longer turns stand alone. Each window but the first repeats the system turn and the last few turns before
+it that fit the history budget and, beside a long turn, what is left; repeated turns are not under the loss mask.
+A system turn that leaves nothing is repeated all the same, and every other turn stands alone.
 
 Template: <s>, then for each turn "[INST] role [/INST] text</s>". In roles and texts a backslash becomes two, and a
 backslash is put after the first character of <s>, </s>, [INST] and [/INST]; `unescape` undoes both.
@@ -28,19 +29,14 @@ HEAD_TOKENS = 4
 
 @dataclass(frozen=True)
 class ChatParams:
-    """budget: tokens of a window. system_tokens, history_tokens: what of it is set aside for the repeated system turn
-    and history. history_turns: turns repeated at most. block: turn numbers that one task orders together."""
+    """budget: tokens of a window. history_tokens: what of it is set aside for repeated history. history_turns: turns
+    repeated at most. block: turn numbers that one task orders together."""
 
     budget: int = 1024
-    system_tokens: int = 128
     history_tokens: int = 256
     history_turns: int = 2
     block: int = 256
 
-    @property
-    def half(self) -> int:
-        return (self.budget - self.system_tokens - self.history_tokens) // 2
-
 
 def escape(c: Column) -> Column:
     doubled = F.regexp_replace(c, r"\\", r"\\\\")
@@ -57,31 +53,40 @@ def format_windows(turns: DataFrame, params: ChatParams = ChatParams(), conv: st
 
     Turns are ordered by turn (null first), then role, then a hash of the text; rows that repeat all are turns of their
     own. Null roles and texts count as empty; rows with a null conv_id are one conversation. A turn is never cut:
-    a single turn above the budget makes a window with over_budget true. An empty table gives no windows; other
-    columns are not read.
+    over_budget is true only of windows with one new turn, where that turn and the system turn exceed the budget. An empty
+    table gives no windows; other columns are not read. One task orders the turns of a block, so rows that share a
+    turn number, or have none, are ordered together.
     """
     p = params
     rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumns({"body": escape(F.col("text")), "head": F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(CLOSE)), "tie": F.xxhash64("text")})
     rows = rows.withColumn("tokens", (F.regexp_count("body", F.lit(TOKEN)) + HEAD_TOKENS).cast("long"))
-    rows = rows.withColumns({"block": F.coalesce(F.floor(F.col("turn") / p.block), F.lit(-(1 << 62))), "big": (F.col("tokens") > p.half).cast("long")})
-    per_block = rows.groupBy("conv_id", "block").agg(F.sum("tokens").alias("t"), F.count("*").alias("c"), F.sum("big").alias("b"))
+    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / p.block), F.lit(-(1 << 62))))
+    lead = F.min(F.struct("turn", "role", "tie", "tokens")).alias("lead")
+    per_block = rows.groupBy("conv_id", "block").agg(F.sum("tokens").alias("t"), F.count("*").alias("c"), lead)
     before = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_block.select(F.col("conv_id").alias("oc"), F.col("block").alias("ob"), *(F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}0") for x in "tcb"))
+    opening = F.first("lead").over(W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, W.currentRow))
+    offsets = per_block.withColumn("lead", opening).select(
+        F.col("conv_id").alias("oc"), F.col("block").alias("ob"), *(F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}0") for x in "tc"),
+        F.when(F.col("lead.role") == "system", F.col("lead.tokens")).otherwise(0).alias("system"),
+    )
+    half = F.greatest(F.floor((p.budget - p.history_tokens - F.col("system")) / 2), F.lit(0))
     inside = W.partitionBy("conv_id", "block").orderBy("turn", "role", "tie")
     up_to = inside.rowsBetween(W.unboundedPreceding, 0)
     placed = rows.join(offsets, F.col("conv_id").eqNullSafe(F.col("oc")) & (F.col("block") == F.col("ob")))
     placed = placed.select(
-        "conv_id", "role", "tokens", "big", F.concat("head", "body", F.lit(END)).alias("piece"), F.length("head").alias("head_chars"), F.length("body").alias("body_chars"),
-        (F.col("c0") + F.row_number().over(inside) - 1).alias("ordinal"), (F.col("t0") + F.sum("tokens").over(up_to) - F.col("tokens")).alias("start"), (F.col("b0") + F.sum("big").over(up_to)).alias("bigs"),
+        "conv_id", "role", "tokens", "system", half.alias("half"), F.concat("head", "body", F.lit(END)).alias("piece"), F.length("head").alias("head_chars"), F.length("body").alias("body_chars"),
+        (F.col("c0") + F.row_number().over(inside) - 1).alias("ordinal"), (F.col("t0") + F.sum("tokens").over(up_to) - F.col("tokens")).alias("start"),
     )
-    placed = stored(placed.withColumn("bin", F.struct(F.floor(F.col("start") / p.half).alias("half"), "bigs", "big")), "turns")
-    firsts = placed.groupBy("conv_id", "bin").agg(F.min("ordinal").alias("first"), F.min("start").alias("first_start")).filter("first > 0")
-    firsts = firsts.select(F.col("conv_id").alias("fc"), F.col("bin").alias("fbin"), "first", "first_start")
+    # after a turn of more than half the next one starts in another half, so that the bin needs no more than these two
+    slot = F.struct(F.floor(F.col("start") / F.greatest("half", F.lit(1))).alias("half"), (F.col("tokens") > F.col("half")).alias("long"))
+    placed = stored(placed.withColumn("bin", slot).drop("half"), "turns")
+    firsts = placed.groupBy("conv_id", "bin").agg(F.min("ordinal").alias("first"), F.min("start").alias("first_start"), (p.budget - F.first("system") - F.sum("tokens")).alias("left")).filter("first > 0")
+    firsts = firsts.select(F.col("conv_id").alias("fc"), F.col("bin").alias("fbin"), "first", "first_start", F.least("left", F.lit(p.history_tokens)).alias("room"))
     wanted = firsts.withColumn("asked", F.explode(F.sequence(F.col("first") - p.history_turns, F.col("first") - 1))) if p.history_turns else firsts.withColumn("asked", F.lit(-1)).limit(0)
     is_system = (F.col("ordinal") == 0) & (F.col("role") == "system")
     back = placed.join(wanted, F.col("conv_id").eqNullSafe(F.col("fc")) & (F.col("ordinal") == F.col("asked")))
-    back = back.filter(~is_system & (F.col("first_start") - F.col("start") <= p.history_tokens))
+    back = back.filter(~is_system & (F.col("first_start") - F.col("start") <= F.col("room")))
     system = placed.filter(is_system).join(firsts, F.col("conv_id").eqNullSafe(F.col("fc")))
     names = ["role", "tokens", "piece", "head_chars", "body_chars"]
     again = [x.select("conv_id", F.col("fbin").alias("bin"), "ordinal", F.lit(True).alias("repeated"), *names) for x in (back, system)]

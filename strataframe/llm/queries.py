@@ -43,14 +43,14 @@ e AS (
 k AS (
   SELECT *, len(regexp_extract_all(body, '[A-Za-z0-9_]{{1,6}}|[^A-Za-z0-9_ \t\n\r\f\x0B]')) + {chat.HEAD_TOKENS} AS tokens,
     length('{chat.OPEN}' || role || '{chat.CLOSE}' || body || '{chat.END}') AS chars FROM e),
-o AS (
-  SELECT *, row_number() OVER w - 1 AS ord, sum(tokens) OVER w - tokens AS start, CASE WHEN tokens > {_P.half} THEN 1 ELSE 0 END AS big,
-    sum(CASE WHEN tokens > {_P.half} THEN 1 ELSE 0 END) OVER w AS bigs
+q AS (
+  SELECT *, row_number() OVER w - 1 AS ord, sum(tokens) OVER w - tokens AS start, first_value(CASE WHEN role = 'system' THEN tokens ELSE 0 END) OVER w AS system
   FROM k WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)),
-f AS (SELECT conv_id, start // {_P.half} AS half, bigs, big, min(ord) AS first, min(start) AS first_start FROM o GROUP BY ALL),
+o AS (SELECT *, tokens > half AS big FROM (SELECT *, greatest(({_P.budget - _P.history_tokens} - system) // 2, 0) AS half FROM q)),
+f AS (SELECT conv_id, start // greatest(half, 1) AS slot, big, min(ord) AS first, min(start) AS first_start, {_P.budget} - min(system) - sum(tokens) AS room FROM o GROUP BY ALL),
 r AS (
   SELECT f.conv_id, o.chars FROM f JOIN o ON f.conv_id = o.conv_id AND f.first > 0
-    AND ((o.ord = 0 AND o.role = 'system') OR (o.ord < f.first AND o.ord >= f.first - {_P.history_turns} AND f.first_start - o.start <= {_P.history_tokens}))),
+    AND ((o.ord = 0 AND o.role = 'system') OR (o.ord < f.first AND o.ord >= f.first - {_P.history_turns} AND f.first_start - o.start <= least({_P.history_tokens}, room)))),
 c AS (SELECT conv_id, sum(chars) AS chars FROM (SELECT conv_id, chars FROM o UNION ALL SELECT conv_id, chars FROM r UNION ALL SELECT conv_id, {len(chat.BOS)} FROM f) GROUP BY conv_id),
 d AS (
   SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
