@@ -2,7 +2,8 @@
 
 Reading tasks get byte ranges. A task looks for gzip magic in its range, takes a candidate as a record only if it
 decodes from there to a WARC header and its member ends well, owns the records that start inside its range, and
-reads past the range's end to finish its last one. Archives are opened through pyarrow's file systems, so the folder
+reads past the range's end to finish its last one. The members read from a file must add up to its size in the manifest: what
+is damaged or missing raises an error, or is listed by `damage`. Archives are opened through pyarrow's file systems, so the folder
 may be on any store that these reach.
 """
 
@@ -26,19 +27,21 @@ from strataframe.storage import fresh_path, stored
 
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
-RECORD_FIELDS = "record_id string, page_id long, target_uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+RECORD_FIELDS = "record_id string, page_id long, target_uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, path string, offset long, length long"
 
 
 @dataclass(frozen=True)
 class WarcParams:
     """file_bytes: size at which a writer begins another file. split_bytes: range of a reading task. chunk: bytes read at once.
-    least_revisit: payloads shorter than this are always written in full. keep_payload: return contents when reading."""
+    least_revisit: payloads shorter than this are always written in full. keep_payload: return contents when reading.
+    verify: when reading, store the records and raise ValueError if any byte of a file belongs to none."""
 
     file_bytes: int = 64 << 20
     split_bytes: int = 8 << 20
     chunk: int = 1 << 20
     least_revisit: int = 1000
     keep_payload: bool = True
+    verify: bool = True
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -194,12 +197,16 @@ def records_in(read, start: int, end: int, chunk: int = 1 << 20) -> Iterator[dic
         if record is None:
             at += 1
             continue
-        yield record
+        yield record | {"offset": at, "length": got[1]}
         at += got[1]
 
 
 def read_archives(manifest: DataFrame, folder: str, params: WarcParams = WarcParams()) -> DataFrame:
-    """All records of the files of manifest, one row each (RECORD_FIELDS), in ranges of params.split_bytes."""
+    """All records of the files of manifest, one row each (RECORD_FIELDS), in ranges of params.split_bytes.
+
+    An empty manifest gives no rows. Damaged records (bytes lost, changed or added, a file shortened) raise ValueError; with
+    params.verify false they are left out, and damage() tells of them. A payload that does not have its digest always raises.
+    """
     bound_batches(manifest.sparkSession)
     p = params
     ranges = manifest.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(p.split_bytes).cast("long"))).alias("start"))
@@ -221,6 +228,7 @@ def read_archives(manifest: DataFrame, folder: str, params: WarcParams = WarcPar
                     for record in records_in(read, start, start + p.split_bytes, p.chunk):
                         if not p.keep_payload:
                             record["payload"] = None
+                        record["path"] = path
                         group.append(record)
                         size += len(record["payload"] or b"") + 200
                         if size > 4 << 20:
@@ -228,7 +236,21 @@ def read_archives(manifest: DataFrame, folder: str, params: WarcParams = WarcPar
                             group, size = [], 0
                     yield _batch(group, names)
 
-    return ranges.repartition(tasks, F.xxhash64("path", "start")).mapInArrow(run, RECORD_FIELDS)
+    records = ranges.repartition(tasks, F.xxhash64("path", "start")).mapInArrow(run, RECORD_FIELDS)
+    if not p.verify:
+        return records
+    records = stored(records, "records")
+    bad = damage(manifest, records).limit(20).collect()
+    if bad:
+        raise ValueError("archives are damaged: " + "; ".join(f"{r['path']}: {r['found']} of {r['n_records']} records, {r['bytes']} of {r['size']} bytes" for r in bad))
+    return records
+
+
+def damage(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """(path, size, n_records, found, bytes) of the files whose records read do not make up the whole file."""
+    got = records.groupBy("path").agg(F.count("*").alias("found"), F.sum("length").alias("bytes"))
+    both = manifest.join(got, "path", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("found", "bytes")})
+    return both.filter((F.col("found") != F.col("n_records")) | (F.col("bytes") != F.col("size")))
 
 
 _KINDS = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
