@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Rows of an Arrow batch, and UTF-8 bytes or code points that a kernel looks at together.
-BATCH_ROWS, SLAB = 1000, 2_000_000
+#: Rows and bytes of an Arrow batch, and UTF-8 bytes or code points that a kernel looks at together.
+BATCH_ROWS, BATCH_BYTES, SLAB = 1000, 4 << 20, 2_000_000
 
 
 def bound_batches(spark: SparkSession) -> None:
     """Keeps Arrow batches small enough for long texts; Spark reads these settings when a plan runs."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def slabs(frame: pd.DataFrame, column: str = "text", slab: int = SLAB) -> Iterator[pd.DataFrame]:

@@ -390,17 +390,13 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     nodes = stored(nodes, "nodes")
     if not nodes.filter("c0 <> c1").isEmpty():  # two sets under one identifier: others are needed
         return jaccard_components(docs, replace(p, seed=p.seed + 1), key, text)
-    # buckets that hold two different sets at least. Those of rare tokens are small, as a rare token is in few sets
+    # buckets that hold two different sets at least; of the frequent tokens alone, those of a set that is not combined. A
+    # bucket's rows pass one task, which keeps them on disk beyond its memory
     per = W.partitionBy("token")
-    index = rows.filter("token IS NOT NULL").select("token", "kind", "sid")
-    rare = index.filter(F.col("kind") == RARE).withColumns({"low": F.min("sid").over(per), "high": F.max("sid").over(per)}).filter("low < high")
-    # the others may hold any share of the sets: summed up before they are dealt, and joined back, where hot keys split;
-    # of the frequent tokens alone, those of a set that is not combined
-    dense = index.filter(F.col("kind") >= COMBINED)
-    buckets = dense.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high"), F.max("kind").alias("top"), F.bool_or(F.col("kind") == COMBINED).alias("combined"))
-    buckets = stored(buckets.filter((F.col("low") < F.col("high")) & (F.col("combined") | (F.col("top") == MANY))).drop("combined"), "buckets")
-    dense = dense.join(buckets, "token").filter((F.col("kind") == COMBINED) | (F.col("top") == MANY))
-    live = stored(rare.unionByName(dense.select(rare.columns)), "live")
+    live = rows.filter("token IS NOT NULL").select("token", "kind", "sid")
+    live = live.withColumns({"low": F.min("sid").over(per), "high": F.max("sid").over(per), "top": F.max("kind").over(per)})
+    live = live.filter((F.col("low") < F.col("high")) & ((F.col("kind") < FEW) | (F.col("top") == MANY)))
+    live = stored(live.drop("top"), "live")
     released(spark, path)
     sized = lambda name: nodes.select(F.col("sid").alias(name), F.col("n").alias(f"n_{name}"), F.col("dense").alias(f"dense_{name}"))
     most, fewest = F.greatest("n_src", "n_dst"), F.least("n_src", "n_dst")

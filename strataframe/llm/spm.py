@@ -27,7 +27,7 @@ META = "▁"
 #: Stands between segments: no code point, above them all.
 BORDER = np.uint32(0x110000)
 #: The piece of a character that the vocabulary lacks; characters indexed together; segments that relax one by one.
-LONE, CHARS, FEW = -2, 250_000, 12
+LONE, CHARS, FEW = -2, 200_000, 12
 
 
 def default_model_path() -> str:
@@ -418,7 +418,7 @@ def encode(docs: DataFrame, model_path: str | None = None, text: str = "text", i
         encoder = Encoder(piece_model(path))
         return lambda texts: [encoder.encode(texts)]
 
-    return map_texts(docs, [text], fields, start, slab=3_000_000, arrow=True)
+    return map_texts(docs, [text], fields, start, slab=2_000_000, arrow=True)
 
 
 def decode(docs: DataFrame, model_path: str | None = None, ids: str = "piece_ids", text_out: str = "decoded") -> DataFrame:
