@@ -2,23 +2,73 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.storage import checkpointed
+from strataframe.operators.kernels import labelled
+from strataframe.storage import checkpointed, stored
+
+#: Edges that a task contracts together.
+CHUNK = 1_000_000
+
+
+def contracted(pairs: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect the same nodes as pairs: within a chunk of a partition, each node to the least it is connected with.
+    No shuffle; a chunk's edges are in memory."""
+
+    def forest(chunk: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(chunk)
+        ends = [table.column(c).combine_chunks() for c in ("u", "v")]
+        kind = ends[0].type
+        if pa.types.is_integer(kind):
+            values, at = np.unique(np.concatenate([e.to_numpy() for e in ends]), return_inverse=True)
+            back = lambda k: pa.array(values[k], kind)
+        else:  # texts and structs by Python's order, which is Spark's for those without nulls
+            plain = [tuple(x.values()) if isinstance(x, dict) else x for e in ends for x in e.to_pylist()]
+            known = sorted(set(plain))
+            place = {x: k for k, x in enumerate(known)}
+            at = np.fromiter((place[x] for x in plain), np.int64, len(plain))
+            names = [f.name for f in kind] if pa.types.is_struct(kind) else None
+            back = lambda k: pa.array([dict(zip(names, known[i])) if names else known[i] for i in k.tolist()], kind)
+        n = len(at) // 2
+        label = labelled(int(at.max()) + 1, at[:n], at[n:])
+        own = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([back(own), back(label[own])], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                chunk.append(batch)
+                rows += batch.num_rows
+            if rows >= CHUNK:
+                yield forest(chunk)
+                chunk, rows = [], 0
+        if chunk:
+            yield forest(chunk)
+
+    return pairs.mapInArrow(run, pairs.schema)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node on an edge; component is the least node reachable.
 
-    Alternating large-star and small-star rounds (Kiveris et al. 2014): each round is a shuffle of at most
-    one row per edge, the number of rounds grows with the logarithm of the longest path, and no group of a
-    node's neighbours is ever gathered. Null ends and loops are ignored as edges. An empty table gives none.
+    Alternating large-star and small-star rounds (Kiveris et al. 2014), each written to the shared folder: a round is a few shuffles of
+    at most one row per edge, the number of rounds grows with the logarithm of the longest path, and no group of a
+    node's neighbours is ever gathered. Before the first round and at the end of each, every partition contracts its own edges, so
+    that what one partition holds is done in one round. Null ends and loops are ignored as edges. An empty table gives none.
     """
-    pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL")
-    pairs = checkpointed(pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
+    pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
+    pairs = stored(contracted(pairs), "edges")
+    figures = lambda: pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+    before = figures()
     for _ in range(max_rounds):
+        if not before[0]:
+            break
         # large star: every neighbour above u points to the least of u's neighbourhood
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -27,8 +77,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = checkpointed(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        pairs = stored(contracted(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()), "edges")
+        now = figures()
         if now == before:
             break
         before = now
@@ -37,3 +87,20 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def connected_subsets(edges: DataFrame, most: int, src: str = "src", dst: str = "dst") -> DataFrame:
+    """members (sorted array) of the sets of two to `most` nodes that edges connect, each once.
+
+    A set of n is one of n - 1 and a neighbour of a member, so that each round is one join and a distinct. The number of sets grows
+    with the power of a node's degree: for small `most` and small degrees.
+    """
+    pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
+    both = checkpointed(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    level = checkpointed(both.filter("u < v").select(F.array("u", "v").alias("members")))
+    found = level
+    for _ in range(most - 2):
+        grown = level.withColumn("u", F.explode("members")).join(both, "u").filter(~F.array_contains("members", F.col("v")))
+        level = checkpointed(grown.select(F.array_sort(F.array_append("members", F.col("v"))).alias("members")).distinct())
+        found = found.unionByName(level)
+    return found

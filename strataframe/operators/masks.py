@@ -1,22 +1,26 @@
 """Occupancy grids as cell tables: a row (m, k, i, j) per occupied cell, with model, floor, row and column from 1.
 
-Every operator keeps cells as rows, so that a model of any number of floors is spread over tasks. Rows with a null
+Operators keep cells as rows. Those that follow neighbours take one model in a task: a grid has at most MOST_CELLS cells a
+floor and MOST_FLOORS floors, so that a model is bounded, and what lies outside raises an error. Rows with a null
 coordinate are in no cell and drop out of joins; repeated cells count once where cells() has made the table.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.operators.graph import connected_components
+from strataframe.operators.kernels import by_group, labelled
 
 CELL = ["m", "k", "i", "j"]
-#: Cell numbers of one model; floors times side * side must stay below.
+#: The largest grid, and floors stay below MOST_FLOORS. Cell numbers of one model stay below PER_MODEL.
+MOST_CELLS, MOST_FLOORS = 16_384, 200
 PER_MODEL = 1 << 24
-FLAT = [(0, 1, 0), (0, 0, 1)]
-UPWARD = [(1, 0, 0)]
 
 
 def cells(df: DataFrame) -> DataFrame:
@@ -29,23 +33,144 @@ def node(side: int) -> Column:
     return F.col("m").cast("long") * PER_MODEL + F.col("k") * (side * side) + (F.col("i") - 1) * side + F.col("j") - 1
 
 
-def moved(occupied: DataFrame, steps: list[tuple[int, int, int]], *kept: Column) -> DataFrame:
-    """m, kept columns and the place (k, i, j) that each step (dk, di, dj) leads to from each cell."""
-    places = [F.struct((F.col("k") + dk).alias("k"), (F.col("i") + di).alias("i"), (F.col("j") + dj).alias("j")) for dk, di, dj in steps]
-    return occupied.select("m", *kept, F.explode(F.array(*places)).alias("p")).select("m", *(c for c in occupied.select(*kept).columns if kept), "p.*")
+def checked(k: np.ndarray, i: np.ndarray, j: np.ndarray, side: int) -> None:
+    """Raises where a cell lies outside the grid, so that no two cells share a number."""
+    if side * side > MOST_CELLS or (len(k) and (min(i.min(), j.min()) < 1 or max(i.max(), j.max()) > side or k.min() < 0 or k.max() >= MOST_FLOORS)):
+        raise ValueError(f"a cell lies outside a grid of {side} by {side} and floors 0 to {MOST_FLOORS - 1}, or the grid exceeds {MOST_CELLS} cells")
 
 
-def adjacent(occupied: DataFrame, steps: list[tuple[int, int, int]], side: int) -> DataFrame:
-    """(src, dst): pairs of occupied cells that a step joins; one equi join on the cell."""
-    there = moved(occupied, steps, node(side).alias("src"))
-    return occupied.withColumn("dst", node(side)).join(there, CELL).select("src", "dst")
+def components(occupied: DataFrame, side: int, vertical: bool = False) -> DataFrame:
+    """The cells with component: the least cell number reachable through shared sides, with vertical also up and down.
 
+    One shuffle: a model's cells are labelled together.
+    """
 
-def components(occupied: DataFrame, side: int, vertical: bool = False) -> DataFrame:
-    """The cells with component: the least cell number reachable through shared sides, with vertical also up and down."""
-    found = connected_components(adjacent(occupied, FLAT + (UPWARD if vertical else []), side))
-    own = occupied.withColumn("node", node(side)).join(found, "node", "left")
-    return own.withColumn("component", F.coalesce("component", "node")).drop("node")
+    def label(model: pa.Table) -> pa.Table:
+        k, i, j = (model.column(c).to_numpy().astype(np.int64) for c in "kij")
+        checked(k, i, j, side)
+        number = k * side * side + (i - 1) * side + j - 1
+        order = np.argsort(number)
+        known = number[order]
+        src, dst = [], []
+        for step, some in ((side, i < side), (1, j < side), *([(side * side, np.ones(len(k), bool))] if vertical else [])):
+            there = number + step
+            at = np.minimum(np.searchsorted(known, there), len(known) - 1)
+            hit = np.flatnonzero(some & (known[at] == there))
+            src.append(hit)
+            dst.append(order[at[hit]])
+        # ranks by number, so that the least label is the least number
+        rank = np.empty(len(k), np.int64)
+        rank[order] = np.arange(len(k))
+        found = known[labelled(len(k), rank[np.concatenate(src)], rank[np.concatenate(dst)])[rank]]
+        base = model.column("m").to_numpy().astype(np.int64) * PER_MODEL
+        return model.append_column("component", pa.array(base + found))
+
+    return by_group(occupied.select(*CELL), ["m"], label, [*occupied.select(*CELL).schema.fields, ("component", "long")])
+
+
+def cell_area(cell: Column, i: Column, j: Column, size_x: Column, size_z: Column) -> Column:
+    """The area of a cell of a grid that begins at the lower corner of a box, cut at the box's upper sides; never below 0."""
+    side = lambda n, size: F.greatest(F.lit(0.0), F.least(cell, size - (n - 1) * cell))
+    return side(i, size_x) * side(j, size_z)
+
+
+def chains(occupied: DataFrame, side: int) -> DataFrame:
+    """m, component, k, cells, chain: the floor components, with the least component of the unbranched run of floors they
+    are in. A run goes on from a floor to the next where the one has one component above it and that has one below."""
+    found = components(occupied, side)
+    nodes = found.groupBy("m", "component", "k").agg(F.count("*").alias("cells"))
+    below = found.select("m", F.col("component").alias("low"), (F.col("k") + 1).alias("k"), "i", "j")
+    links = below.join(found, CELL).select("m", "low", F.col("component").alias("high")).distinct()
+    ups, downs = links.groupBy("m", "low").agg(F.count("*").alias("up")), links.groupBy("m", "high").agg(F.count("*").alias("down"))
+    only = links.join(ups.filter("up = 1"), ["m", "low"]).join(downs.filter("down = 1"), ["m", "high"]).select("m", "low", F.col("high").alias("component"))
+
+    def run(model: pa.Table) -> pa.Table:
+        own, low = model.column("component").to_numpy(), model.column("low").to_pandas().to_numpy(np.float64)
+        order = np.argsort(own)
+        src = np.flatnonzero(~np.isnan(low))
+        dst = order[np.searchsorted(own[order], model.column("low").take(pa.array(src)).to_numpy())]
+        rank = np.empty(len(own), np.int64)
+        rank[order] = np.arange(len(own))
+        chain = own[order][labelled(len(own), rank[src], rank[dst])[rank]]
+        return model.drop_columns(["low"]).append_column("chain", pa.array(chain))
+
+    rows = nodes.join(only, ["m", "component"], "left").select("m", "component", "k", "cells", "low")
+    return by_group(rows, ["m"], run, [*nodes.schema.fields, ("chain", "long")])
+
+
+def holes(occupied: DataFrame, side: int) -> DataFrame:
+    """m, k, i, j, component, outside of the empty cells of every floor that has a cell: outside where their component reaches the border."""
+    floors = occupied.select("m", "k").distinct()
+    every = floors.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(side)))).withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(side))))
+    kinds = occupied.select(*CELL).schema
+    empty = every.select(*(F.col(f.name).cast(f.dataType) for f in kinds)).join(occupied.select(*CELL), CELL, "left_anti")
+    found = components(empty, side)
+    edge = F.bool_or(F.col("i").isin(1, side) | F.col("j").isin(1, side)).alias("outside")
+    return found.join(found.groupBy("m", "k", "component").agg(edge), ["m", "k", "component"]).select(*CELL, "component", "outside")
+
+
+@dataclass(frozen=True)
+class CleanParams:
+    """dominant: least share of the largest body where there are several. island_cells, island_area: bounds of what is
+    removed. hole_cells, hole_area, hole_share: bounds of what is filled, each and together, against the whole."""
+
+    dominant: float = 0.95
+    island_cells: int = 4
+    island_area: float = 200.0
+    hole_cells: int = 1
+    hole_area: float = 36.0
+    hole_share: float = 0.01
+
+
+def cleaned(occupied: DataFrame, side: int, cell: float, size_x: float, size_z: float, params: CleanParams = CleanParams()) -> tuple[DataFrame, DataFrame]:
+    """(floors, cells): small islands removed and small holes filled, or a reason why a floor is ambiguous.
+
+    floors: m, k, bodies, area, dominant, islands, island_area, holes, hole_area, reason (null where the floor is clean). cells: those
+    of the clean floors. Of bodies of equal area the one with the least component is the dominant one.
+    """
+    p = params
+    area = cell_area(F.lit(cell), F.col("i"), F.col("j"), F.lit(size_x), F.lit(size_z))
+    solid = components(occupied, side).withColumn("a", area)
+    bodies = solid.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"), F.min("a").alias("least"))
+    floor = W.partitionBy("m", "k")
+    bodies = bodies.withColumns({"rank": F.row_number().over(floor.orderBy(F.desc("area"), "component"))})
+    isle = F.col("rank") > 1
+    stats = bodies.groupBy("m", "k").agg(
+        F.count("*").alias("bodies"), F.sum("area").alias("area"), (F.max("area") / F.sum("area")).alias("dominant"), F.count_if(isle).alias("islands"), F.coalesce(F.sum(F.when(isle, F.col("area"))), F.lit(0.0)).alias("island_area"),
+        F.max(isle & ((F.col("n") > p.island_cells) | (F.col("area") > p.island_area))).alias("big"), F.min("least").alias("least"),
+    )
+    kept = solid.join(bodies.filter(~isle).select("m", "k", "component"), ["m", "k", "component"], "left_semi").select(*CELL)
+    inner = holes(kept, side).filter("NOT outside").withColumn("a", area)
+    each = inner.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"))
+    gaps = each.groupBy("m", "k").agg(F.count("*").alias("holes"), F.sum("area").alias("hole_area"), F.max((F.col("n") > p.hole_cells) | (F.col("area") > p.hole_area)).alias("yard"))
+    stats = stats.join(gaps, ["m", "k"], "left").withColumns({"holes": F.coalesce("holes", F.lit(0).cast("long")), "hole_area": F.coalesce("hole_area", F.lit(0.0))})
+    reason = (
+        F.when(F.col("least") <= 0, "occupied cells outside source envelope").when((F.col("bodies") > 1) & (F.col("dominant") < p.dominant), "substantial disconnected floor bodies")
+        .when(F.col("big"), "detached floor body exceeds fragment bounds").when(F.col("yard"), "courtyard exceeds small-hole bounds").when(F.col("hole_area") > F.col("area") * p.hole_share, "too much enclosed empty area")
+    )
+    stats = stats.withColumn("reason", reason).drop("big", "yard", "least")
+    clean = kept.unionByName(inner.select(*CELL)).join(stats.filter("reason IS NULL").select("m", "k"), ["m", "k"], "left_semi")
+    return stats, clean
+
+
+def audited(occupied: DataFrame, models: DataFrame, side: int, share: float = 0.25, least_body: float = 150.0, tall: float = 60.0) -> DataFrame:
+    """models (m, cell, size_x, size_y, size_z, floors) with what their floors hold and why they look incomplete.
+
+    Adds occupied, largest_body and complete (the largest values over the floors: area in all, of one body, and of floors of
+    one body), empty_floors, disconnected_floors, and reasons: every floor covers at most `share` of the envelope; or no body
+    reaches least_body in a model of at least `tall`.
+    """
+    found = components(occupied, side).join(models, "m")
+    area = cell_area(F.col("cell"), F.col("i"), F.col("j"), F.col("size_x"), F.col("size_z"))
+    bodies = found.groupBy("m", "k", "component").agg(F.sum(area).alias("body"))
+    floors = bodies.groupBy("m", "k").agg(F.sum("body").alias("area"), F.max("body").alias("body"), F.count("*").alias("n"))
+    sums = floors.groupBy("m").agg(F.max("area").alias("occupied"), F.max("body").alias("largest_body"), F.max(F.when(F.col("n") == 1, F.col("area"))).alias("complete"), F.count("*").alias("__some"), F.count_if(F.col("n") > 1).alias("disconnected_floors"))
+    rows = models.join(sums, "m", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("occupied", "largest_body", "complete")})
+    rows = rows.withColumns({"empty_floors": F.col("floors") - F.coalesce("__some", F.lit(0)), "disconnected_floors": F.coalesce("disconnected_floors", F.lit(0).cast("long"))})
+    envelope = F.col("size_x") * F.col("size_z")
+    sparse = (F.col("occupied") <= envelope * share) & (F.col("complete") <= envelope * share)
+    tiny = (F.col("largest_body") < least_body) & (F.col("size_y") >= tall)
+    return rows.withColumn("reasons", F.array_compact(F.array(F.when(sparse, "sparse floors"), F.when(tiny, "tiny bodies")))).drop("__some")
 
 
 def floor_jaccard(occupied: DataFrame) -> DataFrame:
@@ -90,3 +215,112 @@ def bridged(df: DataFrame, keys: list[str], order: str, group: str) -> DataFrame
     w = W.partitionBy(*keys).orderBy(order)
     before, after = F.lag(group).over(w), F.lead(group).over(w)
     return df.withColumn(group, F.when(before == after, before).otherwise(F.col(group)))
+
+
+def to_masks(occupied: DataFrame, side: int) -> DataFrame:
+    """m, k, mask: the cells of each floor as a text of side * side characters, 1 where there is one."""
+    at = F.collect_set((F.col("i") - 1) * side + F.col("j")).alias("at")
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(side * side)), lambda n: F.when(F.array_contains("at", n.cast("int")), "1").otherwise("0")), "")
+    rows = occupied.select("m", "k", F.col("i").cast("int").alias("i"), F.col("j").cast("int").alias("j"))
+    return rows.groupBy("m", "k").agg(at).select("m", "k", text.alias("mask"))
+
+
+def from_masks(masks: DataFrame, side: int, mask: str = "mask") -> DataFrame:
+    """The cells of masks; a mask of another length, or with another character, gives none."""
+    good = masks.filter((F.length(mask) == side * side) & ~F.col(mask).rlike("[^01]"))
+    number = F.posexplode(F.split(mask, "")).alias("at", "c")
+    rows = good.select("m", "k", number).filter("c = '1'")
+    return rows.select("m", "k", (F.floor(F.col("at") / side) + 1).cast("int").alias("i"), (F.col("at") % side + 1).cast("int").alias("j"))
+
+
+def reused(masks: DataFrame, measure, mask: str = "mask") -> DataFrame:
+    """masks with what measure (from a frame of distinct masks, to that frame with more columns) finds: each mask is measured once."""
+    return masks.join(measure(masks.select(mask).distinct()), mask)
+
+
+def rectangles(occupied: DataFrame, side: int) -> DataFrame:
+    """m, k, n, i0, i1, j0, j1: rectangles that cover the cells of each floor without overlap, the largest that is left first.
+    Of equal ones that whose lower right corner comes first by rows, then the widest."""
+
+    def cut(floor: pa.Table) -> pa.Table:
+        i, j = (floor.column(c).to_numpy().astype(np.int64) - 1 for c in "ij")
+        checked(np.zeros(1, np.int64), i + 1, j + 1, side)
+        grid = np.zeros((side, side), bool)
+        grid[i, j] = True
+        out = []
+        while grid.any():
+            out.append(largest_rectangle(grid))
+            a, b, c, d = out[-1]
+            grid[a : b + 1, c : d + 1] = False
+        at = np.array(out, np.int32) + 1
+        one = floor.slice(0, 1).select(["m", "k"])
+        head = [pa.concat_arrays([one.column(c).combine_chunks()] * len(at)) for c in "mk"]
+        return pa.table([*head, pa.array(np.arange(1, len(at) + 1, dtype=np.int32)), *(pa.array(at[:, n]) for n in range(4))], names=["m", "k", "n", "i0", "i1", "j0", "j1"])
+
+    fields = [*occupied.select("m", "k").schema.fields, *((c, "int") for c in ("n", "i0", "i1", "j0", "j1"))]
+    return by_group(occupied.select(*CELL), ["m", "k"], cut, fields)
+
+
+def largest_rectangle(grid: np.ndarray) -> tuple[int, int, int, int]:
+    """(first row, last row, first column, last column) of the largest rectangle of true cells; heights of columns are
+    kept as rows go by, and for each height the widest stretch that is as high is tried."""
+    best, found = 0, (0, 0, 0, 0)
+    height = np.zeros(grid.shape[1], np.int64)
+    for i, row in enumerate(grid):
+        height = np.where(row, height + 1, 0)
+        if height.sum() <= best:
+            continue
+        tried = []
+        for h in np.unique(height[height > 0]).tolist():
+            high = np.r_[False, height >= h, False].astype(np.int8)
+            starts, ends = np.flatnonzero(np.diff(high) == 1), np.flatnonzero(np.diff(high) == -1)
+            tried += [(h * (e - s), e, s, h) for s, e in zip(starts.tolist(), ends.tolist())]
+        area, e, s, h = max(tried, key=lambda t: (t[0], -t[1], t[1] - t[2]))
+        if area > best:
+            best, found = area, (i - h + 1, i, s, e - 1)
+    return found
+
+
+def loops(occupied: DataFrame, side: int) -> DataFrame:
+    """m, k, loop, corners (array of struct<x, z>, at cell borders), area: the borders of each floor, with the cells on the left, so
+    that the area of what encloses cells is positive, of a hole negative. Where two cells meet at a corner only, the
+    border turns so that they stay apart."""
+
+    def walk(floor: pa.Table) -> pa.Table:
+        i, j = (floor.column(c).to_numpy().astype(np.int64) for c in "ij")
+        checked(np.zeros(1, np.int64), i, j, side)
+        grid = np.zeros((side + 2, side + 2), bool)
+        grid[i, j] = True
+        after: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for x, z in zip(i.tolist(), j.tolist()):
+            for (nx, nz), a, b in (((x, z - 1), (x - 1, z - 1), (x, z - 1)), ((x + 1, z), (x, z - 1), (x, z)), ((x, z + 1), (x, z), (x - 1, z)), ((x - 1, z), (x - 1, z), (x - 1, z - 1))):
+                if not grid[nx, nz]:
+                    after.setdefault(a, []).append(b)
+        found = []
+        while after:
+            first = at = min(after)
+            ring, came = [first], None
+            while True:
+                ends = after[at]
+                # the leftmost way on keeps the same cell at the left
+                turn = lambda b: (came[0] * (b[1] - at[1]) - came[1] * (b[0] - at[0])) if came else 0
+                to = max(ends, key=turn) if came else ends[0]
+                ends.remove(to)
+                if not ends:
+                    del after[at]
+                came, at = (to[0] - at[0], to[1] - at[1]), to
+                if at == first and (first not in after or len(ring) >= 4):
+                    break
+                ring.append(at)
+            v = np.array(ring, np.float64)
+            w = np.roll(v, -1, axis=0)
+            u = np.roll(v, 1, axis=0)
+            bend = ((v - u)[:, 0] * (w - v)[:, 1] - (v - u)[:, 1] * (w - v)[:, 0]) != 0
+            found.append((v[bend], float((v[:, 0] * w[:, 1] - w[:, 0] * v[:, 1]).sum() / 2), len(ring)))
+        one = floor.slice(0, 1).select(["m", "k"])
+        head = [pa.concat_arrays([one.column(c).combine_chunks()] * len(found)) for c in "mk"]
+        corners = pa.array([[{"x": x, "z": z} for x, z in ring.tolist()] for ring, *_ in found], pa.list_(pa.struct([("x", pa.float64()), ("z", pa.float64())])))
+        return pa.table([*head, pa.array(np.arange(1, len(found) + 1, dtype=np.int32)), corners, pa.array([a for _, a, _ in found]), pa.array([n for *_, n in found], pa.int32())], names=["m", "k", "loop", "corners", "area", "edges"])
+
+    fields = [*occupied.select("m", "k").schema.fields, ("loop", "int"), ("corners", "array<struct<x:double,z:double>>"), ("area", "double"), ("edges", "int")]
+    return by_group(occupied.select(*CELL), ["m", "k"], walk, fields)

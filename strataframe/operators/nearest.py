@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.functions.geometry import rolling_checksum
+from strataframe.operators.graph import connected_components
 from strataframe.operators.spatial import overlapping_boxes
 
 
@@ -83,3 +85,21 @@ def loose_ends(edges: DataFrame, ends: list[list[Column]], names: list[str]) ->
     """The places, named names, at which exactly one end of an edge lies."""
     both = edges.select(F.explode(F.array(*(F.struct(*(c.alias(n) for c, n in zip(e, names))) for e in ends))).alias("__e"))
     return both.select("__e.*").groupBy(*names).agg(F.count("*").alias("__n")).filter("__n = 1").drop("__n")
+
+
+def clusters(boxes: DataFrame, key: str = "id", params: ClusterParams = ClusterParams(), cell: float = 32.0) -> DataFrame:
+    """key, cluster: the least key of the boxes that compatible ones connect each with; alone where there is none."""
+    found = connected_components(cluster_pairs(boxes.withColumnRenamed(key, "id"), params, cell), "a", "b")
+    return boxes.select(key).join(found.select(F.col("node").alias(key), "component"), key, "left").select(key, F.coalesce("component", key).alias("cluster"))
+
+
+def cluster_keys(members: DataFrame, cluster: str, key: Column) -> DataFrame:
+    """cluster, n, the box around its members, and a key: how many, a checksum over the members' keys in order, and the middle in tenths.
+
+    The keys of a cluster are gathered for their order; clusters beyond a bound on members are no buildings and should be refused before.
+    """
+    ends = [(F.min if e == "0" else F.max)(f"{v}{e}").alias(f"{v}{e}") for v in "xyz" for e in "01"]
+    found = members.groupBy(cluster).agg(F.count("*").alias("n"), *ends, F.array_join(F.array_sort(F.collect_list(key)), "").alias("__keys"))
+    middle = [F.round((F.col(f"{v}0") + F.col(f"{v}1")) / 2 * 10).cast("long").cast("string") for v in "xyz"]
+    name = F.concat_ws("_", F.concat(F.lit("Global"), F.col("n").cast("string")), rolling_checksum(F.col("__keys")).cast("string"), *middle)
+    return found.withColumn("key", name).drop("__keys")

@@ -43,28 +43,22 @@ def runs(df: DataFrame, keys: list[str], order: str, group: str) -> DataFrame:
 
 
 def verified_match(left: DataFrame, right: DataFrame, key: str, suffix: str, check: Column) -> DataFrame:
-    """Equi join on key; else on suffix if it is unique on both sides and check holds; with match_method.
+    """Left rows with the right row of their key; else that of their suffix, if one row of all left and one of all right
+    rows has it and check holds; with match_method (key or suffix) and reason.
 
-    check may use the columns of left, and those of right with the prefix r_.
+    check may use the columns of left, and those of right with the prefix r_. A match by a key that several rows of either side
+    have is refused: reason says so, and the columns of right are those of the one with the least values. Rows without
+    a match are left out; null keys and suffixes match nothing.
     """
-    renamed = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
-    exact = left.join(renamed, F.col(key) == F.col(f"r_{key}")).withColumn("match_method", F.lit("key"))
-    rest = left.join(right.select(key), key, "left_anti").withColumn("__n", F.count("*").over(W.partitionBy(suffix))).filter("__n = 1").drop("__n")
-    free = renamed.join(left.select(F.col(key).alias(f"r_{key}")), f"r_{key}", "left_anti").withColumn("__n", F.count("*").over(W.partitionBy(f"r_{suffix}"))).filter("__n = 1").drop("__n")
-    fallback = rest.join(free, F.col(suffix) == F.col(f"r_{suffix}")).filter(check).withColumn("match_method", F.lit("suffix"))
-    return exact.unionByName(fallback.select(exact.columns))
-
-
-def mask_cells(df: DataFrame, mask: str = "mask") -> DataFrame:
-    """One row per occupied cell of a 0/1 mask: the other columns and idx, from 1."""
-    cells = F.filter(F.transform(F.filter(F.split(mask, ""), lambda c: c != ""), lambda c, i: F.when(c == "1", i + 1)), lambda v: v.isNotNull())
-    return df.withColumn("idx", F.explode(cells)).drop(mask)
-
-
-def mask_jaccard(cells: DataFrame, key: str) -> DataFrame:
-    """a, b, jaccard of the masks that share a cell."""
-    sizes = cells.groupBy(key).agg(F.count("*").alias("n"))
-    a, b = (cells.select(F.col(key).alias(k), "idx") for k in "ab")
-    common = a.join(b, "idx").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("c"))
-    sized = common.join(sizes.select(F.col(key).alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col(key).alias("b"), F.col("n").alias("nb")), "b")
-    return sized.select("a", "b", (F.col("c") / (F.col("na") + F.col("nb") - F.col("c"))).alias("jaccard"))
+    counted = lambda df, c: df.withColumn(f"__{c}", F.when(F.col(c).isNotNull(), F.count("*").over(W.partitionBy(c))))
+    own = counted(counted(left, key), suffix)
+    other = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
+    other = counted(counted(other, f"r_{key}"), f"r_{suffix}")
+    one = other.groupBy(f"r_{key}", f"__r_{key}").agg(F.min(F.struct(*(c for c in other.columns if not c.startswith("__") and c != f"r_{key}"))).alias("__r"))
+    exact = own.join(one, F.col(key) == F.col(f"r_{key}")).select(*own.columns, f"r_{key}", "__r.*", f"__r_{key}").withColumn("match_method", F.lit("key"))
+    alone = lambda df, c: df.filter(F.col(f"__{c}") == 1)
+    rest = alone(own, suffix).join(right.select(key), key, "left_anti")
+    fallback = rest.join(alone(other, f"r_{suffix}").drop(f"__r_{suffix}"), F.col(suffix) == F.col(f"r_{suffix}")).filter(check).withColumn("match_method", F.lit("suffix"))
+    both = exact.unionByName(fallback.select(exact.columns))
+    reason = F.when((F.col(f"__{key}") > 1) | (F.col(f"__r_{key}") > 1), "duplicate source key")
+    return both.withColumn("reason", reason).drop(f"__{key}", f"__{suffix}", f"__r_{key}")

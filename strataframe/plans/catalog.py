@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import geometry
 from strataframe.operators import graph, tables
-from strataframe.plans import levels, occupancy, solids
+from strataframe.plans import grids, levels, occupancy, scalars, scenes, solids, works
 
 FLAGSHIP = "weld_components"
 
@@ -26,6 +26,15 @@ def weld_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("component").agg(F.count("*").alias("n_nodes"), F.max("node").alias("last_node"))
 
 
+WELD_SQL = """
+WITH RECURSIVE f AS (SELECT l_orderkey AS o, arg_min(l_partkey, (l_linenumber, l_partkey)) AS d FROM lineitem GROUP BY 1),
+e AS (SELECT DISTINCT l_partkey AS a, d AS b FROM lineitem JOIN f ON f.o = l_orderkey WHERE l_partkey <> d), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+c(node, component) USING KEY (node) AS (SELECT a, a FROM u GROUP BY a
+  UNION SELECT u.b, min(c.component) FROM c JOIN u ON u.a = c.node JOIN recurring.c AS r ON r.node = u.b WHERE c.component < r.component GROUP BY u.b)
+SELECT component, count(*) AS n_nodes, max(node) AS last_node FROM c GROUP BY component
+"""
+
+
 def covered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _t(spark, sf_dir, "lineitem").select("l_suppkey", F.datediff("l_shipdate", F.lit("1970-01-01")).cast("long").alias("lo"))
     return tables.covered_length(lines.withColumn("hi", F.col("lo") + 5), ["l_suppkey"], "lo", "hi")
@@ -95,13 +104,13 @@ FROM part
 
 
 SQL = {
-    covered_days: COVERED_SQL, median_order: MEDIAN_SQL, quantity_profile: PROFILE_SQL, quantity_histogram: HISTOGRAM_SQL, flag_runs: RUNS_SQL, key_checksum: CHECKSUM_SQL,
-} | occupancy.SQL | solids.SQL | levels.SQL
+    weld_components: WELD_SQL, covered_days: COVERED_SQL, median_order: MEDIAN_SQL, quantity_profile: PROFILE_SQL, quantity_histogram: HISTOGRAM_SQL, flag_runs: RUNS_SQL, key_checksum: CHECKSUM_SQL,
+} | occupancy.SQL | solids.SQL | levels.SQL | grids.SQL | scalars.SQL | scenes.SQL | works.SQL
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (weld_components, *SQL)}
+    return {f.__name__: f for f in SQL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {f.__name__: sql for f, sql in SQL.items()}
+    return {f.__name__: sql for f, sql in SQL.items() if sql}

@@ -7,10 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-GRID = "version int, nx int, nz int, cell double, floors int, clearUpper double, occ array<string>, occTight array<string>"
+from strataframe.functions.geometry import finite
+from strataframe.operators.masks import MOST_CELLS, MOST_FLOORS
+
+C = F.col
+
+GRID = "version int, cell double, nx double, nz double, floors double, minX double, minZ double, ground double, clearUpper double, occ array<string>, occTight array<string>"
 
 
 def read_npz(spark: SparkSession, path: str) -> DataFrame:
@@ -32,17 +37,37 @@ def read_npz(spark: SparkSession, path: str) -> DataFrame:
     return found.mapInPandas(rows, "file string, array string, row long, a double, b double, c double")
 
 
-def read_grids(df: DataFrame, raw: str = "grid") -> DataFrame:
-    """df with grid (decoded, with defaults: occTight is occ where it is missing) and reason, null where it keeps the contract."""
-    g = F.from_json(raw, GRID)
-    df = df.withColumn("__g", g)
-    occ = F.col("__g.occ")
-    tight = F.coalesce("__g.occTight", occ)
-    bad = lambda masks: F.exists(masks, lambda m: m.isNull() | m.rlike("[^01]") | (F.length(m) != F.col("__g.nx") * F.col("__g.nz")))
-    reason = (
-        F.when(F.col(raw).isNull() | F.col("__g.nx").isNull() | F.col("__g.nz").isNull() | occ.isNull(), "no grid")
-        .when((F.col("__g.nx") < 1) | (F.col("__g.nz") < 1) | ~(F.coalesce("__g.cell", F.lit(0.0)) > 0), "bad size")
-        .when((F.size(occ) < 1) | (F.size(occ) != F.coalesce("__g.floors", F.size(occ))) | (F.size(tight) != F.size(occ)), "bad floors")
-        .when(bad(occ) | bad(tight), "bad mask")
-    )
-    return df.withColumn("reason", reason).withColumn(raw, F.when(reason.isNull(), F.col("__g").withField("occTight", tight))).drop("__g")
+def encode_grid(grid: Column) -> Column:
+    """A grid, a struct with fields as in GRID, as JSON."""
+    return F.to_json(grid)
+
+
+def read_grids(df: DataFrame, raw: str = "grid", size: tuple[str, str, str] | None = None) -> DataFrame:
+    """df with grid (decoded, with defaults: clearUpper is 3.5 metres and occTight is occ where they are missing) and reason,
+    null where it keeps the contract: numbers that are finite, whole dimensions and floors within the bounds, a mask for each floor of
+    the right length and of 0 and 1 only, and an origin at the corner of the box, whose three sizes the columns of size name."""
+    df = df.withColumn("__g", F.from_json(raw, GRID))
+    g = C("__g")
+    tight = F.coalesce(g["occTight"], g["occ"])
+    upper = F.coalesce(g["clearUpper"], F.lit(3.5 / 0.28))
+    whole = lambda v: v == F.floor(v)
+    given = [g[k] for k in ("cell", "nx", "nz", "floors", "minX", "minZ", "ground")]
+    masks = lambda a: F.coalesce((F.size(a) == g["floors"]) & F.forall(a, lambda v: v.isNotNull() & (F.length(v) == g["nx"] * g["nz"]) & ~v.rlike("[^01]")), F.lit(False))
+    reason = F.when(C(raw).isNull(), "missing saved grid").when(g.isNull() | (g["nx"].isNull() & g["cell"].isNull() & g["occ"].isNull()), "invalid saved grid")
+    if size:
+        reason = reason.when(~finite(*map(C, size)) | (F.least(*map(C, size)) <= 0), "invalid source dimensions")
+    reason = reason.when(~finite(*given) | (g["ground"] <= 0) | (upper <= 0), "invalid grid values")
+    bad = (g["cell"] <= 0) | (g["nx"] < 1) | (g["nz"] < 1) | ~whole(g["nx"]) | ~whole(g["nz"]) | (g["nx"] * g["nz"] > MOST_CELLS)
+    reason = reason.when(bad, "invalid grid dimensions")
+    reason = reason.when((g["floors"] < 1) | (g["floors"] >= MOST_FLOORS) | ~whole(g["floors"]) | ~masks(g["occ"]) | ~masks(tight), "invalid floor masks")
+    if size:
+        reason = reason.when((F.abs(g["minX"] + C(size[0]) / 2) >= 0.05) | (F.abs(g["minZ"] + C(size[2]) / 2) >= 0.05), "grid origin does not match source envelope")
+    grid = F.struct(*((upper if f == "clearUpper" else tight if f == "occTight" else g[f]).alias(f) for f in (x.split()[0] for x in GRID.split(", "))))
+    return df.withColumns({raw: grid, "reason": reason}).drop("__g")
+
+
+def explode_masks(grids: DataFrame, key: str, layer: str = "occ") -> DataFrame:
+    """m, k, i, j of the occupied cells of the grids without a reason; rows of a mask run along x."""
+    floors = grids.filter("reason IS NULL").select(C(key).alias("m"), F.posexplode(f"grid.{layer}").alias("k", "mask"), C("grid.nz").cast("int").alias("nz"))
+    cells = floors.select("m", (C("k") + 1).alias("k"), "nz", F.posexplode(F.split("mask", "")).alias("at", "c")).filter("c = '1'")
+    return cells.select("m", "k", (F.floor(C("at") / C("nz")) + 1).cast("int").alias("i"), (C("at") % C("nz") + 1).cast("int").alias("j"))

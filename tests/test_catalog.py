@@ -57,12 +57,20 @@ def test_array_archives(spark, tmp_path):
 
 
 def test_grids(spark):
-    good = {"nx": 2, "nz": 1, "cell": 3.0, "floors": 1, "occ": ["10"]}
-    cases = [good, good | {"occ": ["1x"]}, good | {"occ": ["1"]}, good | {"floors": 2}, good | {"cell": 0}, {"nx": 1}, None]
-    rows = spark.createDataFrame([(i, None if c is None else json.dumps(c)) for i, c in enumerate(cases)], "id int, grid string")
-    got = meshes.read_grids(rows).orderBy("id").collect()
-    assert [r["reason"] for r in got] == [None, "bad mask", "bad mask", "bad floors", "bad size", "no grid", "no grid"]
-    assert got[0]["grid"]["occTight"] == ["10"] and got[1]["grid"] is None
+    good = {"nx": 2, "nz": 1, "cell": 3.0, "floors": 1, "minX": -3, "minZ": -1.5, "ground": 13, "occ": ["10"]}
+    cases = [good, good | {"occ": ["1x"]}, good | {"occ": ["1"]}, good | {"floors": 2}, good | {"cell": 0}, good | {"nx": 20000}, good | {"minX": 0}, good | {"ground": None}, {"nx": 1}, None]
+    rows = spark.createDataFrame([(i, None if c is None else json.dumps(c), 6.0, 20.0, 3.0) for i, c in enumerate(cases)], "id int, grid string, w double, h double, d double")
+    got = meshes.read_grids(rows, size=("w", "h", "d")).orderBy("id").collect()
+    masks_, sizes, origin, values = "invalid floor masks", "invalid grid dimensions", "grid origin does not match source envelope", "invalid grid values"
+    assert [r["reason"] for r in got] == [None, masks_, masks_, masks_, sizes, sizes, origin, values, values, "missing saved grid"]
+    assert got[0]["grid"]["occTight"] == ["10"] and got[0]["grid"]["clearUpper"] == 3.5 / 0.28
+    assert [tuple(r) for r in meshes.explode_masks(meshes.read_grids(rows), "id").orderBy("m").collect()] == [(0, 1, 1, 1), (6, 1, 1, 1)]
+
+
+def test_cells_outside_the_grid_are_refused(spark):
+    for cell in ((1, 1, 11, 1), (1, 200, 1, 1), (1, 1, 0, 1)):
+        with pytest.raises(Exception, match="outside a grid"):
+            masks.components(spark.createDataFrame([cell], "m long, k int, i int, j int"), 10).collect()
 
 
 def test_cooldown_over_batches(spark, tmp_path):

@@ -37,15 +37,16 @@ def test_covered_length_and_runs(spark):
     assert sorted((r["first"], r["last"], r["c"]) for r in tables.runs(steps, ["k"], "i", "c").collect()) == [(0, 1, "a"), (2, 3, "b"), (4, 4, "a")]
 
 
-def test_masks_and_match(spark):
-    masks = spark.createDataFrame([(1, "0110"), (2, "0111"), (3, "0000")], "m int, mask string")
-    cells = tables.mask_cells(masks)
-    assert cells.count() == 5
-    assert [tuple(r) for r in tables.mask_jaccard(cells, "m").collect()] == [(1, 2, 2 / 3)]
-    left = spark.createDataFrame([("1_9", "9", 1.0), ("2_8", "8", 1.0), ("3_7", "7", 1.0)], "key string, suffix string, h double")
-    right = spark.createDataFrame([("1_9", "9", 5.0), ("5_8", "8", 1.1), ("6_7", "7", 3.0)], "key string, suffix string, h double")
+def test_match(spark):
+    """By key, by a suffix that is unique over all rows of both sides and checked, and refused where a key repeats."""
+    schema = "key string, suffix string, h double"
+    left = spark.createDataFrame([("1_9", "9", 1.0), ("2_9", "9", 1.0), ("2_8", "8", 1.0), ("3_7", "7", 1.0), ("1_6", "6", 1.0), ("1_6", "6", 2.0), (None, None, 1.0)], schema)
+    right = spark.createDataFrame([("1_9", "9", 5.0), ("5_9", "9", 1.0), ("5_8", "8", 1.1), ("6_7", "7", 3.0), ("1_6", "6", 1.0), (None, None, 1.0)], schema)
     got = tables.verified_match(left, right, "key", "suffix", F.abs(F.col("h") - F.col("r_h")) <= 0.35).collect()
-    assert {(r["key"], r["match_method"]) for r in got} == {("1_9", "key"), ("2_8", "suffix")}
+    refused = "duplicate source key"
+    assert sorted((r["key"], r["h"], r["match_method"], r["reason"]) for r in got) == [("1_6", 1.0, "key", refused), ("1_6", 2.0, "key", refused), ("1_9", 1.0, "key", None), ("2_8", 1.0, "suffix", None)]
+    assert not [r for r in got if r["key"] == "2_9"]  # the suffix 9 stands twice on both sides
+    assert tables.verified_match(left.limit(0), right, "key", "suffix", F.lit(True)).count() == 0
 
 
 def test_rings(spark):
