@@ -139,6 +139,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), OP10_PARAMS)
 
 
+OP10_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) < {OP10_PARAMS.words} THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '') ELSE list_distinct(list_transform(generate_series(1, len(w) - {OP10_PARAMS.words - 1}), lambda i: array_to_string(w[i:i + {OP10_PARAMS.words - 1}], ' '))) END AS g FROM w),
+t AS (SELECT doc_id, hash(unnest(g)) AS t FROM g), n AS (SELECT doc_id, len(g) AS n FROM g),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM t AS a JOIN t AS b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE {OP10_PARAMS.den} * c >= {OP10_PARAMS.num} * (x.n + y.n - c)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, component) USING KEY (node) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, min(r.component) FROM r JOIN u ON u.a = r.node JOIN recurring.r AS o ON o.node = u.b WHERE r.component < o.component GROUP BY u.b)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, r.component AS component_id FROM n JOIN r ON r.node = n.doc_id
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -150,4 +162,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL}
+    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL}
