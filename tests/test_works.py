@@ -20,14 +20,14 @@ ELL = [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0), (2.0, 4.0), (0.0, 4.0)]
 
 def star(n):
     """A ring around the origin with n vertices at random distances: simple, rarely convex."""
-    angles = sorted(RNG.uniform(0, 2 * math.pi) for _ in range(n))
+    angles = [(k + RNG.uniform(0, 0.4)) / n * 2 * math.pi for k in range(n)]
     return [(r * math.cos(a), r * math.sin(a)) for a, r in ((a, RNG.uniform(3, 9)) for a in angles)]
 
 
 def test_rings_become_valid():
     assert P.valid_ring(SQUARE[::-1]) == P.valid_ring(SQUARE[::-1] + [(0.0, 4.0)]) and P.signed_area(P.valid_ring(SQUARE[::-1])) == 16
     assert len(P.valid_ring([*SQUARE[:2], (4.0, 2.0), *SQUARE[2:]])) == 4  # a straight vertex goes
-    for bad, why in (([(0, 0), (4, 4), (4, 0), (0, 4)], "cross"), (SQUARE[:2], "vertices"), ([(0, 0), (1, 0), (2, 0)], ""), ([(0, 0), (math.nan, 1), (2, 0)], "finite"), ([(0, 0), (4, 0), (2, 0), (2, 3)], ""), (SQUARE[:1] * 3, "degenerate")):
+    for bad, why in (([(0, 0), (4, 4), (4, 0), (0, 4)], "cross"), (SQUARE[:2], "vertices"), ([(0, 0), (1, 0), (2, 0)], "area|cross|back"), ([(0, 0), (math.nan, 1), (2, 0)], "finite"), ([(0, 0), (4, 0), (2, 0), (2, 3)], "cross|back"), (SQUARE[:1] * 3, "degenerate")):
         with pytest.raises(ValueError, match=why):
             P.valid_ring([(float(x), float(z)) for x, z in bad])
 
@@ -44,7 +44,7 @@ def test_triangles_and_pieces_add_up():
                 for a, b, c in P.wedges(t):
                     assert abs((b[0] - a[0]) * (c[0] - a[0]) + (b[1] - a[1]) * (c[1] - a[1])) < 1e-6 * max(1, math.dist(a, b) * math.dist(a, c))
     assert [k for k, _ in P.slab_pieces(SQUARE)] == ["block"]
-    assert len(P.wedges(((0.0, 0.0), (10.0, 0.0), (0.02, 1.0)))) == 6  # a foot too near a corner
+    assert len(P.wedges(((0.0, 0.0), (10.0, 0.0), (5.0, 0.04)))) == 6  # a height too low
 
 
 def test_clip_hull_box_and_overlap():
