@@ -58,17 +58,14 @@ def turn(a: Column, b: Column, c: Column) -> Column:
 
 
 def segments_meet(a: Column, b: Column, c: Column, d: Column, length_eps: float = 1e-6, area_eps: float = 1e-6) -> Column:
-    """Whether the segments a to b and c to d cross, or an end of one lies on the other."""
-
-    def apart(p: Column, q: Column) -> Column:
-        return ((p > area_eps) & (q < -area_eps)) | ((p < -area_eps) & (q > area_eps))
-
-    def on(p: Column, s: Column, e: Column) -> Column:
-        inside = [p[v].between(F.least(s[v], e[v]) - length_eps, F.greatest(s[v], e[v]) + length_eps) for v in "xz"]
-        return (F.abs(turn(s, e, p)) <= area_eps) & inside[0] & inside[1]
-
-    cross = apart(turn(a, b, c), turn(a, b, d)) & apart(turn(c, d, a), turn(c, d, b))
-    return cross | on(c, a, b) | on(d, a, b) | on(a, c, d) | on(b, c, d)
+    """Whether the segments a to b and c to d have a point in common: neither lies strictly on one side of the other's line,
+    and on both axes the spans of the two overlap. What is within an eps counts as on the line, or as overlapping."""
+    side = lambda p, q, r: F.when(turn(p, q, r) > area_eps, 1).when(turn(p, q, r) < -area_eps, -1).otherwise(0)
+    one_sided = lambda p, q, r, s: side(p, q, r) * side(p, q, s) > 0
+    overlap = F.lit(True)
+    for v in "xz":
+        overlap = overlap & (F.greatest(F.least(a[v], b[v]), F.least(c[v], d[v])) <= F.least(F.greatest(a[v], b[v]), F.greatest(c[v], d[v])) + length_eps)
+    return overlap & ~one_sided(a, b, c, d) & ~one_sided(c, d, a, b)
 
 
 def enclosed(segments: Column, px: Column, pz: Column) -> Column:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strataframe.config import Cleanup
+from strataframe.operators.tables import covered_length
+
 
 def anchored_bands(df: DataFrame, keys: list[str], value: str, gap: float = 0.6) -> DataFrame:
     """keys, low, high, n: a value more than gap above the lowest of its band opens the next band. Nulls are left out."""
@@ -60,21 +63,63 @@ def drift(df: DataFrame, keys: list[str], order: list[str], value: str, toleranc
     return df.join(first, keys).groupBy(*keys).agg(F.max(off).alias("drift"), F.count_if(off > tolerance).alias("n_off"))
 
 
-def highest_supported(df: DataFrame, keys: list[str], level: str, supported: Column) -> DataFrame:
-    """keys, top, tail: highest supported level (null if none) and the number of rows above it."""
-    tops = df.groupBy(*keys, level).agg(F.count("*").alias("__n"), F.bool_or(supported).alias("__ok"))
-    best = F.max(F.when(F.col("__ok"), F.col(level))).over(W.partitionBy(*keys))
-    rows = tops.withColumn("__top", best)
+def highest_supported(df: DataFrame, keys: list[str], level: str, supported: Column, size: str | None = None, share: float = 0.65) -> DataFrame:
+    """keys, top, tail: highest supported level (null if none) and the number of rows above it; with size also reason: a level above
+    the top may not have more than `share` of the largest size at the top."""
+    sizes = [F.max(size).alias("__size")] if size else []
+    tops = df.groupBy(*keys, level).agg(F.count("*").alias("__n"), F.bool_or(supported).alias("__ok"), *sizes)
+    own = W.partitionBy(*keys)
+    rows = tops.withColumn("__top", F.max(F.when(F.col("__ok"), F.col(level))).over(own))
     above = F.col("__top").isNull() | (F.col(level) > F.col("__top"))
-    return rows.groupBy(*keys).agg(F.max("__top").alias("top"), F.coalesce(F.sum(F.when(above, F.col("__n"))), F.lit(0)).alias("tail"))
+    out = [F.max("__top").alias("top"), F.coalesce(F.sum(F.when(above, F.col("__n"))), F.lit(0)).alias("tail")]
+    if size:
+        tall = F.max(F.when(above, F.col("__size"))) > F.max(F.when(F.col(level) == F.col("__top"), F.col("__size"))) * share
+        out.append(F.when(F.max("__top").isNull(), "no repeated major footprint").when(tall, "unsupported substantial upper body").alias("reason"))
+    return rows.groupBy(*keys).agg(*out)
 
 
-def orientations(df: DataFrame, dx: Column, dz: Column, top: int = 12) -> DataFrame:
-    """key, weight: quarter-turn directions in quarter degrees, the heaviest by total length; ties go to the lesser key."""
+def orientations(df: DataFrame, keys: list[str], dx: Column, dz: Column, order: str, top: int = 12, least: float = 1.0) -> DataFrame:
+    """keys, key, weight, ux, uz: of each group the directions, folded to a quarter turn and in quarter degrees, of the edges longer
+    than `least`; the heaviest by total length, with the unit vector of the first edge by order. Ties go to the lesser key."""
     length, quarter = F.sqrt(dx * dx + dz * dz), F.lit(3.141592653589793 / 2)
     key = F.round(F.pmod(F.atan2(dz, dx), quarter) * 720 / F.lit(3.141592653589793)).cast("long")
-    weighed = df.filter(length > 0).groupBy(key.alias("key")).agg(F.round(F.sum(length), 6).alias("weight"))
-    return weighed.orderBy(F.desc("weight"), "key").limit(top)
+    first = lambda v, name: F.min_by(v / length, order).alias(name)
+    weighed = df.filter(length > least).groupBy(*keys, key.alias("key")).agg(F.round(F.sum(length), 6).alias("weight"), first(dx, "ux"), first(dz, "uz"))
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("weight"), "key"))
+    return weighed.withColumn("__n", rank).filter(F.col("__n") <= top).drop("__n")
+
+
+def supported_rectangles(segments: DataFrame, keys: list[str], order: str, tolerance: float = 3.0, share: float = 0.97, inner: float = 0.045) -> DataFrame:
+    """keys, ux, uz, u0, u1, v0, v1: the rectangle of least area along one of a group's orientations, where its segments (ax, az, bx, bz)
+    cover all four sides to at least `share` and what lies inside is at most `inner` of the perimeter. Other groups are left out."""
+    c = F.col
+    turns = orientations(segments, keys, c("bx") - c("ax"), c("bz") - c("az"), order)
+    rows = segments.join(turns.drop("weight"), keys)
+    rows = rows.withColumns({f"{e}{n}": (c(f"{e}x") * c("ux") + c(f"{e}z") * c("uz")) if n == "u" else (c(f"{e}z") * c("ux") - c(f"{e}x") * c("uz")) for e in "ab" for n in "uv"})
+    ends = [f(*(f2(f"{e}{n}") for e in "ab")).alias(f"{n}{k}") for n in "uv" for k, f, f2 in ((0, F.least, F.min), (1, F.greatest, F.max))]
+    boxes = rows.groupBy(*keys, "key", "ux", "uz").agg(*ends).withColumns({"w": c("u1") - c("u0"), "d": c("v1") - c("v0")})
+    best = boxes.groupBy(*keys).agg(F.min(F.struct((c("w") * c("d")).alias("area"), "key", "ux", "uz", "u0", "u1", "v0", "v1", "w", "d")).alias("r")).select(*keys, "r.*").drop("area").filter(F.least("w", "d") >= 1)
+    at = rows.drop("ux", "uz").join(best, [*keys, "key"])
+    near = F.least(F.lit(tolerance), F.least("w", "d") * 0.025)
+    on = lambda n, k: (F.abs(c(f"a{n}") - c(f"{n}{k}")) <= near) & (F.abs(c(f"b{n}") - c(f"{n}{k}")) <= near)
+    side = F.when(on("u", 0), 1).when(on("u", 1), 2).when(on("v", 0), 3).when(on("v", 1), 4)
+    n = F.when(side <= 2, F.struct(c("av").alias("p"), c("bv").alias("q"))).otherwise(F.struct(c("au").alias("p"), c("bu").alias("q")))
+    placed = at.withColumns({"side": side, "s": n}).withColumns({"low": F.least("s.p", "s.q"), "high": F.greatest("s.p", "s.q")})
+    loose = placed.filter("side IS NULL").groupBy(*keys).agg(F.sum(F.hypot(c("au") - c("bu"), c("av") - c("bv"))).alias("inner"))
+    covered = covered_length(placed.filter("side IS NOT NULL"), [*keys, "side"], "low", "high")
+    sides = covered.groupBy(*keys).agg(*(F.max(F.when(c("side") == k, c("covered"))).alias(f"c{k}") for k in (1, 2, 3, 4)))
+    found = best.join(sides, keys).join(loose, keys, "left")
+    whole = (F.least("c1", "c2") >= c("d") * share) & (F.least("c3", "c4") >= c("w") * share) & c("c1").isNotNull() & c("c2").isNotNull() & c("c3").isNotNull() & c("c4").isNotNull()
+    return found.filter(whole & (F.coalesce("inner", F.lit(0.0)) <= 2 * (c("w") + c("d")) * inner)).select(*keys, "ux", "uz", "u0", "u1", "v0", "v1")
+
+
+def fragment_rules(p: Cleanup = Cleanup()) -> dict[str, Column]:
+    """What makes a section a fragment, by the columns floor_area, envelope_volume, slab_volume, clearance, height, has_core."""
+    c = F.col
+    return {
+        "area": c("floor_area") <= p.max_floor_area, "envelope": c("envelope_volume") <= p.max_envelope_volume, "slabs": c("slab_volume") <= p.max_slab_volume,
+        "elevated": c("clearance") >= p.elevated_clearance, "short": c("height") <= p.max_short_height, "no_core": ~c("has_core"),
+    }
 
 
 def fragments(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

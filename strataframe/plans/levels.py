@@ -125,41 +125,61 @@ SELECT user_id, max(off) AS drift, count(*) FILTER (off > 0.03::DOUBLE) AS n_off
 
 
 def supported_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return floors.highest_supported(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), ["l_orderkey"], "l_linenumber", F.col("l_returnflag") == "R")
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    return floors.highest_supported(lines, ["l_orderkey"], "l_linenumber", F.col("l_returnflag") == "R", "l_quantity")
 
 
 SUPPORTED_SQL = """
-WITH m AS (SELECT l_orderkey, max(l_linenumber) FILTER (l_returnflag = 'R') AS top FROM lineitem GROUP BY l_orderkey)
-SELECT l_orderkey, top, count(*) FILTER (top IS NULL OR l_linenumber > top) AS tail FROM lineitem JOIN m USING (l_orderkey) GROUP BY ALL
+WITH m AS (SELECT *, max(l_linenumber) FILTER (l_returnflag = 'R') OVER (PARTITION BY l_orderkey) AS top FROM lineitem)
+SELECT l_orderkey, any_value(top) AS top, count(*) FILTER (top IS NULL OR l_linenumber > top) AS tail,
+  CASE WHEN any_value(top) IS NULL THEN 'no repeated major footprint' WHEN max(l_quantity) FILTER (l_linenumber > top) > max(l_quantity) FILTER (l_linenumber = top) * 0.65::DOUBLE THEN 'unsupported substantial upper body' END AS reason FROM m GROUP BY l_orderkey
 """
 
 
 def wall_orientations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
-    return floors.orientations(parts, (F.col("p_partkey") % 17 - 8).cast("double"), (F.col("p_size") - 25).cast("double"))
+    parts = _t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    found = floors.orientations(parts, ["p_brand"], (F.col("p_partkey") % 17 - 8).cast("double"), (F.col("p_size") - 25).cast("double"), "p_partkey")
+    return found.select("p_brand", "key", "weight", F.round("ux", 6).alias("ux"), F.round("uz", 6).alias("uz"))
 
 
 ORIENTATION_SQL = """
-WITH v AS (SELECT CAST(p_partkey % 17 - 8 AS DOUBLE) AS dx, CAST(p_size - 25 AS DOUBLE) AS dz FROM part),
-a AS (SELECT sqrt(dx * dx + dz * dz) AS len, (atan2(dz, dx) % (pi() / 2) + pi() / 2) % (pi() / 2) AS angle FROM v)
-SELECT CAST(round(angle * 720 / pi()) AS BIGINT) AS key, round(sum(len), 6) AS weight FROM a WHERE len > 0 GROUP BY 1 ORDER BY weight DESC, key LIMIT 12
+WITH v AS (SELECT p_partkey, p_brand, CAST(p_partkey % 17 - 8 AS DOUBLE) AS dx, CAST(p_size - 25 AS DOUBLE) AS dz FROM part),
+a AS (SELECT *, sqrt(dx * dx + dz * dz) AS len, (atan2(dz, dx) % (pi() / 2) + pi() / 2) % (pi() / 2) AS angle FROM v),
+g AS (SELECT p_brand, CAST(round(angle * 720 / pi()) AS BIGINT) AS key, round(sum(len), 6) AS weight, round(arg_min(dx / len, p_partkey), 6) AS ux, round(arg_min(dz / len, p_partkey), 6) AS uz FROM a WHERE len > 1 GROUP BY 1, 2)
+SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY weight DESC, key) <= 12
 """
 
 
+def facade_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turned rectangles of edges, some with a side cut short or with an edge inside, and what of them four covered sides support."""
+    rows = spark.sql(WALLS, c=_t(spark, sf_dir, "customer"))
+    found = floors.supported_rectangles(rows, ["id"], "n")
+    return found.select("id", F.round(F.greatest(F.col("u1") - F.col("u0"), F.col("v1") - F.col("v0")), 4).alias("long"), F.round(F.least(F.col("u1") - F.col("u0"), F.col("v1") - F.col("v0")), 4).alias("short"))
+
+
+#: Four sides and one edge inside for each customer, w by d and turned; the first side is cut for each fourth, the inner edge is long for each seventh.
+WALLS = """WITH b AS (SELECT c_custkey AS id, 10.0D + c_custkey % 17 AS w, 6.0D + c_custkey % 4 AS d, c_custkey % 5 * 0.6D AS t, CASE WHEN c_custkey % 4 = 1 THEN 0.9D ELSE 1.0D END AS cut, CASE WHEN c_custkey % 7 = 2 THEN 4.0D ELSE 0.5D END AS n5 FROM {c}),
+s AS (SELECT id, t, stack(5, 1, 0D, 0D, w * cut, 0D, 2, w, 0D, w, d, 3, w, d, 0D, d, 4, 0D, d, 0D, 0D, 5, 3D, 2.5D, 3 + n5, 2.5D) AS (n, p, q, r, s) FROM b)
+SELECT id, n, p * cos(t) - q * sin(t) AS ax, p * sin(t) + q * cos(t) AS az, r * cos(t) - s * sin(t) AS bx, r * sin(t) + s * cos(t) AS bz FROM s"""
+FACADE_SQL = """SELECT c_custkey AS id, 10.0::DOUBLE + c_custkey % 17 AS long, 6.0::DOUBLE + c_custkey % 4 AS short FROM customer WHERE c_custkey % 4 <> 1
+AND CASE WHEN c_custkey % 7 = 2 THEN 4 ELSE 0.5 END <= 2 * (16 + c_custkey % 17 + c_custkey % 4) * 0.045"""
+
+
 def part_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size, price, kind = F.col("p_size"), F.col("p_retailprice"), F.col("p_partkey")
-    rules = {"area": size <= 20, "envelope": price <= 1000, "slabs": size * 40 <= 500, "elevated": kind % 7 >= 5, "short": size <= 6, "no_core": kind % 3 == 0}
-    found = floors.fragments(_t(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice"), rules)
-    return found.select("p_partkey", F.array_join("reasons", ",").alias("reasons"), "fragment")
+    """Sections of sizes around the thresholds, and which of them are fragments."""
+    rows = spark.sql(SECTIONS.format(t="{p}"), p=_t(spark, sf_dir, "part"))
+    return floors.fragments(rows, floors.fragment_rules()).select("p_partkey", F.array_join("reasons", ",").alias("reasons"), "fragment")
 
 
-FRAGMENT_SQL = """
-WITH r AS (SELECT p_partkey, coalesce(p_size <= 20, false) AS a, coalesce(p_retailprice <= 1000, false) AS e, coalesce(p_size * 40 <= 500, false) AS s, p_partkey % 7 >= 5 AS v, coalesce(p_size <= 6, false) AS h, p_partkey % 3 = 0 AS c FROM part)
+SECTIONS = """SELECT p_partkey, CAST(p_size * 10 AS DOUBLE) AS floor_area, p_retailprice * 24 AS envelope_volume, CAST(p_size * p_partkey % 13000 AS DOUBLE) AS slab_volume,
+  CASE WHEN p_partkey % 5 > 0 THEN CAST(p_partkey % 41 AS DOUBLE) END AS clearance, CAST(p_partkey % 90 AS DOUBLE) AS height, p_partkey % 3 > 0 AS has_core FROM {t}"""
+FRAGMENT_SQL = f"""
+WITH r AS (SELECT p_partkey, floor_area <= 250 AS a, envelope_volume <= 24000 AS e, slab_volume <= 6000 AS s, coalesce(clearance >= 20, false) AS v, height <= 35 AS h, NOT has_core AS c FROM ({SECTIONS.format(t="part")}))
 SELECT p_partkey, concat_ws(',', CASE WHEN a THEN 'area' END, CASE WHEN e THEN 'envelope' END, CASE WHEN s THEN 'slabs' END, CASE WHEN v THEN 'elevated' END, CASE WHEN h THEN 'short' END, CASE WHEN c THEN 'no_core' END) AS reasons,
   a AND (e OR s) AND (v OR h OR c) AS fragment FROM r
 """
 
 SQL = {
     nearest_supplier: NEAREST_SQL, mutual_customers: MUTUAL_SQL, cluster_candidates: CLUSTER_SQL, same_line_sets: SETS_SQL, loose_keys: LOOSE_SQL, roof_bands: BANDS_SQL, tier_starts: TIER_SQL,
-    flag_oscillation: OSCILLATION_SQL, event_drift: DRIFT_SQL, supported_lines: SUPPORTED_SQL, wall_orientations: ORIENTATION_SQL, part_fragments: FRAGMENT_SQL,
+    flag_oscillation: OSCILLATION_SQL, event_drift: DRIFT_SQL, supported_lines: SUPPORTED_SQL, wall_orientations: ORIENTATION_SQL, facade_rectangles: FACADE_SQL, part_fragments: FRAGMENT_SQL,
 }
