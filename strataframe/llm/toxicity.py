@@ -1,14 +1,17 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are character n-grams over word borders, kept when their frequency differs between the labels of a bounded
-sample. Examples sit in an inverted index of blocks with the largest weight per term and block; a query opens
-blocks by falling upper bound until no bound exceeds the k-th similarity found, so the neighbours are exact.
+sample. Examples sit in an inverted index of blocks with the largest weight per term and block. Texts are scored some
+hundred at a time: the bounds of all blocks are one matrix product; the blocks with the best bounds give each text a k-th similarity,
+and of the rest every block whose bound reaches that of a text is opened for it, so the neighbours are exact. They vote with the
+reciprocal of their cosine distance, and the vote becomes a probability by a logistic curve that is fitted on the examples
+themselves, each voted on by the others (those that are nearly the same text left out).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -24,18 +27,23 @@ from strataframe.storage import stored
 @dataclass(frozen=True)
 class ToxParams:
     """n, bits: length and hash bits of the n-grams. max_examples: bound of the labelled sample (expected value).
-    max_terms, min_df, min_chi2: which n-grams become terms. k: neighbours. block: examples per block.
-    shrink: weight of the base rate in a vote."""
+    max_terms, min_df, min_chi2: which n-grams become terms, the best by chi-squared. k: neighbours. block: examples per block. rows: texts
+    scored together. shrink: weight of the base rate in a vote. near: least distance in a weight. same: similarity from which an
+    example counts as a copy when votes are calibrated. calibrate: examples that these votes are taken on, at most."""
 
     n: int = 5
     bits: int = 22
     max_examples: int = 8192
-    max_terms: int = 3000
-    min_df: int = 5
-    min_chi2: float = 20.0
+    max_terms: int = 4096
+    min_df: int = 3
+    min_chi2: float = 6.635
     k: int = 16
     block: int = 64
+    rows: int = 256
     shrink: float = 0.5
+    near: float = 0.05
+    same: float = 0.98
+    calibrate: int = 2048
 
 
 def _grams(texts: list[str | None], p: ToxParams) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +68,8 @@ class ToxModel:
     ids: np.ndarray
     blocks: list[tuple[np.ndarray, np.ndarray]]  # terms present, weights [term, example]
     upper: np.ndarray  # [term, block]
+    slope: float = 1.0  # of the logistic curve over the logit of a vote
+    shift: float = 0.0
 
 
 def vectors(texts: list[str | None], term_of: np.ndarray, idf: np.ndarray, p: ToxParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +96,8 @@ def select_terms(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: in
 
 
 def fit(rows: DataFrame, params: ToxParams = ToxParams(), key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxModel:
-    """Builds the index from a bounded sample of rows with text and label; rows: key, text, label."""
+    """Builds the index from a bounded sample of rows with text and label; rows: key, text, label. Rows whose text or label is null are left
+    out, rows that repeat a key are examples of their own, labels above 0 are toxic."""
     bound_batches(rows.sparkSession)
     rows = rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("text IS NOT NULL AND label IS NOT NULL")
 
@@ -114,7 +125,7 @@ def fit(rows: DataFrame, params: ToxParams = ToxParams(), key: str = "doc_id", t
     best = got.filter("bucket >= 0").withColumn("chi2", chi2).filter(F.col("chi2") >= params.min_chi2).orderBy(F.desc("chi2"), "bucket").limit(params.max_terms).toPandas()
     kept = select_terms(best["clean"].to_numpy(np.int64), best["toxic"].to_numpy(np.int64), n_clean, n_toxic, params)
     buckets, df = best["bucket"].to_numpy(np.int64)[kept], (best["clean"] + best["toxic"]).to_numpy(np.float64)[kept]
-    term_of = np.full(1 << params.bits, -1, np.int16)
+    term_of = np.full(1 << params.bits, -1, np.int32)
     term_of[buckets] = np.arange(len(buckets))
     idf = np.log((1 + n) / (1 + df)) + 1
 
@@ -146,39 +157,104 @@ def index(examples: pd.DataFrame, term_of: np.ndarray, idf: np.ndarray, base_rat
             weights[np.searchsorted(terms, t), j] = w
         upper[terms, b // p.block] = weights.max(axis=1)
         blocks.append((terms, weights))
-    return ToxModel(p, term_of, idf, float(base_rate), float(shrunk), used["label"].clip(0, 1).to_numpy(np.float64), used["key"].to_numpy(), blocks, upper)
+    model = ToxModel(p, term_of, idf, float(base_rate), float(shrunk), used["label"].clip(0, 1).to_numpy(np.float64), used["key"].to_numpy(), blocks, upper)
+    return calibrated(model, used)
+
+
+def dense(doc: np.ndarray, term: np.ndarray, w: np.ndarray, rows: int, terms: int) -> np.ndarray:
+    out = np.zeros((rows, terms), np.float32)
+    out[doc, term] = w
+    return out
+
+
+def nearest(q: np.ndarray, model: ToxModel, copies: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """[text, rank] example and similarity of the k most similar examples of each text (a row of term weights), by falling similarity, then
+    example; similarity 0 where there are no more. Without copies those from params.same on are left out."""
+    p, n = model.params, len(model.labels)
+    k = min(p.k, n)
+    bound = q @ model.upper
+    sims = np.full((len(q), n), -1.0, np.float32)
+    done = np.zeros(bound.shape, bool)
+
+    def open_(b: int, rows: np.ndarray) -> None:
+        own, weights = model.blocks[b]
+        s = q[np.ix_(rows, own)] @ weights
+        if not copies:
+            s[s >= p.same] = -1.0
+        sims[rows, b * p.block : b * p.block + weights.shape[1]] = s
+        done[rows, b] = True
+
+    first = np.argsort(-bound, axis=1, kind="stable")[:, : max(2, -(-2 * k // p.block))]
+    for b in np.unique(first).tolist():
+        open_(b, np.flatnonzero((first == b).any(axis=1)))
+    found = np.partition(sims, n - k, axis=1)[:, n - k]
+    for b in np.argsort(-bound.max(axis=0), kind="stable").tolist():
+        rows = np.flatnonzero(~done[:, b] & (bound[:, b] > 0) & (bound[:, b] + 1e-6 >= found))
+        if len(rows):
+            open_(b, rows)
+    key = np.round(sims.astype(np.float64), 6) - np.arange(n) * 1e-12  # ties go to the lesser example
+    top = np.argpartition(-key, k - 1, axis=1)[:, :k] if k < n else np.tile(np.arange(n), (len(q), 1))
+    order = np.argsort(-np.take_along_axis(key, top, axis=1), axis=1, kind="stable")
+    top = np.take_along_axis(top, order, axis=1)
+    return top, np.maximum(np.take_along_axis(sims, top, axis=1), 0.0).astype(np.float64)
+
+
+def votes(top: np.ndarray, sims: np.ndarray, model: ToxModel) -> np.ndarray:
+    """The share of toxic neighbours, each weighted by the reciprocal of its distance, drawn to the base rate."""
+    p = model.params
+    weight = np.where(sims > 0, 1 / np.maximum(1 - sims, p.near) - 1, 0.0)
+    return ((weight * model.labels[top]).sum(axis=1) + p.shrink * model.base_rate) / (weight.sum(axis=1) + p.shrink)
+
 
+def _logit(v: np.ndarray) -> np.ndarray:
+    v = np.clip(v, 1e-4, 1 - 1e-4)
+    return np.log(v / (1 - v))
 
-def nearest(terms: np.ndarray, weights: np.ndarray, model: ToxModel) -> tuple[np.ndarray, np.ndarray]:
-    """(example, similarity) of the k most similar examples, by falling similarity, then example; similarity 0 is left out."""
-    k, size = model.params.k, model.params.block
-    bound = weights @ model.upper[terms]
-    top_s, top_e = np.zeros(0, np.float64), np.zeros(0, np.int64)
-    for b in np.argsort(-bound, kind="stable").tolist():
-        if bound[b] <= 0 or (len(top_s) == k and bound[b] + 1e-6 < top_s[-1]):
+
+def calibrated(model: ToxModel, used: pd.DataFrame) -> ToxModel:
+    """model with the logistic curve of the votes on its own examples (evenly chosen, params.calibrate at most), by Newton steps. The targets are
+    drawn a little together, so that few examples give no steep curve; a curve that would fall is left out."""
+    p = model.params
+    some = np.unique(np.linspace(0, len(used) - 1, min(len(used), p.calibrate)).astype(int)) if len(used) else np.zeros(0, int)
+    y = model.labels[some] if len(some) else np.zeros(0)
+    if min(y.sum(), len(y) - y.sum()) < 2:
+        return model
+    x = np.empty(len(some))
+    for a in range(0, len(some), p.rows):
+        own = used.iloc[some[a : a + p.rows]]
+        sizes = own["terms"].map(len).to_numpy()
+        q = dense(np.repeat(np.arange(len(own)), sizes), np.concatenate(own["terms"].tolist()), np.concatenate(own["weights"].tolist()), len(own), len(model.idf))
+        x[a : a + p.rows] = _logit(votes(*nearest(q, model, copies=False), model))
+    n1, n0 = y.sum(), len(y) - y.sum()
+    target = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    slope, shift = 1.0, 0.0
+    for _ in range(50):
+        prob = 1 / (1 + np.exp(-(slope * x + shift)))
+        off, w = prob - target, np.maximum(prob * (1 - prob), 1e-6)
+        grad = np.array([(off * x).sum() + 1e-3 * slope, off.sum()])
+        hess = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]])
+        step = np.linalg.solve(hess, grad)
+        slope, shift = slope - float(np.clip(step[0], -1, 1)), shift - float(np.clip(step[1], -1, 1))
+        if np.abs(step).max() < 1e-8:
             break
-        own, w = model.blocks[b]
-        at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
-        hit = own[at] == terms
-        s = weights[hit] @ w[at[hit]]
-        e = np.flatnonzero(s > 0)
-        top_s, top_e = np.r_[top_s, s[e]], np.r_[top_e, e + b * size]
-        order = np.lexsort((top_e, -top_s))[:k]
-        top_s, top_e = top_s[order], top_e[order]
-    return top_e, top_s
+    return replace(model, slope=slope, shift=shift) if slope > 0 else model
 
 
 def score_texts(texts: list[str | None], model: ToxModel) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Score and the keys of the neighbours of each text: similarity-weighted vote, drawn to the base rate."""
+    """Score and the keys of the neighbours of each text: the calibrated vote."""
     p = model.params
     doc, term, w = vectors(texts, model.term_of, model.idf, p)
     scores, evidence = np.full(len(texts), model.empty_rate), [np.zeros(0, np.int64)] * len(texts)
-    cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
-    for i in np.flatnonzero(np.diff(cuts)).tolist():
-        e, s = nearest(term[cuts[i] : cuts[i + 1]], w[cuts[i] : cuts[i + 1]].astype(np.float32), model)
-        if len(e):
-            scores[i] = (s @ model.labels[e] + p.shrink * model.base_rate) / (s.sum() + p.shrink)
-            evidence[i] = model.ids[e]
+    if not len(model.labels):
+        return np.clip(scores, 0, 1), evidence
+    some = np.unique(doc)
+    for a in range(0, len(some), p.rows):
+        own = some[a : a + p.rows]
+        lo, hi = np.searchsorted(doc, [own[0], own[-1] + 1])
+        top, sims = nearest(dense(np.searchsorted(own, doc[lo:hi]), term[lo:hi], w[lo:hi], len(own), len(model.idf)), model)
+        scores[own] = 1 / (1 + np.exp(-(model.slope * _logit(votes(top, sims, model)) + model.shift)))
+        for i, t, s in zip(own.tolist(), top, sims):
+            evidence[i] = model.ids[t[s > 0]]
     return np.clip(scores, 0, 1), evidence
 
 
@@ -194,9 +270,8 @@ def score(docs: DataFrame, model: ToxModel, text: str = "text", score_out: str =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, params: ToxParams = ToxParams(), key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """key, text, label of a bounded sample of labels; written once, as fitting reads it twice."""
+    """key, text, label of a bounded sample of labels (about params.max_examples rows, chosen by a hash of the key); written once, as fitting reads
+    it twice. A key with several labels has the largest; documents that repeat a key all get it."""
     chosen = bounded_sample(labels.select(F.col(key).alias("key"), F.col(label).alias("label")).filter("key IS NOT NULL AND label IS NOT NULL").groupBy("key").agg(F.max("label").alias("label")), F.col("key").cast("string"), params.max_examples)
-    # limit keeps the broadcast side within twice the documented bound whatever the keys hash to
-    chosen = chosen.limit(2 * params.max_examples)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
     return stored(rows.select(F.col("key").alias(key), F.col("text").alias(text), F.col("label").alias(label)), "examples")

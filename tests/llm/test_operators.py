@@ -439,24 +439,56 @@ def test_warc(spark, tmp_path):
     assert sum(gzip.open(f).read().count(b"WARC/1.1\r\n") for f in files) == len(rows)
 
 
+def toxic_rows(n=200):
+    return [(i, prose() + (" you stupid clown" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(n)]
+
+
 def test_toxicity(spark, empty):
-    rows = [(i, prose() + (" you stupid clown" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(200)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    df = spark.createDataFrame([*toxic_rows(), (500, None, 1), (501, "a", None), (0, "you stupid clown", 1)], "doc_id long, text string, toxic int")
     model = toxicity.fit(df, toxicity.ToxParams(k=5, block=8))
-    texts = [prose() + " stupid clown", prose(), None, ""]
+    texts = [prose() + " stupid clown", prose(), None, "", prose(0, 20000) + " stupid clown"]
     scores, evidence = toxicity.score_texts(texts, model)
-    assert scores[0] > 0.3 > max(scores[1:]) and len(evidence[0])
-    doc, term, w = toxicity.vectors(texts[:1], model.term_of, model.idf, model.params)
-    e, s = toxicity.nearest(term, w.astype("float32"), model)
-    brute = []
-    for b, (own, weights) in enumerate(model.blocks):
-        for j in range(weights.shape[1]):
-            brute.append(sum(float(x) * float(weights[list(own).index(t), j]) for t, x in zip(term, w) if t in own))
-    assert sorted(brute)[::-1][: len(s)] == pytest.approx(list(s), abs=1e-5)
+    assert scores[0] > 0.3 > max(scores[1:4]) and len(evidence[0]) and model.slope > 0
+    rows = spark.createDataFrame([(i, t, "x", 1.0) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string, toxicity string, other double").repartition(3)
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(rows, model).collect()}
+    assert [got[i] for i in range(5)] == pytest.approx(list(scores), abs=1e-6) and got[5] == pytest.approx(got[0], abs=1e-6)
     assert toxicity.score(empty, model).count() == 0
     assert 0 <= toxicity.score_texts(["x"], toxicity.fit(df.limit(0)))[0][0] <= 1
 
 
+def test_toxicity_neighbours_equal_a_full_comparison(spark):
+    """The block bounds lose no neighbour: all weights are written out and compared with all."""
+    import numpy as np
+
+    df = spark.createDataFrame(toxic_rows(300), "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, toxicity.ToxParams(k=7, block=8, rows=5, min_chi2=1.0))
+    texts = [prose(i % 2) + " clown" * (i % 3 == 0) for i in range(40)]
+    doc, term, w = toxicity.vectors(texts, model.term_of, model.idf, model.params)
+    q = toxicity.dense(doc, term, w, len(texts), len(model.idf))
+    every = np.zeros((len(model.idf), len(model.labels)), np.float32)
+    for b, (own, weights) in enumerate(model.blocks):
+        every[own, b * 8 : b * 8 + weights.shape[1]] = weights
+    top, sims = toxicity.nearest(q, model)
+    whole = np.maximum(np.round((q @ every).astype(np.float64), 6), 0)
+    want = np.argsort(-(whole - np.arange(whole.shape[1]) * 1e-12), axis=1, kind="stable")[:, :7]
+    assert np.allclose(np.take_along_axis(whole, want, axis=1), np.round(sims, 6), atol=2e-6)
+    scores, _ = toxicity.score_texts(texts, model)
+    vote = toxicity.votes(top, sims, model)
+    assert np.allclose(scores, 1 / (1 + np.exp(-(model.slope * toxicity._logit(vote) + model.shift))), atol=1e-6)
+
+
+def test_toxicity_is_calibrated_and_finds_held_out(spark):
+    rng = random.Random(12)
+    bad = ["stupid clown", "you idiot", "dumb fool", "vile pig"]
+    rows = [(i, prose(0, 40) + (" " + rng.choice(bad) + " " + prose(0, 4) if i % 6 == 0 else ""), int(i % 6 == 0)) for i in range(900)]
+    model = toxicity.fit(spark.createDataFrame(rows[:600], "doc_id long, text string, toxic int"))
+    scores, _ = toxicity.score_texts([t for _, t, _ in rows[600:]], model)
+    label = [y for *_, y in rows[600:]]
+    found = sum(s >= 0.3 for s, y in zip(scores, label) if y)
+    assert found >= 0.9 * sum(label) and sum(s >= 0.3 for s, y in zip(scores, label) if not y) <= 0.05 * len(label)
+    assert abs(sum(scores) - sum(label)) <= 0.2 * sum(label) + 3
+
+
 def test_stages_decide_by_row(spark):
     """Rows that share a doc_id or have none: copies go, other rows of that doc_id stay."""
     import corpus_pipeline
