@@ -1,7 +1,8 @@
 """Corpus pipeline: language filter, exact and near deduplication, benchmark decontamination, piece encoding.
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame that is written as
-Parquet and read again as the next one's docs. All but the last return the columns of documents.
+Parquet and read again as the next one's docs. All but the last return the columns of documents. Other columns pass through every
+stage; rows may repeat, have no doc_id or share one, and texts may be null, empty or of any length. A stage gives no rows for none.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language that the classifier, trained on their labels, is sure of."""
+    """Documents whose text has a language that the classifier, trained on their labels, is sure of. Texts without letters, null ones
+    among them, go; where no document has a language, all stay."""
     model = langid.fit(docs)
     if not model.langs:  # nothing labelled: nothing can be rejected
         return docs
@@ -30,14 +32,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts, white space aside: the longest, then the smallest doc_id (null last)."""
+    """One row of each group of equal texts, white space aside: the longest, then the smallest doc_id (null last). Null and
+    empty texts are one group."""
     rows = keyed(docs)
     found = exactdedup.exact_duplicates(rows, key=ROW)
     return without(rows, found.filter("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of the n-gram Jaccard join (five words, 0.8): that with the smallest doc_id (null last)."""
+    """One row of each component of the n-gram Jaccard join (five words, 0.8): that with the smallest doc_id (null last). Texts
+    without words link with none and stay."""
     rows = keyed(docs)
     found = ngramjoin.jaccard_components(rows, key=ROW)
     return without(rows, found.filter("doc_id <> component_id"))
@@ -58,13 +62,13 @@ def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item within the error budget."""
+    """Documents that contain no benchmark item within the error budget. Null and empty texts contain none; null and empty items are in none."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.find_leaks(docs, items, out="__leaks").filter(F.size("__leaks") == 0).select(docs.columns)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece ids."""
+    """The documents with their piece ids; null and empty texts have none."""
     return spm.encode(docs)
 
 
