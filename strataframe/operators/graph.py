@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataframe.operators.kernels import labelled
-from strataframe.storage import checkpointed, stored
+from strataframe.storage import checkpointed, restored
 
 #: Edges that a task contracts together.
 CHUNK = 1_000_000
@@ -63,7 +63,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     that what one partition holds is done in one round. Null ends and loops are ignored as edges. An empty table gives none.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    pairs = stored(contracted(pairs), "edges")
+    pairs, path = restored(contracted(pairs), None, "edges")
     figures = lambda: pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     before = figures()
     for _ in range(max_rounds):
@@ -77,7 +77,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = stored(contracted(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()), "edges")
+        pairs, path = restored(contracted(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()), path, "edges")
         now = figures()
         if now == before:
             break
