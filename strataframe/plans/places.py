@@ -105,7 +105,7 @@ PICKS_SQL = f"""WITH {_SEGMENTS}, r AS ({TRIANGLES.format(t="customer")}),
 q AS (SELECT hit, triangle, ex - sx AS dx, ey - sy AS dy, ez - sz AS dz, w, h AS g, sx - x AS px, sy - y AS py, sz - z AS pz FROM h JOIN r ON x <= greatest(sx, ex) AND x + w >= least(sx, ex) AND z <= greatest(sz, ez) AND z + w >= least(sz, ez)),
 d AS (SELECT *, w * (dy * w + dz * g) + g * -(dx * w) AS det FROM q),
 u AS (SELECT hit, triangle, (px * (dy * w + dz * g) + py * -(dx * w) + pz * (-dx * g)) / det AS u, (dx * (-pz * g) + dy * (pz * w) + dz * (px * g - py * w)) / det AS v, (-g * (pz * w) + w * (px * g - py * w)) / det AS t FROM d WHERE det <> 0)
-SELECT hit, arg_min(triangle, (t, triangle)) AS triangle, round(min(t), 6) AS t FROM u WHERE u >= 0 AND v >= 0 AND u + v <= 1 AND t BETWEEN 0 AND 1 GROUP BY hit"""
+SELECT hit, arg_min(triangle, (t, triangle)) AS triangle, round(min(t), 6) + 0 AS t FROM u WHERE u >= 0 AND v >= 0 AND u + v <= 1 AND t BETWEEN 0 AND 1 GROUP BY hit"""
 
 
 def loop_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
