@@ -27,12 +27,14 @@ SPACE = b" \t\n\v\f\r"
 
 @dataclass(frozen=True)
 class ChunkParams:
-    """A boundary follows a window of `window` bytes whose hash has `bits` zero bits; chunks have min_bytes to max_bytes."""
+    """A boundary follows a window of `window` bytes whose hash has `bits` zero bits; chunks have min_bytes to max_bytes. hash_bytes: of a
+    chunk's identifier; clashes are found and told apart at any number."""
 
     window: int = 16
     bits: int = 11
     min_bytes: int = 512
     max_bytes: int = 16_384
+    hash_bytes: int = 16
 
 
 def cut_points(data: bytes, p: ChunkParams = ChunkParams()) -> list[int]:
@@ -66,7 +68,7 @@ def cut_points(data: bytes, p: ChunkParams = ChunkParams()) -> list[int]:
 
 
 def recipes(docs: DataFrame, params: ChunkParams = ChunkParams(), key: str = "doc_id", text: str = "text", contents: bool = True) -> DataFrame:
-    """Per row: doc_id, n_code_points of the text, text_sha256 of the normalised text, ids (16-byte chunk hashes in order), chunks (null without contents)."""
+    """Per row: doc_id, n_code_points of the text, text_sha256 of the normalised text, ids (chunk hashes in order), chunks (null without contents)."""
     bound_batches(docs.sparkSession)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,7 +79,7 @@ def recipes(docs: DataFrame, params: ChunkParams = ChunkParams(), key: str = "do
                 data = t.encode("utf-8", "surrogatepass").translate(None, SPACE)
                 ends = cut_points(data, params)
                 chunks = [data[a:b] for a, b in zip([0, *ends], ends)]
-                out.append((doc_id, len(t), hashlib.sha256(data).hexdigest(), [xxhash.xxh3_128_digest(c) for c in chunks], chunks if contents else None))
+                out.append((doc_id, len(t), hashlib.sha256(data).hexdigest(), [xxhash.xxh3_128_digest(c)[: params.hash_bytes] for c in chunks], chunks if contents else None))
             yield pd.DataFrame(out, columns=["doc_id", "n_code_points", "text_sha256", "ids", "chunks"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -103,11 +105,12 @@ def exact_duplicates(docs: DataFrame, params: ChunkParams = ChunkParams(), key:
         verified = path
     else:  # a hash with several contents: the recipe takes the rank of the content beside the hash
         ranked = contents.join(clash, "id", "left_semi").withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("chunk")))
-        pieces = recipes(docs, params, key, text).select("doc_id", "n_code_points", "text_sha256", F.posexplode(F.arrays_zip("ids", "chunks")).alias("pos", "c"))
-        pieces = pieces.select("doc_id", "n_code_points", "text_sha256", "pos", F.col("c.ids").alias("id"), F.col("c.chunks").alias("chunk"))
-        pieces = pieces.join(ranked, ["id", "chunk"], "left").withColumn("ident", F.concat("id", F.coalesce(F.col("rank"), F.lit(0)).cast("binary"))).select("doc_id", "n_code_points", "text_sha256", "pos", "ident").distinct()
-        pieces = pieces.groupBy("doc_id", "n_code_points", "text_sha256").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ident"))), lambda x: x["ident"]).alias("ids"))
-        verified = path.join(pieces.withColumnRenamed("ids", "own"), ["doc_id", "n_code_points", "text_sha256"], "left").withColumn("ids", F.coalesce("own", "ids")).drop("own")
+        pieces = recipes(docs, params, key, text).select("text_sha256", F.posexplode(F.arrays_zip("ids", "chunks")).alias("pos", "c"))
+        pieces = pieces.select("text_sha256", "pos", F.col("c.ids").alias("id"), F.col("c.chunks").alias("chunk")).distinct()
+        ident = F.concat("id", F.encode(F.coalesce("rank", F.lit(0)).cast("string"), "UTF-8"))
+        pieces = pieces.join(ranked, ["id", "chunk"], "left").select("text_sha256", "pos", ident.alias("ident"))
+        pieces = pieces.groupBy("text_sha256").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ident"))), lambda x: x["ident"]).alias("own"))
+        verified = path.join(stored(pieces, "ranked"), "text_sha256", "left").withColumn("ids", F.coalesce("own", "ids")).select("doc_id", "n_code_points", "text_sha256", "ids")
     best = F.min(F.struct((-F.col("n_code_points")).alias("order"), F.col("doc_id").alias("keep_id"))).alias("best")
     groups = verified.groupBy("ids").agg(best, F.count("*").alias("group_size"))
     # written first: both sides of the join are then plain shuffles, whose hot keys adaptive execution splits

@@ -14,7 +14,7 @@ hub is compared no further, so groups of copies cost in proportion to their size
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ class JoinParams:
     token frequent (raised by doubling until at most max_frequent tokens are, the bound of the broadcast).
     max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. block_rows, block_tokens: mean
     size, at most, of a block of sets that are compared all with all. class_ratio: between the sizes of the largest and
-    the smallest set of a block, where a family has several. seed: of the set identifiers."""
+    the smallest set of a block, where a family has several. id_bits: of the set identifiers."""
 
     words: int = 5
     num: int = 80
@@ -49,7 +49,7 @@ class JoinParams:
     block_rows: int = 512
     block_tokens: int = 1_000_000
     class_ratio: float = 1.05
-    seed: int = 0
+    id_bits: int = 64
 
     def least(self, n):
         """Least overlap that a set of n tokens needs."""
@@ -128,10 +128,13 @@ def token_sets(texts: list[str | None], words: int, slab: int = 1 << 20) -> list
     return out + (_some_sets(group, words) if group else [])
 
 
-def set_id(tokens: np.ndarray, seed: int) -> tuple[int, int]:
-    """(identifier, second hash) of a set, as signed 64-bit numbers."""
+def set_id(tokens: np.ndarray, p: JoinParams, clashing: frozenset[int] = frozenset()) -> tuple[int, int]:
+    """(identifier, second hash) of a set, as signed 64-bit numbers; sets of a clashing identifier have one by another hash."""
     data = tokens.tobytes()
-    return tuple(int(np.uint64(f(data, seed=seed)).view(np.int64)) for f in (xxhash.xxh3_64_intdigest, xxhash.xxh64_intdigest))
+    first, second, other = xxhash.xxh3_64_intdigest(data), xxhash.xxh64_intdigest(data), xxhash.xxh3_64_intdigest(data, seed=1)
+    first &= (1 << p.id_bits) - 1
+    signed = lambda v: v - (1 << 64) if v >= 1 << 63 else v
+    return signed(other if signed(first) in clashing else first), signed(second)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -218,14 +221,14 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, p: JoinParams) -> tupl
     return np.concatenate(keys), np.concatenate(kinds), len(dense)
 
 
-def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, text: str) -> DataFrame:
+def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, text: str, clashing: frozenset[int]) -> DataFrame:
     """Rows of two kinds in one pass: of texts (key, n, dense, sid, check; token null) and of the index (token, kind, sid)."""
     held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _texts(batches):
             own = token_sets(texts.to_pylist(), p.words)
-            ids = np.array([set_id(x, p.seed) for x in own], np.int64).reshape(-1, 2)
+            ids = np.array([set_id(x, p, clashing) for x in own], np.int64).reshape(-1, 2)
             parts = [prefix_keys(x, held.value, p) for x in own]
             # equal sets of a batch are indexed once
             new = np.zeros(len(own), bool)
@@ -251,7 +254,7 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, t
     return _two(docs, key, text).mapInArrow(run, f"token long, kind int, sid long, n int, dense int, check long, key {docs.schema[key].dataType.simpleString()}")
 
 
-def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str, text: str, most_bits: int = 26) -> DataFrame:
+def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str, text: str, clashing: frozenset[int], most_bits: int = 26) -> DataFrame:
     """(sid, tokens) of the sets of the wanted keys, and of some more: a bitmap of fixed size tells which texts to read."""
     bits = min(most_bits, max(10, int(8 * wanted.count()).bit_length()))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << bits))
@@ -265,7 +268,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
             b = batch.column(2).to_numpy()
             some = held.value[b >> 5] >> (b & 31).astype(np.uint32) & 1 == 1
             own = token_sets(pc.filter(batch.column(1), pa.array(some)).to_pylist(), p.words)
-            found = {set_id(x, p.seed)[0]: x for x in own}
+            found = {set_id(x, p, clashing)[0]: x for x in own}
             ends = np.cumsum([0, *map(len, found.values())]).astype(np.int32)
             flat = np.concatenate([*found.values(), np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "tokens"])
@@ -274,11 +277,11 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
     return _two(docs, key, text).withColumn("b", place).mapInArrow(run, "sid long, tokens array<long>")
 
 
-def sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, p: JoinParams, key: str, text: str) -> DataFrame:
+def sets_of(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, p: JoinParams, key: str, text: str, clashing: frozenset[int]) -> DataFrame:
     """(sid, tokens) of the sets on pairs, written to the shared folder, each once."""
     ids = stored(pairs.select(F.explode(F.array("src", "dst")).alias("sid")).distinct(), "wanted")
     wanted = ids.join(nodes, "sid").select(F.col("least").alias("key"))
-    return stored(candidate_sets(docs, wanted, p, key, text).join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+    return stored(candidate_sets(docs, wanted, p, key, text, clashing).join(ids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
@@ -303,7 +306,7 @@ def verified(pairs: DataFrame, sets: DataFrame, p: JoinParams) -> DataFrame:
     return rows.mapInArrow(check, "src long, dst long, overlap long, total long")
 
 
-def family_links(core: DataFrame, docs: DataFrame, nodes: DataFrame, known: DataFrame, p: JoinParams, key: str, text: str) -> DataFrame:
+def family_links(core: DataFrame, docs: DataFrame, nodes: DataFrame, known: DataFrame, p: JoinParams, key: str, text: str, clashing: frozenset[int]) -> DataFrame:
     """Links that connect what shares combinations of frequent tokens: (src, dst), a spanning forest for each task.
 
     core: (sid, low), a set and the least set of a bucket it is in. Sets joined by buckets are a family; its members of
@@ -328,7 +331,7 @@ def family_links(core: DataFrame, docs: DataFrame, nodes: DataFrame, known: Data
     tasks = a.join(b, meet).select(F.col("a.family").alias("family"), F.col("a.block").alias("x"), F.col("b.block").alias("y"))
     tasks = tasks.withColumn("block", F.explode(F.array_distinct(F.array("x", "y"))))
     wanted = members.select(F.col("sid").alias("src"), F.col("sid").alias("dst"))
-    sets = sets_of(docs, wanted, nodes, p, key, text)
+    sets = sets_of(docs, wanted, nodes, p, key, text, clashing)
     rows = tasks.join(members, ["family", "block"]).join(sets, "sid").select("family", "x", "y", "block", "sid", "part", "tokens")
 
     def link(group: pa.Table) -> pa.Table:
@@ -372,24 +375,26 @@ def family_links(core: DataFrame, docs: DataFrame, nodes: DataFrame, known: Data
     return stored(rows.groupBy("family", "x", "y").applyInArrow(link, "src long, dst long"), "family_links")
 
 
-def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id", text: str = "text", clashing: frozenset[int] = frozenset()) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles (set size), component_id (least key reachable by links, its own included).
 
     A-Z count as a-z; words are what stands between ASCII white space. Texts without words (null, empty, blank) have
     an empty set and link with nothing. Rows may repeat keys or texts. Rows with a null key keep a null component
-    unless they link to others. Other columns are not read.
+    unless they link to others. Other columns are not read. clashing: identifiers that several sets have, found by the join itself: of
+    64 bits a few at 10**10 sets, so that they fit the driver.
     """
     p = params
     spark = docs.sparkSession
     frequent = frequent_tokens(docs, p, key, text)
     path = fresh_path(spark, "index")
-    index_rows(docs, frequent, p, key, text).write.parquet(path)
+    index_rows(docs, frequent, p, key, text, clashing).write.parquet(path)
     rows = spark.read.parquet(path)
     texts = stored(rows.filter("token IS NULL").select("key", "n", "dense", "sid", "check"), "texts")
     nodes = texts.filter("n > 0").groupBy("sid").agg(F.min("key").alias("least"), F.min("n").alias("n"), F.min("dense").alias("dense"), F.min("check").alias("c0"), F.max("check").alias("c1"))
     nodes = stored(nodes, "nodes")
-    if not nodes.filter("c0 <> c1").isEmpty():  # two sets under one identifier: others are needed
-        return jaccard_components(docs, replace(p, seed=p.seed + 1), key, text)
+    found = [r["sid"] for r in nodes.filter("c0 <> c1").select("sid").collect()]
+    if found:  # two sets under one identifier: all over, with other ones for these
+        return jaccard_components(docs, p, key, text, clashing | frozenset(found))
     # buckets that hold two different sets at least; of the frequent tokens alone, those of a set that is not combined. A
     # bucket's rows pass one task, which keeps them on disk beyond its memory
     per = W.partitionBy("token")
@@ -407,13 +412,13 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     hubs = hubs.groupBy(F.least("sid", "hub").alias("src"), F.greatest("sid", "hub").alias("dst")).agg(F.count("*").alias("c"))
     hubs = hubs.join(sized("src"), "src").join(sized("dst"), "dst").filter(fits & (4 * p.den * F.col("c") >= (p.den - p.num) * most))
     hubs = stored(hubs.select("src", "dst"), "hubs")
-    links = stored(verified(hubs, sets_of(docs, hubs, nodes, p, key, text), p), "links")
+    links = stored(verified(hubs, sets_of(docs, hubs, nodes, p, key, text, clashing), p), "links")
     known = connected_components(links)
     released(spark)
     # then what shares a bucket and is not connected yet, and shares as many rare tokens as the prefixes demand
     core = live.filter(F.col("kind") >= COMBINED).select("sid", "low").filter("sid <> low").distinct()
     if not core.isEmpty():
-        links = links.select("src", "dst").unionByName(family_links(core, docs, nodes, known, p, key, text))
+        links = links.select("src", "dst").unionByName(family_links(core, docs, nodes, known, p, key, text, clashing))
         known = connected_components(links)
     live = live.filter(F.col("kind") == RARE)
     placed = live.join(known, F.col("sid") == F.col("node"), "left").select("token", "kind", "sid", F.coalesce("component", "sid").alias("part")).distinct()
@@ -428,7 +433,7 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     rest = rest.filter(F.col("rare") + F.least("dense_src", "dense_dst") >= demanded)
     rest = stored(rest.join(hubs, ["src", "dst"], "left_anti").select("src", "dst"), "rest")
     if not rest.isEmpty():
-        links = links.select("src", "dst").unionByName(stored(verified(rest, sets_of(docs, rest, nodes, p, key, text), p), "links").select("src", "dst"))
+        links = links.select("src", "dst").unionByName(stored(verified(rest, sets_of(docs, rest, nodes, p, key, text, clashing), p), "links").select("src", "dst"))
     released(spark)
     parts = connected_components(links)
     named = parts.join(nodes, parts["node"] == nodes["sid"]).select("sid", "component", "least")

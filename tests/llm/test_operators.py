@@ -109,6 +109,51 @@ def test_ngram_join(spark, texts, empty):
     assert ngramjoin.jaccard_components(empty).count() == 0
 
 
+def test_ngram_join_with_clashing_identifiers(spark, texts):
+    """So few bits that several sets share an identifier; null and repeated keys."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    params = ngramjoin.JoinParams(words=4, num=85, den=100)
+    want = {tuple(r) for r in ngramjoin.jaccard_components(docs, params).collect()}
+    sizes, heads = components(texts, 4, 85, 100)
+    assert want == set(zip(range(len(texts)), sizes, heads))
+    few = ngramjoin.JoinParams(words=4, num=85, den=100, id_bits=7)
+    assert {tuple(r) for r in ngramjoin.jaccard_components(docs, few).collect()} == want
+    a, b = prose(0, 40), prose(1, 40)
+    odd = spark.createDataFrame([(None, a), (None, b), (4, a + " end"), (7, b), (7, a), (None, None), (7, "")], "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngramjoin.jaccard_components(odd).collect()), key=repr)
+    assert got == sorted([(None, 36, 4), (4, 37, 4), (7, 36, 4), (None, 36, 7), (7, 36, 7), (None, 0, None), (7, 0, 7)], key=repr)
+
+
+def test_exact_with_clashing_hashes(spark, docs):
+    """Chunk identifiers of one byte, or none: contents decide; text ids."""
+    want = sorted(map(repr, exactdedup.exact_duplicates(docs).collect()))
+    for n in (1, 0):
+        assert sorted(map(repr, exactdedup.exact_duplicates(docs, exactdedup.ChunkParams(hash_bytes=n)).collect())) == want
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    assert exactdedup.exact_duplicates(named).filter("kept").count() == exactdedup.exact_duplicates(docs).filter("kept").count()
+
+
+def test_language_counts_equal_plain_bayes(spark):
+    """Log-probabilities of hashed n-grams summed in plain Python; ties, one language, clashing names."""
+    import numpy as np
+
+    rows = [(i, prose(i % 2, 20), "ab"[i % 2], 1, 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred int, score int").repartition(2)
+    model = langid.fit(df)
+    got = {r["doc_id"]: r for r in langid.identify(df, model).collect()}
+    for i, t, *_ in rows[:6]:
+        total = model.prior.copy()
+        for h, some, _ in langid._bucket_codes([t], model.params):
+            for k in range(2):
+                total[k] += float(model.log_prob[k][h[some]].astype(np.float64).sum())
+        p = np.exp(total - total.max())
+        assert got[i]["lang_pred"] == model.langs[int(total.argmax())] and got[i]["score"] == pytest.approx(p.max() / p.sum(), abs=1e-6)
+    one = langid.fit(df.filter("lang = 'a'"))
+    assert [tuple(r) for r in langid.identify(df.limit(1), one).select("lang_pred", "score").collect()] == [("a", 1.0)]
+    both = spark.createDataFrame([(1, "abc", "y"), (2, "abc", "x")], "doc_id long, text string, lang string")
+    assert {(r["lang_pred"], r["score"]) for r in langid.identify(both, langid.fit(both)).collect()} == {("x", 0.5)}  # a tie: the language that sorts first
+
+
 def test_leaks(spark, docs, texts, empty):
     item = texts[4][10:200]
     typo = item[:50] + "q" + item[52:]
