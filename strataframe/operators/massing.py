@@ -8,12 +8,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
-from strataframe.config import GridMassing
+from strataframe.config import RESIDUAL_GRID, GridMassing, Residual, Split, configured
 from strataframe.functions import polygons
 from strataframe.functions.building import FloorParams
 from strataframe.operators.kernels import by_group, labelled
-from strataframe.operators.masks import checked
+from strataframe.operators.masks import CELL, chains, checked, components
+from strataframe.operators.places import cropped
 
 #: How far an unsupported floor's area may be from the body's it joins, and a body above the roof may reach.
 NEAR_AREA, UPPER_SHARE = (0.85, 1.15), 0.65
@@ -113,8 +116,8 @@ def analysed(floors: list[np.ndarray], cell: float, size: tuple[float, float, fl
     slab, n = FloorParams().slab, len(floors)
     if n < p.min_floors:
         raise ValueError("too few legacy floors")
-    side = [np.maximum(0, np.minimum(cell, s - np.arange(m) * cell)) for s, m in zip((size[0], size[2]), floors[0].shape)]
-    area = side[0][:, None] * side[1][None, :]
+    widths = [np.maximum(0, np.minimum(cell, s - np.arange(m) * cell)) for s, m in zip((size[0], size[2]), floors[0].shape)]
+    area = widths[0][:, None] * widths[1][None, :]
     known: dict[bytes, tuple] = {}
     rows: list[dict | None] = []
     for grid in floors:
@@ -209,3 +212,47 @@ def grid_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassi
 
     rows = models.select("m", *figures).join(cells.select("m", "k", "i", "j"), "m", "left")
     return by_group(rows, ["m"], analyse, [models.schema["m"], ("tiers", TIERS), ("height", "double"), ("area", "double"), ("confidence", "double"), ("reason", "string")])
+
+
+def part_plans(parts: DataFrame, models: DataFrame, side: int, params: GridMassing, elevated: bool) -> DataFrame:
+    """m, body, cells, most, first, tiers, height, area, confidence, reason of each part (cells with m, body, component, k, i, j) as a grid of its own."""
+    shape = cropped(parts, elevated)
+    sizes = parts.groupBy("m", "body").agg(F.count("*").alias("cells")).join(parts.groupBy("m", "body", "k").agg(F.count("*").alias("n")).groupBy("m", "body").agg(F.max("n").alias("most")), ["m", "body"])
+    c, slab = F.col, FloorParams().slab
+    base = lambda k: F.when(k <= 1, F.lit(0.0)).otherwise(slab + c("ground") + (k - 2) * (c("upper") + slab))
+    span = lambda v, size: F.least(c(f"{v}1") * c("cell"), c(size)) - (c(f"{v}0") - 1) * c("cell")
+    own = shape.join(models, "m")
+    made = own.filter("reason IS NULL").select(
+        c("body").alias("m"), "cell", span("i", "size_x").alias("size_x"), (F.least("size_y", base(c("last") + 1) + slab) - base(c("first"))).alias("size_y"), span("j", "size_z").alias("size_z"),
+        F.when(c("first") == 1, c("ground")).otherwise(c("upper")).alias("ground"), "upper", (c("last") - c("first") + 1).cast("int").alias("floors"),
+    )
+    moved = parts.join(shape.filter("reason IS NULL").select("m", "body", "first", "i0", "j0"), ["m", "body"])
+    cells = moved.select(c("body").alias("m"), *((c(v) - c(o) + 1).cast("int").alias(v) for v, o in (("k", "first"), ("i", "i0"), ("j", "j0"))))
+    plans = grid_plans(cells, made, side, params).select(c("m").alias("body"), "tiers", "height", "area", "confidence", c("reason").alias("__why"))
+    rows = shape.select("m", "body", "first", "reason").join(sizes, ["m", "body"]).join(plans, "body", "left")
+    return rows.select("m", "body", "cells", "most", "first", "tiers", "height", "area", "confidence", F.coalesce("reason", "__why").alias("reason"))
+
+
+def split_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing = GridMassing(), split: Split = Split()) -> DataFrame:
+    """part_plans of the vertical bodies of each model, and source_reason: null where all substantial bodies have a plan; a body is tiny, and left out of
+    that, with at most max_tiny_cells cells a floor and max_tiny_fraction of the model's cells. All outputs of a model, or none."""
+    flat = components(cells, side)
+    both = flat.join(components(cells, side, vertical=True).withColumnRenamed("component", "body"), CELL)
+    plans = part_plans(both, models, side, params, elevated=False)
+    own = W.partitionBy("m")
+    tiny = (F.col("most") <= split.max_tiny_cells) & (F.col("cells") <= F.sum("cells").over(own) * split.max_tiny_fraction)
+    rows = plans.withColumn("tiny", tiny)
+    count = F.sum((~F.col("tiny")).cast("int")).over(own)
+    worst = F.min(F.when(~F.col("tiny"), F.col("reason"))).over(own)
+    return rows.withColumn("source_reason", F.when(count < 2, "one body only").when(count > split.max_bodies, "too many bodies").otherwise(worst))
+
+
+def residual_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing | None = None, residual: Residual = Residual()) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rest): the unbranched runs of floors of each model that make a plan and hold at least min_extract_fraction of its cells, and the cells that
+    no accepted run holds: together each cell once."""
+    runs = components(cells, side).join(chains(cells, side).select("component", F.col("chain").alias("body")).distinct(), "component")
+    plans = part_plans(runs, models, side, params or configured(GridMassing, RESIDUAL_GRID), elevated=True)
+    total = F.sum("cells").over(W.partitionBy("m"))
+    good = F.col("reason").isNull() & (F.col("most") > residual.max_tiny_cells) & (F.col("cells") >= total * residual.min_extract_fraction)
+    accepted = plans.withColumn("__ok", good).filter("__ok").drop("__ok")
+    return accepted, runs.join(accepted.select("m", "body"), ["m", "body"], "left_anti").select(*CELL)

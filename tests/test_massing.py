@@ -63,3 +63,19 @@ def test_plans_of_models(spark):
     models = spark.createDataFrame([(m, CELL, *SIZE, 15.0, 12.5, 6) for m in (1, 2, 3)], "m long, cell double, size_x double, size_y double, size_z double, ground double, upper double, floors int")
     got = {r["m"]: r for r in massing.grid_plans(spark.createDataFrame(cells, "m long, k int, i int, j int"), models, SIDE).collect()}
     assert len(got[1]["tiers"]) == 1 and got[1]["reason"] is None and "courtyard" in got[2]["reason"] and got[3]["reason"] == "ground floor is not a complete usable body"
+
+
+def test_splits_and_residuals(spark):
+    """Two towers on their own, two on a podium, and a tower with a speck beside it."""
+    tower = [(1, 9, 1, 19), (11, 19, 1, 19)]
+    models = {1: [floor(*tower)] * 6, 2: [floor((1, 19, 1, 19))] * 3 + [floor(*tower)] * 4, 3: [floor(tower[0])] * 6, 4: [floor(*tower) | floor((0, 1, 0, 1))] + [floor(*tower)] * 5}
+    cells = spark.createDataFrame([(m, k + 1, int(i) + 1, int(j) + 1) for m, floors in models.items() for k, g in enumerate(floors) for i, j in np.argwhere(g)], "m long, k int, i int, j int")
+    frames = spark.createDataFrame([(m, CELL, 60.0, 130.0, 60.0, 15.0, 12.5, len(f)) for m, f in models.items()], "m long, cell double, size_x double, size_y double, size_z double, ground double, upper double, floors int")
+    got = massing.split_plans(cells, frames, SIDE).collect()
+    why = {r["m"]: r["source_reason"] for r in got}
+    assert why[1] is None and why[3] == "one body only" and why[2] == "one body only" and why[4] is None
+    assert sorted(r["area"] for r in got if r["m"] == 1) == [pytest.approx(24 * 54)] * 2 and sum(r["tiny"] for r in got) == 1
+    accepted, rest = massing.residual_plans(cells, frames, SIDE)
+    taken = {(r["m"], r["first"]): r["cells"] for r in accepted.orderBy("m").collect()}
+    assert taken[2, 1] == 3 * 18 * 18 and taken[2, 4] == 4 * 8 * 18
+    assert sum(r["cells"] for r in accepted.collect()) + rest.count() == cells.count() and rest.count() == 1
