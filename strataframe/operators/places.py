@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.functions import building, geometry, motion, polygons
+from strataframe.functions import building, geometry, motion, polygons, rings
 from strataframe.operators.kernels import by_group
 from strataframe.operators.rings import _cell, spread, turned_overlaps
 
@@ -206,3 +206,29 @@ def moved_frame(at: Column, yaw: Column, saved: Column, saved_yaw: Column, pivot
 def nth_of(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The nth row, from 1, in an order that ends with a key; one row is shown at a time."""
     return rows.withColumn("__n", F.row_number().over(W.orderBy(*order))).filter(C("__n") == n).drop("__n")
+
+
+def measured_box(a: Column, b: Column, c: Column, ground: Column, roof: Column | None = None, most: float = 5.0) -> Column:
+    """struct(at, size, right, reason): the upright box whose roof has the corners a, b and c, c beside one of the others: from the ground to the mean height
+    of the corners, or to `roof`. right is the level direction of its width, so that its depth is positive. Corners more than `most` apart in height are refused."""
+    rise = F.greatest(a["y"], b["y"], c["y"]) - F.least(a["y"], b["y"], c["y"])
+    top = (a["y"] + b["y"] + c["y"]) / 3 if roof is None else F.coalesce(roof, (a["y"] + b["y"] + c["y"]) / 3)
+    dx, dz = b["x"] - a["x"], b["z"] - a["z"]
+    width = F.hypot(dx, dz)
+    ux, uz = dx / width, dz / width
+    # the level direction across: right, turned by a quarter
+    deep = (c["x"] - a["x"]) * -uz + (c["z"] - a["z"]) * ux
+    sign = F.when(deep < 0, -1.0).otherwise(1.0)
+    depth = F.abs(deep)
+    middle = motion.vector((a["x"] + b["x"]) / 2 - uz * deep / 2, (top + ground) / 2, (a["z"] + b["z"]) / 2 + ux * deep / 2)
+    reason = F.when((rise >= most) & (F.lit(True) if roof is None else roof.isNull()), "corners are on different roofs").when(ground.isNull(), "ground missing").when(~(width > 0) | ~(depth > 0), "corners are in line")
+    size = motion.vector(width, top - ground, depth)
+    return F.struct(F.when(reason.isNull(), middle).alias("at"), F.when(reason.isNull(), size).alias("size"), F.when(reason.isNull(), rings.point(ux * sign, uz * sign)).alias("right"), reason.alias("reason"))
+
+
+def shell_sections(parts: DataFrame, by: list[str]) -> DataFrame:
+    """by, sections (array of at, size, yaw, floors, core by part), reason: an authored shell's blocks as sections; refused where a part is no block."""
+    own = F.struct("part", "at", "size", "yaw", "floors", "core")
+    found = parts.groupBy(*by).agg(F.array_sort(F.collect_list(own)).alias("s"), F.bool_and(C("kind") == "block").alias("__ok"))
+    reason = F.when(~C("__ok"), "only block parts are accepted")
+    return found.select(*by, F.when(reason.isNull(), C("s")).alias("sections"), reason.alias("reason"))

@@ -227,7 +227,34 @@ def part_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 TEMPLATES_SQL = """WITH t AS (SELECT p_type, max(p_size) AS size FROM part WHERE p_size > 25 GROUP BY p_type)
 SELECT p_partkey, coalesce(size, 10) AS size, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_partkey % 256 WHEN p_partkey % 5 > 0 THEN p_size ELSE 128 END AS BIGINT) AS colour FROM part LEFT JOIN t USING (p_type)"""
 
+def measured_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turned boxes from three corners of their roofs, the third beside the first or the second, on either side; some roofs are uneven."""
+    rows = _turned(spark, sf_dir).withColumn("flip", F.when(C("id") % 2 == 0, 1.0).otherwise(-1.0))
+    rise = F.when(C("id") % 11 == 3, 6.0).otherwise(0.3)
+    corner = lambda i, j, up: motion.to_world(motion.vector(C("size.x") * i / 2, C("size.y") / 2 + up, C("size.z") * j / 2), C("at"), C("yaw"))
+    a, b = corner(F.lit(-1.0), C("flip"), F.lit(0.0)), corner(F.lit(1.0), C("flip"), F.lit(0.0))
+    c = corner(F.when(C("id") % 3 == 0, -1.0).otherwise(1.0), -C("flip"), rise)
+    ground = F.when(C("id") % 13 != 5, C("at.y") - C("size.y") / 2)
+    rows = rows.select("id", places.measured_box(a, b, c, ground).alias("m"))
+    return rows.select("id", *(F.round(f"m.at.{v}", 4).alias(v) for v in "xyz"), *(F.round(f"m.size.{v}", 4).alias(f"s{v}") for v in "xyz"), "m.reason")
+
+
+MEASURED_SQL = f"""WITH t AS (SELECT *, CASE WHEN id % 11 = 3 THEN 'corners are on different roofs' WHEN id % 13 = 5 THEN 'ground missing' END AS reason FROM ({TURNED.format(t="customer")}))
+SELECT id, CASE WHEN reason IS NULL THEN round(x, 4) END AS x, CASE WHEN reason IS NULL THEN round(y + 0.05::DOUBLE, 4) END AS y, CASE WHEN reason IS NULL THEN round(z, 4) END AS z, CASE WHEN reason IS NULL THEN round(sx, 4) END AS sx, CASE WHEN reason IS NULL THEN round(sy + 0.1::DOUBLE, 4) END AS sy, CASE WHEN reason IS NULL THEN round(sz, 4) END AS sz, reason FROM t"""
+
+
+def shell_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as authored shells of turned boxes; those with a part that is no block are refused."""
+    parts = _turned(spark, sf_dir).select("c_nationkey", C("id").alias("part"), "at", "size", "yaw", F.when(C("id") % 2 == 0, C("id") % 9).alias("floors"), (C("id") % 3 == 0).alias("core"), F.when(C("id") % 97 == 5, "wedge").otherwise("block").alias("kind"))
+    found = places.shell_sections(parts, ["c_nationkey"])
+    total = F.aggregate("sections", F.lit(0.0), lambda s, x: s + x["size"]["x"] * x["size"]["z"])
+    return found.select("c_nationkey", F.when(C("reason").isNull(), F.size("sections")).alias("n"), F.round(total, R).alias("area"), "reason")
+
+
+SHELL_SQL = f"""WITH t AS ({TURNED.format(t="customer")})
+SELECT c_nationkey, CASE WHEN NOT bool_or(id % 97 = 5) THEN CAST(count(*) AS INTEGER) END AS n, CASE WHEN NOT bool_or(id % 97 = 5) THEN round(sum(sx * sz), 6) END AS area, CASE WHEN bool_or(id % 97 = 5) THEN 'only block parts are accepted' END AS reason FROM t GROUP BY c_nationkey"""
+
 SQL = {
     sampled_solids: SOLIDS_SQL, sampled_sections: SECTIONS_SQL, body_crops: CROPS_SQL, cell_corners: CORNER_SQL, ground_probes: GROUND_SQL, ray_picks: PICKS_SQL, loop_tracks: TRACKS_SQL, part_rules: RULES_SQL,
-    section_contracts: CONTRACTS_SQL, plan_audits: PLANS_SQL, mesh_frames: MESH_FRAMES_SQL, segment_tests: SEGMENT_SQL, part_templates: TEMPLATES_SQL,
+    section_contracts: CONTRACTS_SQL, plan_audits: PLANS_SQL, mesh_frames: MESH_FRAMES_SQL, segment_tests: SEGMENT_SQL, measured_boxes: MEASURED_SQL, shell_sections: SHELL_SQL, part_templates: TEMPLATES_SQL,
 }
