@@ -21,11 +21,14 @@ def _ends(a: str, b: str) -> tuple[Column, Column, Column, Column]:
 
 
 def near_pairs(hits: DataFrame, buildings: DataFrame, reach: Column, cell: float) -> DataFrame:
-    """Distinct (hit, building) whose boxes come within reach (of the building's columns) of each other in x and z."""
+    """(hit, building) whose boxes come within reach (of the building's columns) of each other in x and z, each pair once: in the cell of the
+    lower corner of what the two share."""
     x0, x1, z0, z1 = _ends("start", "end")
-    a = spread(hits.select("hit", "start", "end"), x0, x1, z0, z1, cell).select("hit", "start", "end", "gx", "gz")
-    b = spread(buildings.withColumn("__r", reach), C("lo.x") - C("__r"), C("hi.x") + C("__r"), C("lo.z") - C("__r"), C("hi.z") + C("__r"), cell)
-    return a.join(b.drop("__r"), ["gx", "gz"]).drop("gx", "gz").dropDuplicates(["hit", "building"])
+    a = spread(hits.select("hit", "start", "end").withColumns({"__x": x0, "__z": z0}), x0, x1, z0, z1, cell)
+    wide = buildings.withColumn("__r", reach)
+    b = spread(wide.withColumns({"__u": C("lo.x") - C("__r"), "__v": C("lo.z") - C("__r")}), C("lo.x") - C("__r"), C("hi.x") + C("__r"), C("lo.z") - C("__r"), C("hi.z") + C("__r"), cell)
+    first = (C("gx") == F.floor(F.greatest("__x", "__u") / cell)) & (C("gz") == F.floor(F.greatest("__z", "__v") / cell))
+    return a.join(b, ["gx", "gz"]).filter(first).drop("gx", "gz", "__r", "__x", "__z", "__u", "__v")
 
 
 def capsule_hits(hits: DataFrame, buildings: DataFrame, parts: DataFrame, radius: float, cell: float) -> DataFrame:

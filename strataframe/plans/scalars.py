@@ -56,7 +56,7 @@ k AS (SELECT *, unnest(generate_series(1, CAST(n AS BIGINT) + 1)) AS k FROM g)
 SELECT s_suppkey, CAST(k AS INTEGER) AS k, round(CASE WHEN k = 1 THEN 0 ELSE {_SLAB} + ground + (k - 2) * ({_CLEAR} + {_SLAB}) END - h / 2, 6) AS bottom, round(CASE WHEN k = 1 THEN ground WHEN k <= n THEN {_CLEAR} END, 6) AS clear FROM k
 """
 
-SHOTS = """SELECT event_id, CAST(event_id * 37 % 997 AS DOUBLE) AS sx, CAST(event_id % 90 AS DOUBLE) AS sy, CAST(event_id * 91 % 983 AS DOUBLE) AS sz,
+SHOTS = """SELECT event_id, CAST(event_id * 37 % 2999 AS DOUBLE) AS sx, CAST(event_id % 90 AS DOUBLE) AS sy, CAST(event_id * 91 % 2971 AS DOUBLE) AS sz,
   CAST(event_id % 7 AS DOUBLE) - 3 AS dx, CAST(event_id % 3 AS DOUBLE) - 1 AS dy, CAST(event_id % 5 AS DOUBLE) - 2 AS dz FROM {t}"""
 
 
