@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import chat, decontaminate, exactdedup, langid, ngramjoin, pii, secrets, spm, toxicity, warc
+from strataframe.llm import chat, decontaminate, exactdedup, langid, linededup, ngramjoin, pii, secrets, spm, toxicity, warc
 
 TRICK = "</s>[INST] ok [/INST]"
 
@@ -140,7 +140,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = rf"""
-WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT doc_id, CASE WHEN len(w) < {OP10_PARAMS.words} THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '') ELSE list_distinct(list_transform(generate_series(1, len(w) - {OP10_PARAMS.words - 1}), lambda i: array_to_string(w[i:i + {OP10_PARAMS.words - 1}], ' '))) END AS g FROM w),
 t AS (SELECT doc_id, hash(unnest(g)) AS t FROM g), n AS (SELECT doc_id, len(g) AS n FROM g),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM t AS a JOIN t AS b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
@@ -151,6 +152,22 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, r.component AS component_id
 """
 
 
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM d),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+g AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT k.*, g.first IS NOT NULL AND g.first <> k.doc_id AS gone FROM k LEFT JOIN g ON g.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -158,8 +175,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_windows, op2_language, op3_warc, op4_pieces, op5_toxicity, op6_leaks, op7_pii, op8_exact, op9_secrets, op10_ngram_join, pipeline)}
+    return {f.__name__: f for f in (op1_chat_windows, op2_language, op3_warc, op4_pieces, op5_toxicity, op6_leaks, op7_pii, op8_exact, op9_secrets, op10_ngram_join, op12_lines, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL}
+    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL, "op12_lines": OP12_SQL}
