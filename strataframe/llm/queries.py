@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import chat, decontaminate, exactdedup, langid, linededup, ngramjoin, pii, secrets, spm, toxicity, warc
+from strataframe.llm import centroids, chat, decontaminate, exactdedup, langid, linededup, ngramjoin, pii, secrets, spm, toxicity, warc
 
 TRICK = "</s>[INST] ok [/INST]"
 
@@ -168,6 +170,37 @@ FROM m GROUP BY doc_id
 """
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    total = lambda c: F.sum(F.col(c).cast("decimal(38, 0)")).try_cast("long")
+    sums = {r["cluster"]: r["s"] for r in found.rows.groupBy("cluster").agg(total("distance").alias("s")).collect()}  # a row a centroid
+    shown = [(n, sums.get(n), hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for n, c in enumerate(found.centroids)]
+    each = spark.createDataFrame(shown, "cluster int, cluster_inertia long, centroid_sha256 string")
+    whole = None if None in sums.values() or sum(sums.values()) > centroids.LARGEST else sum(sums.values())
+    return found.rows.join(F.broadcast(each), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", F.lit(whole).cast("long").alias("inertia"), "centroid_sha256")
+
+
+def _op13_sql(p: centroids.CentroidParams = centroids.CentroidParams()) -> str:
+    """Every round written out, as its centroids rest on those of the round before."""
+    near = "SELECT vec_id, vec, arg_min(cl, (dist, cl)) AS cl, min(dist) AS dist FROM (SELECT vec_id, vec, cl, CAST(list_sum(list_transform(list_zip(vec, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS dist FROM v, c{0}) GROUP BY vec_id, vec"
+    text = f"""WITH f AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE len(embedding) = {p.dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {p.dims}),
+v AS MATERIALIZED (SELECT vec_id, list_transform(e, lambda x: CAST(floor({p.scale} * x) AS BIGINT)) AS vec FROM f),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS cl, vec AS c FROM (SELECT sha256('{p.seed}:' || vec_id) AS h, vec FROM v ORDER BY h LIMIT {p.k}))"""
+    for r in range(p.rounds):
+        text += f""",
+a{r} AS MATERIALIZED ({near.format(r)}),
+s{r} AS (SELECT cl, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT cl, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM a{r}) GROUP BY cl, i),
+m{r} AS (SELECT cl, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY cl),
+c{r + 1} AS MATERIALIZED (SELECT o.cl, coalesce(m.c, o.c) AS c FROM c{r} AS o LEFT JOIN m{r} AS m ON m.cl = o.cl)"""
+    return text + f""",
+a AS MATERIALIZED ({near.format(p.rounds)})
+SELECT a.vec_id, CAST(a.cl AS INTEGER) AS cluster, a.dist AS distance, CAST(sum(a.dist) OVER (PARTITION BY a.cl) AS BIGINT) AS cluster_inertia, CAST(sum(a.dist) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a JOIN c{p.rounds} AS c ON c.cl = a.cl"""
+
+
+OP13_SQL = _op13_sql()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -175,8 +208,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_windows, op2_language, op3_warc, op4_pieces, op5_toxicity, op6_leaks, op7_pii, op8_exact, op9_secrets, op10_ngram_join, op12_lines, pipeline)}
+    return {f.__name__: f for f in (op1_chat_windows, op2_language, op3_warc, op4_pieces, op5_toxicity, op6_leaks, op7_pii, op8_exact, op9_secrets, op10_ngram_join, op12_lines, op13_centroids, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL, "op12_lines": OP12_SQL}
+    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL, "op12_lines": OP12_SQL, "op13_centroids": OP13_SQL}
