@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm import centroids, chat, decontaminate, exactdedup, langid, linededup, ngramjoin, pii, secrets, spm, toxicity, warc
+from strataframe.llm import centroids, chat, decontaminate, exactdedup, langid, linededup, ngramjoin, pii, secrets, spelling, spm, toxicity, warc
 
 TRICK = "</s>[INST] ok [/INST]"
 
@@ -154,6 +154,43 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, r.component AS component_id
 """
 
 
+OP11_PARAMS = spelling.SpellingParams(slip=31)
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), OP11_PARAMS)
+
+
+def _crc_table() -> str:
+    """The table of CRC-32 by its rule, as a list in SQL."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [x >> 1 ^ 0xEDB88320 * (x & 1) for x in table]
+    return f"[{', '.join(map(str, table))}]"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= {OP11_PARAMS.min_chars} GROUP BY doc_id, run),
+b AS (SELECT *, list_transform(flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)), lambda x: CAST(x AS BIGINT)) AS bytes FROM d),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(CAST({_crc_table()}[1 + (xor(c, x) & 255)] AS BIGINT), c >> 8)), 4294967295) AS h FROM b),
+w AS (SELECT CASE WHEN h % {OP11_PARAMS.slip} = 0 THEN run[1:CAST(h % length(run) AS INT)] || run[CAST(h % length(run) AS INT) + 2:] ELSE run END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= {OP11_PARAMS.min_chars} GROUP BY word HAVING sum(n) >= {OP11_PARAMS.min_count}),
+x AS (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM v),
+k AS MATERIALIZED (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS cut FROM x),
+p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM k AS a JOIN k AS b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT a.word, v.word, v.n FROM k AS a JOIN v ON a.cut = v.word UNION SELECT v.word, a.word, a.n FROM k AS a JOIN v ON a.cut = v.word),
+g AS (SELECT word, count(*) AS n_near, max(near_n) AS most FROM p GROUP BY word),
+e AS (SELECT g.word, g.n_near, g.most, min(p.near) AS near FROM g JOIN p ON p.word = g.word AND p.near_n = g.most GROUP BY ALL),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(e.n_near, 0) AS n_near, CASE WHEN e.most >= {OP11_PARAMS.ratio} * v.n THEN e.near END AS form, CASE WHEN e.most >= {OP11_PARAMS.ratio} * v.n THEN e.most END AS form_n FROM v LEFT JOIN e ON e.word = v.word),
+t(word, root, step) AS (SELECT word, word, 0 FROM f UNION ALL SELECT t.word, f.form, step + 1 FROM t JOIN f ON f.word = t.root WHERE f.form IS NOT NULL),
+z AS (SELECT word, arg_max(root, step) AS root FROM t GROUP BY word)
+SELECT f.word, f.form, z.root, f.n, f.n_near, f.form_n FROM f JOIN z ON z.word = f.word
+"""
+
+
 def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -208,8 +245,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_chat_windows, op2_language, op3_warc, op4_pieces, op5_toxicity, op6_leaks, op7_pii, op8_exact, op9_secrets, op10_ngram_join, op12_lines, op13_centroids, pipeline)}
+    return {f.__name__: f for f in (op1_chat_windows, op2_language, op3_warc, op4_pieces, op5_toxicity, op6_leaks, op7_pii, op8_exact, op9_secrets, op10_ngram_join, op11_spelling, op12_lines, op13_centroids, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL, "op12_lines": OP12_SQL, "op13_centroids": OP13_SQL}
+    return {"op1_chat_windows": OP1_SQL, "op3_warc": OP3_SQL, "op8_exact": OP8_SQL, "op10_ngram_join": OP10_SQL, "op11_spelling": OP11_SQL, "op12_lines": OP12_SQL, "op13_centroids": OP13_SQL}
