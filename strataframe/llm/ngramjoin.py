@@ -7,14 +7,17 @@ among them or at least two frequent ones are: rare tokens are indexed alone, fre
 whose shared rare tokens and possible frequent ones stay below k is dropped unseen. A set with very many frequent tokens in its
 prefix is indexed by these one by one. What meets in combinations is compared in blocks, by matrix products.
 
-Candidates are verified on whole sets. Sets that are equal are one node from the start, and what links to the same
+Candidates are verified on whole sets, by other hashes of the n-grams than those that made them candidates: n-grams whose
+tokens clash cost a comparison and link nothing. If two of one set clash, the join is done again with another seed. Sets that are equal are one node from the start, and what links to the same
 hub is compared no further, so groups of copies cost in proportion to their size.
 """
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,8 @@ class JoinParams:
     token frequent (raised by doubling until at most max_frequent tokens are, the bound of the broadcast).
     max_combined: frequent tokens in a prefix up to which their pairs are indexed. common: k. block_rows, block_tokens: mean
     size, at most, of a block of sets that are compared all with all. class_ratio: between the sizes of the largest and
-    the smallest set of a block, where a family has several. id_bits: of the set identifiers."""
+    the smallest set of a block, where a family has several. id_bits: of the set identifiers. token_bits: of the tokens, as
+    long as seed, that of the word hashes, is 0."""
 
     words: int = 5
     num: int = 80
@@ -50,91 +54,105 @@ class JoinParams:
     block_tokens: int = 1_000_000
     class_ratio: float = 1.05
     id_bits: int = 64
+    token_bits: int = 64
+    seed: int = 0
 
     def least(self, n):
         """Least overlap that a set of n tokens needs."""
         return -(-self.num * n // self.den)
 
 
-#: A multiplier of the rolling word hash and its inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
-_BYTE = np.frombuffer(np.random.default_rng(20240101).bytes(256 * 8), np.uint64) | np.uint64(1)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
-_BYTE_OF = _BYTE[_LOWER]
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes of text that are split into words together, and distinct words whose hashes a task keeps.
+SLAB, KNOWN = 1 << 20, 500_000
+MIX = 0x9E3779B97F4A7C15
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((BASE, BASE_INVERSE)):
-            step = np.full(max(n, 1 << 20), base, np.uint64)
-            step[0] = 1
-            _POWERS[k] = np.cumprod(step)
-    return _POWERS
+class WordHashes(dict):
+    """Numbers of words, in order of their first use, whose two hashes are the halves of a 128-bit one of the word's bytes."""
 
+    def __init__(self, seed: int = 0):
+        super().__init__()
+        self.seed = seed
+        self.halves = (array("Q"), array("Q"))
 
-def _freed() -> None:
-    """At the end of a task: workers are reused, and one long text would leave its powers behind."""
-    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-    trim()
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        h = xxhash.xxh3_128_intdigest(word, self.seed)
+        self.halves[0].append(h & 0xFFFFFFFFFFFFFFFF)
+        self.halves[1].append(h >> 64)
+        return number
+
+    def of(self, data: bytes) -> list[np.ndarray]:
+        """Both hashes of the words of data, A-Z as a-z, in order; SLAB bytes at a time."""
+        parts, at = [], 0
+        while at < len(data):
+            end = min(at + SLAB, len(data))
+            if end < len(data):  # up to white space
+                border = _BLANK.search(data, end)
+                end = border.start() if border else len(data)
+            words = data[at:end].lower().split()
+            number = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            parts.append([np.frombuffer(x, np.uint64)[number] if len(number) else np.zeros(0, np.uint64) for x in self.halves])
+            if len(self) > KNOWN:
+                self.clear()
+                self.halves = (array("Q"), array("Q"))
+            at = end
+        return [np.concatenate([np.zeros(0, np.uint64), *x]) for x in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 2
+
+
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams of word hashes."""
     out = np.full(max(len(h) - n + 1, 0), n, np.uint64)
     for k in range(n):
-        out = (out ^ h[k : len(h) - n + 1 + k]) * np.uint64(BASE)
+        out = (out ^ h[k : len(h) - n + 1 + k]) * np.uint64(MIX)
         out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(32)
-    return out.view(np.int64)
-
-
-def _some_sets(data: list[bytes], words: int) -> list[np.ndarray]:
-    b = np.frombuffer(b"\n".join([b"", *data, b""]), np.uint8)
-    power, inverse = _powers(len(b))
-    space = _SPACE[b]
-    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
-    ends = np.flatnonzero(~space[:-1] & space[1:])  # last byte of each word
-    rolled = np.cumsum(_BYTE_OF[b] * power[: len(b)])
-    h = (rolled[ends] - rolled[starts - 1]) * inverse[starts]  # of a word's bytes, wherever it stands
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    first = np.cumsum([1, *(len(x) + 1 for x in data)])
-    cuts = np.searchsorted(starts, first).tolist()
-    grams = _ngrams(h, words)
-    out = []
-    for a, c in zip(cuts[:-1], cuts[1:]):
-        out.append(np.unique(grams[a : c - words + 1] if c - a >= words else _ngrams(h[a:c], c - a) if c > a else grams[:0]))
     return out
 
 
-def token_sets(texts: list[str | None], words: int, slab: int = 1 << 20) -> list[np.ndarray]:
+def token_sets(texts: list[str | None], p: JoinParams, known: WordHashes, second: bool = False) -> list[np.ndarray] | list[tuple[np.ndarray, np.ndarray]]:
     """For each text the sorted distinct hashes (int64) of its word n-grams; of a shorter text the whole sequence as one; none without words.
 
-    A-Z count as a-z, words are what stands between ASCII white space. Texts are hashed together, about slab bytes at a time.
+    A-Z count as a-z, words are what stands between ASCII white space. With second, pairs of these and of the n-grams'
+    other hashes, which rest on the other halves of the word hashes.
     """
-    out: list[np.ndarray] = []
+    out: list = []
     group: list[bytes] = []
     size = 0
-    for t in texts:
+    for n, t in enumerate(texts, 1):
         group.append((t or "").encode("utf-8", "surrogatepass"))
         size += len(group[-1])
-        if size >= slab:
-            out += _some_sets(group, words)
+        if size >= SLAB or n == len(texts):
+            out += _some_sets(group, p, known, second)
             group, size = [], 0
-    return out + (_some_sets(group, words) if group else [])
+    return out
 
 
-def set_id(tokens: np.ndarray, p: JoinParams, clashing: frozenset[int] = frozenset()) -> tuple[int, int]:
-    """(identifier, second hash) of a set, as signed 64-bit numbers; sets of a clashing identifier have one by another hash."""
-    data = tokens.tobytes()
-    first, second, other = xxhash.xxh3_64_intdigest(data), xxhash.xxh64_intdigest(data), xxhash.xxh3_64_intdigest(data, seed=1)
-    first &= (1 << p.id_bits) - 1
+def _some_sets(data: list[bytes], p: JoinParams, known: WordHashes, second: bool) -> list:
+    words = [known.of(x) for x in data]
+    cuts = np.cumsum([0, *(len(x) for x, _ in words)]).tolist()
+    few = np.uint64((1 << p.token_bits) - 1 if not known.seed else 0xFFFFFFFFFFFFFFFF)
+    sets = []
+    for half in range(1 + second):
+        mask = few if not half else np.uint64(0xFFFFFFFFFFFFFFFF)
+        joined = np.concatenate([x[half] for x in words])
+        grams = (_ngrams(joined, p.words) & mask).view(np.int64)
+        short = lambda a, c, joined=joined, mask=mask: (_ngrams(joined[a:c], c - a) & mask).view(np.int64)
+        sets.append([np.unique(grams[a : c - p.words + 1] if c - a >= p.words else short(a, c) if c > a else grams[:0]) for a, c in zip(cuts, cuts[1:])])
+    return list(zip(*sets)) if second else sets[0]
+
+
+def set_id(tokens: np.ndarray, others: np.ndarray, p: JoinParams, clashing: frozenset[int] = frozenset()) -> tuple[int, int]:
+    """(identifier, check) of a set, as signed 64-bit numbers: of its tokens and of its n-grams' other hashes. Sets of a
+    clashing identifier have one of the other hashes."""
+    first = xxhash.xxh3_64_intdigest(tokens.tobytes()) & ((1 << p.id_bits) - 1)
+    data = others.tobytes()
     signed = lambda v: v - (1 << 64) if v >= 1 << 63 else v
-    return signed(other if signed(first) in clashing else first), signed(second)
+    return signed(xxhash.xxh3_64_intdigest(data, seed=1) if signed(first) in clashing else first), signed(xxhash.xxh64_intdigest(data))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -157,11 +175,12 @@ def frequent_tokens(docs: DataFrame, p: JoinParams, key: str, text: str) -> np.n
 
     def counted(part) -> DataFrame:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = WordHashes(p.seed)
             for _, texts in _texts(batches):
-                own = [part(s) for s in token_sets(texts.to_pylist(), p.words)]
+                own = [part(s) for s in token_sets(texts.to_pylist(), p, known)]
                 token, n = np.unique(np.concatenate([np.zeros(0, np.int64), *own]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int32))], names=["token", "n"])
-            _freed()
+            trim()
 
         counts = _two(docs, key, text).mapInArrow(count, "token long, n int").groupBy("token").agg(F.sum("n").alias("n"))
         return stored(counts.filter(F.col("n") >= p.frequent), "frequent")
@@ -222,13 +241,15 @@ def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, p: JoinParams) -> tupl
 
 
 def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, text: str, clashing: frozenset[int]) -> DataFrame:
-    """Rows of two kinds in one pass: of texts (key, n, dense, sid, check; token null) and of the index (token, kind, sid)."""
+    """Rows of two kinds in one pass: of texts (key, n, dense, sid, check, clash; token null) and of the index (token, kind, sid)."""
     held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes(p.seed)
         for keys, texts in _texts(batches):
-            own = token_sets(texts.to_pylist(), p.words)
-            ids = np.array([set_id(x, p, clashing) for x in own], np.int64).reshape(-1, 2)
+            pairs = token_sets(texts.to_pylist(), p, known, second=True)
+            own = [x for x, _ in pairs]
+            ids = np.array([set_id(x, y, p, clashing) for x, y in pairs], np.int64).reshape(-1, 2)
             parts = [prefix_keys(x, held.value, p) for x in own]
             # equal sets of a batch are indexed once
             new = np.zeros(len(own), bool)
@@ -242,20 +263,20 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, t
                 [
                     both(None, cat((k for k, *_ in kept), np.int64), pa.int64()), both(None, cat((c for _, c, _ in kept), np.int32), pa.int32()), both(ids[:, 0], sid, pa.int64()),
                     both(np.array([len(x) for x in own], np.int32), None, pa.int32()), both(np.array([d for *_, d in parts], np.int32), None, pa.int32()),
-                    both(ids[:, 1], None, pa.int64()), pa.concat_arrays([keys.cast(kind), pa.nulls(total, kind)]),
+                    both(ids[:, 1], None, pa.int64()), both(np.array([len(x) != len(y) for x, y in pairs], bool), None, pa.bool_()), pa.concat_arrays([keys.cast(kind), pa.nulls(total, kind)]),
                 ],
-                names=["token", "kind", "sid", "n", "dense", "check", "key"],
+                names=["token", "kind", "sid", "n", "dense", "check", "clash", "key"],
             )
-        _freed()
+        trim()
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(docs.schema[key].dataType)
-    return _two(docs, key, text).mapInArrow(run, f"token long, kind int, sid long, n int, dense int, check long, key {docs.schema[key].dataType.simpleString()}")
+    return _two(docs, key, text).mapInArrow(run, f"token long, kind int, sid long, n int, dense int, check long, clash boolean, key {docs.schema[key].dataType.simpleString()}")
 
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str, text: str, clashing: frozenset[int], most_bits: int = 26) -> DataFrame:
-    """(sid, tokens) of the sets of the wanted keys, and of some more: a bitmap of fixed size tells which texts to read."""
+    """(sid, tokens) of the sets of the wanted keys, and of some more: a bitmap of fixed size tells which texts to read. tokens: the other hashes."""
     bits = min(most_bits, max(10, int(8 * wanted.count()).bit_length()))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << bits))
     words = wanted.select(place.alias("b")).groupBy(F.shiftright("b", 5).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(b % 32 AS INT))")).alias("mask")).toPandas()
@@ -264,15 +285,16 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes(p.seed)
         for batch in batches:
             b = batch.column(2).to_numpy()
             some = held.value[b >> 5] >> (b & 31).astype(np.uint32) & 1 == 1
-            own = token_sets(pc.filter(batch.column(1), pa.array(some)).to_pylist(), p.words)
-            found = {set_id(x, p, clashing)[0]: x for x in own}
+            own = token_sets(pc.filter(batch.column(1), pa.array(some)).to_pylist(), p, known, second=True)
+            found = {set_id(x, y, p, clashing)[0]: y for x, y in own}
             ends = np.cumsum([0, *map(len, found.values())]).astype(np.int32)
             flat = np.concatenate([*found.values(), np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "tokens"])
-        _freed()
+        trim()
 
     return _two(docs, key, text).withColumn("b", place).mapInArrow(run, "sid long, tokens array<long>")
 
@@ -389,7 +411,9 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), key:
     path = fresh_path(spark, "index")
     index_rows(docs, frequent, p, key, text, clashing).write.parquet(path)
     rows = spark.read.parquet(path)
-    texts = stored(rows.filter("token IS NULL").select("key", "n", "dense", "sid", "check"), "texts")
+    texts = stored(rows.filter("token IS NULL").select("key", "n", "dense", "sid", "check", "clash"), "texts")
+    if not texts.filter("clash").isEmpty():  # two n-grams of one text under one token
+        return jaccard_components(docs, replace(p, seed=p.seed + 1), key, text)
     nodes = texts.filter("n > 0").groupBy("sid").agg(F.min("key").alias("least"), F.min("n").alias("n"), F.min("dense").alias("dense"), F.min("check").alias("c0"), F.max("check").alias("c1"))
     nodes = stored(nodes, "nodes")
     found = [r["sid"] for r in nodes.filter("c0 <> c1").select("sid").collect()]

@@ -564,3 +564,32 @@ def test_pipeline(spark, docs, tmp_path):
     ids = sorted(r["doc_id"] for r in out if r["doc_id"] is not None)
     assert {0, 2, 41} <= set(ids) and not {1, 40, 42, 43, 44, 45, 46} & set(ids) and len(ids) == len(set(ids))
     assert all(r["piece_ids"] for r in out)
+
+
+def test_ngram_join_with_clashing_tokens(spark):
+    """Words that polynomials modulo 2**64 can't tell apart; then tokens of so few bits that n-grams clash, within texts and between them."""
+    tm = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = tm.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(400)]
+    own = [tm, other, tm.upper(), f"x {tm} y z", f"x {other} y z", "one", "two", *(" ".join(RNG.sample(words, 3)) for _ in range(60)), *(" ".join(RNG.sample(words, 30)) for _ in range(40)), " ".join(words)]
+    own += [own[-1] + " end", own[-2]]
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").repartition(3)
+    for bits in (64, 9, 4):
+        params = ngramjoin.JoinParams(words=4, num=85, den=100, token_bits=bits)
+        sizes, heads = components(own, 4, 85, 100)
+        assert {tuple(r) for r in ngramjoin.jaccard_components(docs, params).collect()} == set(zip(range(len(own)), sizes, heads))
+    assert heads[:5] == [0, 1, 0, 3, 4]
+    # only between texts: sets that share all tokens and no n-gram, under one identifier, are told apart without a new seed
+    short = own[:67]
+    docs = spark.createDataFrame(list(enumerate(short)), "doc_id long, text string")
+    sizes, heads = components(short, 4, 85, 100)
+    assert {tuple(r) for r in ngramjoin.jaccard_components(docs, ngramjoin.JoinParams(words=4, num=85, den=100, token_bits=3, frequent=2)).collect()} == set(zip(range(len(short)), sizes, heads))
+
+
+def test_words_of_slabs(monkeypatch):
+    text = " ".join(RNG.choice(["a", "Bc", "déf", "x" * 50]) + RNG.choice(["", "\t", "\n \x0b"]) for _ in range(300)).encode()
+    whole = ngramjoin.WordHashes().of(text)
+    monkeypatch.setattr(ngramjoin, "SLAB", 17)
+    monkeypatch.setattr(ngramjoin, "KNOWN", 2)
+    assert all((a == b).all() for a, b in zip(whole, ngramjoin.WordHashes().of(text))) and len(whole[0]) == len(text.split())
+    assert [len(x) for x in ngramjoin.WordHashes().of(b" ")] == [0, 0]
