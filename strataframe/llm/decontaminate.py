@@ -83,7 +83,7 @@ def bordered_distance(pattern: str, text: str, a: int, b: int, limit: int) -> in
     ends = np.array([border(text, j) for j in range(a, b + 1)])
     codes = np.frombuffer(text[a:b].encode("utf-32-le", "surrogatepass"), np.uint32)
     step = np.arange(b - a + 1)
-    row = np.where(ends, 0, far)
+    row = np.minimum.accumulate(np.where(ends, 0, far) - step) + step  # text before the item's first character is inserted too
     for i, c in enumerate(pattern, 1):
         new = row + 1
         new[1:] = np.minimum(new[1:], row[:-1] + (codes != ord(c)))
@@ -166,15 +166,16 @@ def _blocks(items: DataFrame, params: LeakParams) -> Iterator[list[tuple[int, st
 def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams(), text: str = "text", item: str = "item_id", item_text: str = "text", out: str = "leaks") -> DataFrame:
     """docs with out: array of (item_id, edits), sorted, the items that the whole text contains within the budget.
 
-    Case and white space do not count. Null and empty texts and items match nothing; a null item_id is ignored;
+    Case and white space do not count. Null and empty texts and items match nothing; a null item_id is ignored, and ids may have any type that is ordered;
     items repeated under one id count once each with their least edits. A column named like out is replaced;
     other columns pass through, but for one called __leaks_before. The items go out in blocks of params.block_bytes, a bound on every broadcast; where
     there are several, the result of each is written before the next, so that one block is in memory at a time.
     """
     spark = docs.sparkSession
-    leak = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType())]))
+    keyed = benchmark.select(F.col(item).alias("item_id"))
+    leak = T.ArrayType(T.StructType([T.StructField("item_id", keyed.schema["item_id"].dataType), T.StructField("edits", T.IntegerType())]))
     have = docs.withColumn(out, F.array().cast(leak))
-    items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")
     for number, block in enumerate(_blocks(items, params)):
         if number:
             have = stored(have, "leaks")
