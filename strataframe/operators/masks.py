@@ -74,10 +74,10 @@ def cell_area(cell: Column, i: Column, j: Column, size_x: Column, size_z: Column
     return side(i, size_x) * side(j, size_z)
 
 
-def chains(occupied: DataFrame, side: int) -> DataFrame:
+def chains(occupied: DataFrame, side: int, found: DataFrame | None = None) -> DataFrame:
     """m, component, k, cells, chain: the floor components, with the least component of the unbranched run of floors they
-    are in. A run goes on from a floor to the next where the one has one component above it and that has one below."""
-    found = components(occupied, side)
+    are in. A run goes on from a floor to the next where the one has one component above it and that has one below. found: the components, where known."""
+    found = components(occupied, side) if found is None else found
     nodes = found.groupBy("m", "component", "k").agg(F.count("*").alias("cells"))
     below = found.select("m", F.col("component").alias("low"), (F.col("k") + 1).alias("k"), "i", "j")
     links = below.join(found, CELL).select("m", "low", F.col("component").alias("high")).distinct()
@@ -122,15 +122,22 @@ class CleanParams:
     hole_share: float = 0.01
 
 
-def cleaned(occupied: DataFrame, side: int, cell: float, size_x: float, size_z: float, params: CleanParams = CleanParams()) -> tuple[DataFrame, DataFrame]:
+def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: float | None = None, size_z: float | None = None, params: CleanParams = CleanParams(), sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(floors, cells): small islands removed and small holes filled, or a reason why a floor is ambiguous.
 
     floors: m, k, bodies, area, dominant, islands, island_area, holes, hole_area, reason (null where the floor is clean). cells: those
-    of the clean floors. Of bodies of equal area the one with the least component is the dominant one.
+    of the clean floors. Of bodies of equal area the one with the least component is the dominant one. The size of a cell and of the
+    envelope are numbers, or those of each model in sizes (m, cell, size_x, size_z).
     """
     p = params
-    area = cell_area(F.lit(cell), F.col("i"), F.col("j"), F.lit(size_x), F.lit(size_z))
-    solid = components(occupied, side).withColumn("a", area)
+
+    def measured(df: DataFrame) -> DataFrame:
+        if sizes is None:
+            return df.withColumn("a", cell_area(F.lit(cell), F.col("i"), F.col("j"), F.lit(size_x), F.lit(size_z)))
+        area = cell_area(F.col("cell"), F.col("i"), F.col("j"), F.col("size_x"), F.col("size_z"))
+        return df.join(sizes.select("m", "cell", "size_x", "size_z"), "m").withColumn("a", area).drop("cell", "size_x", "size_z")
+
+    solid = measured(components(occupied, side))
     bodies = solid.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"), F.min("a").alias("least"))
     floor = W.partitionBy("m", "k")
     bodies = bodies.withColumns({"rank": F.row_number().over(floor.orderBy(F.desc("area"), "component"))})
@@ -140,7 +147,7 @@ def cleaned(occupied: DataFrame, side: int, cell: float, size_x: float, size_z:
         F.max(isle & ((F.col("n") > p.island_cells) | (F.col("area") > p.island_area))).alias("big"), F.min("least").alias("least"),
     )
     kept = solid.join(bodies.filter(~isle).select("m", "k", "component"), ["m", "k", "component"], "left_semi").select(*CELL)
-    inner = holes(kept, side).filter("NOT outside").withColumn("a", area)
+    inner = measured(holes(kept, side).filter("NOT outside"))
     each = inner.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"))
     gaps = each.groupBy("m", "k").agg(F.count("*").alias("holes"), F.sum("area").alias("hole_area"), F.max((F.col("n") > p.hole_cells) | (F.col("area") > p.hole_area)).alias("yard"))
     stats = stats.join(gaps, ["m", "k"], "left").withColumns({"holes": F.coalesce("holes", F.lit(0).cast("long")), "hole_area": F.coalesce("hole_area", F.lit(0.0))})

@@ -1,217 +1,186 @@
 """Buildings from the whole floors of an occupancy grid: tiers of simple rings, or the reason why there are none.
 
-A model's grid is looked at in one task (fewer than 200 floors of at most 16,384 cells). Equal masks are measured once.
+All is tables: plates (the distinct masks of a model) with their ring and figures, their likeness, the floors with the group
+of plates that each is given, runs of equal groups, and gates. A gate is a row (m, rank, k, reason); of a model's gates the first by
+rank, then by floor, is the reason why it is refused. Only the labelling of cells, the walk along a border and the thinning of a ring are kernels.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.config import RESIDUAL_GRID, GridMassing, Residual, Split, configured
-from strataframe.functions import polygons
-from strataframe.functions.building import FloorParams
-from strataframe.operators.kernels import by_group, labelled
-from strataframe.operators.masks import CELL, chains, checked, components
+from strataframe.functions import polygons, rings
+from strataframe.functions.building import FloorParams, floor_bottom
+from strataframe.operators import masks
+from strataframe.operators.masks import CELL, chains, components
 from strataframe.operators.places import cropped
+from strataframe.operators.tables import lower_median, runs
+from strataframe.storage import stored
 
-#: How far an unsupported floor's area may be from the body's it joins, and a body above the roof may reach.
+C = F.col
+#: How far an unsupported floor's area may be from that of the group it joins, and a body above the roof may reach.
 NEAR_AREA, UPPER_SHARE = (0.85, 1.15), 0.65
+#: The reasons of the gates, in order of rank; those of floors; and what makes a floor's reason one of its model.
+GATES = {
+    "few": "too few legacy floors",
+    "ambiguous": "ambiguous floor topology: ",
+    "ground": "ground floor is not a complete usable body",
+    "valid": "too little complete floor coverage",
+    "repeated": "no repeated major footprint",
+    "distinct": "too many distinct major footprints",
+    "base": "base has no persistent footprint support",
+    "envelope": "base footprint covers too little source envelope",
+    "height": "persistent body covers too little height",
+    "walk": "",
+    "supported": "too little supported building coverage",
+    "upper": "unsupported substantial upper body",
+}
+WALK = ("unsupported interior footprint transition", "oscillating major footprints", "offset or expanding grid tier")
+FLOOR = ("tiny usable floor", "simplified boundary is not simple", "too many significant footprint corners", "simplification changes too much floor area", "narrow fragment footprint")
+AMBIGUOUS = "disconnected|detached|courtyard|touching|enclosed"
+METHODS = ("simplified repeated grid polygon", "high agreement grid rectangle")
 TIERS = f"array<struct<bottom:double,top:double,ring:{polygons.RING}>>"
-
-
-def bodies(grid: np.ndarray, value: bool) -> np.ndarray:
-    """For each cell of that value the number of its body (the least cell), -1 for others; cells touch by their sides."""
-    n = grid.size
-    number = np.arange(n).reshape(grid.shape)
-    own = grid == value
-    right, down = own[:, :-1] & own[:, 1:], own[:-1] & own[1:]
-    a = np.concatenate([number[:, :-1][right], number[:-1][down]])
-    b = np.concatenate([number[:, 1:][right], number[1:][down]])
-    return np.where(own, labelled(n, a, b).reshape(grid.shape), -1)
-
-
-def cleaned(grid: np.ndarray, area: np.ndarray, p: GridMassing) -> np.ndarray:
-    """The grid without small islands and holes; refuses what is ambiguous."""
-    total = float(area[grid].sum())
-    if not grid.any():
-        raise ValueError("empty floor")
-    if (area[grid] <= 0).any():
-        raise ValueError("occupied cells outside source envelope")
-    number = bodies(grid, True)
-    found = sorted(((float(area[number == k].sum()), -int(k)) for k in np.unique(number[grid])), reverse=True)
-    out = grid.copy()
-    if len(found) > 1 and found[0][0] < p.min_dominant_area * total:
-        raise ValueError("substantial disconnected floor bodies")
-    for size, k in found[1:]:
-        if (number == -k).sum() > p.max_island_cells or size > p.max_island_area:
-            raise ValueError("detached floor body exceeds fragment bounds")
-        out[number == -k] = False
-    number, holes = bodies(out, False), 0.0
-    edge = set(np.concatenate([number[0], number[-1], number[:, 0], number[:, -1]]).tolist())
-    for k in set(np.unique(number[~out]).tolist()) - edge:
-        own = number == k
-        size = float(area[own].sum())
-        if own.sum() > p.max_hole_cells or size > p.max_hole_area:
-            raise ValueError("courtyard exceeds small-hole bounds")
-        holes += size
-        out[own] = True
-    if holes > total * p.max_hole_fraction:
-        raise ValueError("too much enclosed empty area")
-    return out
-
-
-def border(grid: np.ndarray) -> polygons.Ring:
-    """The border of a grid of one body without holes, in cells, corners only; refuses bodies that touch themselves at a corner."""
-    after = {}
-    for i, j in np.argwhere(grid).tolist():
-        for (x, z), a, b in (((i, j - 1), (i, j), (i + 1, j)), ((i + 1, j), (i + 1, j), (i + 1, j + 1)), ((i, j + 1), (i + 1, j + 1), (i, j + 1)), ((i - 1, j), (i, j + 1), (i, j))):
-            if not (0 <= x < grid.shape[0] and 0 <= z < grid.shape[1] and grid[x, z]):
-                if a in after:
-                    raise ValueError("touching floor corners")
-                after[a] = b
-    first = at = min(after)
-    ring = []
-    while True:
-        ring.append(at)
-        at = after.pop(at)
-        if at == first:
-            break
-    if after:
-        raise ValueError("courtyard or several loops")
-    return [q for p, q, r in zip(ring[-1:] + ring[:-1], ring, ring[1:] + ring[:1]) if polygons.turn(p, q, r) != 0]
-
-
-def simplified_floor(grid: np.ndarray, cell: float, size: tuple[float, float], p: GridMassing) -> tuple[polygons.Ring, float]:
-    """(ring in the model's frame, area of the cells): a rectangle where the floor nearly is one, else with fewer corners."""
-    at = lambda v, s: min(-s / 2 + v * cell, s / 2)
-    ring = [(at(x, size[0]), at(z, size[1])) for x, z in border(grid)]
-    raw = abs(polygons.signed_area(ring))
-    if raw < p.min_area:
-        raise ValueError("floor area is too small")
-    corners, width, depth, _ = polygons.smallest_box(ring)
-    if raw >= p.rectangle_agreement * width * depth:
-        out = corners
-    else:
-        out = polygons.simplified_safely(ring, min(p.max_simplify, cell * p.tolerance_cells), p.max_area_change)
-    out = polygons.valid_ring(out)
-    if len(out) > p.max_vertices:
-        raise ValueError("too many corners")
-    if min(width, depth) < p.min_width:
-        raise ValueError("floor is too narrow")
-    if abs(polygons.signed_area(out) / raw - 1) > p.max_area_change:
-        raise ValueError("simplification changes too much area")
-    return out, raw
-
-
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    return float((a & b).sum() / max((a | b).sum(), 1))
-
-
-def analysed(floors: list[np.ndarray], cell: float, size: tuple[float, float, float], ground: float, upper: float, p: GridMassing) -> dict:
-    """tiers (bottom, top, ring), height, area and confidence of a model's floors; refuses what does not persist."""
-    slab, n = FloorParams().slab, len(floors)
-    if n < p.min_floors:
-        raise ValueError("too few legacy floors")
-    widths = [np.maximum(0, np.minimum(cell, s - np.arange(m) * cell)) for s, m in zip((size[0], size[2]), floors[0].shape)]
-    area = widths[0][:, None] * widths[1][None, :]
-    known: dict[bytes, tuple] = {}
-    rows: list[dict | None] = []
-    for grid in floors:
-        key = grid.tobytes()
-        if key not in known:
-            try:
-                clean = cleaned(grid, area, p)
-                known[key] = ({"grid": clean, **dict(zip(("ring", "raw"), simplified_floor(clean, cell, (size[0], size[2]), p)))}, None)
-            except ValueError as e:
-                known[key] = (None, str(e))
-        floor, why = known[key]
-        if why and any(w in why for w in ("disconnected", "detached", "courtyard", "touching", "enclosed")):
-            raise ValueError(f"ambiguous floor topology: {why}")
-        rows.append(floor)
-    groups: list[list[int]] = []
-    for k, r in enumerate(rows):
-        if r is not None:
-            home = next((g for g in groups if jaccard(r["grid"], rows[g[0]]["grid"]) >= p.similarity), None)
-            home.append(k) if home is not None else groups.append([k])
-    valid = sum(r is not None for r in rows)
-    if rows[0] is None:
-        raise ValueError("ground floor is not a complete usable body")
-    if valid / n < p.min_valid_fraction:
-        raise ValueError("too little complete floor coverage")
-    middle = lambda g: sorted(g, key=lambda k: (rows[k]["raw"], k))[(len(g) + 1) // 2 - 1]
-    support = {i: rows[middle(g)] for i, g in enumerate(groups) if len(g) >= p.min_support_floors or (n == 3 == valid and len(g) >= 2)}
-    if not support:
-        raise ValueError("no repeated major footprint")
-    if len(support) > p.max_tiers:
-        raise ValueError("too many distinct major footprints")
-    home = {k: i for i, g in enumerate(groups) for k in g}
-    given: list[int | None] = []
-    for k, r in enumerate(rows):
-        i = home.get(k)
-        if r is not None and i not in support:
-            i = next((s for s, v in support.items() if NEAR_AREA[0] <= r["raw"] / v["raw"] <= NEAR_AREA[1] and jaccard(r["grid"], v["grid"]) >= p.nearby_similarity), None)
-        given.append(i if i in support else None)
-    if given[0] is None:
-        raise ValueError("base has no persistent footprint support")
-    if support[given[0]]["raw"] < p.min_envelope_area * size[0] * size[2]:
-        raise ValueError("base footprint covers too little source envelope")
-    last = max(k for k, i in enumerate(given) if i is not None)
-    bottom = lambda k: 0.0 if k == 0 else slab + ground + (k - 1) * (upper + slab)
-    height = min(size[1], bottom(last + 1) + slab)
-    if height / size[1] < p.min_height_coverage:
-        raise ValueError("persistent body covers too little height")
-    original, runs = list(given), []
-    for k in range(last + 1):
-        i = given[k]
-        if i is None:
-            if rows[k] is not None or original[k - 1] != original[k + 1] or original[k - 1] is None:
-                raise ValueError("unsupported interior footprint transition")
-            i = original[k - 1]
-        if not runs or runs[-1][0] != i:
-            if any(i == j for j, _ in runs):
-                raise ValueError("oscillating major footprints")
-            if runs and not polygons.contains(support[runs[-1][0]]["ring"], support[i]["ring"]):
-                raise ValueError("offset or expanding grid tier")
-            runs.append((i, k))
-    if (last + 1) / n < p.min_valid_fraction:
-        raise ValueError("too little supported building coverage")
-    if any(r is not None and r["raw"] > support[runs[-1][0]]["raw"] * UPPER_SHARE for r in rows[last + 1 :]):
-        raise ValueError("unsupported substantial upper body")
-    tops = [bottom(k) for _, k in runs[1:]] + [height]
-    tiers = [{"bottom": bottom(k), "top": t, "ring": [{"x": x, "z": z} for x, z in support[i]["ring"]]} for (i, k), t in zip(runs, tops)]
-    change = max(abs(polygons.signed_area(support[i]["ring"]) / support[i]["raw"] - 1) for i, _ in runs)
-    return {"tiers": tiers, "height": height, "area": polygons.signed_area(support[runs[0][0]]["ring"]), "confidence": min(0.85, max(0.0, 0.60 + 0.20 * valid / n - change * 0.5))}
+EVIDENCE = (
+    "struct<source_floors:int,valid_floors:int,supported_floors:int,base_support_floors:int,envelope_coverage:double,max_area_change:double,tolerance:double,methods:array<string>,"
+    "regularized_floors:int,max_regularized_area_change:double,bridged_missing_floors:int,cleanup_floors:int,removed_island_area:double,filled_hole_area:double>"
+)
+
+
+def plates(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(floors, plates, cells): floors m, k with plate, the least floor of the model with the same mask; each plate (m, plate) with ring, raw (area of
+    its cells), area, change, method, tolerance, low (covers too little of the envelope), island_area, hole_area, reason; the cells of good plates."""
+    own = cells.select(*CELL).join(models.select("m", "floors"), "m").filter("k BETWEEN 1 AND floors").select(*CELL)
+    places = F.sort_array(F.collect_set((C("i") - 1) * side + C("j")))
+    floors = own.groupBy("m", "k").agg(places.alias("places"))
+    floors = stored(floors.select("m", "k", F.min("k").over(W.partitionBy("m", "places")).alias("plate")), "floors")
+    sizes = models.select("m", "cell", "size_x", "size_z")
+    clean = masks.CleanParams(p.min_dominant_area, p.max_island_cells, p.max_island_area, p.max_hole_cells, p.max_hole_area, p.max_hole_fraction)
+    found, kept = masks.cleaned(own.join(floors.filter("k = plate").select("m", "k"), ["m", "k"], "left_semi"), side, params=clean, sizes=sizes)
+    found, kept = stored(found, "cleaned"), stored(kept, "kept")
+    area = masks.cell_area(C("cell"), C("i"), C("j"), C("size_x"), C("size_z"))
+    raw = kept.join(sizes, "m").groupBy("m", "k").agg(F.sum(area).alias("raw"))
+    at = lambda v, size: F.least(v * C("cell") - C(size) / 2, C(size) / 2)
+    # a clean floor is one body without holes, so its border is one loop
+    border = masks.loops(kept, side).join(sizes, "m").withColumn("outline", F.transform("corners", lambda q: F.struct(at(q["x"], "size_x").alias("x"), at(q["z"], "size_z").alias("z"))))
+    tolerance = F.least(C("cell") * p.tolerance_cells, F.lit(p.max_simplify))
+    rows = border.join(raw, ["m", "k"]).withColumn("tolerance", tolerance).withColumn("thin", polygons.as_thinned("outline", "tolerance")).withColumn("box", polygons.as_box("thin.value")["value"])
+    rows = rows.withColumns({"thin_area": F.abs(rings.signed_area(C("thin.value"))), "box_area": C("box.width") * C("box.depth")})
+    change = lambda a: F.abs(a / C("raw") - 1)
+    square = (C("thin_area") >= p.rectangle_agreement * C("box_area")) & (change(C("box_area")) <= p.max_area_change)
+    reasons = (C("raw") < p.min_area, C("thin.value").isNull(), F.size("thin.value") > p.max_vertices, change(C("thin_area")) > p.max_area_change, F.least("box.width", "box.depth") < p.min_width)
+    reason = F.coalesce(*(F.when(test, text) for test, text in zip(reasons, FLOOR)))
+    made = rows.select("m", "k", "raw", "tolerance", reason.alias("why"), F.when(square, C("box.ring")).otherwise(C("thin.value")).alias("ring"), F.when(square, METHODS[1]).otherwise(METHODS[0]).alias("method"), "size_x", "size_z")
+    extent = lambda v: F.array_max(F.transform("ring", lambda q: q[v])) - F.array_min(F.transform("ring", lambda q: q[v]))
+    low = (extent("x") < p.min_envelope_span * C("size_x")) | (extent("z") < p.min_envelope_span * C("size_z")) | (C("raw") < p.min_envelope_area * C("size_x") * C("size_z"))
+    made = made.withColumn("area", F.abs(rings.signed_area(C("ring")))).withColumns({"low": low, "change": C("area") / C("raw") - 1}).drop("size_x", "size_z")
+    measured = found.select("m", "k", "island_area", "hole_area", "reason").join(made, ["m", "k"], "left")
+    measured = stored(measured.withColumn("reason", F.coalesce("reason", "why")).withColumnRenamed("k", "plate").drop("why"), "plates")
+    good = measured.filter("reason IS NULL").select("m", C("plate").alias("k"))
+    return floors, measured, kept.join(good, ["m", "k"], "left_semi")
+
+
+def grouped(plate_rows: DataFrame, like: DataFrame, least: float) -> DataFrame:
+    """m, plate, group of the good plates: in order of floors each joins the first group whose first plate it is like, or begins one.
+    like: m, a, b, jaccard with a < b. A model's plates (fewer than 200) are folded in one row."""
+    near = like.filter(C("jaccard") >= least).groupBy("m", C("b").alias("plate")).agg(F.collect_list("a").alias("near"))
+    good = plate_rows.filter("reason IS NULL").select("m", "plate").join(near, ["m", "plate"], "left")
+    row = F.struct(C("plate").cast("int").alias("plate"), F.coalesce(C("near").cast("array<int>"), F.array().cast("array<int>")).alias("near"))
+    kind = "array<struct<plate:int,group:int>>"
+
+    def add(done: Column, x: Column) -> Column:
+        first = F.transform(F.filter(done, lambda d: d["plate"] == d["group"]), lambda d: d["plate"])
+        group = F.coalesce(F.array_min(F.array_intersect(first, x["near"])), x["plate"])
+        return F.concat(done, F.array(F.struct(x["plate"].alias("plate"), group.alias("group")))).cast(kind)
+
+    folded = good.groupBy("m").agg(F.array_sort(F.collect_list(row)).alias("xs")).select("m", F.aggregate("xs", F.array().cast(kind), add).alias("done"))
+    return folded.select("m", F.explode("done").alias("d")).select("m", "d.plate", "d.group")
+
+
+def floor_groups(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tuple[DataFrame, DataFrame]:
+    """(levels, groups). levels: every floor m, k of every model with plate, raw, reason (null where it is good; "empty floor"), group (of its
+    plate), home (the supported group that it is given, null if none), bridged. groups: m, group, members, supported and the columns of its middle plate."""
+    floors, plate_rows, kept = plates(cells, models, side, p)
+    like = stored(masks.floor_jaccard(kept).filter(C("jaccard") >= min(p.similarity, p.nearby_similarity)), "like")
+    every = models.select("m", "floors", F.explode(F.sequence(F.lit(1), C("floors"))).alias("k"))
+    rows = every.join(floors, ["m", "k"], "left").join(plate_rows, ["m", "plate"], "left").join(grouped(plate_rows, like, p.similarity), ["m", "plate"], "left")
+    rows = stored(rows.withColumn("reason", F.when(C("plate").isNull(), "empty floor").otherwise(C("reason"))), "levels")
+    valid = rows.filter("reason IS NULL")
+    counts = valid.groupBy("m", "group").agg(F.count("*").alias("members"))
+    majority = (C("floors") == 3) & (C("members") >= 2) & (F.sum("members").over(W.partitionBy("m")) == 3)
+    middle = lower_median(valid, ["m", "group"], ["raw", "k"]).join(counts, ["m", "group"])
+    groups = middle.withColumn("supported", (C("members") >= p.min_support_floors) | majority)
+    groups = stored(groups.select("m", "group", "members", "supported", "plate", "raw", "ring", "area", "change", "low", "method", "tolerance"), "groups")
+    held = groups.filter("supported").select("m", "group", C("plate").alias("middle"), C("raw").alias("middle_raw"))
+    # a floor of a group without support joins the first supported one that its mask and area are near
+    lone = valid.select("m", "k", "plate", "raw", "group").join(groups.filter("NOT supported").select("m", "group"), ["m", "group"], "left_semi").drop("group")
+    near = lone.join(held, "m").filter((C("raw") / C("middle_raw")).between(*NEAR_AREA))
+    pair = like.filter(C("jaccard") >= p.nearby_similarity).select("m", "a", "b")
+    near = near.withColumns({"a": F.least("plate", "middle"), "b": F.greatest("plate", "middle")}).join(pair, ["m", "a", "b"], "left_semi").groupBy("m", "k").agg(F.min("group").alias("near"))
+    own = rows.join(held.select("m", "group", C("group").alias("own")), ["m", "group"], "left").join(near, ["m", "k"], "left").withColumn("given", F.coalesce("own", "near"))
+    order = W.partitionBy("m").orderBy("k")
+    # an empty or bad floor between two of one group is taken for one of that group
+    around = F.when(C("reason").isNotNull() & (F.lag("given").over(order) == F.lead("given").over(order)), F.lag("given").over(order))
+    levels = own.withColumn("home", F.coalesce("given", around)).withColumn("bridged", C("given").isNull() & C("home").isNotNull())
+    return stored(levels.select("m", "k", "floors", "plate", "raw", "reason", "island_area", "hole_area", "group", "given", "home", "bridged"), "homes"), groups
 
 
 def grid_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing = GridMassing()) -> DataFrame:
-    """m, tiers, height, area, confidence, reason for each of models (m, cell, size_x, size_y, size_z, ground, upper, floors): what its cells (m, k, i, j)
-    are as a building, or why they are none. Floors without cells are empty."""
-    figures = ["cell", "size_x", "size_y", "size_z", "ground", "upper", "floors"]
-
-    def analyse(group: pa.Table) -> pa.Table:
-        one = group.slice(0, 1).to_pylist()[0]
-        some = group.filter(group.column("k").is_valid())
-        k, i, j = (some.column(c).to_numpy().astype(np.int64) for c in "kij")
-        checked(k, i, j, side)
-        grids = np.zeros((int(one["floors"]), side, side), bool)
-        keep = (k >= 1) & (k <= len(grids))
-        grids[k[keep] - 1, i[keep] - 1, j[keep] - 1] = True
-        out = {"tiers": None, "height": None, "area": None, "confidence": None, "reason": None}
-        try:
-            out |= analysed(list(grids), one["cell"], (one["size_x"], one["size_y"], one["size_z"]), one["ground"], one["upper"], params)
-        except ValueError as e:
-            out["reason"] = str(e)
-        point = pa.struct([("x", pa.float64()), ("z", pa.float64())])
-        tier = pa.struct([("bottom", pa.float64()), ("top", pa.float64()), ("ring", pa.list_(point))])
-        kinds = [("tiers", pa.list_(tier)), ("height", pa.float64()), ("area", pa.float64()), ("confidence", pa.float64()), ("reason", pa.string())]
-        return pa.table([group.column("m").slice(0, 1), *(pa.array([out[n]], t) for n, t in kinds)], names=["m", *(n for n, _ in kinds)])
-
-    rows = models.select("m", *figures).join(cells.select("m", "k", "i", "j"), "m", "left")
-    return by_group(rows, ["m"], analyse, [models.schema["m"], ("tiers", TIERS), ("height", "double"), ("area", "double"), ("confidence", "double"), ("reason", "string")])
+    """m, tiers, height, area, confidence, reason, evidence for each of models (m, cell, size_x, size_y, size_z, ground, upper, floors): what its cells
+    (m, k, i, j) are as a building, or why they are none. Floors without cells are empty, cells of other floors are not looked at."""
+    p, slab = params, FloorParams().slab
+    models = models.select("m", "cell", "size_x", "size_y", "size_z", "ground", "upper", "floors")
+    levels, groups = floor_groups(cells, models, side, p)
+    ring = groups.select("m", C("group").alias("home"), "members", C("plate").alias("middle"), "ring", "area", C("raw").alias("group_raw"), "change", "low", "method", "tolerance")
+    stats = levels.groupBy("m").agg(
+        F.count_if(C("reason").isNull()).alias("valid"), F.max(F.when(C("given").isNotNull(), C("k"))).alias("last"), F.max(F.when(C("k") == 1, C("given"))).alias("base"), F.bool_or((C("k") == 1) & C("reason").isNull()).alias("ground_good"),
+        F.min(F.when(C("reason").rlike(AMBIGUOUS), F.struct("k", "reason"))).alias("odd"),
+    )
+    support = groups.groupBy("m").agg(F.count_if("supported").alias("tiers_wanted"))
+    base = ring.select("m", C("home").alias("base"), "low", C("group_raw").alias("base_raw"), C("members").alias("base_members"), "tolerance")
+    one = models.join(stats, "m", "left").join(support, "m", "left").join(base, ["m", "base"], "left")
+    top = F.least("size_y", floor_bottom(C("ground"), C("upper"), C("last") + 1) + slab)
+    one = stored(one.withColumn("height", top), "models")
+    walk = levels.join(one.select("m", "last"), "m").filter("k <= last")
+    own = runs(walk.filter("home IS NOT NULL").select("m", "k", "home"), ["m"], "k", "home").join(ring, ["m", "home"])
+    order = W.partitionBy("m").orderBy("run")
+    own = own.withColumns({"again": F.row_number().over(W.partitionBy("m", "home").orderBy("run")) > 1, "below": F.lag("ring").over(order), "next": F.lead("first").over(order)})
+    own = stored(own.withColumn("off", C("below").isNotNull() & ~rings.contains_ring(C("below"), C("ring"))), "runs")
+    last_raw = own.groupBy("m").agg(F.max_by("group_raw", "run").alias("last_raw"))
+    upper = levels.join(one.select("m", "last"), "m").filter("k > last AND reason IS NULL").join(last_raw, "m").filter(C("raw") > C("last_raw") * UPPER_SHARE).select("m").distinct()
+    rank = {name: n for n, name in enumerate(GATES)}
+    closed = lambda name, test: F.when(test, F.struct(F.lit(rank[name]).alias("rank"), F.lit(0).alias("k"), F.lit(0).alias("kind"), F.lit(GATES[name]).alias("reason")))
+    whole = one.select(
+        "m", F.explode(F.array_compact(F.array(
+            closed("few", C("floors") < p.min_floors), F.when(C("odd").isNotNull(), F.struct(F.lit(rank["ambiguous"]).alias("rank"), F.lit(0).alias("k"), F.lit(0).alias("kind"), F.concat(F.lit(GATES["ambiguous"]), C("odd.reason")).alias("reason"))),
+            closed("ground", ~F.coalesce("ground_good", F.lit(False))), closed("valid", F.coalesce("valid", F.lit(0)) < p.min_valid_fraction * C("floors")), closed("repeated", F.coalesce("tiers_wanted", F.lit(0)) == 0),
+            closed("distinct", C("tiers_wanted") > p.max_tiers), closed("base", C("base").isNull()), closed("envelope", C("low")), closed("height", C("height") < p.min_height_coverage * C("size_y")),
+            closed("supported", C("last") < p.min_valid_fraction * C("floors")),
+        ))).alias("gate"),
+    ).select("m", "gate.*")
+    step = lambda df, k, kind: df.select("m", F.lit(rank["walk"]).alias("rank"), C(k).cast("int").alias("k"), F.lit(kind).alias("kind"), F.lit(WALK[kind]).alias("reason"))
+    above = upper.select("m", F.lit(rank["upper"]).alias("rank"), F.lit(0).alias("k"), F.lit(0).alias("kind"), F.lit(GATES["upper"]).alias("reason"))
+    gates = reduce(DataFrame.unionByName, [whole, step(walk.filter("home IS NULL"), "k", 0), step(own.filter("again"), "first", 1), step(own.filter("off"), "first", 2), above])
+    refused = gates.groupBy("m").agg(F.min(F.struct("rank", "k", "kind", "reason"))["reason"].alias("reason"))
+    lower = F.when(C("run") == 0, F.lit(0.0)).otherwise(floor_bottom(C("ground"), C("upper"), C("first")))
+    tier = F.struct("run", lower.alias("bottom"), F.coalesce(floor_bottom(C("ground"), C("upper"), C("next")), C("height")).alias("top"), "ring")
+    built = own.join(one.select("m", "ground", "upper", "height"), "m").groupBy("m").agg(
+        F.array_sort(F.collect_list(tier)).alias("tiers"), F.min_by("area", "run").alias("area"), F.max(F.abs("change")).alias("max_change"), F.array_sort(F.collect_set("method")).alias("methods")
+    )
+    given = walk.join(ring.select("m", "home", "middle", C("area").alias("home_area")), ["m", "home"]).filter("given IS NOT NULL")
+    regular = given.groupBy("m").agg(F.count_if(C("plate") != C("middle")).alias("regularized"), F.max(F.abs(C("home_area") / C("raw") - 1)).alias("regular_change"))
+    mended = levels.filter("reason IS NULL").groupBy("m").agg(F.count_if((C("island_area") > 0) | (C("hole_area") > 0)).alias("mended"), F.sum("island_area").alias("island_area"), F.sum("hole_area").alias("hole_area"))
+    bridges = walk.groupBy("m").agg(F.count_if("bridged").alias("bridges"))
+    rows = reduce(lambda x, y: x.join(y, "m", "left"), [one, refused, built, regular, mended, bridges])
+    good = C("reason").isNull()
+    evidence = F.struct("floors", "valid", "last", "base_members", C("base_raw") / (C("size_x") * C("size_z")), "max_change", "tolerance", "methods", "regularized", "regular_change", "bridges", "mended", "island_area", "hole_area").cast(EVIDENCE)
+    confidence = F.least(F.lit(0.85), F.greatest(F.lit(0.0), 0.60 + 0.20 * C("valid") / C("floors") - C("max_change") * 0.5))
+    shown = F.transform("tiers", lambda t: F.struct(t["bottom"].alias("bottom"), t["top"].alias("top"), t["ring"].alias("ring"))).cast(TIERS)
+    return rows.select("m", F.when(good, shown).alias("tiers"), F.when(good, C("height")).alias("height"), F.when(good, C("area")).alias("area"), F.when(good, confidence).alias("confidence"), "reason", F.when(good, evidence).alias("evidence"))
 
 
 def part_plans(parts: DataFrame, models: DataFrame, side: int, params: GridMassing, elevated: bool) -> DataFrame:
@@ -250,9 +219,10 @@ def split_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMass
 def residual_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing | None = None, residual: Residual = Residual()) -> tuple[DataFrame, DataFrame]:
     """(accepted, rest): the unbranched runs of floors of each model that make a plan and hold at least min_extract_fraction of its cells, and the cells that
     no accepted run holds: together each cell once."""
-    runs = components(cells, side).join(chains(cells, side).select("component", F.col("chain").alias("body")).distinct(), "component")
-    plans = part_plans(runs, models, side, params or configured(GridMassing, RESIDUAL_GRID), elevated=True)
+    found = stored(components(cells, side), "components")
+    bodies = stored(found.join(chains(cells, side, found).select("component", F.col("chain").alias("body")).distinct(), "component"), "bodies")
+    plans = part_plans(bodies, models, side, params or configured(GridMassing, RESIDUAL_GRID), elevated=True)
     total = F.sum("cells").over(W.partitionBy("m"))
     good = F.col("reason").isNull() & (F.col("most") > residual.max_tiny_cells) & (F.col("cells") >= total * residual.min_extract_fraction)
-    accepted = plans.withColumn("__ok", good).filter("__ok").drop("__ok")
-    return accepted, runs.join(accepted.select("m", "body"), ["m", "body"], "left_anti").select(*CELL)
+    accepted = stored(plans.withColumn("__ok", good).filter("__ok").drop("__ok"), "accepted")
+    return accepted, bodies.join(accepted.select("m", "body"), ["m", "body"], "left_anti").select(*CELL)

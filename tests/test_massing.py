@@ -1,5 +1,7 @@
 """Whole floors to buildings: what persists becomes tiers, what is ambiguous is refused with its reason."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -24,38 +26,68 @@ TWO = floor((1, 9, 1, 19), (11, 19, 1, 19))
 SPECK = WIDE & ~floor((0, 20, 17, 19)) | floor((18, 19, 18, 19))
 
 
-def analysed(*floors, options=None):
-    return massing.analysed(list(floors), CELL, SIZE, 15.0, 12.5, configured(GridMassing, options))
+FLOOR_PITCH = 12.5 + 1.5 / 0.28
+CASES = {
+    "plain": [WIDE] * 6, "set back": [WIDE] * 3 + [SLIM] * 3, "ell": [ELL] * 6, "dot": [DOT] * 6, "speck": [SPECK] * 6, "bridged": [WIDE, WIDE, floor(), WIDE, WIDE, WIDE], "near": [WIDE, WIDE, WIDE & ~floor((1, 2, 1, 19)), WIDE, WIDE, WIDE],
+    "too few": [WIDE] * 2, "courtyard": [YARD] * 6, "disconnected": [TWO] * 6, "ground floor": [floor()] + [WIDE] * 5, "repeated": [WIDE, SLIM, LOW, ELL, WIDE, SLIM], "expanding|envelope": [SLIM] * 3 + [WIDE] * 3,
+    "oscillating": [WIDE] * 3 + [SLIM] * 3 + [WIDE] * 2, "offset": [WIDE] * 3 + [LOW] * 3, "envelope": [SLIM] * 6, "interior|coverage": [WIDE] * 4 + [floor()] * 2 + [WIDE], "upper": [WIDE] * 5 + [ELL], "coverage": [WIDE] * 3 + [floor()] * 3,
+    "disconnected|touching": [floor((0, 10, 0, 10), (10, 20, 10, 20))] * 6,
+}
+GOOD = ("plain", "set back", "ell", "dot", "speck", "bridged", "near")
+FIELDS = "m long, cell double, size_x double, size_y double, size_z double, ground double, upper double, floors int"
+
+
+def planned(spark, cases, options=None, height=110.0):
+    names = list(cases)
+    cells = [(m, k + 1, int(i) + 1, int(j) + 1) for m, name in enumerate(names) for k, g in enumerate(cases[name]) for i, j in np.argwhere(g)]
+    models = spark.createDataFrame([(m, CELL, SIZE[0], height(n) if callable(height) else height, SIZE[2], 15.0, 12.5, len(cases[n])) for m, n in enumerate(names)], FIELDS)
+    found = massing.grid_plans(spark.createDataFrame(cells, "m long, k int, i int, j int"), models, SIDE, configured(GridMassing, options)).collect()
+    return {names[r["m"]]: r for r in found}
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return planned(spark, CASES)
 
 
-def test_one_body_and_setbacks():
-    plain = analysed(*[WIDE] * 6)
+def test_one_body_and_setbacks(plans):
+    plain = plans["plain"]
     assert len(plain["tiers"]) == 1 and plain["area"] == pytest.approx(54 * 54) and len(plain["tiers"][0]["ring"]) == 4 and plain["confidence"] == pytest.approx(0.8)
-    set_back = analysed(*[WIDE] * 3, *[SLIM] * 3)
-    assert [len(t["ring"]) for t in set_back["tiers"]] == [4, 4] and set_back["tiers"][0]["top"] == set_back["tiers"][1]["bottom"]
-    assert len(analysed(*[ELL] * 6)["tiers"][0]["ring"]) == 6
-    assert analysed(*[DOT] * 6)["area"] == pytest.approx(54 * 54)  # a hole of one cell is filled
-    assert analysed(*[SPECK] * 6)["tiers"]
-    bridged = analysed(WIDE, WIDE, floor(), WIDE, WIDE, WIDE)
-    assert len(bridged["tiers"]) == 1
-    assert analysed(WIDE, WIDE, WIDE & ~floor((1, 2, 1, 19)), WIDE, WIDE, WIDE)["tiers"]  # joins the body it is near
-
-
-@pytest.mark.parametrize(
-    ("floors", "why"),
-    [
-        ([WIDE] * 2, "too few"), ([YARD] * 6, "courtyard"), ([TWO] * 6, "disconnected"), ([floor()] + [WIDE] * 5, "ground floor"), ([WIDE, SLIM, LOW, ELL, WIDE, SLIM], "repeated"),
-        ([SLIM] * 3 + [WIDE] * 3, "expanding|envelope"), ([WIDE] * 3 + [SLIM] * 3 + [WIDE] * 2, "oscillating"), ([WIDE] * 3 + [LOW] * 3, "offset"), ([SLIM] * 6, "envelope"),
-        ([WIDE] * 4 + [floor()] * 2 + [WIDE], "interior|coverage"), ([WIDE] * 5 + [ELL], "upper"), ([WIDE] * 3 + [floor()] * 3, "coverage"), ([floor((0, 10, 0, 10), (10, 20, 10, 20))] * 6, "disconnected|touching"),
-    ],
-)
-def test_what_is_refused(floors, why):
-    with pytest.raises(ValueError, match=why):
-        analysed(*floors)
-
-
-def test_relaxed_options_take_more():
-    assert analysed(*[SLIM] * 6, options=RESIDUAL_GRID)["tiers"]
+    set_back = plans["set back"]["tiers"]
+    assert [len(t["ring"]) for t in set_back] == [4, 4] and set_back[0]["top"] == set_back[1]["bottom"]
+    assert len(plans["ell"]["tiers"][0]["ring"]) == 6
+    assert plans["dot"]["area"] == pytest.approx(54 * 54) and plans["dot"]["evidence"]["filled_hole_area"] == pytest.approx(54)
+    assert plans["speck"]["evidence"]["removed_island_area"] == pytest.approx(54) and plans["speck"]["evidence"]["cleanup_floors"] == 6
+    assert len(plans["bridged"]["tiers"]) == 1 and plans["bridged"]["evidence"]["bridged_missing_floors"] == 1 and plans["bridged"]["evidence"]["valid_floors"] == 5
+    assert plans["near"]["evidence"]["regularized_floors"] == 1 and plans["near"]["evidence"]["max_regularized_area_change"] == pytest.approx(18 / 17 - 1)
+    assert all(plans[n]["reason"] is None for n in GOOD)
+
+
+@pytest.mark.parametrize("why", [n for n in CASES if n not in GOOD])
+def test_what_is_refused(plans, why):
+    assert re.search(why, plans[why]["reason"]) and plans[why]["tiers"] is None and plans[why]["evidence"] is None
+
+
+def test_relaxed_options_take_more(spark):
+    assert planned(spark, {"slim": [floor((2, 18, 2, 18))] * 6}, RESIDUAL_GRID)["slim"]["tiers"]
+
+
+def test_fixtures_of_twenty_by_twenty(spark):
+    """Thirteen kinds of floors, of which six become buildings."""
+    of = lambda f: np.array([[f(i, j) for j in range(1, 21)] for i in range(1, 21)])
+    full = of(lambda i, j: True)
+    cases = {
+        "rectangle": [full] * 5, "diagonal": [of(lambda i, j: i + j <= 21)] * 5, "large_L": [of(lambda i, j: i <= 10 or j <= 8)] * 5, "short_majority": [full, full, of(lambda i, j: i <= 17)], "partial_half": [of(lambda i, j: i <= 10)] * 5,
+        "disconnected": [of(lambda i, j: i <= 5 or i >= 16)] * 5, "courtyard": [of(lambda i, j: not (8 <= i <= 12 and 8 <= j <= 12))] * 5, "unsupported_middle": [full, full, of(lambda i, j: i <= 10), full, full],
+        "tiny_island": [of(lambda i, j: i <= 18 or (i == 20 and j == 10))] * 5, "tiny_hole": [of(lambda i, j: not (i == 10 and j == 10))] * 5, "slender_second_body": [of(lambda i, j: i <= 18 or (i == 20 and 8 <= j <= 13))] * 5,
+        "small_courtyard": [of(lambda i, j: not (9 <= i <= 10 and 9 <= j <= 10))] * 5,
+    }
+    got = planned(spark, cases, height=lambda n: len(cases[n]) * FLOOR_PITCH + 1.5 / 0.28)
+    assert {n for n, r in got.items() if r["reason"] is None} == {"rectangle", "diagonal", "large_L", "short_majority", "tiny_island", "tiny_hole"}
+    ring = lambda n: [(p["x"], p["z"]) for p in got[n]["tiers"][0]["ring"]]
+    assert len(ring("rectangle")) == len(ring("tiny_island")) == len(ring("tiny_hole")) == 4 and len(ring("diagonal")) <= 6 and len(ring("large_L")) >= 6
+    assert any(abs(a[0] - b[0]) > 10 and abs(a[1] - b[1]) > 10 for a, b in zip(ring("diagonal"), ring("diagonal")[1:] + ring("diagonal")[:1]))
+    assert got["large_L"]["area"] == pytest.approx(2520) and got["tiny_island"]["evidence"]["removed_island_area"] == pytest.approx(45) and got["tiny_hole"]["evidence"]["filled_hole_area"] == pytest.approx(45)
 
 
 def test_plans_of_models(spark):
