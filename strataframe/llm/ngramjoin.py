@@ -15,7 +15,6 @@ hub is compared no further, so groups of copies cost in proportion to their size
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -62,45 +61,59 @@ class JoinParams:
         return -(-self.num * n // self.den)
 
 
-#: Bytes of text that are split into words together, and distinct words whose hashes a task keeps.
-SLAB, KNOWN = 1 << 20, 500_000
+#: Bytes of text that are hashed together, and of a word up to which it has a sum of table entries.
+SLAB, SHORT = 1 << 20, 32
 MIX = 0x9E3779B97F4A7C15
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_TABLES: dict[int, np.ndarray] = {}
 
 
-class WordHashes(dict):
-    """Numbers of words, in order of their first use, whose two hashes are the halves of a 128-bit one of the word's bytes."""
-
-    def __init__(self, seed: int = 0):
-        super().__init__()
-        self.seed = seed
-        self.halves = (array("Q"), array("Q"))
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        h = xxhash.xxh3_128_intdigest(word, self.seed)
-        self.halves[0].append(h & 0xFFFFFFFFFFFFFFFF)
-        self.halves[1].append(h >> 64)
-        return number
-
-    def of(self, data: bytes) -> list[np.ndarray]:
-        """Both hashes of the words of data, A-Z as a-z, in order; SLAB bytes at a time."""
-        parts, at = [], 0
-        while at < len(data):
-            end = min(at + SLAB, len(data))
-            if end < len(data):  # up to white space
-                border = _BLANK.search(data, end)
-                end = border.start() if border else len(data)
-            words = data[at:end].lower().split()
-            number = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-            parts.append([np.frombuffer(x, np.uint64)[number] if len(number) else np.zeros(0, np.uint64) for x in self.halves])
-            if len(self) > KNOWN:
-                self.clear()
-                self.halves = (array("Q"), array("Q"))
-            at = end
-        return [np.concatenate([np.zeros(0, np.uint64), *x]) for x in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 2
+def _tables(seed: int) -> np.ndarray:
+    """Random numbers for each place in a word and byte there, for two hashes."""
+    if seed not in _TABLES:
+        _TABLES[seed] = np.random.default_rng([20240101, seed]).integers(0, 1 << 64, (2, SHORT * 256), np.uint64)
+    return _TABLES[seed]
 
 
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+def _slabs(data: bytes) -> Iterator[bytes]:
+    """data in parts of about SLAB bytes, cut at white space."""
+    at = 0
+    while at < len(data):
+        border = _BLANK.search(data, min(at + SLAB, len(data)))
+        end = border.start() if border else len(data)
+        yield data[at:end]
+        at = end
+
+
+def word_hashes(data: bytes, seed: int = 0, second: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(ends, hashes): for each word of data the byte after it, and one 64-bit hash or two. A-Z count as a-z.
+
+    A word's hash is the sum of the table's numbers for its bytes at their places; a longer one than SHORT has the halves of XXH3.
+    """
+    places, sums, base = [], [[] for _ in range(1 + second)], 0
+    for part in _slabs(data):
+        low = part.lower()
+        b = np.frombuffer(b"\n" + low + b"\n", np.uint8)
+        space = _SPACE[b]
+        starts = np.flatnonzero(space[:-1] & ~space[1:])
+        ends = np.flatnonzero(~space[:-1] & space[1:])  # both without the first byte
+        if len(starts):
+            size = (ends - starts).astype(np.int32)
+            first = np.cumsum(size, dtype=np.int32) - size
+            place = np.arange(int(size.sum()), dtype=np.int32) - np.repeat(first, size)
+            at = (np.minimum(place, SHORT - 1) << 8) + b[~space]
+            long = np.flatnonzero(size > SHORT).tolist()
+            for half, table in zip(sums, _tables(seed)):
+                half.append(np.add.reduceat(table[at], first))
+            for k in long:
+                h = xxhash.xxh3_128_intdigest(low[starts[k] : ends[k]], seed)
+                for n, half in enumerate(sums):
+                    half[-1][k] = h >> 64 * n & 0xFFFFFFFFFFFFFFFF
+            places.append(ends + base)
+        base += len(part)
+    cat = lambda xs, kind: np.concatenate([np.zeros(0, kind), *xs])
+    return cat(places, np.int64), [cat(half, np.uint64) for half in sums]
 
 
 def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
@@ -114,11 +127,11 @@ def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def token_sets(texts: list[str | None], p: JoinParams, known: WordHashes, second: bool = False) -> list[np.ndarray] | list[tuple[np.ndarray, np.ndarray]]:
+def token_sets(texts: list[str | None], p: JoinParams, second: bool = False) -> list[np.ndarray] | list[tuple[np.ndarray, np.ndarray]]:
     """For each text the sorted distinct hashes (int64) of its word n-grams; of a shorter text the whole sequence as one; none without words.
 
     A-Z count as a-z, words are what stands between ASCII white space. With second, pairs of these and of the n-grams'
-    other hashes, which rest on the other halves of the word hashes.
+    other hashes, which rest on second word hashes.
     """
     out: list = []
     group: list[bytes] = []
@@ -127,19 +140,19 @@ def token_sets(texts: list[str | None], p: JoinParams, known: WordHashes, second
         group.append((t or "").encode("utf-8", "surrogatepass"))
         size += len(group[-1])
         if size >= SLAB or n == len(texts):
-            out += _some_sets(group, p, known, second)
+            out += _some_sets(group, p, second)
             group, size = [], 0
     return out
 
 
-def _some_sets(data: list[bytes], p: JoinParams, known: WordHashes, second: bool) -> list:
-    words = [known.of(x) for x in data]
-    cuts = np.cumsum([0, *(len(x) for x, _ in words)]).tolist()
-    few = np.uint64((1 << p.token_bits) - 1 if not known.seed else 0xFFFFFFFFFFFFFFFF)
+def _some_sets(data: list[bytes], p: JoinParams, second: bool) -> list:
+    ends, hashes = word_hashes(b"\n".join(data), p.seed, second)
+    cuts = np.searchsorted(ends, np.cumsum([0, *(len(x) + 1 for x in data)])).tolist()
+    few = np.uint64((1 << p.token_bits) - 1 if not p.seed else 0xFFFFFFFFFFFFFFFF)
     sets = []
     for half in range(1 + second):
         mask = few if not half else np.uint64(0xFFFFFFFFFFFFFFFF)
-        joined = np.concatenate([x[half] for x in words])
+        joined = hashes[half]
         grams = (_ngrams(joined, p.words) & mask).view(np.int64)
         short = lambda a, c, joined=joined, mask=mask: (_ngrams(joined[a:c], c - a) & mask).view(np.int64)
         sets.append([np.unique(grams[a : c - p.words + 1] if c - a >= p.words else short(a, c) if c > a else grams[:0]) for a, c in zip(cuts, cuts[1:])])
@@ -175,9 +188,8 @@ def frequent_tokens(docs: DataFrame, p: JoinParams, key: str, text: str) -> np.n
 
     def counted(part) -> DataFrame:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = WordHashes(p.seed)
             for _, texts in _texts(batches):
-                own = [part(s) for s in token_sets(texts.to_pylist(), p, known)]
+                own = [part(s) for s in token_sets(texts.to_pylist(), p)]
                 token, n = np.unique(np.concatenate([np.zeros(0, np.int64), *own]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int32))], names=["token", "n"])
             trim()
@@ -245,9 +257,8 @@ def index_rows(docs: DataFrame, frequent: np.ndarray, p: JoinParams, key: str, t
     held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes(p.seed)
         for keys, texts in _texts(batches):
-            pairs = token_sets(texts.to_pylist(), p, known, second=True)
+            pairs = token_sets(texts.to_pylist(), p, second=True)
             own = [x for x, _ in pairs]
             ids = np.array([set_id(x, y, p, clashing) for x, y in pairs], np.int64).reshape(-1, 2)
             parts = [prefix_keys(x, held.value, p) for x in own]
@@ -285,11 +296,10 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, p: JoinParams, key: str,
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes(p.seed)
         for batch in batches:
             b = batch.column(2).to_numpy()
             some = held.value[b >> 5] >> (b & 31).astype(np.uint32) & 1 == 1
-            own = token_sets(pc.filter(batch.column(1), pa.array(some)).to_pylist(), p, known, second=True)
+            own = token_sets(pc.filter(batch.column(1), pa.array(some)).to_pylist(), p, second=True)
             found = {set_id(x, y, p, clashing)[0]: y for x, y in own}
             ends = np.cumsum([0, *map(len, found.values())]).astype(np.int32)
             flat = np.concatenate([*found.values(), np.zeros(0, np.int64)])

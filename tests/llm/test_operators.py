@@ -633,9 +633,13 @@ def test_ngram_join_with_clashing_tokens(spark):
 
 
 def test_words_of_slabs(monkeypatch):
-    text = " ".join(RNG.choice(["a", "Bc", "déf", "x" * 50]) + RNG.choice(["", "\t", "\n \x0b"]) for _ in range(300)).encode()
-    whole = ngramjoin.WordHashes().of(text)
+    text = " ".join(RNG.choice(["a", "Bc", "déf", "x" * 50, "X" * 50]) + RNG.choice(["", "\t", "\n \x0b"]) for _ in range(300)).encode()
+    ends, whole = ngramjoin.word_hashes(text, 0, True)
     monkeypatch.setattr(ngramjoin, "SLAB", 17)
-    monkeypatch.setattr(ngramjoin, "KNOWN", 2)
-    assert all((a == b).all() for a, b in zip(whole, ngramjoin.WordHashes().of(text))) and len(whole[0]) == len(text.split())
-    assert [len(x) for x in ngramjoin.WordHashes().of(b" ")] == [0, 0]
+    again, parts = ngramjoin.word_hashes(text, 0, True)
+    words = text.lower().split()
+    assert (ends == again).all() and all((a == b).all() for a, b in zip(whole, parts)) and len(ends) == len(words)
+    assert [text[: e].lower().split()[-1] for e in ends] == words
+    for half in whole:
+        assert len(set(half.tolist())) == len(set(words)) == len(set(zip(words, half.tolist())))
+    assert [len(x) for x in ngramjoin.word_hashes(b" \n")[1]] == [0] and len(ngramjoin.word_hashes(b"")[0]) == 0
