@@ -53,7 +53,7 @@ EVIDENCE = (
 
 def plates(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(floors, plates, cells): floors m, k with plate, the least floor of the model with the same mask; each plate (m, plate) with ring, raw (area of
-    its cells), area, change, method, tolerance, low (covers too little of the envelope), island_area, hole_area, reason; the cells of good plates."""
+    its cells), area, change, method, tolerance, low (covers too little of the envelope), clean (the least plate that is the same when clean), island_area, hole_area, reason; the cells of good plates."""
     own = cells.select(*CELL).join(models.select("m", "floors"), "m").filter("k BETWEEN 1 AND floors").select(*CELL)
     places = F.sort_array(F.collect_set((C("i") - 1) * side + C("j")))
     floors = own.groupBy("m", "k").agg(places.alias("places"))
@@ -77,6 +77,8 @@ def plates(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tu
     made = rows.select("m", "k", "raw", "tolerance", reason.alias("why"), F.when(square, C("box.ring")).otherwise(C("thin.value")).alias("ring"), F.when(square, METHODS[1]).otherwise(METHODS[0]).alias("method"), "size_x", "size_z")
     extent = lambda v: F.array_max(F.transform("ring", lambda q: q[v])) - F.array_min(F.transform("ring", lambda q: q[v]))
     low = (extent("x") < p.min_envelope_span * C("size_x")) | (extent("z") < p.min_envelope_span * C("size_z")) | (C("raw") < p.min_envelope_area * C("size_x") * C("size_z"))
+    shape = kept.groupBy("m", "k").agg(F.sort_array(F.collect_list((C("i") - 1) * side + C("j"))).alias("places"))
+    made = made.join(shape.select("m", "k", F.min("k").over(W.partitionBy("m", "places")).alias("clean")), ["m", "k"])
     made = made.withColumn("area", F.abs(rings.signed_area(C("ring")))).withColumns({"low": low, "change": C("area") / C("raw") - 1}).drop("size_x", "size_z")
     measured = found.select("m", "k", "island_area", "hole_area", "reason").join(made, ["m", "k"], "left")
     measured = stored(measured.withColumn("reason", F.coalesce("reason", "why")).withColumnRenamed("k", "plate").drop("why"), "plates")
@@ -114,7 +116,7 @@ def floor_groups(cells: DataFrame, models: DataFrame, side: int, p: GridMassing)
     majority = (C("floors") == 3) & (C("members") >= 2) & (F.sum("members").over(W.partitionBy("m")) == 3)
     middle = lower_median(valid, ["m", "group"], ["raw", "k"]).join(counts, ["m", "group"])
     groups = middle.withColumn("supported", (C("members") >= p.min_support_floors) | majority)
-    groups = stored(groups.select("m", "group", "members", "supported", "plate", "raw", "ring", "area", "change", "low", "method", "tolerance"), "groups")
+    groups = stored(groups.select("m", "group", "members", "supported", "plate", "clean", "raw", "ring", "area", "change", "low", "method", "tolerance"), "groups")
     held = groups.filter("supported").select("m", "group", C("plate").alias("middle"), C("raw").alias("middle_raw"))
     # a floor of a group without support joins the first supported one that its mask and area are near
     lone = valid.select("m", "k", "plate", "raw", "group").join(groups.filter("NOT supported").select("m", "group"), ["m", "group"], "left_semi").drop("group")
@@ -126,7 +128,7 @@ def floor_groups(cells: DataFrame, models: DataFrame, side: int, p: GridMassing)
     # an empty or bad floor between two of one group is taken for one of that group
     around = F.when(C("reason").isNotNull() & (F.lag("given").over(order) == F.lead("given").over(order)), F.lag("given").over(order))
     levels = own.withColumn("home", F.coalesce("given", around)).withColumn("bridged", C("given").isNull() & C("home").isNotNull())
-    return stored(levels.select("m", "k", "floors", "plate", "raw", "reason", "island_area", "hole_area", "group", "given", "home", "bridged"), "homes"), groups
+    return stored(levels.select("m", "k", "floors", "clean", "raw", "reason", "island_area", "hole_area", "group", "given", "home", "bridged"), "homes"), groups
 
 
 def grid_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing = GridMassing()) -> DataFrame:
@@ -135,7 +137,7 @@ def grid_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassi
     p, slab = params, FloorParams().slab
     models = models.select("m", "cell", "size_x", "size_y", "size_z", "ground", "upper", "floors")
     levels, groups = floor_groups(cells, models, side, p)
-    ring = groups.select("m", C("group").alias("home"), "members", C("plate").alias("middle"), "ring", "area", C("raw").alias("group_raw"), "change", "low", "method", "tolerance")
+    ring = groups.select("m", C("group").alias("home"), "members", C("clean").alias("middle"), "ring", "area", C("raw").alias("group_raw"), "change", "low", "method", "tolerance")
     stats = levels.groupBy("m").agg(
         F.count_if(C("reason").isNull()).alias("valid"), F.max(F.when(C("given").isNotNull(), C("k"))).alias("last"), F.max(F.when(C("k") == 1, C("given"))).alias("base"), F.bool_or((C("k") == 1) & C("reason").isNull()).alias("ground_good"),
         F.min(F.when(C("reason").rlike(AMBIGUOUS), F.struct("k", "reason"))).alias("odd"),
@@ -172,7 +174,7 @@ def grid_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassi
         F.array_sort(F.collect_list(tier)).alias("tiers"), F.min_by("area", "run").alias("area"), F.max(F.abs("change")).alias("max_change"), F.array_sort(F.collect_set("method")).alias("methods")
     )
     given = walk.join(ring.select("m", "home", "middle", C("area").alias("home_area")), ["m", "home"]).filter("given IS NOT NULL")
-    regular = given.groupBy("m").agg(F.count_if(C("plate") != C("middle")).alias("regularized"), F.max(F.abs(C("home_area") / C("raw") - 1)).alias("regular_change"))
+    regular = given.groupBy("m").agg(F.count_if(C("clean") != C("middle")).alias("regularized"), F.max(F.abs(C("home_area") / C("raw") - 1)).alias("regular_change"))
     mended = levels.filter("reason IS NULL").groupBy("m").agg(F.count_if((C("island_area") > 0) | (C("hole_area") > 0)).alias("mended"), F.sum("island_area").alias("island_area"), F.sum("hole_area").alias("hole_area"))
     bridges = walk.groupBy("m").agg(F.count_if("bridged").alias("bridges"))
     rows = reduce(lambda x, y: x.join(y, "m", "left"), [one, refused, built, regular, mended, bridges])

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.functions import building, geometry, motion, polygons, rings
-from strataframe.operators.kernels import by_group
+from strataframe.functions import building, geometry, motion, rings
 from strataframe.operators.rings import _cell, spread, turned_overlaps
+from strataframe.storage import restored
 
 C = F.col
 
@@ -104,46 +102,39 @@ def ray_picks(rays: DataFrame, triangles: DataFrame, cell: float) -> DataFrame:
 
 
 def tracked(loops: DataFrame, least_ratio: float = 0.78, most_shift: float = 18.0, most_apart: float = 8.0) -> DataFrame:
-    """loops (m, sample, loop, ring, area, x, z) with track, numbered by model: sample by sample and loop by loop each joins the track of the
-    sample before that costs least, of those no other loop of its sample has and that are alike enough; else it begins one.
+    """m, sample, loop, track of loops (m, sample, loop, ring, area, x, z): loops that follow each other from sample to sample are one track.
 
-    A model's loops are walked in one task: a dozen samples of a few loops.
+    Pairs of loops of neighbouring samples that are alike in area, place and shape have a cost. In each sample the loops in order take the
+    cheapest of theirs that no loop before took, of equal ones the least; what takes none begins a track. Tracks are numbered by model, by where
+    they begin. A model without a sample between two has no track over the gap. Nulls in a key or figure pair with nothing.
     """
-
-    def walk(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: (r["sample"], r["loop"]))
-        out, before, now, sample, n = [], [], [], None, 0
-        for r in rows:
-            if r["sample"] != sample:
-                before, now = (now if sample is not None and r["sample"] == sample + 1 else []), []
-                sample = r["sample"]
-            ring = [(p["x"], p["z"]) for p in r["ring"]]
-            best = None
-            for track, old, area, x, z in before:
-                if any(track == t[0] for t in now):
-                    continue
-                ratio, shift = min(area, r["area"]) / max(area, r["area"]), float(np.hypot(x - r["x"], z - r["z"]))
-                if ratio < least_ratio or shift > most_shift:
-                    continue
-                apart = _ring_distance(old, ring)
-                if apart <= most_apart and (best is None or apart + shift / 4 + (1 - ratio) * 10 < best[0]):
-                    best = (apart + shift / 4 + (1 - ratio) * 10, track)
-            if best is None:
-                n += 1
-            track = best[1] if best else n
-            now.append((track, ring, r["area"], r["x"], r["z"]))
-            out.append({"m": r["m"], "sample": r["sample"], "loop": r["loop"], "track": track})
-        return pa.Table.from_pylist(out, pa.schema([group.schema.field("m"), group.schema.field("sample"), group.schema.field("loop"), ("track", pa.int32())]))
-
-    return by_group(loops.select("m", "sample", "loop", "ring", "area", "x", "z"), ["m"], walk, [*loops.select("m", "sample", "loop").schema.fields, ("track", "int")])
-
-
-def _ring_distance(a: polygons.Ring, b: polygons.Ring) -> float:
-    def one_way(p: polygons.Ring, q: polygons.Ring) -> float:
-        tried = [v for s, t in zip(p, p[1:] + p[:1]) for v in (s, ((s[0] + t[0]) / 2, (s[1] + t[1]) / 2))]
-        return max(min(polygons.distance(v, s, t) for s, t in zip(q, q[1:] + q[:1])) for v in tried)
-
-    return max(one_way(a, b), one_way(b, a))
+    later = loops.select("m", "sample", "loop", "ring", "area", "x", "z")
+    before = later.select("m", (C("sample") + 1).alias("sample"), C("loop").alias("prev"), *(C(c).alias(f"p_{c}") for c in ("ring", "area", "x", "z")))
+    ratio, shift = F.least("area", "p_area") / F.greatest("area", "p_area"), F.hypot(C("x") - C("p_x"), C("z") - C("p_z"))
+    near = later.join(before, ["m", "sample"]).withColumns({"ratio": ratio, "shift": shift}).filter((C("ratio") >= least_ratio) & (C("shift") <= most_shift))
+    near = near.withColumn("apart", rings.shape_distance(C("p_ring"), C("ring"))).filter(C("apart") <= most_apart)
+    offers = near.select("m", "sample", F.struct("loop", (C("apart") + C("shift") / 4 + (1 - C("ratio")) * 10).alias("cost"), "prev").alias("offer"))
+    pair = F.struct("offer.loop", "offer.prev")
+    kind = f"array<{offers.select(pair.alias('p')).schema['p'].dataType.simpleString()}>"
+
+    def take(done: Column, offer: Column) -> Column:
+        free = ~F.exists(done, lambda d: (d["loop"] == offer["loop"]) | (d["prev"] == offer["prev"]))
+        return F.when(free, F.concat(done, F.array(F.struct(offer["loop"].alias("loop"), offer["prev"].alias("prev"))))).otherwise(done).cast(kind)
+
+    # a sample's offers, a few for each of its loops, in order of loop and cost
+    taken = offers.groupBy("m", "sample").agg(F.aggregate(F.array_sort(F.collect_list("offer")), F.array().cast(kind), take).alias("taken"))
+    taken = taken.select("m", "sample", F.explode("taken").alias("t")).select("m", "sample", "t.loop", "t.prev")
+    own = loops.select("m", "sample", "loop").join(taken, ["m", "sample", "loop"], "left")
+    # where each loop's track begins: each round doubles the steps back
+    head = F.when(C("prev").isNull(), F.struct("sample", "loop")).otherwise(F.struct((C("sample") - 1).alias("sample"), C("prev").alias("loop")))
+    led, path = restored(own.select("m", "sample", "loop", head.alias("head")), None, "tracks")
+    while True:
+        to = led.select("m", F.struct("sample", "loop").alias("head"), C("head").alias("further"))
+        step = led.join(to, ["m", "head"]).select("m", "sample", "loop", "head", "further")
+        if step.filter("head <> further").isEmpty():
+            break
+        led, path = restored(step.select("m", "sample", "loop", C("further").alias("head")), path, "tracks")
+    return led.select("m", "sample", "loop", F.dense_rank().over(W.partitionBy("m").orderBy("head")).alias("track"))
 
 
 def same_envelope(lo: Column, hi: Column, size: Column, tolerance: float = 0.35) -> Column:
@@ -203,11 +194,6 @@ def moved_frame(at: Column, yaw: Column, saved: Column, saved_yaw: Column, pivot
     return motion.to_world(motion.to_local(at, saved, saved_yaw), pivot, pivot_yaw), yaw + pivot_yaw - saved_yaw
 
 
-def nth_of(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The nth row, from 1, in an order that ends with a key; one row is shown at a time."""
-    return rows.withColumn("__n", F.row_number().over(W.orderBy(*order))).filter(C("__n") == n).drop("__n")
-
-
 def measured_box(a: Column, b: Column, c: Column, ground: Column, roof: Column | None = None, most: float = 5.0) -> Column:
     """struct(at, size, right, reason): the upright box whose roof has the corners a, b and c, c beside one of the others: from the ground to the mean height
     of the corners, or to `roof`. right is the level direction of its width, so that its depth is positive. Corners more than `most` apart in height are refused."""

@@ -10,25 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.operators import massing
+from strataframe.plans.drawn import draw, drawn
 
 C = F.col
 SIDE, CELL, SIZE, GROUND, UPPER = 20, 3.0, 60.0, 15.0, 12.5
 SLAB = massing.FloorParams().slab
 
 
-def _draw(*parts, n: int) -> Column:
-    """A number below n that MD5 makes of the parts."""
-    text = F.concat_ws(":", *((p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts))
-    return (F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long") % n).cast("int")
-
-
-def _drawn(parts: str, n: int) -> str:
-    """The same in SQL; parts are its arguments."""
-    digits = f"md5(concat_ws(':', {parts}))"
-    value = " + ".join(f"(instr('0123456789abcdef', substr({digits}, {k + 1}, 1)) - 1) * {16 ** (5 - k)}" for k in range(6))
-    return f"CAST(({value}) % {n} AS INTEGER)"
-
-
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
 
@@ -48,10 +36,10 @@ def _stacks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     cell, a cell apart, a courtyard or a gap."""
     m, k = C("m"), C("k")
     own = _suppliers(spark, sf_dir).select(
-        "m", (_draw(m, "f", n=8) + 2).alias("floors"), (_draw(m, "a", n=2) + 1).alias("a0"), (20 - _draw(m, "b", n=2)).alias("a1"), (_draw(m, "c", n=2) + 1).alias("j0"), (20 - _draw(m, "d", n=2)).alias("j1"),
-        (_draw(m, "e", n=12) + 1).alias("cut"), (_draw(m, "s", n=8) + 1).alias("back"), (_draw(m, "y", n=6) == 0).alias("odd"),
+        "m", (draw(m, "f", n=8) + 2).alias("floors"), (draw(m, "a", n=2) + 1).alias("a0"), (20 - draw(m, "b", n=2)).alias("a1"), (draw(m, "c", n=2) + 1).alias("j0"), (20 - draw(m, "d", n=2)).alias("j1"),
+        (draw(m, "e", n=12) + 1).alias("cut"), (draw(m, "s", n=8) + 1).alias("back"), (draw(m, "y", n=6) == 0).alias("odd"),
     )
-    rows = own.withColumn("k", _each("k", 1, C("floors"))).withColumn("mode", _draw(m, k, "x", n=30))
+    rows = own.withColumn("k", _each("k", 1, C("floors"))).withColumn("mode", draw(m, k, "x", n=30))
     back = F.when(k > C("cut"), C("back")).otherwise(0)
     rows = rows.withColumns({"i0": C("a0") + back, "i1": C("a1") - back})
     short = F.when(C("mode") == 1, 1).when(C("mode") == 2, 3).otherwise(0)
@@ -82,10 +70,10 @@ _P = massing.GridMassing()
 _G, _WALK, _FLOOR = massing.GATES, massing.WALK, massing.FLOOR
 MASSING_SQL = f"""
 WITH RECURSIVE o AS (
-  SELECT s_suppkey AS m, {_drawn("s_suppkey, 'f'", 8)} + 2 AS floors, {_drawn("s_suppkey, 'a'", 2)} + 1 AS a0, 20 - {_drawn("s_suppkey, 'b'", 2)} AS a1, {_drawn("s_suppkey, 'c'", 2)} + 1 AS j0, 20 - {_drawn("s_suppkey, 'd'", 2)} AS j1,
-    {_drawn("s_suppkey, 'e'", 12)} + 1 AS cut, {_drawn("s_suppkey, 's'", 8)} + 1 AS back, {_drawn("s_suppkey, 'y'", 6)} = 0 AS odd FROM supplier),
+  SELECT s_suppkey AS m, {drawn("s_suppkey, 'f'", 8)} + 2 AS floors, {drawn("s_suppkey, 'a'", 2)} + 1 AS a0, 20 - {drawn("s_suppkey, 'b'", 2)} AS a1, {drawn("s_suppkey, 'c'", 2)} + 1 AS j0, 20 - {drawn("s_suppkey, 'd'", 2)} AS j1,
+    {drawn("s_suppkey, 'e'", 12)} + 1 AS cut, {drawn("s_suppkey, 's'", 8)} + 1 AS back, {drawn("s_suppkey, 'y'", 6)} = 0 AS odd FROM supplier),
 l AS (SELECT *, unnest(generate_series(1, floors)) AS k FROM o),
-d AS (SELECT *, {_drawn("m, k, 'x'", 30)} AS mode, CASE WHEN k > cut THEN back ELSE 0 END AS b FROM l),
+d AS (SELECT *, {drawn("m, k, 'x'", 30)} AS mode, CASE WHEN k > cut THEN back ELSE 0 END AS b FROM l),
 s AS (SELECT m, k, floors, mode, odd, j0, j1, a0 + b AS i0, CASE mode WHEN 4 THEN least(a1 - b, 17) WHEN 1 THEN a1 - b - 1 WHEN 2 THEN a1 - b - 3 ELSE a1 - b END AS i1 FROM d),
 t AS (SELECT *, mode = 0 OR i0 > i1 AS none, i0 <= 8 AND i1 >= 12 AS wide, (i1 - i0 + 1) * (j1 - j0 + 1) AS n, (j1 - j0 + 1) AS deep FROM s),
 u AS (SELECT *, CASE WHEN mode = 3 AND wide THEN 1 WHEN mode = 5 AND odd AND wide THEN 9 ELSE 0 END AS hole, CASE WHEN mode = 6 AND odd AND wide THEN (10 - i0) * deep ELSE 0 END AS part, CASE WHEN mode = 6 AND odd AND wide THEN (i1 - 10) * deep WHEN mode = 4 THEN 1 ELSE 0 END AS other FROM t),
@@ -145,7 +133,7 @@ FROM me LEFT JOIN mf ON mf.m = me.m LEFT JOIN mg ON mg.m = me.m LEFT JOIN mh ON
 def _towers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(models, cells): for each supplier a tower, or two side by side of drawn widths and heights, some of them on a podium."""
     m = C("m")
-    own = _suppliers(spark, sf_dir).select("m", (_draw(m, "t", n=4) > 0).alias("two"), (_draw(m, "p", n=14) + 2).alias("p"), (_draw(m, "l", n=6) + 1).alias("hl"), (_draw(m, "r", n=6) + 1).alias("hr"), (_draw(m, "w", n=10) + 10).alias("j1"), F.greatest(_draw(m, "q", n=7) - 2, F.lit(0)).alias("q"))
+    own = _suppliers(spark, sf_dir).select("m", (draw(m, "t", n=4) > 0).alias("two"), (draw(m, "p", n=14) + 2).alias("p"), (draw(m, "l", n=6) + 1).alias("hl"), (draw(m, "r", n=6) + 1).alias("hr"), (draw(m, "w", n=10) + 10).alias("j1"), F.greatest(draw(m, "q", n=7) - 2, F.lit(0)).alias("q"))
     own = own.withColumn("q", F.when(C("two"), C("q")).otherwise(0)).withColumn("floors", C("q") + F.when(C("two"), F.greatest("hl", "hr")).otherwise(C("hl")))
     rows = own.withColumn("k", _each("k", 1, C("floors"))).withColumn("i", _each("i", 1, SIDE)).withColumn("j", _each("j", 1, C("j1")))
     left, right = (C("i") <= C("p")) & (C("k") <= C("q") + C("hl")), C("two") & (C("i") >= C("p") + 2) & (C("k") <= C("q") + C("hr"))
@@ -159,7 +147,7 @@ def split_massing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("m", "cells", "first", "tiny", F.round("area", 6).alias("area"), F.round("height", 6).alias("height"), "reason", "source_reason")
 
 
-_TOWERS = f"""o AS (SELECT s_suppkey AS m, {_drawn("s_suppkey, 't'", 4)} > 0 AS two, {_drawn("s_suppkey, 'p'", 14)} + 2 AS p, {_drawn("s_suppkey, 'l'", 6)} + 1 AS hl, {_drawn("s_suppkey, 'r'", 6)} + 1 AS hr, {_drawn("s_suppkey, 'w'", 10)} + 10 AS j1, greatest({_drawn("s_suppkey, 'q'", 7)} - 2, 0) AS q0 FROM supplier),
+_TOWERS = f"""o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 't'", 4)} > 0 AS two, {drawn("s_suppkey, 'p'", 14)} + 2 AS p, {drawn("s_suppkey, 'l'", 6)} + 1 AS hl, {drawn("s_suppkey, 'r'", 6)} + 1 AS hr, {drawn("s_suppkey, 'w'", 10)} + 10 AS j1, greatest({drawn("s_suppkey, 'q'", 7)} - 2, 0) AS q0 FROM supplier),
 own AS (SELECT *, CASE WHEN two THEN q0 ELSE 0 END AS q, CASE WHEN two THEN greatest(hl, hr) + q0 ELSE hl END AS floors FROM o)"""
 #: Of a body of n equal rectangles of w by d cells: why it is no building, and its height, which its own envelope bounds.
 _BODY = f"CASE WHEN n < {{0}} THEN '{_G['few']}' WHEN 9.0 * w * d < {_P.min_area} OR 3 * least(w, d) < {_P.min_width} THEN '{_G['ground']}' END"

@@ -10,8 +10,9 @@ from strataframe.operators import masks, meshes, places
 from strataframe.plans.levels import BOXES
 from strataframe.plans.occupancy import CELLS, FLOODED, SIDE, _cells
 from strataframe.plans.scalars import TURNED, _turned, _view
+from strataframe.plans.drawn import draw, drawn
 from strataframe.plans.scenes import _segments, _SEGMENTS
-from strataframe.plans.works import FRAMES_SQL, TRACKS, _boxes
+from strataframe.plans.works import FRAMES_SQL, _boxes
 
 C = F.col
 R = 6
@@ -109,15 +110,42 @@ SELECT hit, arg_min(triangle, (t, triangle)) AS triangle, round(min(t), 6) + 0 A
 
 
 def loop_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three boxes far apart in each model, over eight samples; the second is missing in one, the third jumps in one, and so each begins a new track."""
-    rows = _view(spark, sf_dir, TRACKS, "supplier").select(C("id").alias("m"), "x0", "z0", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("sample"))
-    rows = rows.withColumn("loop", F.explode(F.array(*map(F.lit, (1, 2, 3))))).filter("NOT (loop = 2 AND sample = 4)")
-    x = C("x0") + C("loop") * 100 + C("sample") * 0.5 + F.when((C("loop") == 3) & (C("sample") > 5), 30.0).otherwise(0.0)
-    loops = rows.withColumn("x", x).select("m", "sample", "loop", rings.box_ring(C("x"), C("z0"), C("x") + 20, C("z0") + 20).alias("ring"), F.lit(400.0).alias("area"), (C("x") + 10).alias("x"), (C("z0") + 10).alias("z"))
-    return places.tracked(loops).groupBy("m", "track").agg(F.count("*").alias("n"), F.min("sample").alias("first"), F.max("sample").alias("last"), F.max("loop").alias("loop"))
-
-
-TRACKS_SQL = """SELECT s_suppkey AS m, track, n, first, last, loop FROM supplier, (SELECT unnest([1, 2, 3, 4, 5]) AS track, unnest([8, 3, 5, 4, 3]) AS n, unnest([1, 1, 1, 5, 6]) AS first, unnest([8, 3, 5, 8, 8]) AS last, unnest([1, 2, 3, 2, 3]) AS loop)"""
+    """Boxes over eight samples of each supplier, of drawn places and sizes, near enough to compete for a track; some are missing."""
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("sample"))
+    rows = rows.withColumn("loop", F.explode(F.array(*map(F.lit, (1, 2, 3, 4))))).filter(draw(C("m"), C("sample"), C("loop"), "miss", n=12) > 0)
+    at = lambda name, n: draw(C("m"), C("sample"), C("loop"), name, n=n) / 10.0
+    rows = rows.withColumns({"x0": C("loop") * 12 + at("x", 90), "z0": at("z", 90)}).withColumns({"x1": C("x0") + 20 + at("w", 30), "z1": C("z0") + 20 + at("d", 30)})
+    loops = rows.select("m", "sample", "loop", rings.box_ring(C("x0"), C("z0"), C("x1"), C("z1")).alias("ring"), ((C("x1") - C("x0")) * (C("z1") - C("z0"))).alias("area"), ((C("x0") + C("x1")) / 2).alias("x"), ((C("z0") + C("z1")) / 2).alias("z"))
+    return places.tracked(loops)
+
+
+def _away(p: str, q: str) -> str:
+    """The largest of the distances of the corners and edge middles of box p to the border of box q."""
+    mid = {"x": f"(({p}.x0 + {p}.x1) / 2)", "z": f"(({p}.z0 + {p}.z1) / 2)"}
+    points = [(f"{p}.x{i}", f"{p}.z{j}") for i in (0, 1) for j in (0, 1)] + [(mid["x"], f"{p}.z{j}") for j in (0, 1)] + [(f"{p}.x{i}", mid["z"]) for i in (0, 1)]
+    inner = "least({0} - {q}.x0, {q}.x1 - {0}, {1} - {q}.z0, {q}.z1 - {1})"
+    outer = "sqrt(pow(greatest({q}.x0 - {0}, 0, {0} - {q}.x1), 2) + pow(greatest({q}.z0 - {1}, 0, {1} - {q}.z1), 2))"
+    return "greatest(" + ", ".join(f"CASE WHEN {inner.format(x, z, q=q)} >= 0 THEN {inner.format(x, z, q=q)} ELSE {outer.format(x, z, q=q)} END" for x, z in points) + ")"
+
+
+TRACKS_SQL = f"""
+WITH RECURSIVE k AS (SELECT s_suppkey AS m, sample, loop FROM supplier, (SELECT unnest(generate_series(1, 8)) AS sample), (SELECT unnest([1, 2, 3, 4]) AS loop)),
+a AS (SELECT m, sample, loop, loop * 12 + {drawn("m, sample, loop, 'x'", 90)} / 10.0::DOUBLE AS x0, {drawn("m, sample, loop, 'z'", 90)} / 10.0::DOUBLE AS z0, {drawn("m, sample, loop, 'w'", 30)} / 10.0::DOUBLE AS w, {drawn("m, sample, loop, 'd'", 30)} / 10.0::DOUBLE AS d
+  FROM k WHERE {drawn("m, sample, loop, 'miss'", 12)} > 0),
+b AS (SELECT *, x0 + 20 + w AS x1, z0 + 20 + d AS z1, (20 + w) * (20 + d) AS area FROM a),
+p AS (SELECT l.m, l.sample, l.loop, e.loop AS prev, least(l.area, e.area) / greatest(l.area, e.area) AS ratio, sqrt(pow((l.x0 + l.x1 - e.x0 - e.x1) / 2, 2) + pow((l.z0 + l.z1 - e.z0 - e.z1) / 2, 2)) AS shift, greatest({_away("l", "e")}, {_away("e", "l")}) AS apart
+  FROM b l JOIN b e ON e.m = l.m AND e.sample = l.sample - 1),
+o AS (SELECT m, sample, loop, prev, row_number() OVER (PARTITION BY m, sample ORDER BY loop, apart + shift / 4 + (1 - ratio) * 10, prev) AS n FROM p WHERE ratio >= 0.78 AND shift <= 18 AND apart <= 8),
+r(m, sample, n, loops, prevs) AS (
+  SELECT m, sample, 0, CAST([] AS INTEGER[]), CAST([] AS INTEGER[]) FROM b GROUP BY m, sample
+  UNION ALL SELECT r.m, r.sample, r.n + 1, CASE WHEN list_contains(loops, o.loop) OR list_contains(prevs, o.prev) THEN loops ELSE list_append(loops, o.loop) END, CASE WHEN list_contains(loops, o.loop) OR list_contains(prevs, o.prev) THEN prevs ELSE list_append(prevs, o.prev) END
+  FROM r JOIN o ON o.m = r.m AND o.sample = r.sample AND o.n = r.n + 1),
+t AS (SELECT m, sample, unnest(arg_max(loops, n)) AS loop, unnest(arg_max(prevs, n)) AS prev FROM r GROUP BY m, sample),
+h(m, sample, loop, s, l) AS (
+  SELECT b.m, b.sample, b.loop, b.sample, b.loop FROM b LEFT JOIN t ON t.m = b.m AND t.sample = b.sample AND t.loop = b.loop WHERE t.loop IS NULL
+  UNION ALL SELECT t.m, t.sample, t.loop, h.s, h.l FROM h JOIN t ON t.m = h.m AND t.sample = h.sample + 1 AND t.prev = h.loop)
+SELECT m, sample, loop, CAST(dense_rank() OVER (PARTITION BY m ORDER BY s, l) AS INTEGER) AS track FROM h
+"""
 
 
 def part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

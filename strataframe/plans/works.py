@@ -9,6 +9,7 @@ from strataframe import sinks
 from strataframe.functions import motion, polygons, rings
 from strataframe.functions.geometry import signed_area
 from strataframe.operators import graph, meshes, scenes, sections
+from strataframe.plans.drawn import draw, drawn
 from strataframe.plans.levels import BOXES
 from strataframe.plans.scalars import ELLS, _ells, _view
 from strataframe.streaming import tracking
@@ -63,17 +64,43 @@ SELECT component AS cluster, count(*) AS n, round(avg(x), 4) AS x, round(avg(z),
 
 
 def tile_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as tiles against the same tiles in another order, with other signs, scaled and moved, some of them with changed sizes."""
-    n = C("n_nationkey")
-    base = spark.read.parquet(f"{sf_dir}/nation.parquet").select(n.alias("id"), *((n * p % 23 + q).cast("double").alias(v) for v, p, q in (("dx", 7, 20), ("dy", 5, 11), ("dz", 3, 30), ("x", 13, 1), ("y", 11, 2), ("z", 17, 3))))
-    change = F.when(C("id") % 6 == 5, 1.02).otherwise(1.0)
-    signs, offset = (1, -1, -1), (100.0, -50.0, 7.0)
-    there = base.select(((C("id") * 8 + 3) % 25).alias("id"), (C("dx") * 4 * change).alias("dx"), (C("dy") * 4).alias("dy"), (C("dz") * 4).alias("dz"), *((C(v) * s * 4 + o).alias(v) for v, s, o in zip("xyz", signs, offset)))
-    found = meshes.aligned(base, there)
-    return found.select("source", "target", F.round("scale", R).alias("scale"), "intact", "sx", "sy", "sz", *(F.round(c, 4).alias(c) for c in ("ox", "oy", "oz", "error")))
-
-
-ALIGN_SQL = """SELECT n_nationkey AS source, CAST((n_nationkey * 8 + 3) % 25 AS INTEGER) AS target, 4.0::DOUBLE AS scale, 21 AS intact, 1 AS sx, -1 AS sy, -1 AS sz, 100.0::DOUBLE AS ox, -50.0::DOUBLE AS oy, 7.0::DOUBLE AS oz, 0.0::DOUBLE AS error FROM nation"""
+    """Five tiles of each supplier against the same tiles in another order, with drawn signs, scaled and moved; up to two of them have changed sizes."""
+    m, t = C("s_suppkey"), C("t")
+    base = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("t"))
+    base = base.select(m, t.alias("id"), *((draw(m, t, v, n=900) / 10.0 + 10).alias(v) for v in ("dx", "dy", "dz", "x", "y", "z")))
+    i = C("id")
+    sign = lambda v: draw(m, v, "sign", n=2) * 2 - 1
+    changed = F.when((i < 2) & (draw(m, i, "change", n=3) == 0), 1.05).otherwise(1.0)
+    there = base.select(m, ((i * 2 + draw(m, "turn", n=5)) % 5).alias("id"), (C("dx") * 4 * changed).alias("dx"), (C("dy") * 4).alias("dy"), (C("dz") * 4).alias("dz"), *((C(v) * sign(v) * 4 + draw(m, v, "offset", n=1000)).alias(v) for v in "xyz"))
+    found = meshes.aligned(base, there, ["s_suppkey"])
+    return found.select("s_suppkey", "source", "target", F.round("cost", R).alias("cost"), F.round("scale", R).alias("scale"), "intact", "sx", "sy", "sz", *(F.round(c, 4).alias(c) for c in ("ox", "oy", "oz", "error")), "reason")
+
+
+_TILE = ", ".join(f"{drawn(f"s_suppkey, t, '{v}'", 900)} / 10.0::DOUBLE + 10 AS {v}" for v in ("dx", "dy", "dz", "x", "y", "z"))
+_GAPS = ", ".join(f"tb.{v} - ta.{v} * s{v} * scale AS g{v}" for v in "xyz")
+ALIGN_SQL = f"""
+WITH a AS (SELECT s_suppkey, t AS id, {_TILE} FROM supplier, (SELECT unnest([0, 1, 2, 3, 4]) AS t)),
+b AS (SELECT s_suppkey, (id * 2 + {drawn("s_suppkey, 'turn'", 5)}) % 5 AS id, dx * 4 * CASE WHEN id < 2 AND {drawn("s_suppkey, id, 'change'", 3)} = 0 THEN 1.05::DOUBLE ELSE 1 END AS dx, dy * 4 AS dy, dz * 4 AS dz,
+  {", ".join(f"{v} * ({drawn(f"s_suppkey, '{v}', 'sign'", 2)} * 2 - 1) * 4 + {drawn(f"s_suppkey, '{v}', 'offset'", 1000)} AS {v}" for v in "xyz")} FROM a),
+c AS (SELECT a.s_suppkey, a.id AS i, b.id AS j, b.dx / a.dx AS r0, b.dy / a.dy AS r1, b.dz / a.dz AS r2 FROM a JOIN b ON a.s_suppkey = b.s_suppkey),
+e AS (SELECT *, (r0 + r1 + r2) / 3 AS mean FROM c),
+f AS (SELECT *, sqrt((pow(r0 - mean, 2) + pow(r1 - mean, 2) + pow(r2 - mean, 2)) / 3) / mean AS cost FROM e),
+n AS (SELECT unnest([0, 1, 2, 3, 4]) AS v),
+p AS (SELECT row_number() OVER () AS p, [a.v, b.v, c.v, d.v, e.v] AS o FROM n a, n b, n c, n d, n e WHERE len(list_distinct([a.v, b.v, c.v, d.v, e.v])) = 5),
+q AS (SELECT p, unnest([0, 1, 2, 3, 4]) AS i, unnest(o) AS j FROM p),
+s AS (SELECT f.s_suppkey, q.p, sum(f.cost) AS total FROM f JOIN q ON q.i = f.i AND q.j = f.j GROUP BY ALL),
+w AS (SELECT s_suppkey, arg_min(p, total) AS p FROM s GROUP BY s_suppkey),
+g AS (SELECT f.*, cost < 1e-5 AS whole FROM f JOIN w ON w.s_suppkey = f.s_suppkey JOIN q ON q.p = w.p AND q.i = f.i AND q.j = f.j),
+h AS (SELECT s_suppkey, quantile_cont(r, 0.5) AS scale FROM (SELECT s_suppkey, unnest([r0, r1, r2]) AS r FROM g) GROUP BY s_suppkey),
+k AS (SELECT g.s_suppkey, sx, sy, sz, {_GAPS} FROM g JOIN h ON h.s_suppkey = g.s_suppkey JOIN a ta ON ta.s_suppkey = g.s_suppkey AND ta.id = g.i JOIN b tb ON tb.s_suppkey = g.s_suppkey AND tb.id = g.j,
+  (SELECT unnest([-1, 1]) AS sx), (SELECT unnest([-1, 1]) AS sy), (SELECT unnest([-1, 1]) AS sz) WHERE whole),
+l AS (SELECT s_suppkey, sx, sy, sz, quantile_cont(gx, 0.5) AS ox, quantile_cont(gy, 0.5) AS oy, quantile_cont(gz, 0.5) AS oz, count(*) AS intact FROM k GROUP BY ALL),
+o AS (SELECT l.*, (SELECT max(sqrt(pow(gx - ox, 2) + pow(gy - oy, 2) + pow(gz - oz, 2))) FROM k WHERE k.s_suppkey = l.s_suppkey AND k.sx = l.sx AND k.sy = l.sy AND k.sz = l.sz) AS error FROM l),
+z AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY error, sx, sy, sz) AS rk FROM o)
+SELECT g.s_suppkey, CAST(g.i AS INTEGER) AS source, CAST(g.j AS INTEGER) AS target, round(g.cost, {R}) AS cost, round(h.scale, {R}) AS scale, CAST(intact AS INTEGER) AS intact, sx, sy, sz, round(ox, 4) AS ox, round(oy, 4) AS oy, round(oz, 4) AS oz, round(error, 4) AS error,
+  CASE WHEN intact < 4 THEN 'too few intact tiles' WHEN error >= 0.02 THEN 'the alignment is not exact' END AS reason
+FROM g JOIN h ON h.s_suppkey = g.s_suppkey JOIN z ON z.s_suppkey = g.s_suppkey AND rk = 1
+"""
 
 
 def triangle_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
