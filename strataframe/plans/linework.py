@@ -1,4 +1,4 @@
-"""Registered queries: polygons of linework and repaired sections, with equal SQL."""
+"""Registered queries: polygons of linework, slabs of drawn shapes and repaired sections, with equal SQL."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataframe.functions import slabs
+from strataframe.functions.geometry import signed_area
 from strataframe.operators import linework
 from strataframe.plans.drawn import draw, drawn
 
@@ -61,4 +63,32 @@ SELECT o.m, CAST(nx + nz + gap + 1 + CASE box WHEN 0 THEN 0 WHEN 1 THEN 4 ELSE 5
 FROM o JOIN f ON f.m = o.m
 """
 
-SQL = {noded_faces: FACES_SQL}
+def _stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """m, ring of each supplier: 5 to 14 vertices around a middle, at drawn distances."""
+    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    n = draw(C("m"), "n", n=10) + 5
+    far = lambda k: draw(C("m"), "far", k, n=900) / 10.0 + 10
+    turn = lambda k: (k + draw(C("m"), "turn", k, n=600) / 1000.0) * 2 * F.pi() / C("n")
+    rows = own.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0), C("n") - 1)))
+    at = F.struct("k", (far(C("k")) * F.cos(turn(C("k")))).alias("x"), (far(C("k")) * F.sin(turn(C("k")))).alias("z"))
+    return rows.groupBy("m").agg(F.array_sort(F.collect_list(at)).alias("v")).select("m", F.transform("v", lambda p: F.struct(p["x"].alias("x"), p["z"].alias("z"))).alias("ring"))
+
+
+def ear_slabs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slabs of drawn star shapes: triangles, wedges and their areas."""
+    rows = _stars(spark, sf_dir).withColumn("s", slabs.as_slab("ring"))
+    area = lambda r: F.abs(signed_area(r))
+    wedge = F.aggregate("s.value.pieces", F.lit(0.0), lambda n, p: n + area(p["ring"]))
+    right = F.forall("s.value.pieces", lambda p: F.abs((p["ring"][1]["x"] - p["ring"][0]["x"]) * (p["ring"][2]["x"] - p["ring"][0]["x"]) + (p["ring"][1]["z"] - p["ring"][0]["z"]) * (p["ring"][2]["z"] - p["ring"][0]["z"])) < 1e-6)
+    return rows.select("m", F.size("ring").alias("vertices"), "s.value.triangles", F.round(area(C("ring")), 4).alias("area"), F.round(wedge, 4).alias("built"), right.alias("right"), (F.size("s.value.pieces") <= 2 * C("s.value.triangles") + 4 * C("s.value.splits")).alias("few"))
+
+
+STARS_SQL = f"""
+WITH o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 'n'", 10)} + 5 AS n FROM supplier), k AS (SELECT m, n, unnest(generate_series(0, n - 1)) AS k FROM o),
+p AS (SELECT m, n, k, {drawn("m, 'far', k", 900)} / 10.0::DOUBLE + 10 AS r, (k + {drawn("m, 'turn', k", 600)} / 1000.0::DOUBLE) * 2 * pi() / n AS a FROM k),
+v AS (SELECT m, n, k, r * cos(a) AS x, r * sin(a) AS z FROM p),
+e AS (SELECT p.m, p.n, p.x * q.z - q.x * p.z AS c FROM v p JOIN v q ON q.m = p.m AND q.k = (p.k + 1) % p.n)
+SELECT m, CAST(n AS INTEGER) AS vertices, CAST(n - 2 AS INTEGER) AS triangles, round(abs(sum(c)) / 2, 4) AS area, round(abs(sum(c)) / 2, 4) AS built, true AS right, true AS few FROM e GROUP BY m, n
+"""
+
+SQL = {noded_faces: FACES_SQL, ear_slabs: STARS_SQL}

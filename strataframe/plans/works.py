@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe import sinks
-from strataframe.functions import motion, polygons, rings
+from strataframe.functions import motion, polygons, rings, slabs
 from strataframe.functions.geometry import signed_area
 from strataframe.operators import graph, meshes, scenes, sections
 from strataframe.plans.drawn import draw, drawn
@@ -174,13 +174,13 @@ def polygon_slabs(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = rings.box_ring(C("x0"), C("z0"), C("x0") + C("w"), C("z0") + C("d"))
     tie = F.array(box[0], box[2], box[1], box[3])
     rows = rows.select("id", F.when(C("id") % 3 == 0, C("ring")).when(C("id") % 3 == 1, F.reverse(box)).otherwise(tie).alias("r"))
-    rows = rows.withColumns({"p": polygons.as_pieces("r"), "b": polygons.as_box("r"), "t": polygons.as_triangles("r")})
-    total = F.aggregate(F.coalesce("p.value", F.array().cast(f"array<struct<kind:string,ring:{polygons.RING}>>")), F.lit(0.0), lambda s, x: s + F.abs(signed_area(x["ring"])))
-    return rows.select("id", C("p.reason").alias("reason"), F.round(total, R).alias("area"), F.coalesce(F.size("t.value"), F.lit(0)).alias("triangles"), F.round(C("b.value.width") * C("b.value.depth"), R).alias("box"))
+    rows = rows.withColumns({"p": slabs.as_slab("r"), "b": polygons.as_box("r")})
+    total = F.aggregate(F.coalesce("p.value.pieces", F.array().cast(f"array<struct<kind:string,ring:{polygons.RING}>>")), F.lit(0.0), lambda s, x: s + F.abs(signed_area(x["ring"])))
+    return rows.select("id", C("p.reason").alias("reason"), F.round(total, R).alias("area"), F.coalesce("p.value.triangles", F.lit(0)).alias("triangles"), F.round(C("b.value.width") * C("b.value.depth"), R).alias("box"))
 
 
 SLABS_SQL = f"""WITH e AS ({ELLS.format(t="customer")})
-SELECT id, CASE WHEN id % 3 = 2 THEN 'edges cross or touch' END AS reason, round(CASE id % 3 WHEN 0 THEN w * d * 3 / 4 WHEN 1 THEN w * d ELSE 0 END, 6) AS area, CASE id % 3 WHEN 0 THEN 4 WHEN 1 THEN 2 ELSE 0 END AS triangles, round(w * d, 6) AS box FROM e WHERE id % 3 < 2
+SELECT id, CASE WHEN id % 3 = 2 THEN 'edges cross or touch' END AS reason, round(CASE id % 3 WHEN 0 THEN w * d * 3 / 4 WHEN 1 THEN w * d ELSE 0 END, 6) AS area, CASE id % 3 WHEN 0 THEN 4 ELSE 0 END AS triangles, round(w * d, 6) AS box FROM e WHERE id % 3 < 2
 UNION ALL SELECT id, 'edges cross or touch', 0, 0, round(w * d, 6) FROM e WHERE id % 3 = 2"""
 
 

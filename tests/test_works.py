@@ -32,21 +32,6 @@ def test_rings_become_valid():
             P.valid_ring([(float(x), float(z)) for x, z in bad])
 
 
-def test_triangles_and_pieces_add_up():
-    for n in (3, 4, 5, 8, 12, 25):
-        for _ in range(20):
-            ring = P.valid_ring(star(n))
-            parts = P.triangles(ring)
-            assert sum(P.signed_area(list(t)) for t in parts) == pytest.approx(P.signed_area(ring)) and all(P.signed_area(list(t)) > 0 for t in parts)
-            kinds = {k for k, _ in P.slab_pieces(ring)}
-            assert kinds == {"wedge"}
-            for t in parts:
-                for a, b, c in P.wedges(t):
-                    assert abs((b[0] - a[0]) * (c[0] - a[0]) + (b[1] - a[1]) * (c[1] - a[1])) < 1e-6 * max(1, math.dist(a, b) * math.dist(a, c))
-    assert [k for k, _ in P.slab_pieces(SQUARE)] == ["block"]
-    assert len(P.wedges(((0.0, 0.0), (10.0, 0.0), (5.0, 0.04)))) == 6  # a height too low
-
-
 def test_clip_hull_box_and_overlap():
     assert P.clipped(SQUARE, [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0)]) == []
     assert P.overlap_area(ELL, SQUARE) == pytest.approx(12) and P.overlap_area(ELL, [(2.0, 2.0), (4.0, 2.0), (4.0, 4.0), (2.0, 4.0)]) == pytest.approx(0)
