@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,3 +38,34 @@ def by_group(df: DataFrame, keys: list[str], kernel: Callable[[pa.Table], pa.Tab
         return out.select(schema.names).cast(to_arrow_schema(schema))
 
     return df.groupBy(*keys).applyInArrow(run, schema)
+
+
+def by_sorted_group(df: DataFrame, keys: list[str], kernel: Callable[[pa.Table], list[dict]], fields: list) -> DataFrame:
+    """kernel over each group of keys, for many small groups: partitions are sorted by key and read batch by batch, so a group costs no
+    stream of its own. kernel gives a group's rows without its keys. One shuffle, and a group in memory at a time."""
+    made = [f if isinstance(f, T.StructField) else T.StructField(f[0], T.DataType.fromDDL(f[1])) for f in fields]
+    schema = T.StructType([*df.select(*keys).schema.fields, *(T.StructField(f.name, f.dataType, True) for f in made)])
+    arrow = to_arrow_schema(schema)
+
+    def rows(group: pa.Table) -> pa.RecordBatch | None:
+        own = group.slice(0, 1).select(keys).to_pylist()[0]
+        found = [own | r for r in kernel(group)]
+        return pa.RecordBatch.from_pylist(found, schema=arrow) if found else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            own = batch.select(keys).to_pylist()
+            cuts = [i for i in range(len(own)) if own[i] != (own[i - 1] if i else last)]
+            if own and last is not None and cuts[:1] != [0]:
+                held.append(batch.slice(0, cuts[0] if cuts else len(own)))
+            for a, b in zip(cuts, [*cuts[1:], len(own)]):
+                if held and (out := rows(pa.Table.from_batches(held))) is not None:
+                    yield out
+                held = [batch.slice(a, b - a)]
+            last = own[-1] if own else last
+        if held and (out := rows(pa.Table.from_batches(held))) is not None:
+            yield out
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

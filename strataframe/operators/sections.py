@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.functions import polygons
+from strataframe.functions import outline, polygons, rings
+from strataframe.functions.outline import OutlineParams
+from strataframe.operators.kernels import by_sorted_group
 from strataframe.operators.spatial import section
 
 C = F.col
@@ -41,22 +43,67 @@ def loops(segments: DataFrame, by: list[str], weld: float, least_area: float = 0
     """by, loop, ring, depth, hole, area, centre, reason: the closed loops of each group's segments (a, b), with how many larger ones they
     are in, and whether that is odd. A group whose ends do not meet two by two has one row with the reason and no ring. Loops below
     least_area or narrower than least_width are left out. A group's segments are walked in one task."""
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in segments.select(*by).schema)
-    schema = f"{kinds}, loop int, ring {polygons.RING}, depth int, hole boolean, area double, centre struct<x:double,z:double>, reason string"
 
-    def walk(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        own = [((a["x"], a["z"]), (b["x"], b["z"])) for a, b in zip(frame["a"], frame["b"])]
-        names = [*by, "loop", "ring", "depth", "hole", "area", "centre", "reason"]
+    def walk(group: pa.Table) -> list[dict]:
         try:
-            found = polygons.walked(sorted(tuple(sorted(s)) for s in own), weld)
+            found = polygons.walked(_pairs(group), weld)
         except ValueError as e:
-            return pd.DataFrame([(*key, 0, None, None, None, None, None, str(e))], columns=names)
+            return [{"loop": 0, "reason": str(e)}]
         out = []
         for ring, (depth, hole) in zip(found, polygons.nested(found)):
             area, (w, d) = abs(polygons.signed_area(ring)), ([max(p[v] for p in ring) - min(p[v] for p in ring) for v in (0, 1)])
             if area >= least_area and min(w, d) >= least_width:
                 middle = {v: sum(p[k] for p in ring) / len(ring) for k, v in enumerate("xz")}
-                out.append((*key, len(out) + 1, [{"x": x, "z": z} for x, z in ring], depth, hole, area, middle, None))
-        return pd.DataFrame(out, columns=names)
+                out.append({"loop": len(out) + 1, "ring": _shown(ring), "depth": depth, "hole": hole, "area": area, "centre": middle})
+        return out
 
-    return segments.select(*by, "a", "b").groupBy(*by).applyInPandas(walk, schema)
+    fields = [("loop", "int"), ("ring", polygons.RING), ("depth", "int"), ("hole", "boolean"), ("area", "double"), ("centre", "struct<x:double,z:double>"), ("reason", "string")]
+    return by_sorted_group(segments.select(*by, "a", "b"), by, walk, fields)
+
+
+def _pairs(group: pa.Table) -> list[tuple[polygons.Point, polygons.Point]]:
+    """The segments of a group, in an order that doesn't depend on that of its rows."""
+    own = [((a["x"], a["z"]), (b["x"], b["z"])) for a, b in zip(group.column("a").to_pylist(), group.column("b").to_pylist()) if a and b]
+    return sorted(tuple(sorted(s)) for s in own)
+
+
+def _shown(ring: polygons.Ring) -> list[dict]:
+    return [{"x": x, "z": z} for x, z in ring]
+
+
+FIGURES = ("vertices", "branches", "open", "seams", "corners", "invalid")
+
+
+def mended_loops(segments: DataFrame, by: list[str], params: OutlineParams = OutlineParams()) -> DataFrame:
+    """by, loop, ring, area, reason and FIGURES: the loops of each section's segments (a, b), the largest first, after gaps were closed that the directions of
+    their ends close (see outline). A section without loops has one row with the reason. Segments with a null end are left out. A section is one task's."""
+
+    def walk(group: pa.Table) -> list[dict]:
+        found = outline.section_loops(_pairs(group), params)
+        figures = {f: found[f] for f in FIGURES}
+        rows = [{"loop": n, "ring": _shown(r), "area": abs(polygons.signed_area(r))} | figures for n, r in enumerate(found["loops"], 1)]
+        return rows or [{"loop": 0, "reason": found["reason"]} | figures]
+
+    fields = [("loop", "int"), ("ring", polygons.RING), ("area", "double"), ("reason", "string"), *((f, "int") for f in FIGURES)]
+    return by_sorted_group(segments.select(*by, "a", "b"), by, walk, fields)
+
+
+#: Areas of one hole and of all holes against the outline's, and of a second body: in all and against it.
+HOLE, HOLES, SECOND, SECOND_SHARE = 0.025, 0.04, 50.0, 0.015
+#: Why a section has no outline.
+ALONE = ("courtyard or internal loop", "large roof opening", "multiple substantial bodies", "many roof openings")
+
+
+def outlines(found: DataFrame, by: list[str], holes: bool = False) -> DataFrame:
+    """by, ring, area, holes, hole_area, reason and FIGURES of each section of mended_loops: its largest loop, unless others tell that it is not all of it. A loop in it
+    is a courtyard, and with `holes` an opening of a roof that must be small, alone and with the others; a loop beside it must be a scrap. The largest loop at fault gives the reason."""
+    main = found.filter("loop <= 1").select(*by, C("ring").alias("main"), C("area").alias("main_area"), C("reason").alias("why"), *FIGURES)
+    rest = found.filter("loop > 1").join(main.select(*by, "main", "main_area"), by)
+    inner = rings.contains_point(C("main"), C("ring")[0], 0.01)
+    opening = F.when(C("area") > C("main_area") * HOLE, ALONE[1]) if holes else F.lit(ALONE[0])
+    fault = F.when(inner, opening).otherwise(F.when(C("area") > F.least(F.lit(SECOND), C("main_area") * SECOND_SHARE), ALONE[2]))
+    judged = rest.withColumns({"inner": inner, "fault": fault})
+    sums = judged.groupBy(*by).agg(F.count_if("inner").alias("n"), F.coalesce(F.sum(F.when(C("inner"), C("area"))), F.lit(0.0)).alias("hole_area"), F.min(F.when(C("fault").isNotNull(), F.struct("loop", "fault")))["fault"].alias("fault"))
+    rows = main.join(sums, by, "left").withColumn("hole_area", F.coalesce("hole_area", F.lit(0.0)))
+    reason = F.coalesce("why", "fault", F.when(C("hole_area") > C("main_area") * HOLES, ALONE[3]))
+    return rows.withColumn("reason", reason).select(*by, F.when(C("reason").isNull(), C("main")).alias("ring"), F.when(C("reason").isNull(), C("main_area")).alias("area"), F.coalesce("n", F.lit(0).cast("long")).alias("holes"), "hole_area", "reason", *FIGURES)

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.functions import slabs
+from strataframe.functions import outline, slabs
 from strataframe.functions.geometry import signed_area
-from strataframe.operators import linework
+from strataframe.functions.outline import OutlineParams
+from strataframe.operators import linework, sections
 from strataframe.plans.drawn import draw, drawn
 
 C = F.col
@@ -91,4 +92,46 @@ e AS (SELECT p.m, p.n, p.x * q.z - q.x * p.z AS c FROM v p JOIN v q ON q.m = p.m
 SELECT m, CAST(n AS INTEGER) AS vertices, CAST(n - 2 AS INTEGER) AS triangles, round(abs(sum(c)) / 2, 4) AS area, round(abs(sum(c)) / 2, 4) AS built, true AS right, true AS few FROM e GROUP BY m, n
 """
 
-SQL = {noded_faces: FACES_SQL, ear_slabs: STARS_SQL}
+PIECE = 7.0
+
+
+def _gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """m, a, b: the outline of a box of each supplier in segments of PIECE; the upper side has a gap of a drawn length, the lower left corner is missing by
+    drawn lengths, and some have a spur, a box inside or a box beside."""
+    m = C("m")
+    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = own.select("m", (draw(m, "w", n=60) + 30.0).alias("w"), (draw(m, "d", n=60) + 30.0).alias("d"), F.greatest(draw(m, "gap", n=9) - 4, F.lit(0)).cast("double").alias("gap"), *((F.greatest(draw(m, v, n=80) - 30, F.lit(0)) / 10.0).alias(v) for v in ("cx", "cz")), draw(m, "kind", n=8).alias("kind"))
+    side = lambda x0, z0, x1, z1: F.struct(*(v.alias(n) for v, n in ((x0, "x0"), (z0, "z0"), (x1, "x1"), (z1, "z1"))))
+    zero, w, d = F.lit(0.0), C("w"), C("d")
+    sides = F.array(side(C("cx"), zero, w, zero), side(w, zero, w, d), side(w, d, w - 10, d), side(w - 10 - C("gap"), d, zero, d), side(zero, d, zero, C("cz")))
+    box = lambda x, z, a, b: F.array(side(x, z, x + a, z), side(x + a, z, x + a, z + b), side(x + a, z + b, x, z + b), side(x, z + b, x, z))
+    more = F.when(C("kind") == 0, F.array(side(w, d, w + 5, d + 5))).when(C("kind") == 1, box(F.lit(10.0), F.lit(10.0), F.lit(6.0), F.lit(6.0))).when(C("kind") == 2, box(w + 5, zero, F.lit(9.0), F.lit(9.0))).when(C("kind") == 3, box(w + 5, zero, F.lit(2.0), F.lit(2.0))).otherwise(F.array().cast("array<struct<x0:double,z0:double,x1:double,z1:double>>"))
+    lines = own.select("m", F.inline(F.concat(sides, more)))
+    n = F.greatest(F.lit(1), F.ceil(F.hypot(C("x1") - C("x0"), C("z1") - C("z0")) / PIECE).cast("int"))
+    steps = lines.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0), C("n") - 1)))
+    at = lambda t: _point(C("x0") + (C("x1") - C("x0")) * t / C("n"), C("z0") + (C("z1") - C("z0")) * t / C("n"))
+    return steps.select("m", at(C("k")).alias("a"), at(C("k") + 1).alias("b"))
+
+
+def mended_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outline of each supplier's box after its gaps were closed, or why it has none."""
+    found = sections.outlines(sections.mended_loops(_gapped(spark, sf_dir), ["m"]), ["m"])
+    return found.select("m", F.round("area", 4).alias("area"), "reason", "branches", "open", "seams", "corners")
+
+
+_O = OutlineParams()
+MENDED_SQL = f"""
+WITH o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 'w'", 60)} + 30 AS w, {drawn("s_suppkey, 'd'", 60)} + 30 AS d, greatest({drawn("s_suppkey, 'gap'", 9)} - 4, 0) AS gap, greatest({drawn("s_suppkey, 'cx'", 80)} - 30, 0) / 10.0::DOUBLE AS cx, greatest({drawn("s_suppkey, 'cz'", 80)} - 30, 0) / 10.0::DOUBLE AS cz,
+  {drawn("s_suppkey, 'kind'", 8)} AS kind FROM supplier),
+p AS (SELECT *, sqrt(cx * cx + cz * cz) AS away FROM o),
+q AS (
+  -- a corner within the weld of an end is that end
+  SELECT *, kind = 0 AS branched, gap > {_O.weld} AS has_gap, away > {_O.weld} AS has_corner, gap > {_O.weld} AND gap <= {_O.seam} AS seam,
+    -- beyond the reach, or too much of the straight run that is left of the side
+    away > {_O.weld} AND away < {_O.corner_gap} AND cx <= {_O.corner_reach} AND cz <= {_O.corner_reach} AND cx <= greatest({min(outline.AT_LEAST, _O.corner_reach)}, {outline.OF_RUN} * (w - cx)) AND cz <= greatest({min(outline.AT_LEAST, _O.corner_reach)}, {outline.OF_RUN} * (d - cz)) AS corner FROM p),
+r AS (SELECT *, CASE WHEN branched THEN 'branched cross-section' WHEN (has_gap AND NOT seam) OR (has_corner AND NOT corner) THEN 'open cross-section' WHEN kind = 1 THEN '{sections.ALONE[0]}' WHEN kind = 2 AND 81 > least({sections.SECOND}, {sections.SECOND_SHARE} * w * d) THEN '{sections.ALONE[2]}' WHEN kind = 3 AND 4 > least({sections.SECOND}, {sections.SECOND_SHARE} * w * d) THEN '{sections.ALONE[2]}' END AS reason FROM q)
+SELECT m, CASE WHEN reason IS NULL THEN round(CASE WHEN least(cx, cz) > {_O.weld} THEN w * d ELSE w * d - cx * cz / 2 END, 4) END AS area, reason, CAST(branched AS INTEGER) AS branches, CAST(CASE WHEN has_gap THEN 2 ELSE 0 END + CASE WHEN has_corner THEN 2 ELSE 0 END + CASE WHEN branched THEN 1 ELSE 0 END AS INTEGER) AS open,
+  CAST(seam AND NOT branched AS INTEGER) AS seams, CAST(corner AND NOT branched AS INTEGER) AS corners FROM r
+"""
+
+SQL = {noded_faces: FACES_SQL, ear_slabs: STARS_SQL, mended_sections: MENDED_SQL}
