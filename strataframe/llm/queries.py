@@ -37,7 +37,7 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _P = chat.ChatParams()
 OP1_SQL = rf"""
-WITH t AS (
+WITH RECURSIVE t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{TRICK}' UNION ALL SELECT -1, 1, 'assistant', '{TRICK}'),
 e AS (
@@ -48,15 +48,19 @@ k AS (
 q AS (
   SELECT *, row_number() OVER w - 1 AS ord, sum(tokens) OVER w - tokens AS start, first_value(CASE WHEN role = 'system' THEN tokens ELSE 0 END) OVER w AS system
   FROM k WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)),
-o AS (SELECT *, tokens > half AS big FROM (SELECT *, greatest(({_P.budget - _P.history_tokens} - system) // 2, 0) AS half FROM q)),
-f AS (SELECT conv_id, start // greatest(half, 1) AS slot, big, min(ord) AS first, min(start) AS first_start, {_P.budget} - min(system) - sum(tokens) AS room FROM o GROUP BY ALL),
+z AS (SELECT *, ord // {_P.block} AS chunk, ord = 0 AND role = 'system' AS lead FROM q),
+y AS (SELECT a.conv_id, a.ord, a.chunk, a.start, a.tokens, a.system, max(a.start - b.start) FILTER (a.start - b.start <= least({_P.history_tokens}, {_P.budget} - a.system - a.tokens)) AS past
+  FROM z AS a LEFT JOIN z AS b ON b.conv_id = a.conv_id AND b.ord < a.ord AND b.ord >= a.ord - {_P.history_turns} AND NOT b.lead GROUP BY ALL),
+o AS (SELECT *, coalesce(past, 0) + CASE WHEN ord = 0 THEN 0 ELSE system END AS base FROM y),
+n AS (SELECT a.conv_id, a.ord, min(b.ord) AS next FROM o AS a JOIN o AS b ON b.conv_id = a.conv_id AND b.chunk = a.chunk AND b.ord > a.ord AND b.start + b.tokens - a.start + a.base > {_P.budget} GROUP BY ALL),
+f(conv_id, ord) AS (SELECT conv_id, min(ord) FROM o GROUP BY conv_id, chunk UNION ALL SELECT n.conv_id, n.next FROM f JOIN n ON n.conv_id = f.conv_id AND n.ord = f.ord),
 r AS (
-  SELECT f.conv_id, o.chars FROM f JOIN o ON f.conv_id = o.conv_id AND f.first > 0
-    AND ((o.ord = 0 AND o.role = 'system') OR (o.ord < f.first AND o.ord >= f.first - {_P.history_turns} AND f.first_start - o.start <= least({_P.history_tokens}, room)))),
-c AS (SELECT conv_id, sum(chars) AS chars FROM (SELECT conv_id, chars FROM o UNION ALL SELECT conv_id, chars FROM r UNION ALL SELECT conv_id, {len(chat.BOS)} FROM f) GROUP BY conv_id),
+  SELECT f.conv_id, b.chars FROM f JOIN o ON o.conv_id = f.conv_id AND o.ord = f.ord AND f.ord > 0 JOIN z AS b ON b.conv_id = f.conv_id
+    AND (b.lead OR (b.ord < f.ord AND b.ord >= f.ord - {_P.history_turns} AND o.start - b.start <= coalesce(o.past, 0)))),
+c AS (SELECT conv_id, sum(chars) AS chars FROM (SELECT conv_id, chars FROM z UNION ALL SELECT conv_id, chars FROM r UNION ALL SELECT conv_id, {len(chat.BOS)} FROM f) GROUP BY conv_id),
 d AS (
   SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
-    coalesce(string_agg(text, '' ORDER BY ord) FILTER (role = 'assistant'), '') AS loss FROM o GROUP BY conv_id)
+    coalesce(string_agg(text, '' ORDER BY ord) FILTER (role = 'assistant'), '') AS loss FROM z GROUP BY conv_id)
 SELECT d.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(c.chars AS BIGINT) AS formatted_chars
 FROM d JOIN c ON d.conv_id = c.conv_id
 """

@@ -488,6 +488,49 @@ def test_chat_windows_keep_their_budget(spark):
         assert sorted(said) == sorted((r, t) for c, _, r, t in rows if c == conv) and len(said) == sum(c == conv for c, *_ in rows)
 
 
+def plain_windows(tokens, system, p):
+    """[(first, from, upto)] of turns with these tokens, the first of which is the system turn if `system`."""
+    out, n = [], len(tokens)
+    for begin in range(0, n, p.block):
+        at = begin
+        while at < min(begin + p.block, n):
+            lead = tokens[0] if system else 0
+            start = at
+            room = min(p.history_tokens, p.budget - lead - tokens[at])
+            while start > max(int(system), at - p.history_turns) and sum(tokens[start - 1 : at]) <= room:
+                start -= 1
+            total = (sum(tokens[start:at]) + lead if at else 0) + tokens[at]
+            end = at + 1
+            while end < min(begin + p.block, n) and total + tokens[end] <= p.budget:
+                total += tokens[end]
+                end += 1
+            out.append((at, start, end))
+            at = end
+    return out
+
+
+def test_chat_windows_equal_a_plain_version(spark):
+    """Turns of all sizes, long conversations, and windows that are full."""
+    rng = random.Random(3)
+    convs, rows = {}, []
+    for conv in range(30):
+        sizes = [rng.choice([[1, 5, 9], [60, 90, 130], [400, 700, 1100], [1, 100, 900]][conv % 4]) for _ in range(rng.choice([1, 2, 7, 40, 600]))]
+        system = conv % 3 == 0
+        convs[conv] = ([4 + s for s in sizes], system)
+        rows += [(conv, i, "system" if system and not i else "user", " ".join(["w"] * s)) for i, s in enumerate(sizes)]
+    rows += [(100, i, "user", " ".join(["w"] * 40)) for i in range(400)]  # 44 tokens each
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    for params in (chat.ChatParams(), chat.ChatParams(budget=300, history_tokens=100, history_turns=3, block=16), chat.ChatParams(history_turns=0)):
+        got = chat.format_windows(df, params).collect()
+        for conv, (tokens, system) in convs.items():
+            own = sorted((w["first_turn"], w["n_turns"], w["n_repeated"], w["n_tokens"]) for w in got if w["conv_id"] == conv)
+            lead = tokens[0] if system else 0
+            want = [(a, e - b + (system and a > 0), a - b + (system and a > 0), sum(tokens[b:e]) + (lead if a else 0)) for a, b, e in plain_windows(tokens, system, params)]
+            assert own == want, conv
+    full = [w["n_tokens"] for w in chat.format_windows(df.filter("conv_id = 100")).collect()]
+    assert sum(full) / len(full) > 0.85 * 1024
+
+
 def test_damaged_archives_are_told(spark, tmp_path):
     """A byte that is flipped, a file that is cut, bytes that are added: an error, and the files by name. A magic inside a payload is no record."""
     folder = f"file://{tmp_path}/w"
