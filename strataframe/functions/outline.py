@@ -197,3 +197,47 @@ def section_loops(segments: list[tuple[Point, Point]], p: OutlineParams) -> dict
     if not loops:
         return found | {"reason": "no independently enclosed cross-section" if p.each else "no enclosed cross-section"}
     return found | {"loops": loops}
+
+
+#: Fixed values of boxes from facades: least length of a segment that tells a direction, directions tried, how far from a side a segment may lie
+#: against the lesser width, what may lie inside against the border, and how much of each side must be covered.
+TELLING, TRIED, SIDE, INSIDE, COVERED = 1.0, 12, 0.025, 0.045, 0.97
+
+
+def facade_box(a: np.ndarray, b: np.ndarray, tolerance: float) -> Ring | None:
+    """The smallest box about segments (n by 2 each) along one of their own directions, if segments cover its four sides and hardly any lie elsewhere."""
+    delta = b - a
+    length = np.hypot(*delta.T)
+    telling = np.flatnonzero(length > TELLING)
+    if not len(telling):
+        return None
+    # directions in steps of a quarter degree, those with the most length first
+    key = np.rint(np.arctan2(delta[telling, 1], delta[telling, 0]) % (np.pi / 2) * 720 / np.pi).astype(int)
+    kinds, first, place = np.unique(key, return_index=True, return_inverse=True)
+    weight = np.bincount(place, length[telling])
+    best = None
+    for k in np.lexsort((kinds, -weight))[:TRIED]:
+        u = delta[telling[first[k]]] / length[telling[first[k]]]
+        frame = np.column_stack([u, (-u[1], u[0])])
+        p, q = a @ frame, b @ frame
+        low, high = np.minimum(p, q).min(axis=0), np.maximum(p, q).max(axis=0)
+        if best is None or np.prod(high - low) < best[0]:
+            best = (np.prod(high - low), frame, p, q, low, high)
+    _, frame, p, q, low, high = best
+    size = high - low
+    if size.min() < 1:
+        return None
+    near = min(tolerance, SIDE * size.min())
+    on = np.column_stack([(np.abs(p[:, v] - end[v]) <= near) & (np.abs(q[:, v] - end[v]) <= near) for v in (0, 1) for end in (low, high)])
+    side = np.where(on.any(axis=1), on.argmax(axis=1), -1)
+    if np.hypot(*(p - q)[side < 0].T).sum() > 2 * size.sum() * INSIDE:
+        return None
+    for k in range(4):
+        along = 1 - k // 2
+        own = side == k
+        start, end = np.minimum(p, q)[own, along], np.maximum(p, q)[own, along]
+        order = np.argsort(start, kind="stable")
+        reach = np.maximum.accumulate(np.r_[-np.inf, end[order]])[:-1]
+        if np.maximum(0, end[order] - np.maximum(start[order], reach)).sum() < COVERED * size[along]:
+            return None
+    return [tuple(frame @ c) for c in ((low[0], low[1]), (high[0], low[1]), (high[0], high[1]), (low[0], high[1]))]

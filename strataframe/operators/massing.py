@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,7 +19,7 @@ from strataframe.functions.building import FloorParams, floor_bottom
 from strataframe.operators import masks
 from strataframe.operators.masks import CELL, chains, components
 from strataframe.operators.places import cropped
-from strataframe.operators.tables import lower_median, runs
+from strataframe.operators.tables import first_like, lower_median, runs
 from strataframe.storage import stored
 
 C = F.col
@@ -86,30 +86,13 @@ def plates(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tu
     return floors, measured, kept.join(good, ["m", "k"], "left_semi")
 
 
-def grouped(plate_rows: DataFrame, like: DataFrame, least: float) -> DataFrame:
-    """m, plate, group of the good plates: in order of floors each joins the first group whose first plate it is like, or begins one.
-    like: m, a, b, jaccard with a < b. A model's plates (fewer than 200) are folded in one row."""
-    near = like.filter(C("jaccard") >= least).groupBy("m", C("b").alias("plate")).agg(F.collect_list("a").alias("near"))
-    good = plate_rows.filter("reason IS NULL").select("m", "plate").join(near, ["m", "plate"], "left")
-    row = F.struct(C("plate").cast("int").alias("plate"), F.coalesce(C("near").cast("array<int>"), F.array().cast("array<int>")).alias("near"))
-    kind = "array<struct<plate:int,group:int>>"
-
-    def add(done: Column, x: Column) -> Column:
-        first = F.transform(F.filter(done, lambda d: d["plate"] == d["group"]), lambda d: d["plate"])
-        group = F.coalesce(F.array_min(F.array_intersect(first, x["near"])), x["plate"])
-        return F.concat(done, F.array(F.struct(x["plate"].alias("plate"), group.alias("group")))).cast(kind)
-
-    folded = good.groupBy("m").agg(F.array_sort(F.collect_list(row)).alias("xs")).select("m", F.aggregate("xs", F.array().cast(kind), add).alias("done"))
-    return folded.select("m", F.explode("done").alias("d")).select("m", "d.plate", "d.group")
-
-
 def floor_groups(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tuple[DataFrame, DataFrame]:
     """(levels, groups). levels: every floor m, k of every model with plate, raw, reason (null where it is good; "empty floor"), group (of its
     plate), home (the supported group that it is given, null if none), bridged. groups: m, group, members, supported and the columns of its middle plate."""
     floors, plate_rows, kept = plates(cells, models, side, p)
     like = stored(masks.floor_jaccard(kept).filter(C("jaccard") >= min(p.similarity, p.nearby_similarity)), "like")
     every = models.select("m", "floors", F.explode(F.sequence(F.lit(1), C("floors"))).alias("k"))
-    rows = every.join(floors, ["m", "k"], "left").join(plate_rows, ["m", "plate"], "left").join(grouped(plate_rows, like, p.similarity), ["m", "plate"], "left")
+    rows = every.join(floors, ["m", "k"], "left").join(plate_rows, ["m", "plate"], "left").join(first_like(plate_rows.filter("reason IS NULL"), "m", "plate", like.filter(C("jaccard") >= p.similarity)), ["m", "plate"], "left")
     rows = stored(rows.withColumn("reason", F.when(C("plate").isNull(), "empty floor").otherwise(C("reason"))), "levels")
     valid = rows.filter("reason IS NULL")
     counts = valid.groupBy("m", "group").agg(F.count("*").alias("members"))

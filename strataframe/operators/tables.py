@@ -62,3 +62,19 @@ def verified_match(left: DataFrame, right: DataFrame, key: str, suffix: str, che
     both = exact.unionByName(fallback.select(exact.columns))
     reason = F.when((F.col(f"__{key}") > 1) | (F.col(f"__r_{key}") > 1), "duplicate source key")
     return both.withColumn("reason", reason).drop(f"__{key}", f"__{suffix}", f"__r_{key}")
+
+
+def first_like(items: DataFrame, by: str, item: str, near: DataFrame) -> DataFrame:
+    """by, item, group: in order of item, a whole number, each joins the first group whose first member it is like, or begins one. near: by, a, b with a < b, the
+    items that are alike. The items of one by are folded in one row."""
+    before = near.groupBy(by, F.col("b").alias(item)).agg(F.collect_list("a").alias("__near"))
+    row = F.struct(F.col(item).cast("int").alias("item"), F.coalesce(F.col("__near").cast("array<int>"), F.array().cast("array<int>")).alias("near"))
+    kind = "array<struct<item:int,group:int>>"
+
+    def add(done: Column, x: Column) -> Column:
+        first = F.transform(F.filter(done, lambda d: d["item"] == d["group"]), lambda d: d["item"])
+        group = F.coalesce(F.array_min(F.array_intersect(first, x["near"])), x["item"])
+        return F.concat(done, F.array(F.struct(x["item"].alias("item"), group.alias("group")))).cast(kind)
+
+    folded = items.select(by, item).join(before, [by, item], "left").groupBy(by).agg(F.array_sort(F.collect_list(row)).alias("xs"))
+    return folded.select(by, F.explode(F.aggregate("xs", F.array().cast(kind), add)).alias("d")).select(by, F.col("d.item").alias(item), "d.group")
