@@ -21,13 +21,15 @@ def _ends(a: str, b: str) -> tuple[Column, Column, Column, Column]:
 
 
 def near_pairs(hits: DataFrame, buildings: DataFrame, reach: Column, cell: float) -> DataFrame:
-    """(hit, building) whose boxes come within reach (of the building's columns) of each other in x and z, each pair once: in the cell of the
+    """(hit, building) whose boxes come within reach (of the building's columns) of each other, each pair once: in the cell of the
     lower corner of what the two share."""
     x0, x1, z0, z1 = _ends("start", "end")
     a = spread(hits.select("hit", "start", "end").withColumns({"__x": x0, "__z": z0}), x0, x1, z0, z1, cell)
     wide = buildings.withColumn("__r", reach)
     b = spread(wide.withColumns({"__u": C("lo.x") - C("__r"), "__v": C("lo.z") - C("__r")}), C("lo.x") - C("__r"), C("hi.x") + C("__r"), C("lo.z") - C("__r"), C("hi.z") + C("__r"), cell)
     first = (C("gx") == F.floor(F.greatest("__x", "__u") / cell)) & (C("gz") == F.floor(F.greatest("__z", "__v") / cell))
+    for v in motion.AXES:  # the boxes themselves, on three axes, before anything dearer
+        first &= (F.least(C(f"start.{v}"), C(f"end.{v}")) <= C(f"hi.{v}") + C("__r")) & (F.greatest(C(f"start.{v}"), C(f"end.{v}")) >= C(f"lo.{v}") - C("__r"))
     return a.join(b, ["gx", "gz"]).filter(first).drop("gx", "gz", "__r", "__x", "__z", "__u", "__v")
 
 
@@ -35,10 +37,16 @@ def capsule_hits(hits: DataFrame, buildings: DataFrame, parts: DataFrame, radius
     """(hit, part, distance): the parts whose middle lies within radius and half their diagonal of a hit's segment, in
     buildings whose middle does so too. hits: hit, start, end. buildings: building, lo, hi. parts: part, building, at, size."""
     half = motion.length(motion.mapped(lambda p, q: q - p, C("lo"), C("hi"))) / 2
-    near = near_pairs(hits, buildings, half + radius, cell)
-    near = near.filter(motion.segment_distance(motion.between(C("lo"), C("hi"), F.lit(0.5)), C("start"), C("end")) <= radius + half).select("hit", "building", "start", "end")
-    found = near.join(parts, "building").withColumn("distance", motion.segment_distance(C("at"), C("start"), C("end")))
-    return found.filter(C("distance") <= radius + motion.length(C("size")) / 2).select("hit", "part", "distance")
+    # of a building its middle counts, so the box that a hit must come near is that point's
+    middle = motion.between(C("lo"), C("hi"), F.lit(0.5))
+    points = buildings.select("building", half.alias("half"), middle.alias("middle")).select("building", "half", C("middle").alias("lo"), C("middle").alias("hi"))
+    near = near_pairs(hits, points, C("half") + radius, cell).withColumn("far", motion.segment_distance(C("lo"), C("start"), C("end")))
+    near = near.filter(C("far") <= radius + C("half")).select("hit", "building", "start", "end")
+    met = near.join(parts, "building").withColumn("own", radius + motion.length(C("size")) / 2)
+    for v in motion.AXES:
+        met = met.filter((F.least(C(f"start.{v}"), C(f"end.{v}")) - C("own") <= C(f"at.{v}")) & (F.greatest(C(f"start.{v}"), C(f"end.{v}")) + C("own") >= C(f"at.{v}")))
+    found = met.withColumn("distance", motion.segment_distance(C("at"), C("start"), C("end")))
+    return found.filter(C("distance") <= C("own")).select("hit", "part", "distance")
 
 
 def surface_hits(hits: DataFrame, boxes: DataFrame, cell: float, most: int = 20, step: float = 1.0) -> DataFrame:

@@ -91,10 +91,15 @@ def ray_picks(rays: DataFrame, triangles: DataFrame, cell: float) -> DataFrame:
     """hit, triangle, t: of the triangles (triangle, a, b, c) that a segment (hit, start, end) goes through the nearest, t from 0 to 1; ties to the least. Both
     meet on the grid cells that their bounds touch."""
     ends = lambda cs, v: (F.least(*(C(f"{c}.{v}") for c in cs)), F.greatest(*(C(f"{c}.{v}") for c in cs)))
-    a = spread(rays, *ends(("start", "end"), "x"), *ends(("start", "end"), "z"), cell)
-    b = spread(triangles, *ends("abc", "x"), *ends("abc", "z"), cell)
+    box = lambda df, cs, p: df.withColumns({f"{p}{v}{k}": e for v in "xyz" for k, e in enumerate(ends(cs, v))})
+    a = spread(box(rays, ("start", "end"), "r"), C("rx0"), C("rx1"), C("rz0"), C("rz1"), cell)
+    b = spread(box(triangles, "abc", "w"), C("wx0"), C("wx1"), C("wz0"), C("wz1"), cell)
+    # each pair in the cell of the lower corner of what the two share, and only where their boxes meet
+    meet = (C("gx") == _cell(F.greatest("rx0", "wx0"), cell)) & (C("gz") == _cell(F.greatest("rz0", "wz0"), cell))
+    for v in "xyz":
+        meet &= (C(f"r{v}0") <= C(f"w{v}1")) & (C(f"w{v}0") <= C(f"r{v}1"))
     less = lambda p, q: motion.mapped(lambda x, y: x - y, C(p), C(q))
-    rows = a.join(b, ["gx", "gz"]).withColumns({"d": less("end", "start"), "e": less("b", "a"), "f": less("c", "a"), "s": less("start", "a")})
+    rows = a.join(b, ["gx", "gz"]).filter(meet).withColumns({"d": less("end", "start"), "e": less("b", "a"), "f": less("c", "a"), "s": less("start", "a")})
     rows = rows.withColumns({"h": motion.cross(C("d"), C("f")), "q": motion.cross(C("s"), C("e"))}).withColumn("det", motion.dot(C("e"), C("h")))
     part = lambda p, q: motion.dot(C(p), C(q)) / F.nullif(C("det"), F.lit(0.0))
     rows = rows.withColumns({"u": part("s", "h"), "v": part("d", "q"), "t": part("f", "q")}).filter("u >= 0 AND v >= 0 AND u + v <= 1 AND t BETWEEN 0 AND 1")

@@ -32,7 +32,10 @@ def covered_points(points: DataFrame, key: str, shapes: DataFrame, shape_key: st
     wide = shapes.select(shape_key, "ring").withColumn("__b", b)
     wide = spread(wide, C("__b.x0") - tolerance, C("__b.x1") + tolerance, C("__b.z0") - tolerance, C("__b.z1") + tolerance, cell)
     near = points.select(key, "x", "z", _cell(C("x"), cell).alias("gx"), _cell(C("z"), cell).alias("gz"))
-    return near.join(wide.drop("__b"), ["gx", "gz"]).filter(rings.contains_point(C("ring"), rings.point(C("x"), C("z")), tolerance)).select(key, shape_key)
+    within = C("x").between(C("__b.x0") - tolerance, C("__b.x1") + tolerance) & C("z").between(C("__b.z0") - tolerance, C("__b.z1") + tolerance)
+    held = rings.contains_point(C("ring"), rings.point(C("x"), C("z")), tolerance)
+    # the bounds before the ring: an argument of when is computed only where it is asked for
+    return near.join(wide, ["gx", "gz"]).filter(F.when(within, held).otherwise(F.lit(False))).select(key, shape_key)
 
 
 def coverage(points: DataFrame, key: str, by: list[str], shapes: DataFrame, shape_key: str, cell: float) -> DataFrame:

@@ -41,7 +41,7 @@ j AS (SELECT p.id, t.id AS near, (p.x - t.x) * (p.x - t.x) + (p.z - t.z) * (p.z
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, near) AS k FROM j WHERE d2 <= 22500), n AS (SELECT * FROM r WHERE k = 1)
 SELECT a.id AS a, a.near AS b, a.d2 FROM n AS a JOIN n AS b ON a.near = b.id AND b.near = a.id WHERE a.id < b.id
 """
-BOXES = """SELECT c_custkey AS id, CAST(c_custkey * 37 % 397 AS DOUBLE) AS x0, CAST(c_custkey * 37 % 397 + 3 + c_custkey % 23 AS DOUBLE) AS x1,
+BOXES = """SELECT c_custkey AS id, CAST(c_custkey * 37 % 397 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x0, CAST(c_custkey * 37 % 397 + 3 + c_custkey % 23 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x1,
   CAST(c_custkey % 40 AS DOUBLE) AS y0, CAST(c_custkey % 40 + 20 + c_custkey % 31 AS DOUBLE) AS y1, CAST(c_custkey * 91 % 211 AS DOUBLE) AS z0, CAST(c_custkey * 91 % 211 + 9 AS DOUBLE) AS z1 FROM {t}"""
 
 

@@ -84,14 +84,14 @@ SELECT m, k, count(*) AS n, round(sum(least(-14.5::DOUBLE + i * 3, 14.5::DOUBLE)
 
 def ground_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ground below each part as a point: the highest top of the boxes of customers at most 10 above it."""
-    points = _view(spark, sf_dir, "SELECT p_partkey AS id, CAST(p_partkey * 53 % 421 AS DOUBLE) AS x, CAST(p_size AS DOUBLE) AS y, CAST(p_partkey * 29 % 229 AS DOUBLE) AS z FROM {t}", "part")
+    points = _view(spark, sf_dir, "SELECT p_partkey AS id, CAST(p_partkey * 53 % 421 + floor(p_partkey / 2000) * 4000 AS DOUBLE) AS x, CAST(p_size AS DOUBLE) AS y, CAST(p_partkey * 29 % 229 AS DOUBLE) AS z FROM {t}", "part")
     return places.ground_below(points, _boxes(spark, sf_dir), 32.0, rise=10.0, depth=25.0).select("id", "ground")
 
 
-GROUND_SQL = f"""WITH b AS ({BOXES.format(t="customer")}), p AS (SELECT p_partkey AS id, CAST(p_partkey * 53 % 421 AS DOUBLE) AS x, CAST(p_size AS DOUBLE) AS y, CAST(p_partkey * 29 % 229 AS DOUBLE) AS z FROM part)
+GROUND_SQL = f"""WITH b AS ({BOXES.format(t="customer")}), p AS (SELECT p_partkey AS id, CAST(p_partkey * 53 % 421 + floor(p_partkey / 2000) * 4000 AS DOUBLE) AS x, CAST(p_size AS DOUBLE) AS y, CAST(p_partkey * 29 % 229 AS DOUBLE) AS z FROM part)
 SELECT p.id, max(b.y1) AS ground FROM p LEFT JOIN b ON p.x BETWEEN b.x0 AND b.x1 AND p.z BETWEEN b.z0 AND b.z1 AND b.y1 BETWEEN p.y - 25 AND p.y + 10 GROUP BY p.id"""
 
-TRIANGLES = """SELECT c_custkey AS triangle, CAST(c_custkey * 37 % 2999 AS DOUBLE) AS x, CAST(c_custkey % 60 AS DOUBLE) AS y, CAST(c_custkey * 91 % 2971 AS DOUBLE) AS z, CAST(10 + c_custkey % 23 AS DOUBLE) AS w, CAST(5 + c_custkey % 19 AS DOUBLE) AS h FROM {t}"""
+TRIANGLES = """SELECT c_custkey AS triangle, CAST(c_custkey * 37 % 2999 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x, CAST(c_custkey % 60 AS DOUBLE) AS y, CAST(c_custkey * 91 % 2971 AS DOUBLE) AS z, CAST(10 + c_custkey % 23 AS DOUBLE) AS w, CAST(5 + c_custkey % 19 AS DOUBLE) AS h FROM {t}"""
 
 
 def ray_picks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,7 +56,7 @@ k AS (SELECT *, unnest(generate_series(1, CAST(n AS BIGINT) + 1)) AS k FROM g)
 SELECT s_suppkey, CAST(k AS INTEGER) AS k, round(CASE WHEN k = 1 THEN 0 ELSE {_SLAB} + ground + (k - 2) * ({_CLEAR} + {_SLAB}) END - h / 2, 6) AS bottom, round(CASE WHEN k = 1 THEN ground WHEN k <= n THEN {_CLEAR} END, 6) AS clear FROM k
 """
 
-SHOTS = """SELECT event_id, CAST(event_id * 37 % 2999 AS DOUBLE) AS sx, CAST(event_id % 90 AS DOUBLE) AS sy, CAST(event_id * 91 % 2971 AS DOUBLE) AS sz,
+SHOTS = """SELECT event_id, CAST(event_id * 37 % 2999 + floor(event_id / 10000) * 4000 AS DOUBLE) AS sx, CAST(event_id % 90 AS DOUBLE) AS sy, CAST(event_id * 91 % 2971 AS DOUBLE) AS sz,
   CAST(event_id % 7 AS DOUBLE) - 3 AS dx, CAST(event_id % 3 AS DOUBLE) - 1 AS dy, CAST(event_id % 5 AS DOUBLE) - 2 AS dz FROM {t}"""
 
 
@@ -80,7 +80,7 @@ SELECT event_id, round(CASE WHEN below THEN sx + x * met + x * on_ ELSE sx + x *
   round(x * 600, 6) AS vx, round(y * 600, 6) AS vy, round(z * 600, 6) AS vz FROM o
 """
 
-TURNED = """SELECT c_custkey AS id, c_nationkey, CAST(c_custkey * 37 % 397 AS DOUBLE) AS x, CAST(c_custkey % 50 AS DOUBLE) AS y, CAST(c_custkey * 91 % 401 AS DOUBLE) AS z,
+TURNED = """SELECT c_custkey AS id, c_nationkey, CAST(c_custkey * 37 % 397 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x, CAST(c_custkey % 50 AS DOUBLE) AS y, CAST(c_custkey * 91 % 401 AS DOUBLE) AS z,
   CAST(4 + c_custkey % 17 AS DOUBLE) AS sx, CAST(3 + c_custkey % 11 AS DOUBLE) AS sy, CAST(5 + c_custkey % 13 AS DOUBLE) AS sz, CAST(c_custkey % 24 AS DOUBLE) / 24 * 3 AS yaw FROM {t}"""
 
 
@@ -195,7 +195,7 @@ SOLIDS_SQL = f"""WITH s AS ({SOLIDS.format(t="customer")})
 SELECT id, abs(x) <= sx / 2 AND abs(y) <= sy / 2 AND abs(z) <= sz / 2 AND (NOT wedge OR y / sy <= z / sz) AS inside FROM s"""
 
 #: A box without its upper right quarter, for each customer.
-ELLS = """SELECT c_custkey AS id, CAST(c_custkey * 37 % 397 AS DOUBLE) AS x0, CAST(c_custkey * 91 % 401 AS DOUBLE) AS z0, CAST(8 + c_custkey % 17 AS DOUBLE) AS w, CAST(6 + c_custkey % 13 AS DOUBLE) AS d FROM {t}"""
+ELLS = """SELECT c_custkey AS id, CAST(c_custkey * 37 % 397 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x0, CAST(c_custkey * 91 % 401 AS DOUBLE) AS z0, CAST(8 + c_custkey % 17 AS DOUBLE) AS w, CAST(6 + c_custkey % 13 AS DOUBLE) AS d FROM {t}"""
 
 
 def _ells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,26 +206,26 @@ def _ells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each L-shaped ring how many supplier points it covers, borders included; and the share of points in any."""
-    points = _view(spark, sf_dir, "SELECT p_partkey AS pid, CAST(p_partkey * 53 % 421 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM {t}", "part")
+    points = _view(spark, sf_dir, "SELECT p_partkey AS pid, CAST(p_partkey * 53 % 421 + floor(p_partkey / 2000) * 4000 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM {t}", "part")
     covered = ring_ops.covered_points(points, "pid", _ells(spark, sf_dir), "id", cell=16.0)
     return covered.groupBy("id").agg(F.count("*").alias("n"), F.min("pid").alias("first"))
 
 
 _IN_ELL = "p.x BETWEEN e.x0 AND e.x0 + e.w AND p.z BETWEEN e.z0 AND e.z0 + e.d AND NOT (p.x > e.x0 + e.w / 2 + 1e-5 AND p.z > e.z0 + e.d / 2 + 1e-5)"
 POINTS_SQL = f"""
-WITH e AS ({ELLS.format(t="customer")}), p AS (SELECT p_partkey AS pid, CAST(p_partkey * 53 % 421 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM part)
+WITH e AS ({ELLS.format(t="customer")}), p AS (SELECT p_partkey AS pid, CAST(p_partkey * 53 % 421 + floor(p_partkey / 2000) * 4000 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM part)
 SELECT id, count(*) AS n, min(pid) AS first FROM e JOIN p ON {_IN_ELL} GROUP BY id
 """
 
 
 def point_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of each brand's points that any ring covers; a point counts once."""
-    points = _view(spark, sf_dir, "SELECT p_partkey AS pid, p_brand, CAST(p_partkey * 53 % 421 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM {t}", "part")
+    points = _view(spark, sf_dir, "SELECT p_partkey AS pid, p_brand, CAST(p_partkey * 53 % 421 + floor(p_partkey / 2000) * 4000 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM {t}", "part")
     return ring_ops.coverage(points, "pid", ["p_brand"], _ells(spark, sf_dir), "id", cell=16.0).withColumn("coverage", F.round("coverage", R))
 
 
 COVERAGE_SQL = f"""
-WITH e AS ({ELLS.format(t="customer")}), p AS (SELECT p_partkey AS pid, p_brand, CAST(p_partkey * 53 % 421 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM part),
+WITH e AS ({ELLS.format(t="customer")}), p AS (SELECT p_partkey AS pid, p_brand, CAST(p_partkey * 53 % 421 + floor(p_partkey / 2000) * 4000 AS DOUBLE) AS x, CAST(p_partkey * 29 % 419 AS DOUBLE) AS z FROM part),
 h AS (SELECT DISTINCT pid FROM p JOIN e ON {_IN_ELL})
 SELECT p_brand, count(*) AS points, count(h.pid) AS covered, round(count(h.pid) / count(*), 6) AS coverage FROM p LEFT JOIN h ON p.pid = h.pid GROUP BY p_brand
 """

@@ -18,9 +18,9 @@ def _box(x: str, y: str, z: str) -> Column:
     return motion.vector(C(x), C(y), C(z))
 
 
-#: Buildings are boxes by customer, with three parts on top of each other.
-TOWERS = """SELECT c_custkey AS building, CAST(c_custkey * 37 % 2999 AS DOUBLE) AS x0, CAST(0 AS DOUBLE) AS y0, CAST(c_custkey * 91 % 2971 AS DOUBLE) AS z0,
-  CAST(c_custkey * 37 % 2999 + 4 + c_custkey % 13 AS DOUBLE) AS x1, CAST(30 + c_custkey % 50 AS DOUBLE) AS y1, CAST(c_custkey * 91 % 2971 + 5 + c_custkey % 7 AS DOUBLE) AS z1 FROM {t}"""
+#: Buildings are boxes by customer, with three parts on top of each other; here as elsewhere the ground that shapes lie on grows with the table.
+TOWERS = """SELECT c_custkey AS building, CAST(c_custkey * 37 % 2999 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x0, CAST(0 AS DOUBLE) AS y0, CAST(c_custkey * 91 % 2971 AS DOUBLE) AS z0,
+  CAST(c_custkey * 37 % 2999 + 4 + c_custkey % 13 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x1, CAST(30 + c_custkey % 50 AS DOUBLE) AS y1, CAST(c_custkey * 91 % 2971 + 5 + c_custkey % 7 AS DOUBLE) AS z1 FROM {t}"""
 
 
 def _towers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from strataframe.operators import spatial
 from strataframe.streaming import hits
 
 BOXES = """SELECT c_custkey AS id,
-  CAST(c_custkey % 97 AS DOUBLE) * 10 AS x0, CAST(c_custkey % 97 AS DOUBLE) * 10 + 5 + c_nationkey AS x1,
+  CAST(c_custkey % 97 AS DOUBLE) * 10 + floor(c_custkey / 1500) * 4000 AS x0, CAST(c_custkey % 97 AS DOUBLE) * 10 + 5 + c_nationkey + floor(c_custkey / 1500) * 4000 AS x1,
   CAST(c_custkey % 89 AS DOUBLE) * 10 AS z0, CAST(c_custkey % 89 AS DOUBLE) * 10 + 5 + abs(c_acctbal) / 1000 AS z1
 FROM {customer}"""
 HITS = """SELECT event_id, ts, user_id % 8 AS target,

@@ -212,7 +212,7 @@ def _boxes(spark: SparkSession, sf_dir: str, name: str = "customer") -> DataFram
     return spark.sql(BOXES.format(t="{c}"), c=spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-TRACKS = """SELECT s_suppkey AS id, CAST(s_suppkey * 53 % 397 AS DOUBLE) AS x0, CAST(s_suppkey * 53 % 397 + 20 + s_suppkey % 30 AS DOUBLE) AS x1, CAST(s_suppkey % 30 AS DOUBLE) AS y0, CAST(s_suppkey % 30 + 25 AS DOUBLE) AS y1,
+TRACKS = """SELECT s_suppkey AS id, CAST(s_suppkey * 53 % 397 + floor(s_suppkey / 100) * 4000 AS DOUBLE) AS x0, CAST(s_suppkey * 53 % 397 + 20 + s_suppkey % 30 + floor(s_suppkey / 100) * 4000 AS DOUBLE) AS x1, CAST(s_suppkey % 30 AS DOUBLE) AS y0, CAST(s_suppkey % 30 + 25 AS DOUBLE) AS y1,
   CAST(s_suppkey * 29 % 211 AS DOUBLE) AS z0, CAST(s_suppkey * 29 % 211 + 15 AS DOUBLE) AS z1 FROM {t}"""
 
 
