@@ -1,4 +1,4 @@
-"""Registered queries: buildings from contours of drawn towers, with equal SQL."""
+"""Registered queries: buildings from contours and roofs of drawn towers, with equal SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.config import FRACTIONS, Massing
 from strataframe.functions import motion
-from strataframe.operators import contours
+from strataframe.operators import contours, roofs, sections
 from strataframe.plans.drawn import draw, drawn
 
 C = F.col
@@ -89,4 +89,45 @@ SELECT z.m, CASE WHEN why IS NULL THEN CAST(tiers AS INTEGER) END AS tiers, CASE
   CASE WHEN why IS NULL THEN 100.0::DOUBLE END AS x, why AS reason FROM z LEFT JOIN q ON q.m = z.m
 """
 
-SQL = {contour_tiers: CONTOUR_SQL}
+TOP = 60.0
+
+
+def _roofed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """m, t, points: for each supplier the walls of a box of which some are missing, and a roof of strips that meet in T-junctions, with a drawn opening."""
+    m = C("m")
+    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = own.select("m", (draw(m, "w", n=60) + 40.0).alias("w"), (draw(m, "d", n=60) + 40.0).alias("d"), draw(m, "miss", n=6).alias("miss"), (draw(m, "hw", n=16) - 5.0).alias("hw"), (draw(m, "hd", n=14) + 2.0).alias("hd"))
+    v = lambda x, y, z: motion.vector(x, y, z)
+    zero, top, w, d = F.lit(0.0), F.lit(TOP), C("w"), C("d")
+    corners = [(zero, zero), (w, zero), (w, d), (zero, d)]
+    pairs = list(zip(corners, corners[1:] + corners[:1]))
+    walls = [F.array(v(p[0], zero, p[1]), v(q[0], zero, q[1]), v(q[0], top, q[1])) for p, q in pairs] + [F.array(v(p[0], zero, p[1]), v(q[0], top, q[1]), v(p[0], top, p[1])) for p, q in pairs]
+    # without a wall: the first for 1, the second for 2, and for 3 the first and the third
+    gone = lambda k: ((C("miss") == 1) & (k == 0)) | ((C("miss") == 2) & (k == 1)) | ((C("miss") == 3) & (k % 2 == 0))
+    side = own.select("m", "miss", F.posexplode(F.array(*walls)).alias("t", "points")).filter(~gone(C("t") % 4)).select("m", "t", "points")
+    x0, z0, hw = F.lit(12.0), F.lit(15.0), F.greatest(C("hw"), zero)
+    flat = lambda a, b, c, e: [F.array(v(a, top, b), v(c, top, b), v(c, top, e)), F.array(v(a, top, b), v(c, top, e), v(a, top, e))]
+    strips = [*flat(zero, zero, x0, d), *flat(x0 + hw, zero, w, d)]
+    middle = [*flat(x0, zero, x0 + hw, z0), *flat(x0, z0 + C("hd"), x0 + hw, d)]
+    roof = F.concat(F.array(*strips), F.when(hw > 0, F.array(*middle)).otherwise(F.array().cast("array<array<struct<x:double,y:double,z:double>>>")))
+    return side.unionByName(own.select("m", F.posexplode(roof).alias("t", "points")).select("m", (C("t") + 100).alias("t"), "points"))
+
+
+def roof_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each supplier's box whether its contours or its roof make it a building, or why neither does."""
+    found = roofs.analysed(_roofed(spark, sf_dir))
+    return found.select("m", "method", "reason", "roof_reason", *(F.round(c, 4).alias(c) for c in ("area", "height", "roof_trim")), F.round("confidence", 3).alias("confidence"), "samples")
+
+
+ROOF_SQL = f"""
+WITH o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 'w'", 60)} + 40.0::DOUBLE AS w, {drawn("s_suppkey, 'd'", 60)} + 40.0::DOUBLE AS d, {drawn("s_suppkey, 'miss'", 6)} AS miss, {drawn("s_suppkey, 'hw'", 16)} - 5.0::DOUBLE AS hw, {drawn("s_suppkey, 'hd'", 14)} + 2.0::DOUBLE AS hd FROM supplier),
+p AS (SELECT *, greatest(hw, 0) * hd AS hole, w * d AS area, 2 * (w + d) AS per, CASE miss WHEN 1 THEN w WHEN 2 THEN d WHEN 3 THEN 2 * w ELSE 0 END AS gone, CASE miss WHEN 3 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 1 ELSE 0 END AS sides FROM o),
+q AS (
+  SELECT *, miss NOT IN (1, 2, 3) AS closed, hole <= {sections.HOLE} * area AND (area - hole) / area BETWEEN {roofs.COVERED[0]} AND {roofs.COVERED[1]} AS whole,
+    1 - gone / per >= {roofs.SUPPORT} AND gone / per <= {roofs.BARE} AND sides <= 1 AS borne FROM p),
+r AS (SELECT *, CASE WHEN closed THEN 'contours' WHEN whole AND borne THEN 'roof' END AS method FROM q)
+SELECT m, method, CASE WHEN method IS NULL THEN '{_G[3]}' END AS reason, CASE WHEN method IS NULL THEN '{roofs.NO_ROOF}' END AS roof_reason, CASE WHEN method IS NOT NULL THEN round(area, 4) END AS area, CASE WHEN method IS NOT NULL THEN {TOP}::DOUBLE END AS height, CASE WHEN method IS NOT NULL THEN 0.0::DOUBLE END AS roof_trim,
+  CASE method WHEN 'contours' THEN round(0.52 + 0.35 + 0.13 * {FRACTIONS[-1] - FRACTIONS[0]}, 3) WHEN 'roof' THEN round(least(0.95, 0.67 + (1 - gone / per) * 0.18 + 0.1), 3) END AS confidence, CASE method WHEN 'contours' THEN {len(FRACTIONS)} WHEN 'roof' THEN 6 END AS samples FROM r
+"""
+
+SQL = {contour_tiers: CONTOUR_SQL, roof_analysis: ROOF_SQL}
