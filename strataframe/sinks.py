@@ -1,7 +1,7 @@
-"""Versions of a table in a shared folder: staged, checked, applied by one move of a pointer, and undone.
+"""Versions of a table in a shared folder: staged, checked, applied by one new pointer, and undone.
 
-A store is a folder with one sub-folder per version and a file that names the current one. Writers stage into a new sub-folder, and
-`apply` moves a new pointer over the old one if the current version is still the one they began with; so a lost job leaves
+A store is a folder with one sub-folder per version and numbered pointers, of which the last names the current one. Writers stage into a new
+sub-folder, and `apply` creates the pointer after the one that they began with, which the file system lets one writer do; so a lost job leaves
 only files that nothing points to. Plans and grids are JSON texts; snapshots are rows with a digest.
 """
 
@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.operators.spatial import applied, archived, whole_sources
@@ -35,37 +38,49 @@ class Store:
     def _fs(self):
         return self._path("x").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _latest(self) -> tuple[int, list[str]]:
+        """(number of the last pointer, the versions that it names, the current one first); (0, []) before the first."""
+        fs = self._fs()
+        if not fs.exists(self._path("")):
+            return 0, []
+        names = sorted((f.getPath().getName() for f in fs.listStatus(self._path(""))), reverse=True)
+        numbers = [n for n in names if n.startswith("pointer-")]
+        for name in numbers:
+            line = self.spark.read.text(f"{self.folder}/{name}").first()
+            if line and line[0]:  # an empty one was claimed and never written: its writer was lost, and the one before holds
+                return int(numbers[0].split("-")[1]), line[0].split("\t")
+        return (int(numbers[0].split("-")[1]) if numbers else 0), []
+
     def current(self) -> str | None:
         """The name of the current version, null before the first."""
-        if not self._fs().exists(self._path("current")):
-            return None
-        return self.spark.read.text(f"{self.folder}/current").first()[0].split("\t")[0]
+        return next(iter(self._latest()[1]), None)
 
     def history(self) -> list[str]:
         """The versions that were current, the latest first."""
-        if self.current() is None:
-            return []
-        return [v for v in self.spark.read.text(f"{self.folder}/current").first()[0].split("\t") if v]
+        return self._latest()[1]
 
     def read(self, version: str | None = None, part: str = "live") -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{version or self.current()}/{part}")
 
-    def _point(self, names: list[str]) -> None:
-        fs, fresh, place = self._fs(), self._path(f".current-{uuid.uuid4().hex}"), self._path("current")
-        out = fs.create(fresh)
+    def _point(self, last: int, names: list[str]) -> None:
+        """Writes the pointer after the last one that was seen; of several writers that saw the same one, one succeeds."""
+        try:
+            out = self._fs().create(self._path(f"pointer-{last + 1:08d}"), False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e.java_exception.getClass().getName()) or "already exists" in str(e.java_exception.getMessage()):
+                raise Conflict("another version has been applied") from e
+            raise
         out.write(bytearray("\t".join(names), "utf-8"))
         out.close()
-        options = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), self.spark._jsc.hadoopConfiguration())
-        modes = self.spark._sc._gateway.new_array(options, 1)
-        modes[0] = options.OVERWRITE
-        context.rename(fresh, place, modes)
 
     def begin(self, live: DataFrame) -> str:
-        """The first version."""
+        """The first version; Conflict where there is one."""
         version = uuid.uuid4().hex
+        last, names = self._latest()
+        if names:
+            raise Conflict("the store has a version")
         live.write.parquet(f"{self.folder}/{version}/live")
-        self._point([version])
+        self._point(last, [version])
         return version
 
     def stage(self, staged: DataFrame, failures: DataFrame) -> str:
@@ -82,7 +97,8 @@ class Store:
         `expected`, or a staged row does not pass check.
         """
         own, live = self.read(staged, "staged"), self.read(base)
-        if self.current() != base:
+        last, names = self._latest()
+        if names[:1] != [base]:
             raise Conflict("another version has been applied")
         if not own.groupBy(*keys).count().filter("count > 1").isEmpty():
             raise Conflict("a staged key is not unique")
@@ -92,20 +108,30 @@ class Store:
             raise Conflict("a staged row does not pass the audit")
         applied(live, own, keys).write.parquet(f"{self.folder}/{staged}/live")
         archived(live, own, keys).write.parquet(f"{self.folder}/{staged}/archive")
-        if self.current() != base:
-            raise Conflict("another version has been applied")
-        self._point([staged, *self.history()])
+        self._point(last, [staged, *names])
         return staged
 
     def undo(self) -> str:
         """Makes the version before the current one current again."""
-        names = self.history()
+        last, names = self._latest()
         if len(names) < 2:
             raise Conflict("there is no version before")
-        self._point(names[1:])
+        self._point(last, names[1:])
         return names[1]
 
 
+def previewed(live: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
+    """What applying staged would show: its rows, state "after", beside the live rows that they replace, state "before", and the others, state "kept"; nothing is written."""
+    own = staged.select(*keys)
+    parts = [(staged, "after"), (live.join(own, keys, "left_semi"), "before"), (live.join(own, keys, "left_anti"), "kept")]
+    return reduce(DataFrame.unionByName, [df.select(*live.columns).withColumn("state", F.lit(name)) for df, name in parts])
+
+
+def shown(rows: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
+    """The n-th row, from 1, of each group in an order: one to look at."""
+    return rows.withColumn("__n", F.row_number().over(W.partitionBy(*group).orderBy(*order))).filter(C("__n") == n).drop("__n")
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two frames have the same rows, as often."""
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

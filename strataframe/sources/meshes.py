@@ -1,16 +1,21 @@
-"""Scans of array archives and of grids in JSON."""
+"""Scans of array archives, record files and grids in JSON; archives are written as well."""
 
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.functions.geometry import finite
+from strataframe.operators.kernels import by_sorted_group
 from strataframe.operators.masks import MOST_CELLS, MOST_FLOORS
 
 C = F.col
@@ -37,6 +42,68 @@ def read_npz(spark: SparkSession, path: str) -> DataFrame:
     return found.mapInPandas(rows, "file string, array string, row long, a double, b double, c double")
 
 
+def write_npz(vertices: DataFrame, faces: DataFrame, folder: str) -> list[str]:
+    """One archive a mesh, <mesh>.npz with the arrays v (x, y, z by id) and f (a, b, c: positions in v), under folder; the names that were committed.
+
+    vertices: mesh, id, x, y, z; faces: mesh, a, b, c (ids). A mesh is one task's memory. Tasks write to names of their own; the driver moves those of the
+    attempts that succeeded to their places, so a lost or repeated task leaves no archive, or one. A face with an id that isn't there is an error.
+    """
+    staging = f"{folder}/.staged-{uuid.uuid4().hex}"
+    corner = lambda c: C(c).cast("double")
+    own = vertices.select("mesh", F.lit(0).alias("kind"), C("id").cast("long").alias("a"), *(corner(v).alias(v) for v in "xyz"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("long").alias("c"))
+    both = own.unionByName(faces.select("mesh", F.lit(1).alias("kind"), *(C(v).cast("long").alias(v) for v in "abc"), *(F.lit(None).cast("double").alias(v) for v in "xyz")))
+
+    def write(group: pa.Table) -> list[dict]:
+        kind = group.column("kind").to_numpy()
+        get = lambda c, k: group.column(c).to_numpy(zero_copy_only=False)[kind == k]
+        ids = get("a", 0)
+        order = np.argsort(ids, kind="stable")
+        place = np.column_stack([get(c, 1) for c in "abc"]).astype(np.int64)
+        at = np.minimum(np.searchsorted(ids[order], place), max(len(ids) - 1, 0))
+        if len(place) and (not len(ids) or (ids[order][at] != place).any()):
+            raise ValueError("a face has a vertex that is missing")
+        content = io.BytesIO()
+        np.savez_compressed(content, v=np.column_stack([get(c, 0) for c in "xyz"])[order].astype(np.float64).reshape(-1, 3), f=at.reshape(-1, 3))
+        fs, root = _store(staging)
+        name = uuid.uuid4().hex
+        fs.create_dir(root, recursive=True)
+        with fs.open_output_stream(f"{root}/{name}") as out:
+            out.write(content.getvalue())
+        return [{"name": name}]
+
+    made = by_sorted_group(both, ["mesh"], write, [("name", "string")]).select(C("mesh").cast("string").alias("mesh"), "name").collect()  # a row a mesh
+    fs, root = _store(staging)
+    for r in made:
+        fs.move(f"{root}/{r['name']}", f"{root.rsplit('/', 1)[0]}/{r['mesh']}.npz")
+    if made:
+        fs.delete_dir(root)
+    return sorted(f"{r['mesh']}.npz" for r in made)
+
+
+def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(uri) if urlsplit(uri).scheme else (pafs.LocalFileSystem(), uri)
+
+
+def archived_meshes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(vertices: mesh, id, x, y, z; faces: mesh, a, b, c) of the archives <mesh>.npz under folder, as write_npz made them."""
+    rows = read_npz(spark, folder).withColumn("mesh", F.regexp_extract("file", r"([^/]+)\.npz$", 1))
+    vertices = rows.filter("array = 'v'").select("mesh", C("row").alias("id"), *(C(c).alias(v) for c, v in zip("abc", "xyz")))
+    return vertices, rows.filter("array = 'f'").select("mesh", *(C(c).cast("long").alias(c) for c in "abc"))
+
+
+def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The records of JSON files, each an array of objects, with reason: null where a record has every field of schema in its kind. A file that is
+    no array gives one row without fields. A file is one task's memory."""
+    bad = "__bad"
+    texts = spark.read.option("wholetext", True).text(path)
+    each = texts.select(F.explode_outer(F.from_json("value", "array<string>")).alias("r"))
+    rows = each.select(F.from_json("r", f"{schema}, {bad} string", {"columnNameOfCorruptRecord": bad}).alias("s")).select("s.*")
+    fields = [c for c in rows.columns if c != bad]
+    missing = F.array_compact(F.array(*(F.when(C(c).isNull(), F.lit(c)) for c in fields)))
+    reason = F.when(C(bad).isNotNull(), "not a record of the schema").when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))
+    return rows.withColumn("reason", reason).drop(bad)
+
+
 def encode_grid(grid: Column) -> Column:
     """A grid, a struct with fields as in GRID, as JSON."""
     return F.to_json(grid)

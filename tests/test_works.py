@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataframe import config, sinks
 from strataframe.functions import polygons as P
 from strataframe.functions import rings
+from strataframe.sources import meshes as archives
 from strataframe.operators import graph, hits, masks, meshes, sections, select
 from strataframe.streaming import tracking
 
@@ -163,6 +164,39 @@ def test_store_versions(spark, tmp_path):
     assert store.undo() == first and {tuple(r) for r in store.read().collect()} == {(1, "a"), (2, "b")}
     with pytest.raises(sinks.Conflict):
         store.undo()
+    with pytest.raises(sinks.Conflict, match="has a version"):
+        store.begin(spark.createDataFrame([(1, "a")], schema))
+
+
+def test_one_of_two_writers_succeeds(spark, tmp_path):
+    """Both have seen the same pointer; and a pointer that was claimed and never written holds nothing."""
+    store = sinks.Store(spark, f"file://{tmp_path}/store")
+    first = store.begin(spark.createDataFrame([(1, "a")], "id int, v string"))
+    last, names = store._latest()
+    store._point(last, ["one", *names])
+    with pytest.raises(sinks.Conflict):
+        store._point(last, ["other", *names])
+    assert store.history() == ["one", first]
+    store._fs().create(store._path(f"pointer-{last + 2:08d}"), False).close()
+    assert store.current() == "one"
+    store._point(store._latest()[0], ["next"])
+    assert store.current() == "next"
+
+
+def test_archives_and_records(spark, tmp_path):
+    vertices = spark.createDataFrame([(m, i * 10, float(i), float(m), 0.5) for m in (1, 2) for i in range(4)], "mesh int, id int, x double, y double, z double").repartition(3)
+    faces = spark.createDataFrame([(1, 0, 10, 20), (1, 30, 20, 0), (2, 30, 0, 10)], "mesh int, a int, b int, c int")
+    folder = f"file://{tmp_path}/npz"
+    assert archives.write_npz(vertices, faces, folder) == ["1.npz", "2.npz"]
+    v, f = archives.archived_meshes(spark, folder)
+    assert sorted(tuple(r) for r in f.collect()) == [("1", 0, 1, 2), ("1", 3, 2, 0), ("2", 3, 0, 1)]
+    assert sorted(tuple(r) for r in v.collect()) == sorted((str(m), i, float(i), float(m), 0.5) for m in (1, 2) for i in range(4))
+    with pytest.raises(Exception, match="missing"):
+        archives.write_npz(vertices, spark.createDataFrame([(1, 0, 10, 25)], "mesh int, a int, b int, c int"), f"file://{tmp_path}/bad")
+    assert archives.write_npz(vertices.limit(0), faces.limit(0), f"file://{tmp_path}/none") == []
+    (tmp_path / "r.json").write_text('[{"name": "a", "size": [1, 2, 3]}, {"name": "b"}, {"name": "c", "size": 7}]')
+    got = archives.read_records(spark, f"file://{tmp_path}/r.json", "name string, size array<double>").collect()
+    assert [(r["name"], r["reason"] is None) for r in got] == [("a", True), ("b", False), ("c", False)]
 
 
 def test_batches_and_links(spark):
