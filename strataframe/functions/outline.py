@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-from strataframe.functions.polygons import Point, Ring, signed_area
+from strataframe.functions.polygons import Point, Ring, hull, signed_area, smallest_box
 
 #: Fixed values of straight seams: greatest product of the two directions, least products of each with the way to the other end.
 OPPOSED, TOWARDS = -0.98, 0.70
@@ -225,13 +225,18 @@ def facade_box(a: np.ndarray, b: np.ndarray, tolerance: float) -> Ring | None:
             best = (np.prod(high - low), frame, p, q, low, high)
     _, frame, p, q, low, high = best
     size = high - low
-    if size.min() < 1:
+    if size.min() < 1 or not sides_covered(p, q, low, high, min(tolerance, SIDE * size.min()), INSIDE):
         return None
-    near = min(tolerance, SIDE * size.min())
+    return [tuple(frame @ c) for c in ((low[0], low[1]), (high[0], low[1]), (high[0], high[1]), (low[0], high[1]))]
+
+
+def sides_covered(p: np.ndarray, q: np.ndarray, low: np.ndarray, high: np.ndarray, near: float, inside: float) -> bool:
+    """Whether segments (in the frame of a box) cover each of its sides, and what lies on none is short against its border."""
+    size = high - low
     on = np.column_stack([(np.abs(p[:, v] - end[v]) <= near) & (np.abs(q[:, v] - end[v]) <= near) for v in (0, 1) for end in (low, high)])
     side = np.where(on.any(axis=1), on.argmax(axis=1), -1)
-    if np.hypot(*(p - q)[side < 0].T).sum() > 2 * size.sum() * INSIDE:
-        return None
+    if np.hypot(*(p - q)[side < 0].T).sum() > 2 * size.sum() * inside:
+        return False
     for k in range(4):
         along = 1 - k // 2
         own = side == k
@@ -239,5 +244,24 @@ def facade_box(a: np.ndarray, b: np.ndarray, tolerance: float) -> Ring | None:
         order = np.argsort(start, kind="stable")
         reach = np.maximum.accumulate(np.r_[-np.inf, end[order]])[:-1]
         if np.maximum(0, end[order] - np.maximum(start[order], reach)).sum() < COVERED * size[along]:
-            return None
-    return [tuple(frame @ c) for c in ((low[0], low[1]), (high[0], low[1]), (high[0], high[1]), (low[0], high[1]))]
+            return False
+    return True
+
+
+#: Fixed values of facades about a hull: its share of the box, how far from a side a segment may lie, in all and against the lesser width, what may lie inside.
+HULL, HULL_NEAR, HULL_SIDE, HULL_INSIDE = 0.97, 1.0, 0.02, 0.07
+
+
+def facade_hull(a: np.ndarray, b: np.ndarray) -> Ring | None:
+    """The convex hull of segments if it nearly is the smallest box about it, whose four sides they cover."""
+    try:
+        ring = hull([tuple(p) for p in np.concatenate([a, b]).tolist()])
+        corners, width, depth, angle = smallest_box(ring)
+    except ValueError:
+        return None
+    if width * depth < 1 or abs(signed_area(ring)) < HULL * width * depth:
+        return None
+    turn = np.array([[math.cos(angle), -math.sin(angle)], [math.sin(angle), math.cos(angle)]])
+    p, q, box = a @ turn, b @ turn, np.array(corners) @ turn
+    near = min(HULL_NEAR, HULL_SIDE * min(width, depth))
+    return ring if sides_covered(p, q, box.min(axis=0), box.max(axis=0), near, HULL_INSIDE) else None

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.storage import stored
+from strataframe.storage import fresh_path, removed, restored, stored
 
 C = F.col
 
@@ -18,26 +18,55 @@ def disjoint(plans: DataFrame, key: str, score: str, sources: str, max_rounds: i
     share a source with these go; that gives the same set as the walk, with a few shuffles a round. The number of rounds is that of
     the longest chain of plans that wait for each other. Plans without sources are all taken.
     """
-    rows = stored(plans.select(key, score, C(sources).alias("__s")), "plans")
-    taken = [rows.filter(F.coalesce(F.size("__s"), F.lit(0)) <= 0).select(key)]
-    open_ = rows.select(key, score, F.explode(F.array_distinct("__s")).alias("__s"))
+    spark = plans.sparkSession
+    path = fresh_path(spark, "chosen")
+    rows = plans.select(key, score, C(sources).alias("__s"))
+    chosen = rows.filter(F.coalesce(F.size("__s"), F.lit(0)) <= 0).select(key)
+    chosen.write.parquet(path)
+    open_, old = restored(rows.select(key, score, F.explode(F.array_distinct("__s")).alias("__s")), None, "open")
     for _ in range(max_rounds):
-        open_ = stored(open_, "open")
         if open_.isEmpty():
             break
         first = open_.groupBy("__s").agg(F.max_by(key, F.struct(score, _falling(key, open_))).alias("__first"))
         led = open_.join(first, "__s").groupBy(key).agg(F.bool_and(C(key) == C("__first")).alias("__ok")).filter("__ok").select(key)
-        led = stored(led, "taken")
-        taken.append(led)
+        led, taken = restored(led, None, "taken")
+        led.write.mode("append").parquet(path)
         used = open_.join(led, key, "left_semi").select("__s").distinct()
         gone = open_.join(used, "__s", "left_semi").select(key).distinct()
-        open_ = open_.join(gone, key, "left_anti")
+        open_, old = restored(open_.join(gone, key, "left_anti"), old, "open")
+        removed(spark, taken)
     else:
         raise RuntimeError(f"plans were left after {max_rounds} rounds")
-    chosen = taken[0]
-    for t in taken[1:]:
-        chosen = chosen.unionByName(t)
-    return plans.join(chosen, key, "left_semi")
+    return plans.join(spark.read.schema(chosen.schema).parquet(path), key, "left_semi")
+
+
+def accepted(items: DataFrame, key: str, rank: str, conflicts: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+    """The items (key, rank, both unique) that a walk by rank accepts: each that is in no conflict (a, b: keys) with one accepted before. Round by round what comes
+    before all that it conflicts with is accepted, and these go; the number of rounds is that of the longest chain of items that wait for each other."""
+    spark = items.sparkSession
+    path = fresh_path(spark, "accepted")
+    ranks = items.select(C(key).alias("__k"), C(rank).alias("__r"))
+    both = conflicts.select("a", "b").unionByName(conflicts.select(C("b").alias("a"), C("a").alias("b"))).filter("a <> b").distinct()
+    pairs = both.join(ranks.select(C("__k").alias("a"), C("__r").alias("ra")), "a").join(ranks.select(C("__k").alias("b"), C("__r").alias("rb")), "b")
+    open_, old = restored(pairs.select("a", "b", "ra", "rb"), None, "open")
+    alone = ranks.select(C("__k").alias("a")).join(open_.select("a"), "a", "left_anti")
+    alone.write.parquet(path)
+    for _ in range(max_rounds):
+        if open_.isEmpty():
+            break
+        led, taken = restored(open_.groupBy("a").agg(F.min("rb").alias("rb"), F.first("ra").alias("ra")).filter("ra < rb").select("a"), None, "taken")
+        led.write.mode("append").parquet(path)
+        gone = open_.join(led, "a", "left_semi").select(C("b").alias("a")).distinct().unionByName(led)
+        left = open_.join(gone, "a", "left_anti")
+        rest = left.join(gone.withColumnRenamed("a", "b"), "b", "left_anti").select("a", "b", "ra", "rb")
+        # what has lost all that it was in conflict with is accepted too
+        free = left.select("a").distinct().join(rest.select("a"), "a", "left_anti")
+        free.write.mode("append").parquet(path)
+        open_, old = restored(rest, old, "open")
+        removed(spark, taken)
+    else:
+        raise RuntimeError(f"items were left after {max_rounds} rounds")
+    return items.join(spark.read.schema(alone.schema).parquet(path).withColumnRenamed("a", key), key, "left_semi")
 
 
 def _falling(key: str, df: DataFrame) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.config import FRACTIONS, Massing
-from strataframe.functions import motion
-from strataframe.operators import contours, roofs, sections
+from strataframe.functions import motion, rings
+from strataframe.operators import boxes, contours, roofs, sections
 from strataframe.plans.drawn import draw, drawn
 
 C = F.col
@@ -130,4 +130,71 @@ SELECT m, method, CASE WHEN method IS NULL THEN '{_G[3]}' END AS reason, CASE WH
   CASE method WHEN 'contours' THEN round(0.52 + 0.35 + 0.13 * {FRACTIONS[-1] - FRACTIONS[0]}, 3) WHEN 'roof' THEN round(least(0.95, 0.67 + (1 - gone / per) * 0.18 + 0.1), 3) END AS confidence, CASE method WHEN 'contours' THEN {len(FRACTIONS)} WHEN 'roof' THEN 6 END AS samples FROM r
 """
 
-SQL = {contour_tiers: CONTOUR_SQL, roof_analysis: ROOF_SQL}
+def _prisms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """m, x, z, points: for each supplier a box whose top is shifted and narrower by drawn lengths, turned; some lack a wall."""
+    m = C("m")
+    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = own.select("m", (draw(m, "w", n=60) + 16.0).alias("w"), (draw(m, "d", n=60) + 16.0).alias("d"), (draw(m, "h", n=80) + 30.0).alias("h"), (F.greatest(draw(m, "shift", n=12) - 6, F.lit(0)) / 1.0).alias("shift"), (F.greatest(draw(m, "taper", n=20) - 12, F.lit(0)) / 1.0).alias("taper"), (draw(m, "yaw", n=700) / 1000.0).alias("yaw"), (draw(m, "miss", n=8) == 0).alias("miss"),
+        (draw(m, "x", n=500) * 1.0 + F.floor(m / 25) * 1000).alias("x"), (draw(m, "z", n=300) * 1.0).alias("z"), (draw(m, "base", n=60) - 20.0).alias("base"))
+
+    def at(sx: int, sz: int, top: bool):
+        w, d, off = (C("w") - C("taper"), C("d") - C("taper"), C("shift")) if top else (C("w"), C("d"), F.lit(0.0))
+        x, z = sx * w / 2 + off, sz * d / 2
+        return motion.vector(x * F.cos("yaw") - z * F.sin("yaw") + C("x"), C("base") + (C("h") if top else 0.0), x * F.sin("yaw") + z * F.cos("yaw") + C("z"))
+
+    corners = ((-1, -1), (1, -1), (1, 1), (-1, 1))
+    walls = [f for p, q in zip(corners, corners[1:] + corners[:1]) for f in (F.array(at(*p, False), at(*q, False), at(*q, True)), F.array(at(*p, False), at(*q, True), at(*p, True)))]
+    return own.select("*", F.posexplode(F.array(*walls)).alias("t", "points")).filter(~C("miss") | (C("t") > 1))
+
+
+def box_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the suppliers' boxes are buildings: five like slices, level ground of drawn height below, and room beside the larger ones."""
+    shapes = _prisms(spark, sf_dir)
+    grounds = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("g")).filter("g % 25 = 0").select((F.floor(C("g") / 25) * 1000 - 200.0).alias("x0"), (F.floor(C("g") / 25) * 1000 + 799.0).alias("x1"), F.lit(-200.0).alias("z0"), F.lit(480.0).alias("z1"), (draw(C("g"), "ground", n=30) - 15.0).alias("y1"))
+    kept = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("g")).filter("g % 25 = 3").select(rings.box_ring(F.floor(C("g") / 25) * 1000 + 100.0, F.lit(40.0), F.floor(C("g") / 25) * 1000 + 220.0, F.lit(120.0)).alias("ring"))
+    found = boxes.grounded(boxes.classified(shapes.select("m", "points")), grounds)
+    done = boxes.clear(found, kept)
+    side = lambda f: F.round(f("width", "depth"), 4)
+    overlap = C("reason") == boxes.GROUND[3]
+    return done.select("m", F.when(overlap, F.lit(None)).otherwise(C("reason")).alias("reason"), side(F.least).alias("narrow"), side(F.greatest).alias("wide"), F.round("confidence", 6).alias("confidence"), F.round("base", 4).alias("base"))
+
+
+_SLICE = "SELECT unnest([" + ", ".join(f"{f}::DOUBLE" for f in boxes.SLICES) + "]) AS f"
+BOX_SQL = f"""
+WITH o AS (
+  SELECT s_suppkey AS m, {drawn("s_suppkey, 'w'", 60)} + 16.0::DOUBLE AS w, {drawn("s_suppkey, 'd'", 60)} + 16.0::DOUBLE AS d, {drawn("s_suppkey, 'h'", 80)} + 30.0::DOUBLE AS h, CAST(greatest({drawn("s_suppkey, 'shift'", 12)} - 6, 0) AS DOUBLE) AS shift, CAST(greatest({drawn("s_suppkey, 'taper'", 20)} - 12, 0) AS DOUBLE) AS taper,
+    {drawn("s_suppkey, 'miss'", 8)} = 0 AS miss, {drawn("s_suppkey, 'base'", 60)} - 20.0::DOUBLE AS base FROM supplier),
+g AS (SELECT s_suppkey // 25 AS g, {drawn("s_suppkey, 'ground'", 30)} - 15.0::DOUBLE AS ground FROM supplier WHERE s_suppkey % 25 = 0),
+s AS (SELECT o.*, f, w - taper * f AS wf, d - taper * f AS df, shift * f AS off, w - taper / 2 AS wm, d - taper / 2 AS dm FROM o, ({_SLICE})),
+j AS (
+  SELECT *, wf * df / (wm * dm) AS ratio, greatest(abs(off - shift / 2 - (wf - wm) / 2), abs(off - shift / 2 + (wf - wm) / 2), abs(df - dm) / 2) AS away, least({boxes.DRIFT}, {boxes.DRIFT_SHARE}::DOUBLE * least(wm, dm)) AS near FROM s),
+k AS (SELECT m, min(ratio) AS least_ratio, arg_min(CASE WHEN ratio NOT BETWEEN {boxes.RATIO[0]} AND {boxes.RATIO[1]} THEN '{boxes.REASONS[4]}' ELSE '{boxes.REASONS[5]}' END, f) FILTER (ratio NOT BETWEEN {boxes.RATIO[0]} AND {boxes.RATIO[1]} OR away > near) AS fault FROM j GROUP BY m),
+c AS (SELECT o.*, g.ground, w - taper / 2 AS wm, d - taper / 2 AS dm, least_ratio, fault, g.g IS NOT NULL AS known FROM o JOIN k ON k.m = o.m LEFT JOIN g ON g.g = o.m // 25),
+r AS (SELECT *, CASE WHEN h < {boxes.LEAST_HEIGHT} OR (miss AND 6 < {boxes.LEAST_TRIANGLES}) THEN '{boxes.REASONS[0]}' WHEN wm * dm < {boxes.LEAST_AREA} THEN '{boxes.REASONS[2]}' WHEN least(wm, dm) < {boxes.SIDES[0]} THEN '{boxes.REASONS[3]}' ELSE fault END AS why FROM c),
+z AS (SELECT *, CASE WHEN why IS NOT NULL THEN why WHEN NOT known THEN '{boxes.GROUND[0]}' WHEN base - ground > least({boxes.ABOVE}, h) OR base - ground < -{boxes.BELOW} THEN '{boxes.GROUND[1]}' WHEN base + h - ground < {boxes.LEAST_HEIGHT} THEN '{boxes.GROUND[2]}' END AS reason FROM r)
+SELECT m, reason, CASE WHEN why IS NULL THEN round(least(wm, dm), 4) END AS narrow, CASE WHEN why IS NULL THEN round(greatest(wm, dm), 4) END AS wide, CASE WHEN why IS NULL THEN round(least(1, least_ratio), 6) END AS confidence, CASE WHEN why IS NULL THEN round(ground, 4) END AS base FROM z
+"""
+
+
+def boxes_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level boxes of customers, walked by falling ground area: those that share no more than a twentieth of the smaller area with one taken before, nor with what is kept."""
+    n = C("c_custkey")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(n.alias("m"), (n * 37 % 397 + F.floor(n / 1500) * 4000.0).alias("x"), (n * 91 % 401 * 1.0).alias("z"), (n % 17 + 8.0).alias("width"), (n % 13 + 6.0).alias("depth"))
+    ring = rings.box_ring(C("x"), C("z"), C("x") + C("width"), C("z") + C("depth"))
+    own = rows.filter("m % 50 > 0").withColumns({"ring": ring, "reason": F.lit(None).cast("string")})
+    return boxes.clear(own, rows.filter("m % 50 = 0").withColumn("ring", ring), cell=32.0).select("m", "reason")
+
+
+CLEAR_SQL = f"""
+WITH RECURSIVE b AS (SELECT c_custkey AS m, CAST(c_custkey * 37 % 397 + floor(c_custkey / 1500) * 4000 AS DOUBLE) AS x, CAST(c_custkey * 91 % 401 AS DOUBLE) AS z, c_custkey % 17 + 8.0::DOUBLE AS w, c_custkey % 13 + 6.0::DOUBLE AS d FROM customer),
+p AS (SELECT a.m AS a, b.m AS b FROM b a JOIN b ON a.m <> b.m AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.z < b.z + b.d AND b.z < a.z + a.d
+  WHERE (least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * (least(a.z + a.d, b.z + b.d) - greatest(a.z, b.z)) > {boxes.SHARED} * least(a.w * a.d, b.w * b.d)),
+f AS (SELECT * FROM b WHERE m % 50 > 0 AND m NOT IN (SELECT a FROM p WHERE b % 50 = 0)),
+o AS (SELECT f.*, row_number() OVER (ORDER BY w * d DESC, m) AS n FROM f),
+q AS (SELECT o.n, o.m, coalesce(list(p.b) FILTER (p.b IS NOT NULL), []) AS others FROM o LEFT JOIN p ON p.a = o.m GROUP BY o.n, o.m),
+w(n, taken) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT q.n, CASE WHEN list_has_any(w.taken, q.others) THEN w.taken ELSE list_append(w.taken, CAST(q.m AS BIGINT)) END FROM w JOIN q ON q.n = w.n + 1),
+t AS (SELECT unnest(taken) AS m FROM (SELECT arg_max(taken, n) AS taken FROM w))
+SELECT b.m, CASE WHEN t.m IS NULL THEN '{boxes.GROUND[3]}' END AS reason FROM b LEFT JOIN t ON t.m = b.m WHERE b.m % 50 > 0
+"""
+
+SQL = {contour_tiers: CONTOUR_SQL, roof_analysis: ROOF_SQL, box_buildings: BOX_SQL, boxes_clear: CLEAR_SQL}
