@@ -218,9 +218,10 @@ def leading(df: DataFrame, keys: list[str], order: str, flag: str) -> DataFrame:
 
 
 def bridged(df: DataFrame, keys: list[str], order: str, group: str) -> DataFrame:
-    """df with group replaced by that of both neighbours where these agree; neighbours count as they were."""
+    """df with group replaced by that of both neighbours, the rows whose order is one less and one more, where these agree; neighbours count as they were."""
     w = W.partitionBy(*keys).orderBy(order)
-    before, after = F.lag(group).over(w), F.lead(group).over(w)
+    beside = lambda f, off: F.when(f(order).over(w) == F.col(order) + off, f(group).over(w))
+    before, after = beside(F.lag, -1), beside(F.lead, 1)
     return df.withColumn(group, F.when(before == after, before).otherwise(F.col(group)))
 
 

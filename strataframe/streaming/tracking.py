@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataframe.config import Hits
+from strataframe.storage import stored
 
 C = F.col
 #: Below that distance a target touches the ground; seconds after which a trail is flushed.
@@ -19,9 +21,22 @@ TOUCH, FLUSH = 4.0, 3.0
 
 def generations(hits: DataFrame, per_target: bool = False) -> DataFrame:
     """hits (target, event_id, ts) with generation, how many there have been so far, and superseded, the ts of the next: from then on
-    work for the hit is stale. One counter for all is the rule; then all hits are ordered in one task, which per_target avoids."""
-    w = (W.partitionBy("target") if per_target else W.partitionBy(F.lit(0))).orderBy("ts", "event_id")
-    return hits.withColumns({"generation": F.row_number().over(w), "superseded": F.lead("ts").over(w)})
+    work for the hit is stale. One counter for all is the rule: hits are sorted over all tasks, and each part's rows are numbered from the sum of the parts before
+    it, of which one row each reaches the driver. With per_target each target has a counter of its own."""
+    if per_target:
+        w = W.partitionBy("target").orderBy("ts", "event_id")
+        return hits.withColumns({"generation": F.row_number().over(w), "superseded": F.lead("ts").over(w)})
+    parts = stored(hits.orderBy("ts", "event_id").withColumn("__part", F.spark_partition_id()), "hits")
+    sums = sorted(parts.groupBy("__part").agg(F.count("*").alias("n"), F.min("ts").alias("first")).collect(), key=lambda r: r["__part"])
+    rows, total = [], 0
+    for r, after in zip(sums, [*sums[1:], None]):
+        rows.append((r["__part"], total, after and after["first"]))
+        total += r["n"]
+    base = parts.sparkSession.createDataFrame(rows, T.StructType([T.StructField("__part", T.IntegerType()), T.StructField("__base", T.LongType()), T.StructField("__next", hits.schema["ts"].dataType)]))
+    w = W.partitionBy("__part").orderBy("ts", "event_id")
+    known = parts.join(F.broadcast(base), "__part")
+    numbered = known.withColumns({"generation": (F.row_number().over(w) + C("__base")).cast("int"), "superseded": F.coalesce(F.lead("ts").over(w), "__next")})
+    return numbered.drop("__part", "__base", "__next")
 
 
 def live_work(work: DataFrame, hits: DataFrame) -> DataFrame:
