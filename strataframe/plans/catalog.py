@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import geometry
 from strataframe.operators import graph, tables
-from strataframe.plans import contours, grids, levels, linework, massing, occupancy, places, scalars, scenes, solids, stores, works
+from strataframe.plans import contours, grids, levels, linework, massing, occupancy, places, scalars, scenes, solids, stores, tracks, works
 
 FLAGSHIP = "weld_components"
 
@@ -105,7 +105,7 @@ FROM part
 
 SQL = {
     weld_components: WELD_SQL, covered_days: COVERED_SQL, median_order: MEDIAN_SQL, quantity_profile: PROFILE_SQL, quantity_histogram: HISTOGRAM_SQL, flag_runs: RUNS_SQL, key_checksum: CHECKSUM_SQL,
-} | occupancy.SQL | solids.SQL | levels.SQL | grids.SQL | scalars.SQL | scenes.SQL | works.SQL | places.SQL | massing.SQL | linework.SQL | contours.SQL | stores.SQL
+} | occupancy.SQL | solids.SQL | levels.SQL | grids.SQL | scalars.SQL | scenes.SQL | works.SQL | places.SQL | massing.SQL | linework.SQL | contours.SQL | stores.SQL | tracks.SQL
 
 
 def queries() -> dict:
