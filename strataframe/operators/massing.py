@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.config import RESIDUAL_GRID, GridMassing, Residual, Split, configured
+from strataframe.config import RESIDUAL_GRID, Final, GridMassing, Residual, Split, configured
 from strataframe.functions import polygons, rings
 from strataframe.functions.building import FloorParams, floor_bottom
 from strataframe.operators import masks
@@ -211,3 +211,47 @@ def residual_plans(cells: DataFrame, models: DataFrame, side: int, params: GridM
     good = F.col("reason").isNull() & (F.col("most") > residual.max_tiny_cells) & (F.col("cells") >= total * residual.min_extract_fraction)
     accepted = stored(plans.withColumn("__ok", good).filter("__ok").drop("__ok"), "accepted")
     return accepted, bodies.join(accepted.select("m", "body"), ["m", "body"], "left_anti").select(*CELL)
+
+
+#: What each way of the last pass is called, and how far it is trusted; least sides and height of an envelope.
+WAYS = {"final segment hull": 0.48, "final aggregate hull": 0.35, "final envelope box": 0.25}
+ENVELOPE = (10.0, 30.0)
+
+
+def final_plans(cells: DataFrame, models: DataFrame, side: int, params: Final = Final()) -> DataFrame:
+    """m, n, method, ring (about the middle of the model's box), bottom, top, area, confidence: a plan for every model (m, cell, size_x, size_y, size_z, ground, upper, floors),
+    by the first way that gives one for all of it: the hull of each unbranched run of floors, where all that are large enough have one and there are at most max_bodies; the hull of all
+    cells over the whole height; the box. Cells are m, k, i, j. n numbers a model's plans by their first floor and least cell."""
+    p, slab = params, FloorParams().slab
+    models = models.select("m", "cell", "size_x", "size_y", "size_z", "ground", "upper", "floors")
+    found = stored(components(cells, side), "components")
+    own = stored(found.join(chains(cells, side, found).select("component", C("chain").alias("body")).distinct(), "component"), "bodies")
+    shape = own.groupBy("m", "body").agg(F.count("*").alias("cells"), F.min("k").alias("first"), F.max("k").alias("last"), *(f(v).alias(f"{v}{e}") for v in "ij" for e, f in ((0, F.min), (1, F.max)))).join(models, "m")
+    at = lambda v, size: F.greatest(-C(size) / 2, F.least(v * C("cell") - C(size) / 2, C(size) / 2))
+    sides = {f"w{v}": at(C(f"{v}1"), size) - at(C(f"{v}0") - 1, size) for v, size in (("i", "size_x"), ("j", "size_z"))}
+    shape = shape.withColumns(sides | {"bottom": floor_bottom(C("ground"), C("upper"), C("first")), "top": F.least("size_y", floor_bottom(C("ground"), C("upper"), C("last") + 1) + slab)})
+    large = (C("cells") >= p.min_segment_cells) & (F.least("wi", "wj") >= p.min_width) & (C("top") - C("bottom") >= p.min_height)
+    usable = stored(shape.filter(large).select("m", "body", "first", "bottom", "top"), "usable")
+    # of a row of cells its two ends are enough for the hull
+    rows = own.groupBy("m", "body", "i").agg(F.min("j").alias("j0"), F.max("j").alias("j1")).join(models, "m")
+    corner = lambda i, j: F.struct(at(i, "size_x").alias("x"), at(j, "size_z").alias("z"))
+    ends = rows.select("m", "body", F.explode(F.array(*(corner(C("i") - di, j) for di in (0, 1) for j in (C("j0") - 1, C("j1"))))).alias("q")).distinct()
+
+    def hulls(points: DataFrame, keys: list[str]) -> DataFrame:
+        made = points.groupBy(*keys).agg(F.collect_set("q").alias("qs")).withColumn("ring", polygons.as_hull("qs")["value"])
+        wide = lambda v: F.array_max(F.transform("ring", lambda q: q[v])) - F.array_min(F.transform("ring", lambda q: q[v]))
+        return made.filter(C("ring").isNotNull() & (F.least(wide("x"), wide("z")) >= p.min_width)).select(*keys, "ring")
+
+    parts = stored(usable.join(hulls(ends.join(usable.select("m", "body"), ["m", "body"], "left_semi"), ["m", "body"]), ["m", "body"], "left"), "parts")
+    whole = parts.groupBy("m").agg(F.count("*").alias("n"), F.count("ring").alias("made")).filter((C("n") == C("made")) & (C("n") <= p.max_bodies)).select("m")
+    number = F.row_number().over(W.partitionBy("m").orderBy("first", "body"))
+    first = parts.join(whole, "m").select("m", number.alias("n"), F.lit(0).alias("way"), "ring", "bottom", "top")
+    rest = stored(models.join(whole, "m", "left_anti").join(hulls(ends.drop("body").distinct().join(whole, "m", "left_anti"), ["m"]), "m", "left"), "rest")
+    least, low = ENVELOPE
+    ends_of = lambda size: F.greatest(F.lit(least), size) / 2
+    box = rings.box_ring(-ends_of(C("size_x")), -ends_of(C("size_z")), ends_of(C("size_x")), ends_of(C("size_z")))
+    hull_ok = C("ring").isNotNull() & (C("size_y") >= p.min_height)
+    second = rest.select("m", F.lit(1).alias("n"), F.when(hull_ok, 1).otherwise(2).alias("way"), F.when(hull_ok, C("ring")).otherwise(box).alias("ring"), F.lit(0.0).alias("bottom"), F.when(hull_ok, C("size_y")).otherwise(F.greatest(F.lit(low), C("size_y"))).alias("top"))
+    ways = F.array(*(F.struct(F.lit(k).alias("method"), F.lit(v).alias("confidence")) for k, v in WAYS.items()))
+    plans = first.unionByName(second).withColumn("w", F.get(ways, C("way")))
+    return plans.select("m", "n", "w.method", "ring", "bottom", "top", F.abs(rings.signed_area(C("ring"))).alias("area"), "w.confidence")

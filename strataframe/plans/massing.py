@@ -181,4 +181,29 @@ e AS (SELECT *, reason IS NULL AND w * d > {massing.Residual().max_tiny_cells} A
 SELECT m, count(*) FILTER (ok) AS plans, CAST(coalesce(sum(cells) FILTER (ok), 0) AS BIGINT) AS taken, CAST(coalesce(sum(cells) FILTER (NOT ok), 0) AS BIGINT) AS "left", round(coalesce(sum(9.0::DOUBLE * w * d) FILTER (ok), 0), 6) AS area FROM e GROUP BY m
 """
 
-SQL = {grid_massing: MASSING_SQL, split_massing: SPLIT_SQL, residual_massing: RESIDUAL_SQL}
+def final_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plan for each supplier's towers, by the first of three ways that gives one; some are too small for all but the last."""
+    models, cells = _towers(spark, sf_dir)
+    thin = cells.filter((C("m") % 9 != 4) | ((C("i") <= 2) & (C("j") <= 5)))
+    return massing.final_plans(thin, models, SIDE).select("m", "n", "method", *(F.round(c, 4).alias(c) for c in ("bottom", "top", "area")), "confidence", F.size("ring").alias("corners"))
+
+
+_A = massing.Final()
+_WAYS = list(massing.WAYS)
+FINAL_SQL = f"""
+WITH {_TOWERS},
+g AS (SELECT own.*, m % 9 = 4 AS thin, {_BOTTOM.format("(floors + 1)")} + {SLAB!r}::DOUBLE AS size_y FROM own),
+s AS (SELECT m, 0 AS body, size_y, q AS n, 1 AS first, 20 AS w, j1 AS d, thin FROM g WHERE q > 0 UNION ALL SELECT m, 1, size_y, hl, q + 1, p, j1, thin FROM g UNION ALL SELECT m, 2, size_y, hr, q + 1, 19 - p, j1, thin FROM g WHERE two),
+-- only the cells of the first two rows and five columns are left of some: the left tower, over the podium where there is one
+t AS (SELECT m, body, size_y, n, first, w, d FROM s WHERE NOT thin UNION ALL SELECT m, 1, size_y, q + hl, 1, 2, 5 FROM g WHERE thin),
+u AS (SELECT *, {_BOTTOM.format("first")} AS bottom, least(size_y, {_BOTTOM.format("(first + n)")} + {SLAB!r}::DOUBLE) AS top FROM t),
+v AS (SELECT *, w * d * n >= {_A.min_segment_cells} AND 3 * least(w, d) >= {_A.min_width} AND top - bottom >= {_A.min_height} AS large FROM u),
+f AS (SELECT m, count(*) FILTER (large) AS n FROM v GROUP BY m),
+a AS (SELECT m, size_y, max(CASE WHEN thin THEN 2 WHEN two OR q > 0 THEN 20 ELSE p END) AS w, max(CASE WHEN thin THEN 5 ELSE j1 END) AS d FROM g GROUP BY m, size_y)
+SELECT v.m, CAST(row_number() OVER (PARTITION BY v.m ORDER BY first, body) AS INTEGER) AS n, '{_WAYS[0]}' AS method, round(bottom, 4) AS bottom, round(top, 4) AS top, 9.0::DOUBLE * w * d AS area, {massing.WAYS[_WAYS[0]]}::DOUBLE AS confidence, 4 AS corners
+FROM v JOIN f ON f.m = v.m AND f.n BETWEEN 1 AND {_A.max_bodies} WHERE large
+UNION ALL SELECT a.m, 1, CASE WHEN ok THEN '{_WAYS[1]}' ELSE '{_WAYS[2]}' END, 0.0, round(CASE WHEN ok THEN size_y ELSE greatest({massing.ENVELOPE[1]}, size_y) END, 4), CASE WHEN ok THEN 9.0::DOUBLE * w * d ELSE {SIZE * SIZE} END, CASE WHEN ok THEN {massing.WAYS[_WAYS[1]]}::DOUBLE ELSE {massing.WAYS[_WAYS[2]]}::DOUBLE END, 4
+FROM (SELECT *, 3 * least(w, d) >= {_A.min_width} AND size_y >= {_A.min_height} AS ok FROM a) AS a JOIN f ON f.m = a.m AND f.n NOT BETWEEN 1 AND {_A.max_bodies}
+"""
+
+SQL = {final_cascade: FINAL_SQL, grid_massing: MASSING_SQL, split_massing: SPLIT_SQL, residual_massing: RESIDUAL_SQL}
