@@ -1,4 +1,4 @@
-"""Registered queries: versions of a store, archives of meshes and plans traced to their sources, with equal SQL."""
+"""Registered queries: versions of a store, archives of meshes, plans of slices and plans traced to their sources, with equal SQL."""
 
 from __future__ import annotations
 
@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe import sinks
-from strataframe.operators import meshes, scenes
+from strataframe.operators import meshes, scenes, slices
+from strataframe.plans.drawn import draw, drawn
 from strataframe.plans.works import CORNERS, _corners
 from strataframe.sources import meshes as archives
-from strataframe.storage import fresh_path
+from strataframe.storage import fresh_path, stored
 
 C = F.col
 
@@ -78,3 +79,44 @@ SELECT s_nationkey, count(*) AS n, min(p_partkey) AS first, CAST(sum(p_size) AS
 """
 
 SQL = {store_versions: VERSIONS_SQL, mesh_archives: ARCHIVES_SQL, traced_plans: TRACED_SQL}
+
+
+def _slice_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """s_suppkey, plan: plans as JSON of two or more levels of two pieces each about a core, most with a fault of a drawn kind."""
+    n = C("s_suppkey")
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(n, draw(n, "fault", n=14).alias("fault"), (draw(n, "w", n=30) + 20.0).alias("w"), (draw(n, "d", n=30) + 20.0).alias("d"), (draw(n, "n", n=4) + 2).alias("n"))
+    fault = lambda k: C("fault") == k
+    point = lambda x, z: F.array(x.cast("double"), z.cast("double"))
+    ring = lambda x0, z0, x1, z1: F.array(point(x0, z0), point(x1, z0), point(x1, z1), point(x0, z1))
+    zero, half = F.lit(0.0), C("w") / 2
+    left = ring(zero, zero, half, C("d"))
+    tie = F.array(point(half, zero), point(C("w"), C("d")), point(C("w"), zero), point(half, C("d")))
+    ell = F.array(point(half, zero), point(C("w"), zero), point(C("w"), C("d") / 2), point(C("w") - 2, C("d") / 2), point(C("w") - 2, C("d")), point(half, C("d")))
+    right = F.when(fault(0), ring(half - 1, zero, C("w"), C("d"))).when(fault(1), tie).when(fault(2), F.array(point(half, zero), F.array(F.lit(1.0)), point(C("w"), zero))).when(fault(3), ring(half + 1, zero, C("w"), C("d"))).when(fault(12), ell).otherwise(ring(half, zero, C("w"), C("d")))
+    level = lambda k: F.struct((k * F.when(fault(4) & (k == 1), 9.0).otherwise(20.0)).alias("y"), F.when(fault(5), F.lit(0.01)).otherwise(F.lit(5.0)).alias("thickness"), F.when(fault(6) & (k == 1), F.array().cast("array<array<array<double>>>")).otherwise(F.array(left, right)).alias("pieces"))
+    size = F.when(fault(7), 1.5).otherwise(3.0)
+    core = F.struct((half - size).alias("minX"), (C("d") / 2 - size).alias("minZ"), (half + size).alias("maxX"), (C("d") / 2 + size).alias("maxZ"))
+    plan = F.struct(F.when(fault(8), 2).otherwise(1).alias("version"), F.when(fault(9), "").otherwise(F.concat(F.lit("plan"), n.cast("string"))).alias("id"), F.struct(*(F.lit(1.0).alias(v) for v in "xyz")).alias("origin"), core.alias("core"), F.transform(F.sequence(F.lit(0), F.when(fault(10), 0).otherwise(C("n") - 1)), level).alias("levels"))
+    return rows.select(n, F.when(fault(11), F.lit("[1,")).otherwise(F.to_json(plan)).alias("plan"))
+
+
+def slice_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans of slices read from JSON, checked, built and audited: parts and area, or the first breach of contract."""
+    verdicts, pieces = slices.checked(slices.decoded(_slice_texts(spark, sf_dir)), "s_suppkey")
+    pieces = stored(pieces, "pieces")
+    parts = stored(slices.built(pieces, "s_suppkey"), "parts")
+    volume = parts.groupBy("s_suppkey").agg(F.round(F.sum(F.when(C("name") != "Slab", C("sx") * C("sz") * (C("y1") - C("y0")))), 4).alias("core_volume"))
+    audit = slices.audited(parts, pieces, "s_suppkey").select("s_suppkey", "slabs", "cores", C("reason").alias("audit"))
+    return verdicts.join(audit, "s_suppkey", "left").join(volume, "s_suppkey", "left").withColumn("area", F.round("area", 4)).withColumn("slabs", F.when(C("slabs") > 2 * C("levels"), F.lit(None)).otherwise(C("slabs")))
+
+
+_S = slices.REASONS
+SLICES_SQL = f"""
+WITH o AS (SELECT s_suppkey, {drawn("s_suppkey, 'fault'", 14)} AS fault, {drawn("s_suppkey, 'w'", 30)} + 20.0::DOUBLE AS w, {drawn("s_suppkey, 'd'", 30)} + 20.0::DOUBLE AS d, {drawn("s_suppkey, 'n'", 4)} + 2 AS n FROM supplier),
+r AS (
+  SELECT *, CASE fault WHEN 11 THEN '{_S[1]}' WHEN 8 THEN '{_S[2]}' WHEN 9 THEN '{_S[3]}' WHEN 10 THEN '{_S[5]}' WHEN 7 THEN '{_S[7]}' WHEN 5 THEN '{_S[9]}' WHEN 4 THEN '{_S[10]}' WHEN 6 THEN '{_S[11]}' WHEN 2 THEN '{_S[12]}' WHEN 1 THEN 'edges cross or touch' WHEN 0 THEN '{_S[14]}' WHEN 3 THEN '{_S[15]}' END AS reason FROM o)
+SELECT s_suppkey, CASE WHEN reason IS NULL THEN CAST(n AS BIGINT) END AS levels, CASE WHEN reason IS NULL THEN CAST(2 * n AS BIGINT) END AS pieces, CASE WHEN reason IS NULL THEN round(n * (w * d - CASE WHEN fault = 12 THEN d ELSE 0 END), 4) END AS area, reason, CASE WHEN reason IS NULL AND fault <> 12 THEN CAST(2 * n AS BIGINT) END AS slabs,
+  CASE WHEN reason IS NULL THEN CAST(6 * (n - 1) AS BIGINT) END AS cores, NULL::VARCHAR AS audit, CASE WHEN reason IS NULL THEN round(15 * (n - 1) * (6 + 6 + 4 + 4 + 4 + 4)::DOUBLE, 4) END AS core_volume FROM r
+"""
+
+SQL |= {slice_plans: SLICES_SQL}
