@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataframe.functions.geometry import rolling_checksum
 from strataframe.operators.graph import connected_components
 from strataframe.operators.spatial import overlapping_boxes
+from strataframe.storage import fresh_path, removed, restored, stored
 
 
 def _around(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
@@ -49,6 +50,53 @@ def mutual_nearest(points: DataFrame, reach: float) -> DataFrame:
     return pairs.unionByName(inside.select("a", "b", F.lit(0).cast(pairs.schema["d2"].dataType).alias("d2")))
 
 
+def _widening(places: DataFrame, targets: DataFrame, reach: float, other: bool) -> DataFrame:
+    """id, near, d2 of each of places (id, x, z) that has a target (id, x, z; with other, one of another id): the nearest, ties to the least id. What finds none within
+    reach looks twice as far in the next round, and no farther than all lie from each other; a round's rows are few, as what is near is settled."""
+    spark = places.sparkSession
+    spans = places.select("x", "z").unionByName(targets.select("x", "z")).agg(*(f(v).alias(f"{v}{k}") for v in "xz" for k, f in enumerate((F.min, F.max)))).first()
+    path = fresh_path(spark, "nearest")
+    left, old = restored(places.select("id", "x", "z"), None, "far")
+    schema = None
+    while True:
+        found = _around(left, targets.select("id", "x", "z"), reach)
+        found = found.filter("id <> t_id") if other else found
+        found = found.groupBy("id").agg(F.min(F.struct("d2", F.col("t_id").alias("near"))).alias("best")).select("id", "best.near", "best.d2")
+        found, made = restored(found, None, "found")
+        found.write.mode("append").parquet(path)
+        schema = found.schema
+        if spans["x0"] is None or reach > 2 * (spans["x1"] - spans["x0"] + spans["z1"] - spans["z0"]):
+            break
+        left, old = restored(left.join(found, "id", "left_anti"), old, "far")
+        removed(spark, made)
+        if left.isEmpty():
+            break
+        reach *= 2
+    return spark.read.schema(schema).parquet(path)
+
+
+def nearest_any(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
+    """id, target, d2 of each point (id, x, z): the nearest target (id, x, z), however far; ties go to the least id. reach: how far is looked at first, about the usual distance. Rows
+    at one place are searched for once; null coordinates have no place, and without targets there are no rows."""
+    places = stored(points.select("x", "z").distinct().filter("x IS NOT NULL AND z IS NOT NULL").withColumn("id", F.monotonically_increasing_id()), "places")
+    there = stored(targets.filter("x IS NOT NULL AND z IS NOT NULL").groupBy("x", "z").agg(F.min("id").alias("id")), "targets")
+    found = _widening(places, there, reach, other=False)
+    return points.select("id", "x", "z").join(places.withColumnRenamed("id", "place"), ["x", "z"]).join(found.withColumnRenamed("id", "place"), "place").select("id", F.col("near").alias("target"), "d2")
+
+
+def mutual_any(points: DataFrame, reach: float) -> DataFrame:
+    """(a, b, d2), a < b: points (id unique, x, z) that are each other's nearest, however far; ties go to the least id, so of several at one place the two least pair up."""
+    placed = stored(points.filter("x IS NOT NULL AND z IS NOT NULL").select("id", "x", "z"), "points")
+    places = placed.groupBy("x", "z").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    crowded = places.filter("n > 1").select("x", "z", F.col("id").alias("a"))
+    inside = placed.join(crowded, ["x", "z"]).filter("id > a").groupBy("x", "z", "a").agg(F.min("id").alias("b"))
+    places = stored(places, "places")
+    best = _widening(places.filter("n = 1"), places, reach, other=True)
+    back = best.select(F.col("id").alias("near"), F.col("near").alias("id"))
+    pairs = best.join(back, ["id", "near"]).filter("id < near").select(F.col("id").alias("a"), F.col("near").alias("b"), "d2")
+    return pairs.unionByName(inside.select("a", "b", F.lit(0).cast(pairs.schema["d2"].dataType).alias("d2")))
+
+
 @dataclass(frozen=True)
 class ClusterParams:
     """Least shared part of the lower height; largest distance of bases, of tops (one is enough), and on the ground."""

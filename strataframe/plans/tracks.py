@@ -1,4 +1,4 @@
-"""Registered queries: verdicts on tracks and stitched clusters, with equal SQL."""
+"""Registered queries: verdicts on tracks, stitched clusters and nearest neighbours at any distance, with equal SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.config import CLUSTER_MASSING, FRACTIONS, TRACK_FRACTIONS, Clusters, Massing, Tracks, configured
 from strataframe.functions import motion
-from strataframe.operators import tracks
+from strataframe.operators import nearest, tracks
 from strataframe.plans.drawn import draw, drawn
 
 C = F.col
@@ -100,4 +100,32 @@ SELECT cluster, CAST(n AS BIGINT) AS n, CASE WHEN reason IS NULL THEN concat('Gl
   CASE WHEN reason IS NULL THEN h END AS height, CASE WHEN reason IS NULL THEN round(2 * w * d, 4) END AS area, CASE WHEN reason IS NULL THEN CAST(round(0.52 + 0.35 + 0.13 * {FRACTIONS[-1] - FRACTIONS[0]}, 3) AS DOUBLE) END AS confidence, CASE WHEN reason IS NULL THEN 'contours' END AS method, reason FROM r
 """
 
-SQL = {track_verdicts: VERDICT_SQL, stitched_clusters: STITCH_SQL}
+def nearest_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest supplier of each customer on a wide ground, however far."""
+    n, s = C("c_custkey"), C("s_suppkey")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(n.alias("id"), (draw(n, "x", n=60000) / 4.0).alias("x"), (draw(n, "z", n=40000) / 4.0).alias("z"))
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(s.alias("id"), (draw(s, "sx", n=6000) / 1.0).alias("x"), (draw(s, "sz", n=4000) / 1.0).alias("z"))
+    return nearest.nearest_any(customers, suppliers, 64.0).select("id", "target", F.round("d2", 4).alias("d2"))
+
+
+ANY_SQL = f"""
+WITH c AS (SELECT c_custkey AS id, {drawn("c_custkey, 'x'", 60000)} / 4.0::DOUBLE AS x, {drawn("c_custkey, 'z'", 40000)} / 4.0::DOUBLE AS z FROM customer), s AS (SELECT s_suppkey AS id, {drawn("s_suppkey, 'sx'", 6000)} / 1.0::DOUBLE AS x, {drawn("s_suppkey, 'sz'", 4000)} / 1.0::DOUBLE AS z FROM supplier),
+p AS (SELECT c.id, s.id AS target, pow(c.x - s.x, 2) + pow(c.z - s.z, 2) AS d2 FROM c, s)
+SELECT id, arg_min(target, (d2, target)) AS target, round(min(d2), 4) AS d2 FROM p GROUP BY id
+"""
+
+
+def mutual_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers on a wide ground that are each other's nearest, however far."""
+    n = C("c_custkey")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(n.alias("id"), (draw(n, "x", n=60000) / 4.0).alias("x"), (draw(n, "z", n=40000) / 4.0).alias("z"))
+    return nearest.mutual_any(customers, 32.0).select("a", "b", F.round("d2", 4).alias("d2"))
+
+
+MUTUAL_SQL = f"""
+WITH c AS (SELECT c_custkey AS id, {drawn("c_custkey, 'x'", 60000)} / 4.0::DOUBLE AS x, {drawn("c_custkey, 'z'", 40000)} / 4.0::DOUBLE AS z FROM customer),
+p AS (SELECT a.id, arg_min(b.id, (pow(a.x - b.x, 2) + pow(a.z - b.z, 2), b.id)) AS near, min(pow(a.x - b.x, 2) + pow(a.z - b.z, 2)) AS d2 FROM c a JOIN c b ON a.id <> b.id GROUP BY a.id)
+SELECT p.id AS a, p.near AS b, round(p.d2, 4) AS d2 FROM p JOIN p AS q ON q.id = p.near AND q.near = p.id WHERE p.id < p.near
+"""
+
+SQL = {track_verdicts: VERDICT_SQL, stitched_clusters: STITCH_SQL, nearest_any: ANY_SQL, mutual_any: MUTUAL_SQL}
