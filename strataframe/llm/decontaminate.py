@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from strataframe.llm.batches import map_texts
 from strataframe.storage import stored
 
-BEFORE = "__leaks_before"
 
 
 @dataclass(frozen=True)
@@ -168,10 +167,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
 
     Case and white space do not count. Null and empty texts and items match nothing; a null item_id is ignored, and ids may have any type that is ordered;
     items repeated under one id count once each with their least edits. A column named like out is replaced;
-    other columns pass through, but for one called __leaks_before. The items go out in blocks of params.block_bytes, a bound on every broadcast; where
+    other columns pass through. The items go out in blocks of params.block_bytes, a bound on every broadcast; where
     there are several, the result of each is written before the next, so that one block is in memory at a time.
     """
     spark = docs.sparkSession
+    before = "__leaks_before"
+    while before in docs.columns:
+        before += "_"
     keyed = benchmark.select(F.col(item).alias("item_id"))
     leak = T.ArrayType(T.StructType([T.StructField("item_id", keyed.schema["item_id"].dataType), T.StructField("edits", T.IntegerType())]))
     have = docs.withColumn(out, F.array().cast(leak))
@@ -196,5 +198,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
             return search
 
         # the leaks so far travel as a second column, as map_texts replaces the one it makes
-        have = map_texts(have.withColumnRenamed(out, BEFORE), [text, BEFORE], [T.StructField(out, leak)], start).drop(BEFORE)
+        have = map_texts(have.withColumnRenamed(out, before), [text, before], [T.StructField(out, leak)], start).drop(before)
     return have

@@ -97,9 +97,9 @@ def select_terms(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: in
 
 def fit(rows: DataFrame, params: ToxParams = ToxParams(), key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxModel:
     """Builds the index from a bounded sample of rows with text and label; rows: key, text, label. Rows whose text or label is null are left
-    out, rows that repeat a key are examples of their own, labels above 0 are toxic."""
+    out, rows that repeat a key are examples of their own, labels above 0 are toxic, and a key that is no number is null."""
     bound_batches(rows.sparkSession)
-    rows = rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("text IS NOT NULL AND label IS NOT NULL")
+    rows = rows.select(F.col(key).try_cast("long").alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("text IS NOT NULL AND label IS NOT NULL")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, docs = np.zeros((2, 1 << params.bits), np.int32), np.zeros(2, np.int64)

@@ -74,9 +74,9 @@ def member(record: bytes) -> bytes:
 
 
 def deduplicated(pages: DataFrame, params: WarcParams, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, payload, sha1, refers_to (of revisits). Payloads are equal when length, SHA-1 and SHA-256 are."""
+    """page_id, url, payload, sha1, refers_to (of revisits). Payloads are equal when length, SHA-1 and SHA-256 are. A key that is no number is null."""
     payload = F.coalesce(F.encode(F.col(html), "UTF-8"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(key).try_cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
     size = F.octet_length("payload")
     rows = rows.withColumns({"sha1": F.sha1("payload"), "same": F.when(size >= params.least_revisit, F.unhex(F.sha2("payload", 256)))})
     groups = rows.filter("same IS NOT NULL").groupBy("same", "sha1").agg(F.max("page_id").alias("largest"), F.count("*").alias("c")).filter("c > 1").drop("c")
