@@ -94,3 +94,16 @@ def test_stages_of_no_documents(spark, tmp_path):
     blank = spark.createDataFrame([(1, None, None, None, None, 1), (2, "", None, None, None, 1), (None, " ", None, None, None, 1)], SCHEMA)
     kept = {name: stage(spark, blank, str(tmp_path)).filter(F.lit(True)).count() for name, stage in corpus_pipeline.STAGES}
     assert kept == {"language": 3, "exact_dedup": 1, "ngram_jaccard": 3, "decontamination": 3, "pieces": 3}
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Columns named like those that the stages use inside come through as they were."""
+    item = prose("en", 12)
+    rows = [(i % 20, prose("en" if i % 2 else "de", 40) + (f" {item}" if i == 7 else ""), "en" if i % 2 else "de", None, None, i, f"lang{i}", 0.25, [i], i) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, __row int, __lang string, __score double, __leaks array<int>, __leaks_before int")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        kept = {r["__row"]: tuple(r) for r in got.collect()}
+        assert all(kept[i] == tuple(rows[i]) for i in kept) and len(kept) == (23 if name == "decontamination" else 24)
