@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe import sinks
-from strataframe.operators import meshes, scenes, slices
+from strataframe.functions import rings
+from strataframe.functions.geometry import signed_area
+from strataframe.operators import meshes, scenes, slices, smooth
 from strataframe.plans.drawn import draw, drawn
 from strataframe.plans.works import CORNERS, _corners
 from strataframe.sources import meshes as archives
@@ -120,3 +122,62 @@ SELECT s_suppkey, CASE WHEN reason IS NULL THEN CAST(n AS BIGINT) END AS levels,
 """
 
 SQL |= {slice_plans: SLICES_SQL}
+
+
+def batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances of customers changed in two batches of the nations with the most to change, each staged, audited and applied as a whole."""
+    n = C("c_custkey")
+    live = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", C("c_nationkey").alias("source"), F.lit(0).alias("batch"))
+    store = sinks.Store(spark, fresh_path(spark, "store"))
+    store.begin(live)
+    for k in (1, 2):
+        plans = store.read().filter((C("batch") == 0) & (n % 5 < 2)).select("c_custkey", "source", F.lit(k).alias("batch"), F.lit(None).cast("string").alias("reason"))
+        sinks.run_next(store, plans, "source", ["c_custkey"], [-F.count("*")], 4, C("batch") == k)
+    return store.read().groupBy("source", "batch").agg(F.count("*").alias("n"))
+
+
+RUNS_SQL = """
+WITH p AS (SELECT c_nationkey AS source, count(*) AS n FROM customer WHERE c_custkey % 5 < 2 GROUP BY 1), r AS (SELECT source, (row_number() OVER (ORDER BY n DESC, source) - 1) // 4 + 1 AS batch FROM p)
+SELECT c_nationkey AS source, CAST(CASE WHEN c_custkey % 5 < 2 AND r.batch <= 2 THEN r.batch ELSE 0 END AS INTEGER) AS batch, count(*) AS n FROM customer LEFT JOIN r ON r.source = c_nationkey GROUP BY 1, 2
+"""
+
+
+def smooth_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans of one to three tiers of drawn heights and setbacks as floors, or why not; some tiers leave a gap, overhang, or end too early."""
+    n = C("s_suppkey")
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(n, (draw(n, "tiers", n=3) + 1).alias("tiers"), (draw(n, "w", n=30) + 40.0).alias("w"), draw(n, "fault", n=9).alias("fault"), *((draw(n, f"h{k}", n=90) / 2.0 + 2.5).alias(f"h{k}") for k in (1, 2, 3)), *((draw(n, f"s{k}", n=9) - 1.0).alias(f"s{k}") for k in (2, 3)))
+    zero = F.lit(0.0)
+    spans, base, inset = [], zero, zero
+    for k in (1, 2, 3):
+        inset = inset + (zero if k == 1 else C(f"s{k}"))
+        low = base + F.when((C("fault") == 0) & F.lit(k == 2), 0.5).otherwise(0.0)
+        spans.append(F.struct(low.alias("bottom"), (base + C(f"h{k}")).alias("top"), rings.box_ring(inset, inset, C("w") - inset, C("w") - inset).alias("ring")))
+        base = base + C(f"h{k}")
+    every = F.slice(F.array(*spans), F.lit(1), C("tiers"))
+    height = F.element_at(every, -1)["top"] + F.when(C("fault") == 1, 3.0).otherwise(0.0)
+    plans = rows.select(n, height.alias("height"), every.alias("tiers"))
+    floors = smooth.tiered_floors(smooth.normalized(plans, "s_suppkey"), "s_suppkey")
+    return floors.groupBy("s_suppkey", "reason").agg(F.max("n").alias("n"), F.max("tier").alias("tiers"), F.round(F.sum("bottom"), 4).alias("bottoms"), F.round(F.sum(F.abs(signed_area(C("ring")))), 4).alias("area"))
+
+
+_FP = smooth.FloorParams()
+_EDGE = f"{_FP.slab!r}::DOUBLE"
+FLOORS_SQL = f"""
+WITH o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 'tiers'", 3)} + 1 AS t, {drawn("s_suppkey, 'w'", 30)} + 40.0::DOUBLE AS w, {drawn("s_suppkey, 'fault'", 9)} AS fault, {", ".join(f"{drawn(f"s_suppkey, 'h{k}'", 90)} / 2.0::DOUBLE + 2.5 AS h{k}" for k in (1, 2, 3))}, {", ".join(f"{drawn(f"s_suppkey, 's{k}'", 9)} - 1.0::DOUBLE AS s{k}" for k in (2, 3))} FROM supplier),
+h AS (SELECT *, h1 + CASE WHEN t > 1 THEN h2 ELSE 0 END + CASE WHEN t > 2 THEN h3 ELSE 0 END AS top, CASE WHEN fault = 1 THEN 3 ELSE 0 END AS more FROM o),
+i AS (SELECT *, top + more AS height, [0.0::DOUBLE, h1, h1 + h2] AS b, [0.0::DOUBLE, s2, s2 + s3] AS s FROM h),
+r AS (
+  SELECT *, CASE WHEN height < 2 * {_EDGE} + {_FP.least_clear!r}::DOUBLE THEN '{smooth.WHOLE[1]}' WHEN fault = 0 AND t > 1 THEN '{smooth.TIER[1]}' WHEN t > 1 AND s2 < 0 THEN '{smooth.TIER[4]}' WHEN t > 2 AND s3 < 0 THEN '{smooth.TIER[4]}' WHEN fault = 1 THEN '{smooth.LAST}' END AS why,
+    greatest(1, floor((height - {_EDGE}) / {(_FP.clear + _FP.slab)!r}::DOUBLE)) AS wish FROM i),
+n AS (SELECT *, CASE WHEN t > wish AND (height - {_EDGE}) / t - {_EDGE} >= {_FP.least_clear!r}::DOUBLE THEN t ELSE wish END AS n FROM r),
+p AS (SELECT *, (height - {_EDGE}) / n AS pitch FROM n),
+q AS (SELECT *, coalesce(why, CASE WHEN pitch - {_EDGE} < {_FP.least_clear!r}::DOUBLE THEN '{smooth.CLEAR}' WHEN t > n THEN '{smooth.MANY}' END) AS reason FROM p),
+a AS (SELECT *, greatest(2, least(ceil(b[2] / pitch + 0.5 - 1e-9), n - (t - 2))) AS f2 FROM q),
+c AS (SELECT *, greatest(f2 + 1, least(ceil(b[3] / pitch + 0.5 - 1e-9), n - (t - 3))) AS f3 FROM a),
+f AS (SELECT *, unnest(generate_series(1, CAST(n AS BIGINT))) AS k FROM c WHERE reason IS NULL),
+g AS (SELECT *, CASE WHEN t > 2 AND k >= f3 THEN 3 WHEN t > 1 AND k >= f2 THEN 2 ELSE 1 END AS tier FROM f)
+SELECT m AS s_suppkey, NULL::VARCHAR AS reason, CAST(max(n) AS INTEGER) AS n, CAST(max(tier) AS INTEGER) AS tiers, round(sum(CASE WHEN k = 1 THEN 0 ELSE (k - 1) * pitch END), 4) AS bottoms, round(sum(pow(w - 2 * s[tier], 2)), 4) AS area FROM g GROUP BY m
+UNION ALL SELECT m, reason, NULL, NULL, NULL, NULL FROM q WHERE reason IS NOT NULL
+"""
+
+SQL |= {batch_runs: RUNS_SQL, smooth_floors: FLOORS_SQL}

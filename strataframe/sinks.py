@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.operators.spatial import applied, archived, whole_sources
+from strataframe.storage import stored
 
 C = F.col
 PLAN = "version int, key string, frame array<double>, size array<double>, tiers array<struct<bottom:double,ring:array<struct<x:double,z:double>>>>"
@@ -132,6 +133,25 @@ def shown(rows: DataFrame, group: list[str], order: list[Column], n: int) -> Dat
     return rows.withColumn("__n", F.row_number().over(W.partitionBy(*group).orderBy(*order))).filter(C("__n") == n).drop("__n")
 
 
+def run_next(store: Store, plans: DataFrame, source: str, keys: list[str], rank: list[Column], n: int, check: Column, stage_only: bool = False) -> tuple[str, str | None]:
+    """One batch: of the plans (the rows of the store, source and reason) the n sources that come first by rank are staged, whole or not at all, audited and applied; (staged
+    version, applied one). rank orders sources by aggregates of their plans. Raises Conflict, and applies nothing, where no source is left, one of them failed, or a row does not pass check."""
+    best = plans.groupBy(source).agg(*(c.alias(f"__r{k}") for k, c in enumerate(rank)))
+    chosen = best.orderBy(*(f"__r{k}" for k in range(len(rank))), source).limit(n).select(source)
+    own = stored(plans.join(F.broadcast(chosen), source), "batch")  # n rows are broadcast
+    staged, failures = staged_batch(own, source)
+    base = store.current()
+    columns = store.read(base).columns
+    version = store.stage(staged.select(columns), failures)
+    if store.read(version, "staged").isEmpty():
+        raise Conflict("no plan is left")
+    if stage_only:
+        return version, None
+    if not store.read(version, "failures").isEmpty():
+        raise Conflict("the staged batch has failures")
+    return version, store.apply(version, base, keys, check=check)
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two frames have the same rows, as often."""
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
