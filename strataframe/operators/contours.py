@@ -173,3 +173,25 @@ def contour_plans(triangles: DataFrame, params: Massing = Massing()) -> DataFram
     shown = F.transform("tiers", lambda t: F.struct(t["bottom"].alias("bottom"), t["top"].alias("top"), t["ring"].alias("ring")))
     values = {"tiers": shown, "at": motion.vector(C("c.x"), C("y0"), C("c.z")), "yaw": -C("turn"), "height": C("roof") - C("y0"), "area": C("area"), "roof_trim": C("y1") - C("roof"), "confidence": confidence, "samples": C("samples"), "repaired": C("repaired"), "fallbacks": C("fallbacks")}
     return rows.select("m", *(F.when(ok, v).alias(k) for k, v in values.items()), "reason")
+
+
+def diagnosis(triangles: DataFrame, params: Massing = Massing()) -> DataFrame:
+    """m, samples (valid ones), groups, persistent (groups of enough samples and span), most (samples of the largest), span (of the share of the height, of that one), failures (reason, n of the samples without a footprint),
+    reason: what the contours of each model of triangles show, without a plan."""
+    p = params
+    whole = triangles.filter(~F.exists("points", lambda q: q["x"].isNull() | q["y"].isNull() | q["z"].isNull()))
+    height = lambda f: f(F.transform("points", lambda q: q["y"]))
+    models = stored(whole.groupBy("m").agg(F.count("*").alias("n"), F.min(height(F.array_min)).alias("y0"), F.max(height(F.array_max)).alias("y1")), "models")
+    at = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f).alias("share"), (C("y0") + (C("y1") - C("y0")) * f).alias("y")) for i, f in enumerate(FRACTIONS))))
+    wanted = models.select("m", at.alias("c")).select("m", "c.*")
+    found = stored(wanted.join(sampled(whole, wanted, p), ["m", "y"]), "samples")
+    good = found.filter("reason IS NULL")
+    a, b = good.select("m", C("i").alias("a"), C("foot").alias("fa")), good.select("m", C("i").alias("b"), C("foot").alias("fb"))
+    near = a.join(b, "m").filter("a < b").filter(rings.similar(C("fb"), C("fa"))).select("m", "a", "b")
+    groups = good.join(first_like(good, "m", "i", near), ["m", "i"]).groupBy("m", "group").agg(F.count("*").alias("count"), (F.max("share") - F.min("share")).alias("span"))
+    lasting = (C("count") >= p.min_support_samples) & (C("span") >= p.min_support_span)
+    sums = groups.groupBy("m").agg(F.count("*").alias("groups"), F.count_if(lasting).alias("persistent"), F.max(F.struct("count", (-C("group")).alias("first"), "span")).alias("main"), F.sum("count").alias("samples"))
+    failed = found.filter("reason IS NOT NULL").groupBy("m", "reason").agg(F.count("*").alias("n")).groupBy("m").agg(F.array_sort(F.collect_list(F.struct("reason", "n"))).alias("failures"))
+    rows = models.join(sums, "m", "left").join(failed, "m", "left").na.fill(0, ["samples", "groups", "persistent"])
+    reason = F.when(C("y1") - C("y0") < p.min_height, GATES[1]).when(C("n") < TRIANGLES, GATES[0]).when(F.coalesce((C("main.count") < p.min_support_samples) | (C("main.span") < p.min_support_span), F.lit(True)), GATES[3])
+    return rows.select("m", "samples", "groups", "persistent", F.coalesce("main.count", F.lit(0)).alias("most"), F.coalesce("main.span", F.lit(0.0)).alias("span"), "failures", reason.alias("reason"))

@@ -223,3 +223,42 @@ def shell_sections(parts: DataFrame, by: list[str]) -> DataFrame:
     found = parts.groupBy(*by).agg(F.array_sort(F.collect_list(own)).alias("s"), F.bool_and(C("kind") == "block").alias("__ok"))
     reason = F.when(~C("__ok"), "only block parts are accepted")
     return found.select(*by, F.when(reason.isNull(), C("s")).alias("sections"), reason.alias("reason"))
+
+
+#: Least size of a cell, and cells on an axis, of the grid of an exact box.
+BOX_CELL, BOX_AXIS = 2.5, 18
+
+
+def exact_boxes(boxes: DataFrame, p: building.FloorParams = building.FloorParams()) -> DataFrame:
+    """boxes (with sx, sy, sz and requested, a number of floors or null) with cell, nx, nz, floors, ground, upper, mask (all cells, a text for every floor) and reason, null where the box is large enough and the request a whole
+    number of floors."""
+    bad = F.coalesce((C("requested") < 1) | (C("requested") != F.floor("requested")), F.lit(False))
+    reason = F.when(~F.coalesce((C("sx") > 0) & (C("sz") > 0) & (C("sy") >= 2 * p.slab + p.clear), F.lit(False)), "box is too small").when(bad, "invalid floor count")
+    rows = boxes.withColumn("reason", reason).withColumn("cell", F.greatest(F.lit(BOX_CELL), F.greatest("sx", "sz") / BOX_AXIS)).withColumn("f", building.floor_plan(C("sy"), C("requested"), p))
+    sides = {"nx": F.ceil(C("sx") / C("cell")).cast("int"), "nz": F.ceil(C("sz") / C("cell")).cast("int"), "floors": C("f.floors"), "ground": C("f.ground"), "upper": C("f.upper")}
+    rows = rows.withColumns(sides).drop("f")
+    good = C("reason").isNull()
+    return rows.withColumns({c: F.when(good, C(c)) for c in ("cell", *sides)}).withColumn("mask", F.when(good, F.repeat(F.lit("1"), C("nx") * C("nz"))))
+
+
+def children(models: DataFrame, parent: str, name: str, pattern: str, kind: str | None = None, kinds: tuple[str, ...] = (), protected: tuple[str, ...] = ()) -> DataFrame:
+    """The direct children (parent not null) whose name matches pattern, of one of kinds (all, if none is named), and without a value in any of the protected columns."""
+    rows = models.filter(C(parent).isNotNull() & F.coalesce(C(name).rlike(pattern), F.lit(False)))
+    rows = rows.filter(C(kind).isin(*kinds)) if kinds else rows
+    for column in protected:
+        rows = rows.filter(C(column).isNull())
+    return rows
+
+
+def slab_shapes(parts: DataFrame) -> DataFrame:
+    """parts (kind: block or wedge; at, size and yaw of an upright part) with ring, the polygon that the part covers seen from above, and low and high. A wedge lies on its side: of size (thickness, height, depth) its
+    triangle has the right angle at the lower end of the depth, its sides along height and depth, and its thickness is its extent upwards."""
+    corner = lambda a, b: rings.point(C("at.x") + a * F.cos("yaw") - b * F.sin("yaw"), C("at.z") + a * F.sin("yaw") + b * F.cos("yaw"))
+    half = {v: C(f"size.{v}") / 2 for v in "xyz"}
+    block = F.array(*(corner(a * half["x"], b * half["z"]) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1))))
+    wedge = F.array(corner(-half["y"], -half["z"]), corner(-half["y"], half["z"]), corner(half["y"], half["z"]))
+    flat = C("kind") == "wedge"
+    ring = F.when(flat, wedge).otherwise(block)
+    up = F.when(flat, half["x"]).otherwise(half["y"])
+    turned = F.when(geometry.signed_area(ring) < 0, F.reverse(ring)).otherwise(ring)
+    return parts.withColumns({"ring": turned, "low": C("at.y") - up, "high": C("at.y") + up})

@@ -197,4 +197,17 @@ t AS (SELECT unnest(taken) AS m FROM (SELECT arg_max(taken, n) AS taken FROM w))
 SELECT b.m, CASE WHEN t.m IS NULL THEN '{boxes.GROUND[3]}' END AS reason FROM b LEFT JOIN t ON t.m = b.m WHERE b.m % 50 > 0
 """
 
-SQL = {contour_tiers: CONTOUR_SQL, roof_analysis: ROOF_SQL, box_buildings: BOX_SQL, boxes_clear: CLEAR_SQL}
+def contour_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the contours of each supplier's box with missing walls show: samples, groups and failures."""
+    found = contours.diagnosis(_roofed(spark, sf_dir))
+    failed = F.array_join(F.transform("failures", lambda f: F.concat_ws(":", f["reason"], f["n"].cast("string"))), ",")
+    return found.select("m", "samples", "groups", "persistent", "most", F.round("span", 4).alias("span"), failed.alias("failures"), "reason")
+
+
+DIAGNOSIS_SQL = f"""
+WITH o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 'miss'", 6)} NOT IN (1, 2, 3) AS closed FROM supplier)
+SELECT m, CAST(CASE WHEN closed THEN {len(FRACTIONS)} ELSE 0 END AS BIGINT) AS samples, CAST(closed AS BIGINT) AS groups, CAST(closed AS BIGINT) AS persistent, CAST(CASE WHEN closed THEN {len(FRACTIONS)} ELSE 0 END AS BIGINT) AS most,
+  CASE WHEN closed THEN {round(FRACTIONS[-1] - FRACTIONS[0], 4)}::DOUBLE ELSE 0 END AS span, CASE WHEN NOT closed THEN 'open cross-section:{len(FRACTIONS)}' END AS failures, CASE WHEN NOT closed THEN '{_G[3]}' END AS reason FROM o
+"""
+
+SQL = {contour_diagnosis: DIAGNOSIS_SQL, contour_tiers: CONTOUR_SQL, roof_analysis: ROOF_SQL, box_buildings: BOX_SQL, boxes_clear: CLEAR_SQL}

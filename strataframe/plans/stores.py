@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe import sinks
-from strataframe.functions import rings
+from strataframe.functions import motion, rings
 from strataframe.functions.geometry import signed_area
-from strataframe.operators import meshes, scenes, slices, smooth
+from strataframe.operators import meshes, places, scenes, slices, smooth
 from strataframe.plans.drawn import draw, drawn
 from strataframe.plans.works import CORNERS, _corners
 from strataframe.sources import meshes as archives
@@ -181,3 +181,44 @@ UNION ALL SELECT m, reason, NULL, NULL, NULL, NULL FROM q WHERE reason IS NOT NU
 """
 
 SQL |= {batch_runs: RUNS_SQL, smooth_floors: FLOORS_SQL}
+
+
+def exact_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grids of exact boxes of suppliers, with a requested number of floors or none; and of which parts, in a tree, they are made."""
+    n = C("s_suppkey")
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(n, (draw(n, "x", n=700) / 10.0 + 5).alias("sx"), (draw(n, "y", n=900) / 10.0 + 10).alias("sy"), (draw(n, "z", n=700) / 10.0 + 5).alias("sz"), F.when(n % 4 == 1, (draw(n, "r", n=5)).cast("double")).when(n % 4 == 2, 1.5).alias("requested"))
+    found = places.exact_boxes(rows)
+    return found.select(n, "reason", "nx", "nz", "floors", F.round("cell", 6).alias("cell"), F.round("ground", 6).alias("ground"), F.round("upper", 6).alias("upper"), F.length("mask").alias("cells"))
+
+
+_GAP = f"(sy - (n + 1) * {_EDGE}) / n"
+EXACT_SQL = f"""
+WITH o AS (SELECT s_suppkey, {drawn("s_suppkey, 'x'", 700)} / 10.0::DOUBLE + 5 AS sx, {drawn("s_suppkey, 'y'", 900)} / 10.0::DOUBLE + 10 AS sy, {drawn("s_suppkey, 'z'", 700)} / 10.0::DOUBLE + 5 AS sz, CASE s_suppkey % 4 WHEN 1 THEN CAST({drawn("s_suppkey, 'r'", 5)} AS DOUBLE) WHEN 2 THEN 1.5 END AS r FROM supplier),
+c AS (SELECT *, CASE WHEN sy < 2 * {_EDGE} + {_FP.clear!r}::DOUBLE THEN 'box is too small' WHEN r < 1 OR r <> floor(r) THEN 'invalid floor count' END AS reason, greatest(2.5, greatest(sx, sz) / 18) AS cell FROM o),
+m AS (SELECT *, greatest(1, floor((sy - {_EDGE}) / ({_FP.least_clear!r}::DOUBLE + {_EDGE}))) AS most, floor((sy - 2 * {_EDGE} - {_FP.clear!r}::DOUBLE) / ({_FP.clear!r}::DOUBLE + {_EDGE})) + 1 AS free FROM c),
+f AS (SELECT *, CASE WHEN r >= 1 THEN CASE WHEN (sy - (r + 1) * {_EDGE}) / r < {_FP.least_clear!r}::DOUBLE THEN most ELSE r END ELSE free END AS n FROM m)
+SELECT s_suppkey, reason, CASE WHEN reason IS NULL THEN CAST(ceil(sx / cell) AS INTEGER) END AS nx, CASE WHEN reason IS NULL THEN CAST(ceil(sz / cell) AS INTEGER) END AS nz, CASE WHEN reason IS NULL THEN CAST(n AS INTEGER) END AS floors, CASE WHEN reason IS NULL THEN round(cell, 6) END AS cell,
+  CASE WHEN reason IS NULL THEN round(CASE WHEN r >= 1 THEN {_GAP} ELSE sy - 2 * {_EDGE} - (n - 1) * ({_FP.clear!r}::DOUBLE + {_EDGE}) END, 6) END AS ground, CASE WHEN reason IS NULL THEN round(CASE WHEN r >= 1 THEN {_GAP} ELSE {_FP.clear!r}::DOUBLE END, 6) END AS upper,
+  CASE WHEN reason IS NULL THEN CAST(ceil(sx / cell) * ceil(sz / cell) AS INTEGER) END AS cells FROM f
+"""
+
+
+def slab_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What turned parts, direct children of their orders, cover from above; protected ones are left out."""
+    n = C("p_partkey")
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(n, F.when(n % 11 > 0, n % 40).alias("parent"), F.concat(F.when(n % 3 == 0, "Slab").otherwise("Wall"), n.cast("string")).alias("name"), F.when(n % 2 == 0, "wedge").otherwise("block").alias("kind"), F.when(n % 13 == 5, "kept").alias("lock"),
+        motion.vector((n % 97).cast("double"), (n % 31).cast("double"), (n % 89).cast("double")).alias("at"), motion.vector((n % 7 + 1).cast("double"), (n % 5 + 2).cast("double"), (n % 9 + 1).cast("double")).alias("size"), (n % 60 / 10.0).alias("yaw"))
+    own = places.children(rows, "parent", "name", "^Slab", "kind", ("wedge", "block"), ("lock",))
+    found = places.slab_shapes(own)
+    middle = lambda v: F.round(F.aggregate("ring", F.lit(0.0), lambda s, q: s + q[v]) / F.size("ring"), 4)
+    return found.select(n, F.size("ring").alias("corners"), F.round(signed_area(C("ring")), 4).alias("area"), middle("x").alias("x"), middle("z").alias("z"), "low", "high")
+
+
+OUTLINES_SQL = """
+WITH p AS (SELECT p_partkey, p_partkey % 2 = 0 AS wedge, CAST(p_partkey % 97 AS DOUBLE) AS x, CAST(p_partkey % 31 AS DOUBLE) AS y, CAST(p_partkey % 89 AS DOUBLE) AS z, CAST(p_partkey % 7 + 1 AS DOUBLE) AS sx, CAST(p_partkey % 5 + 2 AS DOUBLE) AS sy, CAST(p_partkey % 9 + 1 AS DOUBLE) AS sz, p_partkey % 60 / 10.0::DOUBLE AS yaw
+  FROM part WHERE p_partkey % 11 > 0 AND p_partkey % 3 = 0 AND p_partkey % 13 <> 5)
+SELECT p_partkey, CASE WHEN wedge THEN 3 ELSE 4 END AS corners, round(CASE WHEN wedge THEN sy * sz / 2 ELSE sx * sz END, 4) AS area, round(CASE WHEN wedge THEN x - sy / 6 * cos(yaw) - sz / 6 * sin(yaw) ELSE x END, 4) AS x, round(CASE WHEN wedge THEN z - sy / 6 * sin(yaw) + sz / 6 * cos(yaw) ELSE z END, 4) AS z,
+  y - CASE WHEN wedge THEN sx ELSE sy END / 2 AS low, y + CASE WHEN wedge THEN sx ELSE sy END / 2 AS high FROM p
+"""
+
+SQL |= {exact_boxes: EXACT_SQL, slab_outlines: OUTLINES_SQL}
