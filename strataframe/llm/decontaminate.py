@@ -7,8 +7,10 @@ must also begin and end at word borders of the text, which one more distance ove
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -167,36 +169,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
 
     Case and white space do not count. Null and empty texts and items match nothing; a null item_id is ignored, and ids may have any type that is ordered;
     items repeated under one id count once each with their least edits. A column named like out is replaced;
-    other columns pass through. The items go out in blocks of params.block_bytes, a bound on every broadcast; where
-    there are several, the result of each is written before the next, so that one block is in memory at a time.
+    other columns pass through. The items go out in blocks of params.block_bytes, a bound on every broadcast, one in memory at a time; where
+    there are several, the documents are written once, and each block's hits.
     """
-    spark = docs.sparkSession
-    before = "__leaks_before"
-    while before in docs.columns:
-        before += "_"
     keyed = benchmark.select(F.col(item).alias("item_id"))
     leak = T.ArrayType(T.StructType([T.StructField("item_id", keyed.schema["item_id"].dataType), T.StructField("edits", T.IntegerType())]))
-    have = docs.withColumn(out, F.array().cast(leak))
     items = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")
-    for number, block in enumerate(_blocks(items, params)):
-        if number:
-            have = stored(have, "leaks")
-        held = spark.sparkContext.broadcast(block)
-
-        def start(held=held):
-            index = LeakIndex(held.value, params)
-
-            def search(texts: list[str | None], before: list[list[dict]]) -> list[list]:
-                leaks = []
-                for t, old in zip(texts, before):
-                    got = {x["item_id"]: x["edits"] for x in old}
-                    for key, edits in index.find(t).items():
-                        got[key] = min(edits, got.get(key, edits))
-                    leaks.append([{"item_id": a, "edits": b} for a, b in sorted(got.items())])
-                return [leaks]
-
-            return search
-
-        # the leaks so far travel as a second column, as map_texts replaces the one it makes
-        have = map_texts(have.withColumnRenamed(out, before), [text, before], [T.StructField(out, leak)], start).drop(before)
-    return have
+    blocks = _blocks(items, params)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return _searched(docs, first, params, text, out, leak)
+    # several: documents are numbered once, each block's pass reads numbers and texts and writes its hits, and these are joined at the end
+    rest = [c for c in docs.columns if c != out]
+    whole = stored(docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("row"), F.col(text).alias("text")).withColumn("id", F.monotonically_increasing_id()), "numbered")
+    hits = []
+    for block in itertools.chain([first, second], blocks):
+        found = _searched(whole.select("id", "text"), block, params, "text", "leaks", leak).filter(F.size("leaks") > 0)
+        hits.append(stored(found.select("id", F.inline("leaks")), "hits"))
+    least = reduce(DataFrame.unionByName, hits).groupBy("id", "item_id").agg(F.min("edits").alias("edits"))
+    per = least.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("item_id", "edits"))).alias("leaks"))
+    met = whole.join(per, "id", "left")
+    return met.select("row.*", F.coalesce("leaks", F.array().cast(leak)).alias(out))
+
+
+def _searched(docs: DataFrame, block: list[tuple], params: LeakParams, text: str, out: str, leak: T.ArrayType) -> DataFrame:
+    """docs with out, the hits of one block of items."""
+    held = docs.sparkSession.sparkContext.broadcast(block)
+
+    def start():
+        index = LeakIndex(held.value, params)
+        return lambda texts: [[[{"item_id": a, "edits": b} for a, b in sorted(index.find(t).items())] for t in texts]]
+
+    return map_texts(docs, [text], [T.StructField(out, leak)], start)
