@@ -6,12 +6,13 @@ in the JVM; the cost of one with n vertices is n for a point and n * m for two r
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strataframe.functions.geometry import following, segment_distance, signed_area, turn
+from strataframe.functions.geometry import following, signed_area, turn
 
 
 def point(x: Column, z: Column) -> Column:
@@ -43,9 +44,32 @@ def along(a: Column, b: Column, t: Column | float) -> Column:
     return point(a["x"] + (b["x"] - a["x"]) * t, a["z"] + (b["z"] - a["z"]) * t)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _spans(ring: Column) -> Column:
+    """array of struct(x, z, dx, dz, n): where each edge begins, which way it goes, and the square of its length (1 where it has none)."""
+
+    def span(p: Column, q: Column) -> Column:
+        dx, dz = q["x"] - p["x"], q["z"] - p["z"]
+        return F.struct(p["x"].alias("x"), p["z"].alias("z"), dx.alias("dx"), dz.alias("dz"), F.coalesce(F.nullif(dx * dx + dz * dz, F.lit(0.0)), F.lit(1.0)).alias("n"))
+
+    return F.zip_with(ring, following(ring), span)
+
+
+def _nearest(spans: Column, p: Column) -> Column:
+    def away(e: Column) -> Column:
+        share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((p["x"] - e["x"]) * e["dx"] + (p["z"] - e["z"]) * e["dz"]) / e["n"]))
+        return bound(share, lambda t: F.hypot(p["x"] - e["x"] - t * e["dx"], p["z"] - e["z"] - t * e["dz"]))
+
+    return F.array_min(F.transform(spans, away))
+
+
 def distance_to_ring(ring: Column, p: Column) -> Column:
     """Distance of a point to the nearest edge."""
-    return F.array_min(F.transform(edges(ring), lambda e: segment_distance(p["x"], p["z"], e["a"]["x"], e["a"]["z"], e["b"]["x"], e["b"]["z"])))
+    return _nearest(_spans(ring), p)
 
 
 def contains_point(ring: Column, p: Column, tolerance: float = 1e-5) -> Column:
@@ -83,10 +107,10 @@ def shape_distance(a: Column, b: Column) -> Column:
     """How far two rings are apart: the largest distance of a vertex or edge middle of one to the other."""
 
     def one_way(p: Column, q: Column) -> Column:
-        tried = F.flatten(F.transform(edges(p), lambda e: F.array(e["a"], along(e["a"], e["b"], 0.5))))
-        return F.array_max(F.transform(tried, lambda v: distance_to_ring(q, v)))
+        tried = F.flatten(F.transform(p, lambda e: F.array(point(e["x"], e["z"]), point(e["x"] + e["dx"] / 2, e["z"] + e["dz"] / 2))))
+        return F.array_max(F.transform(tried, lambda v: _nearest(q, v)))
 
-    return F.greatest(one_way(a, b), one_way(b, a))
+    return bound(_spans(a), lambda p: bound(_spans(b), lambda q: F.greatest(one_way(p, q), one_way(q, p))))
 
 
 def similar(a: Column, b: Column, least_ratio: float = 0.92, least_reach: float = 1.5, reach_share: float = 0.035) -> Column:

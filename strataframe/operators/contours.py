@@ -56,7 +56,8 @@ def sampled(triangles: DataFrame, cuts: DataFrame, params: Massing = Massing())
     p = params
     own = cuts.select("m", "y").distinct().groupBy("m").agg(F.collect_list("y").alias("ys"))
     segments = stored(sections.at_heights(triangles.select("m", "points").join(own, "m"), C("ys")).select("m", "y", "a", "b"), "segments")
-    found = sections.outlines(sections.mended_loops(segments, ["m", "y"], OutlineParams(p.weld_tolerance, p.max_seam_gap, p.max_corner_gap, p.max_corner_extension)), ["m", "y"])
+    loops = stored(sections.mended_loops(segments, ["m", "y"], OutlineParams(p.weld_tolerance, p.max_seam_gap, p.max_corner_gap, p.max_corner_extension)), "loops")
+    found = sections.outlines(loops, ["m", "y"])
     rows = found.join(facade_boxes(segments, ["m", "y"], p.simplify_tolerance), ["m", "y"], "left")
     fallback = C("reason").isin("open cross-section", "branched cross-section") & C("box").isNotNull()
     rows = rows.withColumn("fallback", fallback).withColumn("raw", F.when(C("fallback"), C("box")).otherwise(C("ring")))
@@ -103,7 +104,8 @@ def contour_plans(triangles: DataFrame, params: Massing = Massing()) -> DataFram
     model of triangles (m, t: their order, points): what its repeated contours are as a building, or why they are none. A model's samples are eleven; nulls in a
     point drop a triangle."""
     p = params
-    whole = triangles.filter(~F.exists("points", lambda q: q["x"].isNull() | q["y"].isNull() | q["z"].isNull()))
+    # written, as every round of sections reads them
+    whole = stored(triangles.filter(~F.exists("points", lambda q: q["x"].isNull() | q["y"].isNull() | q["z"].isNull())), "triangles")
     height = lambda f: f(F.transform("points", lambda q: q["y"]))
     models = stored(whole.groupBy("m").agg(F.count("*").alias("n"), F.min(height(F.array_min)).alias("y0"), F.max(height(F.array_max)).alias("y1")), "models")
     at = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(f).alias("share"), (C("y0") + (C("y1") - C("y0")) * f).alias("y")) for i, f in enumerate(FRACTIONS))))

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.operators.kernels import by_group, labelled
+from strataframe.storage import stored
 
 CELL = ["m", "k", "i", "j"]
 #: The largest grid, and floors stay below MOST_FLOORS. Cell numbers of one model stay below PER_MODEL.
@@ -137,7 +138,8 @@ def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: f
         area = cell_area(F.col("cell"), F.col("i"), F.col("j"), F.col("size_x"), F.col("size_z"))
         return df.join(sizes.select("m", "cell", "size_x", "size_z"), "m").withColumn("a", area).drop("cell", "size_x", "size_z")
 
-    solid = measured(components(occupied, side))
+    # written, as both results rest on them and a grid's labels are dear
+    solid = stored(measured(components(occupied, side)), "solid")
     bodies = solid.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"), F.min("a").alias("least"))
     floor = W.partitionBy("m", "k")
     bodies = bodies.withColumns({"rank": F.row_number().over(floor.orderBy(F.desc("area"), "component"))})
@@ -147,7 +149,7 @@ def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: f
         F.max(isle & ((F.col("n") > p.island_cells) | (F.col("area") > p.island_area))).alias("big"), F.min("least").alias("least"),
     )
     kept = solid.join(bodies.filter(~isle).select("m", "k", "component"), ["m", "k", "component"], "left_semi").select(*CELL)
-    inner = measured(holes(kept, side).filter("NOT outside"))
+    inner = stored(measured(holes(kept, side).filter("NOT outside")), "inner")
     each = inner.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"))
     gaps = each.groupBy("m", "k").agg(F.count("*").alias("holes"), F.sum("area").alias("hole_area"), F.max((F.col("n") > p.hole_cells) | (F.col("area") > p.hole_area)).alias("yard"))
     stats = stats.join(gaps, ["m", "k"], "left").withColumns({"holes": F.coalesce("holes", F.lit(0).cast("long")), "hole_area": F.coalesce("hole_area", F.lit(0.0))})

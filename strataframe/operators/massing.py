@@ -54,7 +54,7 @@ EVIDENCE = (
 def plates(cells: DataFrame, models: DataFrame, side: int, p: GridMassing) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(floors, plates, cells): floors m, k with plate, the least floor of the model with the same mask; each plate (m, plate) with ring, raw (area of
     its cells), area, change, method, tolerance, low (covers too little of the envelope), clean (the least plate that is the same when clean), island_area, hole_area, reason; the cells of good plates."""
-    own = cells.select(*CELL).join(models.select("m", "floors"), "m").filter("k BETWEEN 1 AND floors").select(*CELL)
+    own = stored(cells.select(*CELL).join(models.select("m", "floors"), "m").filter("k BETWEEN 1 AND floors").select(*CELL), "own")
     places = F.sort_array(F.collect_set((C("i") - 1) * side + C("j")))
     floors = own.groupBy("m", "k").agg(places.alias("places"))
     floors = stored(floors.select("m", "k", F.min("k").over(W.partitionBy("m", "places")).alias("plate")), "floors")
@@ -170,7 +170,7 @@ def grid_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassi
 
 def part_plans(parts: DataFrame, models: DataFrame, side: int, params: GridMassing, elevated: bool) -> DataFrame:
     """m, body, cells, most, first, tiers, height, area, confidence, reason of each part (cells with m, body, component, k, i, j) as a grid of its own."""
-    shape = cropped(parts, elevated)
+    shape = stored(cropped(parts, elevated), "shapes")
     sizes = parts.groupBy("m", "body").agg(F.count("*").alias("cells")).join(parts.groupBy("m", "body", "k").agg(F.count("*").alias("n")).groupBy("m", "body").agg(F.max("n").alias("most")), ["m", "body"])
     c, slab = F.col, FloorParams().slab
     base = lambda k: F.when(k <= 1, F.lit(0.0)).otherwise(slab + c("ground") + (k - 2) * (c("upper") + slab))
@@ -182,7 +182,7 @@ def part_plans(parts: DataFrame, models: DataFrame, side: int, params: GridMassi
     )
     moved = parts.join(shape.filter("reason IS NULL").select("m", "body", "first", "i0", "j0"), ["m", "body"])
     cells = moved.select(c("body").alias("m"), *((c(v) - c(o) + 1).cast("int").alias(v) for v, o in (("k", "first"), ("i", "i0"), ("j", "j0"))))
-    plans = grid_plans(cells, made, side, params).select(c("m").alias("body"), "tiers", "height", "area", "confidence", c("reason").alias("__why"))
+    plans = grid_plans(cells, stored(made, "made"), side, params).select(c("m").alias("body"), "tiers", "height", "area", "confidence", c("reason").alias("__why"))
     rows = shape.select("m", "body", "first", "reason").join(sizes, ["m", "body"]).join(plans, "body", "left")
     return rows.select("m", "body", "cells", "most", "first", "tiers", "height", "area", "confidence", F.coalesce("reason", "__why").alias("reason"))
 
@@ -191,11 +191,11 @@ def split_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMass
     """part_plans of the vertical bodies of each model, and source_reason: null where all substantial bodies have a plan; a body is tiny, and left out of
     that, with at most max_tiny_cells cells a floor and max_tiny_fraction of the model's cells. All outputs of a model, or none."""
     flat = components(cells, side)
-    both = flat.join(components(cells, side, vertical=True).withColumnRenamed("component", "body"), CELL)
+    both = stored(flat.join(components(cells, side, vertical=True).withColumnRenamed("component", "body"), CELL), "bodies")
     plans = part_plans(both, models, side, params, elevated=False)
     own = W.partitionBy("m")
     tiny = (F.col("most") <= split.max_tiny_cells) & (F.col("cells") <= F.sum("cells").over(own) * split.max_tiny_fraction)
-    rows = plans.withColumn("tiny", tiny)
+    rows = stored(plans, "plans").withColumn("tiny", tiny)
     count = F.sum((~F.col("tiny")).cast("int")).over(own)
     worst = F.min(F.when(~F.col("tiny"), F.col("reason"))).over(own)
     return rows.withColumn("source_reason", F.when(count < 2, "one body only").when(count > split.max_bodies, "too many bodies").otherwise(worst))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import building, geometry, motion, rings
 from strataframe.operators.rings import _cell, spread, turned_overlaps
-from strataframe.storage import restored
+from strataframe.storage import restored, stored
 
 C = F.col
 
@@ -117,7 +117,8 @@ def tracked(loops: DataFrame, least_ratio: float = 0.78, most_shift: float = 18.
     before = later.select("m", (C("sample") + 1).alias("sample"), C("loop").alias("prev"), *(C(c).alias(f"p_{c}") for c in ("ring", "area", "x", "z")))
     ratio, shift = F.least("area", "p_area") / F.greatest("area", "p_area"), F.hypot(C("x") - C("p_x"), C("z") - C("p_z"))
     near = later.join(before, ["m", "sample"]).withColumns({"ratio": ratio, "shift": shift}).filter((C("ratio") >= least_ratio) & (C("shift") <= most_shift))
-    near = near.withColumn("apart", rings.shape_distance(C("p_ring"), C("ring"))).filter(C("apart") <= most_apart)
+    # written, so that the dearest figure is computed once, and after the others have ruled pairs out
+    near = stored(near.select("m", "sample", "loop", "prev", "ratio", "shift", rings.shape_distance(C("p_ring"), C("ring")).alias("apart")), "pairs").filter(C("apart") <= most_apart)
     offers = near.select("m", "sample", F.struct("loop", (C("apart") + C("shift") / 4 + (1 - C("ratio")) * 10).alias("cost"), "prev").alias("offer"))
     pair = F.struct("offer.loop", "offer.prev")
     kind = f"array<{offers.select(pair.alias('p')).schema['p'].dataType.simpleString()}>"

@@ -95,7 +95,7 @@ def roof_outlines(faces: DataFrame, params: Massing = Massing()) -> DataFrame:
     p = params
     edges = stored(roof_edges(faces, p.weld_tolerance), "edges")
     sums = edges.groupBy(*ROOF).agg(F.max("total").alias("total"), F.max("reason").alias("why"))
-    loops = sections.mended_loops(edges.select(*ROOF, "a", "b"), ROOF, OutlineParams(p.weld_tolerance, p.max_seam_gap, p.max_corner_gap, p.max_corner_extension))
+    loops = stored(sections.mended_loops(edges.select(*ROOF, "a", "b"), ROOF, OutlineParams(p.weld_tolerance, p.max_seam_gap, p.max_corner_gap, p.max_corner_extension)), "loops")
     found = sections.outlines(loops, ROOF, holes=True).join(sums, ROOF)
     rows = found.withColumn("thin", polygons.as_simplified("ring", F.lit(p.simplify_tolerance))["value"]).withColumn("box", polygons.as_box("thin")["value"])
     rows = rows.withColumns({"size": F.abs(rings.signed_area(C("thin"))), "width": F.least("box.width", "box.depth")}).withColumn("coverage", C("total") / C("size"))
@@ -174,6 +174,7 @@ def roof_plans(triangles: DataFrame, models: DataFrame, params: Massing = Massin
 def analysed(triangles: DataFrame, params: Massing = Massing()) -> DataFrame:
     """contour_plans with method (contours or roof) and roof_reason: models without a persistent body are tried by their roofs, all others keep what
     their contours say."""
+    triangles = stored(triangles.select("m", "t", "points"), "triangles")
     plans = stored(contours.contour_plans(triangles, params), "contours")
     failed = plans.filter(C("reason") == contours.GATES[3]).select("m")
     rest = plans.join(failed, "m", "left_anti").select("*", F.when(C("reason").isNull(), "contours").alias("method"), F.lit(None).cast("string").alias("roof_reason"))
