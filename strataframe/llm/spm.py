@@ -31,8 +31,11 @@ LONE, CHARS, FEW = -2, 200_000, 12
 
 
 def default_model_path() -> str:
-    """The byte-fallback piece model of the installed public tokenizer files."""
-    return str(Path(importlib.util.find_spec("public_tokenizers").origin).parent / "piece_bpe_32k.model")
+    """The byte-fallback piece model of the installed public tokenizer files; without these, encode and decode need a model_path."""
+    files = importlib.util.find_spec("public_tokenizers")
+    if files is None:
+        raise ValueError("model_path must name a byte-pair piece model, as no package of public tokenizer files is installed")
+    return str(Path(files.origin).parent / "piece_bpe_32k.model")
 
 
 def fields_of(data: bytes) -> dict[int, list]:
