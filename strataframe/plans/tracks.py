@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.config import CLUSTER_MASSING, FRACTIONS, TRACK_FRACTIONS, Clusters, Massing, Tracks, configured
 from strataframe.functions import motion
-from strataframe.operators import nearest, tracks
+from strataframe.operators import nearest, samples, tracks
 from strataframe.plans.drawn import draw, drawn
 
 C = F.col
@@ -128,4 +128,41 @@ p AS (SELECT a.id, arg_min(b.id, (pow(a.x - b.x, 2) + pow(a.z - b.z, 2), b.id))
 SELECT p.id AS a, p.near AS b, round(p.d2, 4) AS d2 FROM p JOIN p AS q ON q.id = p.near AND q.near = p.id WHERE p.id < p.near
 """
 
-SQL = {track_verdicts: VERDICT_SQL, stitched_clusters: STITCH_SQL, nearest_any: ANY_SQL, mutual_any: MUTUAL_SQL}
+def sampled_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grids of suppliers' towers of one or two boxes, turned, from cuts near the bottom and the top of each floor; some lack a wall."""
+    m = C("m")
+    own = _suppliers(spark, sf_dir).select("m", (draw(m, "w", n=40) + 31.3).alias("w"), (draw(m, "d", n=24) + 6.1).alias("d"), (draw(m, "h1", n=50) + 8.17).alias("h1"), (draw(m, "h2", n=60) - 20.0).alias("h2"), (draw(m, "s", n=6) + 1.7).alias("s"), (draw(m, "open", n=6) == 0).alias("open"), (draw(m, "yaw", n=900) / 1000.0).alias("yaw"))
+    box = lambda s, low, high: F.struct(s.alias("s"), low.alias("low"), high.alias("high"))
+    tiers = own.withColumn("b", F.explode(F.when(C("h2") > 0, F.array(box(F.lit(0.0), F.lit(3.0), C("h1") + 3), box(C("s"), C("h1") + 3, C("h1") + C("h2") + 3))).otherwise(F.array(box(F.lit(0.0), F.lit(3.0), C("h1") + 3)))))
+    tiers = tiers.select("m", "open", "yaw", (C("w") / 2 - C("b.s")).alias("x"), (C("d") / 2 - C("b.s")).alias("z"), "b.low", "b.high").filter("z > 0")
+    at = lambda sx, sz: (sx * C("x") * F.cos("yaw") - sz * C("z") * F.sin("yaw") + 50, sx * C("x") * F.sin("yaw") + sz * C("z") * F.cos("yaw"))
+    corners = [at(*c) for c in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+    faces = tiers.select("m", "open", F.posexplode(_walls([(*p, *q) for p, q in zip(corners, corners[1:] + corners[:1])], C("low"), C("high"))).alias("t", "points"))
+    models, floors = samples.sampled_models(faces.filter(~C("open") | (C("t") > 1)).select("m", "points"))
+    tight = floors.groupBy("m").agg(F.sum(F.regexp_count("tight", F.lit("1"))).cast("long").alias("tight"))
+    shown = lambda c: F.when(C("reason").isNull(), c)
+    return models.join(tight, "m", "left").select("m", "reason", shown(C("floors")).alias("floors"), shown(C("cells")).alias("cells"), "tight", shown(C("nx")).alias("nx"), shown(C("nz")).alias("nz"), shown(F.round("at.x", 4)).alias("x"), shown(F.round(F.abs(F.sin("yaw")), 4)).alias("turn"))
+
+
+_FP = samples.building.FloorParams()
+_SL, _CL = f"{_FP.slab!r}::DOUBLE", f"{_FP.clear!r}::DOUBLE"
+GRIDS_SQL = f"""
+WITH o AS (SELECT s_suppkey AS m, {drawn("s_suppkey, 'w'", 40)} + 31.3::DOUBLE AS w, {drawn("s_suppkey, 'd'", 24)} + 6.1::DOUBLE AS d, {drawn("s_suppkey, 'h1'", 50)} + 8.17::DOUBLE AS h1, {drawn("s_suppkey, 'h2'", 60)} - 20.0::DOUBLE AS h2, {drawn("s_suppkey, 's'", 6)} + 1.7::DOUBLE AS s, {drawn("s_suppkey, 'open'", 6)} = 0 AS open, {drawn("s_suppkey, 'yaw'", 900)} / 1000.0::DOUBLE AS yaw FROM supplier),
+p AS (SELECT *, h1 + CASE WHEN h2 > 0 AND d / 2 - s > 0 THEN h2 ELSE 0 END AS h, h2 > 0 AND d / 2 - s > 0 AS two FROM o),
+q AS (SELECT *, CASE WHEN open THEN CASE WHEN two THEN 12 ELSE 6 END ELSE CASE WHEN two THEN 16 ELSE 8 END END AS n, floor((h - 2 * {_SL} - {_CL}) / ({_SL} + {_CL})) + 1 AS floors, greatest({samples.CELL}, w / {samples.AXIS}) AS cell FROM p),
+r AS (SELECT *, h - 2 * {_SL} - (floors - 1) * ({_SL} + {_CL}) AS ground, CASE WHEN n < {samples.TRIANGLES} THEN '{samples.REASONS[0]}' WHEN least(w, d) < {samples.WIDTH} OR h < 2 * {_SL} + {_CL} THEN '{samples.REASONS[1]}' END AS why FROM q),
+k AS (SELECT *, unnest(generate_series(1, CAST(floors AS BIGINT))) AS k FROM r WHERE why IS NULL),
+y AS (SELECT *, CASE WHEN k = 1 THEN 0 ELSE {_SL} + ground + (k - 2) * ({_SL} + {_CL}) END + {_SL} AS base, CASE WHEN k = 1 THEN ground ELSE {_CL} END AS clear FROM k),
+z AS (SELECT *, base + {samples.OFF} AS low, least(h - {samples.OFF}, base + clear + {_SL} - {samples.OFF}) AS high FROM y),
+a AS (SELECT z.*, CASE WHEN low >= h1 THEN s ELSE 0 END AS sl, CASE WHEN high >= h1 THEN s ELSE 0 END AS sh FROM z),
+i AS (SELECT m, unnest(generate_series(0, CAST(ceil(w / cell) AS BIGINT) - 1)) AS i FROM r WHERE why IS NULL), j AS (SELECT m, unnest(generate_series(0, CAST(ceil(d / cell) AS BIGINT) - 1)) AS j FROM r WHERE why IS NULL),
+c AS (
+  SELECT a.m, a.k, greatest(abs(-w / 2 + i * cell + {samples.INSET}), abs(least(-w / 2 + (i + 1) * cell, w / 2) - {samples.INSET})) AS x, greatest(abs(-d / 2 + j * cell + {samples.INSET}), abs(least(-d / 2 + (j + 1) * cell, d / 2) - {samples.INSET})) AS z, w, d, sl, sh, open FROM a JOIN i ON i.m = a.m JOIN j ON j.m = a.m),
+f AS (SELECT m, k, count(*) FILTER (NOT open AND x < w / 2 - sl AND z < d / 2 - sl) AS loose, count(*) FILTER (NOT open AND x < w / 2 - greatest(sl, sh) AND z < d / 2 - greatest(sl, sh)) AS tight FROM c GROUP BY m, k),
+g AS (SELECT m, sum(loose) AS cells, sum(tight) AS tight, count(*) FILTER (loose >= {samples.SOME}) AS filled, max(loose) FILTER (k = 1) AS first FROM f GROUP BY m),
+v AS (SELECT r.*, g.cells, g.tight, coalesce(why, CASE WHEN filled < ceil(floors * {samples.FILLED}) OR first = 0 THEN '{samples.REASONS[2]}' WHEN g.cells * cell * cell / floors < {samples.AREA} THEN '{samples.REASONS[3]}' END) AS reason FROM r LEFT JOIN g ON g.m = r.m)
+SELECT m, reason, CASE WHEN reason IS NULL THEN CAST(floors AS INTEGER) END AS floors, CASE WHEN reason IS NULL THEN CAST(cells AS BIGINT) END AS cells, CASE WHEN reason IS NULL THEN CAST(tight AS BIGINT) END AS tight, CASE WHEN reason IS NULL THEN CAST(ceil(w / cell) AS INTEGER) END AS nx, CASE WHEN reason IS NULL THEN CAST(ceil(d / cell) AS INTEGER) END AS nz,
+  CASE WHEN reason IS NULL THEN 50.0::DOUBLE END AS x, CASE WHEN reason IS NULL THEN round(abs(sin(yaw)), 4) END AS turn FROM v
+"""
+
+SQL = {sampled_grids: GRIDS_SQL, track_verdicts: VERDICT_SQL, stitched_clusters: STITCH_SQL, nearest_any: ANY_SQL, mutual_any: MUTUAL_SQL}
