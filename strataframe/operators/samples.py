@@ -50,7 +50,7 @@ def sampled_models(triangles: DataFrame) -> tuple[DataFrame, DataFrame]:
     small = (F.least("size.x", "size.z") < WIDTH) | (C("size.y") < 2 * p.slab + p.clear)
     why = F.when(C("n") < TRIANGLES, REASONS[0]).when(small, REASONS[1])
     models = models.withColumn("why", why).withColumn("f", building.floor_plan(C("size.y"), F.lit(None).cast("double"))).withColumn("cell", F.greatest(F.lit(CELL), F.greatest("size.x", "size.z") / AXIS))
-    models = models.select("m", motion.to_world(C("mid"), C("c"), C("yaw")).alias("at"), "mid", "c", "yaw", "size", "f.floors", "f.ground", "f.upper", "cell", F.ceil(C("size.x") / C("cell")).cast("int").alias("nx"), F.ceil(C("size.z") / C("cell")).cast("int").alias("nz"), "why")
+    models = models.select("m", motion.to_world(C("mid"), C("c"), C("yaw")).alias("at"), "mid", "c", "yaw", "size", "f.floors", "f.ground", "f.upper", "cell", F.ceil(C("size.x") / C("cell") - 1e-9).cast("int").alias("nx"), F.ceil(C("size.z") / C("cell") - 1e-9).cast("int").alias("nz"), "why")
     high = F.when(C("why").isNull() & (C("floors") >= MOST_FLOORS), F.raise_error(F.lit(f"a model has {MOST_FLOORS} floors or more"))).otherwise(C("why"))
     models = stored(models.withColumn("why", high), "models")
     good = models.filter("why IS NULL")
