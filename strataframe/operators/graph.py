@@ -104,3 +104,27 @@ def connected_subsets(edges: DataFrame, most: int, src: str = "src", dst: str =
         level = checkpointed(grown.select(F.array_sort(F.array_append("members", F.col("v"))).alias("members")).distinct())
         found = found.unionByName(level)
     return found
+
+
+def bounded_subsets(edges: DataFrame, most: int, states: int, src: str = "src", dst: str = "dst") -> tuple[DataFrame, DataFrame]:
+    """(subsets, refused): connected_subsets with their component (its least node), of the components that have at most `states` of them; and the component of each other, with n, how
+    many it had when it went beyond. A component is taken whole or not at all, so the result depends on no order; one that is refused grows no further, which bounds every round."""
+    pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
+    both = checkpointed(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    part = checkpointed(connected_components(pairs, "u", "v").withColumnRenamed("node", "u"))
+    level = checkpointed(both.filter("u < v").join(part, "u").select("component", F.array("u", "v").alias("members")))
+    found, refused = level, []
+    for size in range(2, most + 1):
+        counts = found.groupBy("component").agg(F.count("*").alias("n"))
+        over = checkpointed(counts.filter(F.col("n") > states))
+        refused.append(over)
+        found, level = found.join(over, "component", "left_anti"), level.join(over, "component", "left_anti")
+        if size == most:
+            break
+        grown = level.withColumn("u", F.explode("members")).join(both, "u").filter(~F.array_contains("members", F.col("v")))
+        level = checkpointed(grown.select("component", F.array_sort(F.array_append("members", F.col("v"))).alias("members")).distinct())
+        found = checkpointed(found.unionByName(level))
+    gone = refused[0]
+    for more in refused[1:]:
+        gone = gone.unionByName(more)
+    return found, gone

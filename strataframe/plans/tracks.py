@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataframe.config import CLUSTER_MASSING, FRACTIONS, TRACK_FRACTIONS, Clusters, Massing, Tracks, configured
 from strataframe.functions import motion
-from strataframe.operators import nearest, samples, tracks
+from strataframe.operators import graph, nearest, samples, tracks
 from strataframe.plans.drawn import draw, drawn
 
 C = F.col
@@ -165,4 +165,22 @@ SELECT m, reason, CASE WHEN reason IS NULL THEN CAST(floors AS INTEGER) END AS f
   CASE WHEN reason IS NULL THEN 50.0::DOUBLE END AS x, CASE WHEN reason IS NULL THEN round(abs(sin(yaw)), 4) END AS turn FROM v
 """
 
-SQL = {sampled_grids: GRIDS_SQL, track_verdicts: VERDICT_SQL, stitched_clusters: STITCH_SQL, nearest_any: ANY_SQL, mutual_any: MUTUAL_SQL}
+def bounded_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By component of neighbouring parts how many connected sets of two to four they have, and which have too many."""
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
+    a, b = p.alias("a"), p.alias("b")
+    key = (C("a.p_size") == C("b.p_size")) & (C("a.p_partkey") < C("b.p_partkey")) & (C("b.p_partkey") - C("a.p_partkey") < 60)
+    found, refused = graph.bounded_subsets(a.join(b, key).select(C("a.p_partkey").alias("src"), C("b.p_partkey").alias("dst")), 4, 12)
+    kept = found.groupBy("component").agg(F.count("*").alias("sets"), F.max(F.size("members")).alias("most"))
+    return kept.unionByName(refused.select("component", F.lit(None).cast("long").alias("sets"), F.lit(None).cast("int").alias("most")))
+
+
+BOUNDED_SQL = """
+WITH RECURSIVE e AS (SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_size = b.p_size AND a.p_partkey < b.p_partkey AND b.p_partkey - a.p_partkey < 60), u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+s(m) AS (SELECT DISTINCT [a, b] FROM e UNION SELECT list_sort(list_append(m, u.b)) FROM s JOIN u ON list_contains(m, u.a) AND NOT list_contains(m, u.b) WHERE len(m) < 4),
+c(node, component) USING KEY (node) AS (SELECT a, a FROM u GROUP BY a UNION SELECT u.b, min(c.component) FROM c JOIN u ON u.a = c.node JOIN recurring.c AS r ON r.node = u.b WHERE c.component < r.component GROUP BY u.b),
+n AS (SELECT c.component, count(*) AS sets, max(len(m)) AS most FROM s JOIN c ON c.node = m[1] GROUP BY c.component)
+SELECT component, CASE WHEN sets <= 12 THEN sets END AS sets, CASE WHEN sets <= 12 THEN CAST(most AS INTEGER) END AS most FROM n
+"""
+
+SQL = {bounded_subsets: BOUNDED_SQL, sampled_grids: GRIDS_SQL, track_verdicts: VERDICT_SQL, stitched_clusters: STITCH_SQL, nearest_any: ANY_SQL, mutual_any: MUTUAL_SQL}
