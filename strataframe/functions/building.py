@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strataframe.config import Generator
+
 #: One metre in studs, and the multipliers and the modulus of a position's seed.
 METER = 1 / 0.28
 SEED_FACTORS = (73856093, 19349663, 83492791)
@@ -18,13 +20,16 @@ SEED_MODULUS = 1 << 31
 BUILDING, GENERATED, SMOOTH, FLOOR = "^Building", "^BuildingAuto_", "^BuildingSmooth_", "^Floor([0-9]+)$"
 
 
+_MADE = Generator()
+
+
 @dataclass(frozen=True)
 class FloorParams:
     """clear, least_clear: height of a floor between its slabs, by default and at least. slab: thickness of a slab."""
 
-    clear: float = 3.5 * METER
-    least_clear: float = 2.0 * METER
-    slab: float = 1.5 * METER
+    clear: float = _MADE.floor_clear
+    least_clear: float = _MADE.min_floor_clear
+    slab: float = _MADE.slab
 
 
 def floor_plan(height: Column, requested: Column, p: FloorParams = FloorParams()) -> Column:
@@ -114,7 +119,7 @@ def cluster_confidence(confidence: Column, n: Column) -> Column:
     return F.greatest(F.lit(0.0), F.coalesce(confidence, F.lit(0.0)) - F.greatest(F.lit(0), n - 2) * 0.005)
 
 
-def core_size(width: Column, small: Column, ring: Column, ratio: float = 0.40, small_ratio: float = 0.35, least: float = 4 * METER) -> Column:
+def core_size(width: Column, small: Column, ring: Column, ratio: float = _MADE.core_ratio, small_ratio: float = _MADE.small_core_ratio, least: float = _MADE.min_core) -> Column:
     """One side of a core in a rectangle of that width: a share of it, but no farther from the edge than ring, at least
     `least` where that is no more than half; within 2 and the width less 2."""
     share = width * F.when(small, F.lit(small_ratio)).otherwise(F.lit(ratio))
@@ -122,7 +127,7 @@ def core_size(width: Column, small: Column, ring: Column, ratio: float = 0.40, s
     return F.greatest(F.lit(2.0), F.least(want, F.greatest(F.lit(2.0), width - 2)))
 
 
-def core_pieces(x: Column, z: Column, width: Column, depth: Column, wall: float = 1.0) -> Column:
+def core_pieces(x: Column, z: Column, width: Column, depth: Column, wall: float = _MADE.core_wall) -> Column:
     """array of struct(name, x, z, sx, sz): four walls and two dividers of a core with its middle at x, z."""
     piece = lambda name, dx, dz, sx, sz: F.struct(F.lit(name).alias("name"), (x + dx).alias("x"), (z + dz).alias("z"), sx.cast("double").alias("sx"), sz.cast("double").alias("sz"))
     none, thick = F.lit(0.0), F.lit(wall)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataframe.config import Cleanup
+from strataframe.config import CLEANUP_BOUNDS, Cleanup
 from strataframe.operators.tables import covered_length
 
 
@@ -130,3 +130,13 @@ def fragments(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     holds = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
     poor = holds["area"] & (holds["envelope"] | holds["slabs"]) & (holds["elevated"] | holds["short"] | holds["no_core"])
     return df.withColumns({"reasons": F.array_compact(F.array(*(F.when(c, F.lit(name)) for name, c in holds.items()))), "fragment": poor})
+
+
+def fragment_report(measured: DataFrame, bounds: dict[str, tuple] = CLEANUP_BOUNDS) -> DataFrame:
+    """name, bucket, upto, n, fragments: for each figure of bounds how many rows of measured (its columns, and fragment) fall in each of its buckets, and how many of these are fragments. upto is a bucket's
+    bound, null of the last; rows without a figure are in no bucket of it. One pass over the rows."""
+    at = lambda name: F.coalesce(*(F.when(F.col(name) <= b, F.lit(k)) for k, b in enumerate(bounds[name])), F.lit(len(bounds[name])))
+    upto = lambda name: F.get(F.array(*(F.lit(float(b)) for b in bounds[name])), at(name))
+    figures = F.array(*(F.when(F.col(name).isNotNull(), F.struct(F.lit(name).alias("name"), at(name).alias("bucket"), upto(name).alias("upto"))) for name in bounds))
+    rows = measured.select("fragment", F.explode(F.array_compact(figures)).alias("f")).select("fragment", "f.*")
+    return rows.groupBy("name", "bucket", "upto").agg(F.count("*").alias("n"), F.count_if("fragment").alias("fragments"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strataframe.config import GridMassing, Incomplete
 from strataframe.operators.kernels import by_group, labelled
 from strataframe.storage import stored
 
@@ -115,12 +116,12 @@ class CleanParams:
     """dominant: least share of the largest body where there are several. island_cells, island_area: bounds of what is
     removed. hole_cells, hole_area, hole_share: bounds of what is filled, each and together, against the whole."""
 
-    dominant: float = 0.95
-    island_cells: int = 4
-    island_area: float = 200.0
-    hole_cells: int = 1
-    hole_area: float = 36.0
-    hole_share: float = 0.01
+    dominant: float = GridMassing.min_dominant_area
+    island_cells: int = GridMassing.max_island_cells
+    island_area: float = GridMassing.max_island_area
+    hole_cells: int = GridMassing.max_hole_cells
+    hole_area: float = GridMassing.max_hole_area
+    hole_share: float = GridMassing.max_hole_fraction
 
 
 def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: float | None = None, size_z: float | None = None, params: CleanParams = CleanParams(), sizes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +163,7 @@ def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: f
     return stats, clean
 
 
-def audited(occupied: DataFrame, models: DataFrame, side: int, share: float = 0.25, least_body: float = 150.0, tall: float = 60.0) -> DataFrame:
+def audited(occupied: DataFrame, models: DataFrame, side: int, share: float = Incomplete.max_envelope_fraction, least_body: float = Incomplete.max_largest_body_area, tall: float = Incomplete.min_source_height_for_tiny_body) -> DataFrame:
     """models (m, cell, size_x, size_y, size_z, floors) with what their floors hold and why they look incomplete.
 
     Adds occupied, largest_body and complete (the largest values over the floors: area in all, of one body, and of floors of

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.config import Clusters
 from strataframe.functions.geometry import rolling_checksum
 from strataframe.operators.graph import connected_components
 from strataframe.operators.spatial import overlapping_boxes
@@ -101,10 +102,10 @@ def mutual_any(points: DataFrame, reach: float) -> DataFrame:
 class ClusterParams:
     """Least shared part of the lower height; largest distance of bases, of tops (one is enough), and on the ground."""
 
-    overlap: float = 0.55
-    base: float = 12.0
-    top: float = 30.0
-    gap: float = 6.0
+    overlap: float = Clusters.min_vertical_overlap
+    base: float = Clusters.max_base_delta
+    top: float = Clusters.max_top_delta
+    gap: float = Clusters.max_horizontal_gap
 
 
 def cluster_pairs(boxes: DataFrame, params: ClusterParams = ClusterParams(), cell: float = 32.0) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.config import Tracks
 from strataframe.functions import rings
 from strataframe.operators.rings import spread
 
@@ -34,7 +35,7 @@ def shared(v: str) -> Column:
     return F.greatest(F.lit(0.0), F.least(C(f"l_{v}1"), C(f"r_{v}1")) - F.greatest(C(f"l_{v}0"), C(f"r_{v}0")))
 
 
-def bindings(models: DataFrame, tracks: DataFrame, cells: DataFrame, cell: float, least: float = 0.05, complete: float = 0.72) -> tuple[DataFrame, DataFrame]:
+def bindings(models: DataFrame, tracks: DataFrame, cells: DataFrame, cell: float, least: float = Tracks.min_binding_overlap, complete: float = Tracks.min_volume_coverage) -> tuple[DataFrame, DataFrame]:
     """(bound, tracks): models that touch a track and of whose cells it covers at least `least`; and the tracks with complete, whether each
     model bound to them is covered to at least `complete`. cells: model, x, y, z of the middles of occupied cells. A model without cells has coverage 0."""
     pairs = touching(models, tracks, cell).select(C("l_id").alias("model"), C("r_id").alias("track"), *(C(f"r_{s}").alias(s) for s in SIDES))

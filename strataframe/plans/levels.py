@@ -179,7 +179,23 @@ SELECT p_partkey, concat_ws(',', CASE WHEN a THEN 'area' END, CASE WHEN e THEN '
   a AND (e OR s) AND (v OR h OR c) AS fragment FROM r
 """
 
+def fragment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the sections, and of the fragments among them, fall in each bucket of each figure."""
+    rows = spark.sql(SECTIONS.format(t="{p}"), p=_t(spark, sf_dir, "part"))
+    judged = floors.fragments(rows, floors.fragment_rules()).withColumnRenamed("clearance", "ground_clearance").withColumn("floors", F.floor(F.col("height") / 4))
+    return floors.fragment_report(judged)
+
+
+_BUCKETS = ", ".join(f"('{name}', {k}, {bounds[k - 1] if k else '-1e308'}::DOUBLE, {b if b is not None else 1e308}::DOUBLE, {b if b is not None else 'NULL'}::DOUBLE)" for name, bounds in floors.CLEANUP_BOUNDS.items() for k, b in enumerate([*bounds, None]))
+_FIGURES = " UNION ALL ".join(f"SELECT '{name}' AS name, CAST({column} AS DOUBLE) AS v, p_partkey FROM s" for name, column in (("floor_area", "floor_area"), ("envelope_volume", "envelope_volume"), ("slab_volume", "slab_volume"), ("height", "height"), ("ground_clearance", "clearance"), ("floors", "floor(height / 4)")))
+REPORT_SQL = f"""
+WITH s AS ({SECTIONS.format(t="part")}), f AS (SELECT p_partkey, fragment FROM ({FRAGMENT_SQL})),
+v AS ({_FIGURES}), b(name, bucket, low, high, upto) AS (VALUES {_BUCKETS})
+SELECT b.name, CAST(b.bucket AS INTEGER) AS bucket, b.upto, count(*) AS n, count(*) FILTER (f.fragment) AS fragments FROM v JOIN b ON b.name = v.name AND v.v > b.low AND v.v <= b.high JOIN f ON f.p_partkey = v.p_partkey GROUP BY 1, 2, 3
+"""
+
 SQL = {
+    fragment_report: REPORT_SQL,
     nearest_supplier: NEAREST_SQL, mutual_customers: MUTUAL_SQL, cluster_candidates: CLUSTER_SQL, same_line_sets: SETS_SQL, loose_keys: LOOSE_SQL, roof_bands: BANDS_SQL, tier_starts: TIER_SQL,
     flag_oscillation: OSCILLATION_SQL, event_drift: DRIFT_SQL, supported_lines: SUPPORTED_SQL, wall_orientations: ORIENTATION_SQL, facade_rectangles: FACADE_SQL, part_fragments: FRAGMENT_SQL,
 }
