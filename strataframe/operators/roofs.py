@@ -59,7 +59,8 @@ def roof_edges(faces: DataFrame, weld: float) -> DataFrame:
     """m, low, a, b, total (area of the faces, each once), reason: the edges of a band's faces that border one face only. A band has at most CORNERS corners."""
 
     def outline_of(group: pa.Table) -> list[dict]:
-        rows = sorted(group.select(["t", "points", "area"]).to_pylist(), key=lambda r: r["t"])
+        place = lambda r: tuple(r["t"].values()) if isinstance(r["t"], dict) else r["t"]
+        rows = sorted(group.select(["t", "points", "area"]).to_pylist(), key=place)
         s = Section(weld)
         corners = [tuple(s.vertex((p["x"], p["z"])) for p in r["points"]) for r in rows]
         whole = {}  # a face that repeats counts once

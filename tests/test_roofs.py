@@ -64,3 +64,16 @@ def test_reasons_of_bands(spark, found):
 
 def test_no_models(spark):
     assert roofs.analysed(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_roofs_of_stitched_parts(spark):
+    """Two halves of a box without one wall, each with its half of the roof: the cluster's roof stands in for its contours."""
+    from strataframe.operators import tracks
+
+    left, right = [(0, 0), (40, 0), (40, 30), (0, 30)], [(40, 0), (80, 0), (80, 30), (40, 30)]
+    rows = walls(1, left, {0, 1}) + faces(1, [strip(0, 0, 40, 30)], 100) + walls(2, right, {3}) + faces(2, [strip(40, 0, 80, 30)], 100)
+    triangles = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("m", "id")
+    parts = spark.createDataFrame([(1, 1, "a", 0.0, 40.0, 0.0, 60.0, 0.0, 30.0), (2, 2, "b", 40.0, 80.0, 0.0, 60.0, 0.0, 30.0), (3, 3, "c", 900.0, 940.0, 0.0, 60.0, 0.0, 30.0)], "id long, source long, key string, x0 double, x1 double, y0 double, y1 double, z0 double, z1 double")
+    got = {r["cluster"]: r for r in tracks.stitched(triangles, parts).collect()}
+    assert (got[1]["method"], got[1]["n"], got[1]["reason"]) == ("roof", 2, None) and got[1]["area"] == pytest.approx(2400) and got[1]["key"].startswith("Global2_")
+    assert got[3]["reason"] == tracks.CLUSTER[0]
