@@ -201,9 +201,10 @@ def difference(source: DataFrame, taken: DataFrame) -> DataFrame:
     return source.select(*CELL).join(taken.select(*CELL), CELL, "left_anti")
 
 
-def lines(occupied: DataFrame) -> DataFrame:
-    """The cells of each slab line: those of its floor and of the floor below."""
-    return occupied.select(*CELL).unionByName(occupied.select("m", (F.col("k") + 1).alias("k"), "i", "j")).distinct()
+def lines(occupied: DataFrame, tight: DataFrame | None = None) -> DataFrame:
+    """The cells of each slab line: those of its floor and of the floor below, of which tight, where it is given, has those that reach the ceiling."""
+    below = (occupied if tight is None else tight).select("m", (F.col("k") + 1).alias("k"), "i", "j")
+    return occupied.select(*CELL).unionByName(below).distinct()
 
 
 def boundary(occupied: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def sampled_solids(models: DataFrame, solids: DataFrame, low: float = 0.15, high
     """m, k, i, j, tight of the cells of each floor whose middle a solid of the model holds near the floor; tight where one does near the ceiling too.
 
     models: m, sx, sy, sz (the box), floors, ground, upper. solids: m, lo, hi in the model's frame (its middle at 0). Cells are a
-    share of the box, at least 2.5. Each cell meets the solids of its own model only.
+    share of the box, at least 2.5. Each cell meets the solids of its own model only. Where solids tell (upright), a model of one upright block is all cells, tight ones.
     """
     grid = _floor_cells(models, F.greatest(F.lit(2.5), F.greatest("sx", "sz") / 18)).withColumn("k", F.explode(F.sequence(F.lit(1), C("floors"))))
     base = building.line_bottom(C("sy"), C("ground"), C("upper"), C("k")) + building.FloorParams().slab
@@ -33,7 +33,11 @@ def sampled_solids(models: DataFrame, solids: DataFrame, low: float = 0.15, high
     flat = C("x").between(C("lo.x"), C("hi.x")) & C("z").between(C("lo.z"), C("hi.z"))
     held = lambda y: F.bool_or(C(y).between(C("lo.y"), C("hi.y")))
     found = rows.filter(flat).groupBy("m", "k", "i", "j").agg(held("y0").alias("loose"), held("y1").alias("high"))
-    return found.filter("loose").select("m", "k", "i", "j", C("high").alias("tight"))
+    cells = found.filter("loose").select("m", "k", "i", "j", C("high").alias("tight"))
+    if "upright" not in solids.columns:
+        return cells
+    lone = solids.groupBy("m").agg(F.count("*").alias("n"), F.bool_and(F.coalesce("upright", F.lit(False))).alias("block")).filter("n = 1 AND block").select("m")
+    return cells.join(lone, "m", "left_anti").unionByName(grid.select("m", "k", "i", "j").join(lone, "m").withColumn("tight", F.lit(True)).select("m", "k", "i", "j", "tight"))
 
 
 def sampled_sections(models: DataFrame, slices: DataFrame) -> DataFrame:

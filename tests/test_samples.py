@@ -49,3 +49,24 @@ def test_grids_of_models(spark):
 def test_no_models(spark):
     models, floors = samples.sampled_models(spark.createDataFrame([], SCHEMA).select("m", "points"))
     assert models.count() == floors.count() == 0
+
+
+def test_one_upright_block_is_all_cells(spark):
+    from strataframe.operators import places
+
+    models = spark.createDataFrame([(m, 10.0, 40.0, 10.0, 2, 15.0, 12.5) for m in (1, 2, 3, 4)], "m int, sx double, sy double, sz double, floors int, ground double, upper double")
+    p = "struct<x:double,y:double,z:double>"
+    small = ((-1.0, -20.0, -1.0), (1.0, 20.0, 1.0))
+    solids = spark.createDataFrame([(1, *small, True), (2, *small, False), (3, *small, True), (3, *small, True), (4, *small, None)], f"m int, lo {p}, hi {p}, upright boolean")
+    got = {r["m"]: (r["n"], r["t"]) for r in places.sampled_solids(models, solids).groupBy("m").agg({"tight": "count"}).withColumnRenamed("count(tight)", "n").selectExpr("m", "n", "n AS t").collect()}
+    assert got[1] == (32, 32) and 2 not in got and 3 not in got and 4 not in got  # no cell's middle lies in the small block
+    assert places.sampled_solids(models, solids.drop("upright")).count() == 0
+
+
+def test_lines_of_two_layers(spark):
+    from strataframe.operators import masks
+
+    cells = lambda *rows: spark.createDataFrame(list(rows), "m long, k int, i int, j int")
+    loose, tight = cells((1, 1, 1, 1), (1, 1, 1, 2), (1, 2, 3, 3)), cells((1, 1, 1, 2))
+    assert sorted(tuple(r) for r in masks.lines(loose, tight).collect()) == [(1, 1, 1, 1), (1, 1, 1, 2), (1, 2, 1, 2), (1, 2, 3, 3)]
+    assert masks.lines(loose).count() == 6
