@@ -41,33 +41,52 @@ def checked(k: np.ndarray, i: np.ndarray, j: np.ndarray, side: int) -> None:
         raise ValueError(f"a cell lies outside a grid of {side} by {side} and floors 0 to {MOST_FLOORS - 1}, or the grid exceeds {MOST_CELLS} cells")
 
 
-def components(occupied: DataFrame, side: int, vertical: bool = False) -> DataFrame:
-    """The cells with component: the least cell number reachable through shared sides, with vertical also up and down.
+def _beside(number: np.ndarray, there: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to): where the cells with some, of sorted cell numbers, have a cell at the number there."""
+    at = np.minimum(np.searchsorted(number, there), len(number) - 1)
+    hit = np.flatnonzero(some & (number[at] == there))
+    return hit, at[hit]
+
+
+def _flat(number: np.ndarray, side: int) -> np.ndarray:
+    """For each of sorted cell numbers the place of the least that it reaches through shared sides on its floor."""
+    sides = [_beside(number, number + step, some) for step, some in ((side, number // side % side < side - 1), (1, number % side < side - 1))]
+    return labelled(len(number), *(np.concatenate(ends) for ends in zip(*sides)))
+
 
-    One shuffle: a model's cells are labelled together.
+def bodies(occupied: DataFrame, side: int, kind: str) -> DataFrame:
+    """The cells with component, the least cell number reachable through shared sides on their floor, and body: with kind "vertical" the least one
+    reachable also up and down; with "chain" the least component of the unbranched run of floors that the component is in; "flat" gives no body.
+
+    A run goes on from a floor to the next where the one has one component above it and that has one below. One shuffle: a model's cells are labelled together.
     """
 
     def label(model: pa.Table) -> pa.Table:
         k, i, j = (model.column(c).to_numpy().astype(np.int64) for c in "kij")
         checked(k, i, j, side)
         number = k * side * side + (i - 1) * side + j - 1
-        order = np.argsort(number)
-        known = number[order]
-        src, dst = [], []
-        for step, some in ((side, i < side), (1, j < side), *([(side * side, np.ones(len(k), bool))] if vertical else [])):
-            there = number + step
-            at = np.minimum(np.searchsorted(known, there), len(known) - 1)
-            hit = np.flatnonzero(some & (known[at] == there))
-            src.append(hit)
-            dst.append(order[at[hit]])
-        # ranks by number, so that the least label is the least number
-        rank = np.empty(len(k), np.int64)
-        rank[order] = np.arange(len(k))
-        found = known[labelled(len(k), rank[np.concatenate(src)], rank[np.concatenate(dst)])[rank]]
+        known, place = np.unique(number, return_inverse=True)
+        flat = _flat(known, side)
         base = model.column("m").to_numpy().astype(np.int64) * PER_MODEL
-        return model.append_column("component", pa.array(base + found))
+        out = model.append_column("component", pa.array(base + known[flat][place]))
+        if kind == "flat":
+            return out
+        low, high = (flat[ends] for ends in _beside(known, known + side * side, np.ones(len(known), bool)))
+        if kind == "chain":
+            low, high = np.unique(np.stack([low, high]), axis=1)
+            only = (np.bincount(low, minlength=len(known))[low] == 1) & (np.bincount(high, minlength=len(known))[high] == 1)
+            low, high = low[only], high[only]
+        return out.append_column("body", pa.array(base + known[labelled(len(known), low, high)[flat]][place]))
+
+    fields = [(c, "long") for c in (("component",) if kind == "flat" else ("component", "body"))]
+    return by_group(occupied.select(*CELL), ["m"], label, [*occupied.select(*CELL).schema.fields, *fields])
 
-    return by_group(occupied.select(*CELL), ["m"], label, [*occupied.select(*CELL).schema.fields, ("component", "long")])
+
+def components(occupied: DataFrame, side: int, vertical: bool = False) -> DataFrame:
+    """The cells with component: the least cell number reachable through shared sides, with vertical also up and down."""
+    if not vertical:
+        return bodies(occupied, side, "flat")
+    return bodies(occupied, side, "vertical").select(*CELL, F.col("body").alias("component"))
 
 
 def cell_area(cell: Column, i: Column, j: Column, size_x: Column, size_z: Column) -> Column:
@@ -76,28 +95,9 @@ def cell_area(cell: Column, i: Column, j: Column, size_x: Column, size_z: Column
     return side(i, size_x) * side(j, size_z)
 
 
-def chains(occupied: DataFrame, side: int, found: DataFrame | None = None) -> DataFrame:
-    """m, component, k, cells, chain: the floor components, with the least component of the unbranched run of floors they
-    are in. A run goes on from a floor to the next where the one has one component above it and that has one below. found: the components, where known."""
-    found = components(occupied, side) if found is None else found
-    nodes = found.groupBy("m", "component", "k").agg(F.count("*").alias("cells"))
-    below = found.select("m", F.col("component").alias("low"), (F.col("k") + 1).alias("k"), "i", "j")
-    links = below.join(found, CELL).select("m", "low", F.col("component").alias("high")).distinct()
-    ups, downs = links.groupBy("m", "low").agg(F.count("*").alias("up")), links.groupBy("m", "high").agg(F.count("*").alias("down"))
-    only = links.join(ups.filter("up = 1"), ["m", "low"]).join(downs.filter("down = 1"), ["m", "high"]).select("m", "low", F.col("high").alias("component"))
-
-    def run(model: pa.Table) -> pa.Table:
-        own, low = model.column("component").to_numpy(), model.column("low").to_pandas().to_numpy(np.float64)
-        order = np.argsort(own)
-        src = np.flatnonzero(~np.isnan(low))
-        dst = order[np.searchsorted(own[order], model.column("low").take(pa.array(src)).to_numpy())]
-        rank = np.empty(len(own), np.int64)
-        rank[order] = np.arange(len(own))
-        chain = own[order][labelled(len(own), rank[src], rank[dst])[rank]]
-        return model.drop_columns(["low"]).append_column("chain", pa.array(chain))
-
-    rows = nodes.join(only, ["m", "component"], "left").select("m", "component", "k", "cells", "low")
-    return by_group(rows, ["m"], run, [*nodes.schema.fields, ("chain", "long")])
+def chains(occupied: DataFrame, side: int) -> DataFrame:
+    """m, component, k, cells, chain: the floor components, with the least component of the unbranched run of floors they are in (see bodies)."""
+    return bodies(occupied, side, "chain").groupBy("m", "component", "k", F.col("body").alias("chain")).agg(F.count("*").alias("cells")).select("m", "component", "k", "cells", "chain")
 
 
 def holes(occupied: DataFrame, side: int) -> DataFrame:

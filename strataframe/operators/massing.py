@@ -17,7 +17,7 @@ from strataframe.config import RESIDUAL_GRID, Final, GridMassing, Residual, Spli
 from strataframe.functions import polygons, rings
 from strataframe.functions.building import FloorParams, floor_bottom
 from strataframe.operators import masks
-from strataframe.operators.masks import CELL, chains, components
+from strataframe.operators.masks import CELL
 from strataframe.operators.places import cropped
 from strataframe.operators.tables import first_like, lower_median, runs
 from strataframe.storage import stored
@@ -190,8 +190,7 @@ def part_plans(parts: DataFrame, models: DataFrame, side: int, params: GridMassi
 def split_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing = GridMassing(), split: Split = Split()) -> DataFrame:
     """part_plans of the vertical bodies of each model, and source_reason: null where all substantial bodies have a plan; a body is tiny, and left out of
     that, with at most max_tiny_cells cells a floor and max_tiny_fraction of the model's cells. All outputs of a model, or none."""
-    flat = components(cells, side)
-    both = stored(flat.join(components(cells, side, vertical=True).withColumnRenamed("component", "body"), CELL), "bodies")
+    both = stored(masks.bodies(cells, side, "vertical"), "bodies")
     plans = part_plans(both, models, side, params, elevated=False)
     own = W.partitionBy("m")
     tiny = (F.col("most") <= split.max_tiny_cells) & (F.col("cells") <= F.sum("cells").over(own) * split.max_tiny_fraction)
@@ -204,8 +203,7 @@ def split_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMass
 def residual_plans(cells: DataFrame, models: DataFrame, side: int, params: GridMassing | None = None, residual: Residual = Residual()) -> tuple[DataFrame, DataFrame]:
     """(accepted, rest): the unbranched runs of floors of each model that make a plan and hold at least min_extract_fraction of its cells, and the cells that
     no accepted run holds: together each cell once."""
-    found = stored(components(cells, side), "components")
-    bodies = stored(found.join(chains(cells, side, found).select("component", F.col("chain").alias("body")).distinct(), "component"), "bodies")
+    bodies = stored(masks.bodies(cells, side, "chain"), "bodies")
     plans = part_plans(bodies, models, side, params or configured(GridMassing, RESIDUAL_GRID), elevated=True)
     total = F.sum("cells").over(W.partitionBy("m"))
     good = F.col("reason").isNull() & (F.col("most") > residual.max_tiny_cells) & (F.col("cells") >= total * residual.min_extract_fraction)
@@ -224,8 +222,7 @@ def final_plans(cells: DataFrame, models: DataFrame, side: int, params: Final =
     cells over the whole height; the box. Cells are m, k, i, j. n numbers a model's plans by their first floor and least cell."""
     p, slab = params, FloorParams().slab
     models = models.select("m", "cell", "size_x", "size_y", "size_z", "ground", "upper", "floors")
-    found = stored(components(cells, side), "components")
-    own = stored(found.join(chains(cells, side, found).select("component", C("chain").alias("body")).distinct(), "component"), "bodies")
+    own = stored(masks.bodies(cells, side, "chain"), "bodies")
     shape = own.groupBy("m", "body").agg(F.count("*").alias("cells"), F.min("k").alias("first"), F.max("k").alias("last"), *(f(v).alias(f"{v}{e}") for v in "ij" for e, f in ((0, F.min), (1, F.max)))).join(models, "m")
     at = lambda v, size: F.greatest(-C(size) / 2, F.least(v * C("cell") - C(size) / 2, C(size) / 2))
     sides = {f"w{v}": at(C(f"{v}1"), size) - at(C(f"{v}0") - 1, size) for v, size in (("i", "size_x"), ("j", "size_z"))}

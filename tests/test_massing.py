@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from strataframe.config import RESIDUAL_GRID, GridMassing, configured
-from strataframe.operators import massing
+from strataframe.operators import masks, massing
 
 SIDE, CELL, SIZE = 20, 3.0, (60.0, 110.0, 60.0)
 
@@ -111,3 +111,12 @@ def test_splits_and_residuals(spark):
     taken = {(r["m"], r["first"]): r["cells"] for r in accepted.orderBy("m").collect()}
     assert taken[2, 1] == 3 * 18 * 18 and taken[2, 4] == 4 * 8 * 18
     assert sum(r["cells"] for r in accepted.collect()) + rest.count() == cells.count() and rest.count() == 1
+
+
+def test_cells_are_labelled_without_joins(spark):
+    """A table of cells is small on disk and large in memory, so that Spark broadcasts it where cells are joined with cells."""
+    cells = spark.createDataFrame([(m, k, i, j) for m in (1, 2) for k in (1, 2, 4) for i in range(1, 6) for j in range(1, 6) if (i, j) != (3, 3) or k == 1], "m long, k int, i int, j int")
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins(masks.chains(cells, SIDE)) == 0
+    got = masks.bodies(cells, SIDE, "chain").groupBy("m", "body").count().collect()
+    assert sorted(r["count"] for r in got) == [24, 24, 49, 49] and {r["m"] for r in got} == {1, 2}
