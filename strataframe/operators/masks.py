@@ -101,14 +101,26 @@ def chains(occupied: DataFrame, side: int) -> DataFrame:
 
 
 def holes(occupied: DataFrame, side: int) -> DataFrame:
-    """m, k, i, j, component, outside of the empty cells of every floor that has a cell: outside where their component reaches the border."""
-    floors = occupied.select("m", "k").distinct()
-    every = floors.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(side)))).withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(side))))
+    """m, k, i, j, component, outside of the empty cells of every floor that has a cell: outside where their component reaches the border. One shuffle."""
     kinds = occupied.select(*CELL).schema
-    empty = every.select(*(F.col(f.name).cast(f.dataType) for f in kinds)).join(occupied.select(*CELL), CELL, "left_anti")
-    found = components(empty, side)
-    edge = F.bool_or(F.col("i").isin(1, side) | F.col("j").isin(1, side)).alias("outside")
-    return found.join(found.groupBy("m", "k", "component").agg(edge), ["m", "k", "component"]).select(*CELL, "component", "outside")
+
+    def label(model: pa.Table) -> pa.Table:
+        k, i, j = (model.column(c).to_numpy().astype(np.int64) for c in "kij")
+        checked(k, i, j, side)
+        floors, row = np.unique(k, return_inverse=True)
+        empty = np.ones((len(floors), side * side), bool)
+        empty[row, (i - 1) * side + j - 1] = False
+        row, at = np.nonzero(empty)
+        number = floors[row] * side * side + at
+        found = _flat(number, side)
+        i, j = at // side, at % side
+        outside = np.zeros(len(number), bool)
+        outside[found[(i == 0) | (i == side - 1) | (j == 0) | (j == side - 1)]] = True
+        m = model.column("m")[0].as_py()
+        columns = [pa.array(np.full(len(at), m)), pa.array(floors[row]), pa.array(i + 1), pa.array(j + 1), pa.array(m * PER_MODEL + number[found]), pa.array(outside[found])]
+        return pa.table(columns, names=[*CELL, "component", "outside"])
+
+    return by_group(occupied.select(*CELL), ["m"], label, [*kinds.fields, ("component", "long"), ("outside", "boolean")])
 
 
 @dataclass(frozen=True)

@@ -120,3 +120,10 @@ def test_cells_are_labelled_without_joins(spark):
     assert joins(masks.chains(cells, SIDE)) == 0
     got = masks.bodies(cells, SIDE, "chain").groupBy("m", "body").count().collect()
     assert sorted(r["count"] for r in got) == [24, 24, 49, 49] and {r["m"] for r in got} == {1, 2}
+
+
+def test_holes_are_found_without_joins(spark):
+    cells = spark.createDataFrame([(1, k, i, j) for k in (1, 2) for i in range(2, 6) for j in range(2, 6) if (i, j) != (3, 3) or k == 1], "m long, k int, i int, j int")
+    found = masks.holes(cells, SIDE)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 0
+    assert [tuple(r) for r in found.filter("NOT outside").select("m", "k", "i", "j").collect()] == [(1, 2, 3, 3)] and found.count() == 2 * 400 - 31
