@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.config import Clusters
 from strataframe.functions.geometry import rolling_checksum
 from strataframe.operators.graph import connected_components
 from strataframe.operators.spatial import overlapping_boxes
-from strataframe.storage import fresh_path, removed, restored, stored
+from strataframe.storage import stored
 
 
 def _around(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
@@ -51,37 +52,55 @@ def mutual_nearest(points: DataFrame, reach: float) -> DataFrame:
     return pairs.unionByName(inside.select("a", "b", F.lit(0).cast(pairs.schema["d2"].dataType).alias("d2")))
 
 
-def _widening(places: DataFrame, targets: DataFrame, reach: float, other: bool) -> DataFrame:
-    """id, near, d2 of each of places (id, x, z) that has a target (id, x, z; with other, one of another id): the nearest, ties to the least id. What finds none within
-    reach looks twice as far in the next round, and no farther than all lie from each other; a round's rows are few, as what is near is settled."""
-    spark = places.sparkSession
-    spans = places.select("x", "z").unionByName(targets.select("x", "z")).agg(*(f(v).alias(f"{v}{k}") for v in "xz" for k, f in enumerate((F.min, F.max)))).first()
-    path = fresh_path(spark, "nearest")
-    left, old = restored(places.select("id", "x", "z"), None, "far")
-    schema = None
-    while True:
-        found = _around(left, targets.select("id", "x", "z"), reach)
-        found = found.filter("id <> t_id") if other else found
-        found = found.groupBy("id").agg(F.min(F.struct("d2", F.col("t_id").alias("near"))).alias("best")).select("id", "best.near", "best.d2")
-        found, made = restored(found, None, "found")
-        found.write.mode("append").parquet(path)
-        schema = found.schema
-        if spans["x0"] is None or reach > 2 * (spans["x1"] - spans["x0"] + spans["z1"] - spans["z0"]):
-            break
-        left, old = restored(left.join(found, "id", "left_anti"), old, "far")
-        removed(spark, made)
-        if left.isEmpty():
+#: Cells of a level on a side against those of the one above, as a power of 2; the levels; a cell with so few targets is not divided; a level with so
+#: few cells goes to all tasks.
+BITS, LEVELS, FEW, SMALL = 2, 12, 32, 50_000
+
+
+def _nearest(places: DataFrame, targets: DataFrame, other: bool) -> DataFrame:
+    """id, near, d2 of each of places (id, x, z): the nearest of targets (id, x, z at places of their own; with other, one of another id), ties to the least id.
+
+    The square about the targets is divided level by level, a cell being the box about its targets. On each level a place keeps the cells that may hold
+    its nearest: those no farther than the farthest point of the cell that is best in that. So a place meets few cells on a level and few targets in the end, however
+    many there are and however far it lies; the levels grow with the logarithm of the targets.
+    """
+    c = F.col
+    finite = lambda df: df.select("id", "x", "z").filter(~(F.isnan("x") | F.isnan("z")) & (F.abs("x") < float("inf")) & (F.abs("z") < float("inf")))
+    own, last = finite(targets), BITS * LEVELS
+    least = own.agg(*(f(v).alias(f"{v}{k}") for v in "xz" for k, f in enumerate((F.min, F.max)))).first()
+    size = max((least[f"{v}1"] - least[f"{v}0"] for v in "xz"), default=0) if least["x0"] is not None else 0
+    at = lambda v: F.least(F.floor((c(v) - F.lit(least[f"{v}0"])) / F.lit(float(size or 1)) * (1 << last)), F.lit((1 << last) - 1)).cast("long").alias(f"g{v}")
+    own = stored(own.select("*", at("x"), at("z")), "targets")
+    found = finite(places).withColumns({"px": F.lit(0).cast("long"), "pz": F.lit(0).cast("long")})
+    apart = lambda f, v: f(c(v) - c(f"{v}1"), c(f"{v}0") - c(v))
+    square = lambda f: f("x") * f("x") + f("z") * f("z")
+    low = square(lambda v: F.greatest(F.lit(0.0), apart(F.greatest, v)))
+    high = square(lambda v: F.greatest(F.abs(c(v) - c(f"{v}0")), F.abs(c(v) - c(f"{v}1"))))
+    # a cell of one target bounds nothing for the place that is that target
+    sure = ~((c("n") == 1) & (c("x") == c("x0")) & (c("z") == c("z0"))) if other else F.lit(True)
+    for level in range(1, LEVELS + 1):
+        shift = last - BITS * level
+        cells = own.groupBy(*(F.shiftright(f"g{v}", shift).alias(f"c{v}") for v in "xz")).agg(F.count("*").alias("n"), *(f(v).alias(f"{v}{k}") for v in "xz" for k, f in enumerate((F.min, F.max))))
+        cells = stored(cells.withColumns({f"p{v}": F.shiftright(f"c{v}", BITS) for v in "xz"}), "cells")
+        count, most = cells.agg(F.count("*"), F.max("n")).first()
+        met = found.join(F.broadcast(cells) if count <= SMALL else cells, ["px", "pz"]).withColumns({"low": low, "high": F.when(sure, high)})
+        near = met.withColumn("best", F.min("high").over(W.partitionBy("id"))).filter(c("best").isNull() | (c("low") <= c("best")))
+        found = stored(near.select("id", "x", "z", c("cx").alias("px"), c("cz").alias("pz")), "near")
+        if (most or 0) <= FEW:
             break
-        reach *= 2
-    return spark.read.schema(schema).parquet(path)
+    leaves = own.select(c("id").alias("near"), c("x").alias("tx"), c("z").alias("tz"), *(F.shiftright(f"g{v}", shift).alias(f"p{v}") for v in "xz"))
+    met = found.join(leaves, ["px", "pz"])
+    met = met.filter("id <> near") if other else met
+    d2 = (c("x") - c("tx")) * (c("x") - c("tx")) + (c("z") - c("tz")) * (c("z") - c("tz"))
+    return met.groupBy("id").agg(F.min(F.struct(d2.alias("d2"), "near")).alias("best")).select("id", "best.near", "best.d2")
 
 
 def nearest_any(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
-    """id, target, d2 of each point (id, x, z): the nearest target (id, x, z), however far; ties go to the least id. reach: how far is looked at first, about the usual distance. Rows
+    """id, target, d2 of each point (id, x, z): the nearest target (id, x, z), however far; ties go to the least id. reach is not needed any more. Rows
     at one place are searched for once; null coordinates have no place, and without targets there are no rows."""
     places = stored(points.select("x", "z").distinct().filter("x IS NOT NULL AND z IS NOT NULL").withColumn("id", F.monotonically_increasing_id()), "places")
     there = stored(targets.filter("x IS NOT NULL AND z IS NOT NULL").groupBy("x", "z").agg(F.min("id").alias("id")), "targets")
-    found = _widening(places, there, reach, other=False)
+    found = stored(_nearest(places, there, other=False), "found")
     return points.select("id", "x", "z").join(places.withColumnRenamed("id", "place"), ["x", "z"]).join(found.withColumnRenamed("id", "place"), "place").select("id", F.col("near").alias("target"), "d2")
 
 
@@ -92,7 +111,7 @@ def mutual_any(points: DataFrame, reach: float) -> DataFrame:
     crowded = places.filter("n > 1").select("x", "z", F.col("id").alias("a"))
     inside = placed.join(crowded, ["x", "z"]).filter("id > a").groupBy("x", "z", "a").agg(F.min("id").alias("b"))
     places = stored(places, "places")
-    best = _widening(places.filter("n = 1"), places, reach, other=True)
+    best = stored(_nearest(places.filter("n = 1"), places, other=True), "best")
     back = best.select(F.col("id").alias("near"), F.col("near").alias("id"))
     pairs = best.join(back, ["id", "near"]).filter("id < near").select(F.col("id").alias("a"), F.col("near").alias("b"), "d2")
     return pairs.unionByName(inside.select("a", "b", F.lit(0).cast(pairs.schema["d2"].dataType).alias("d2")))

@@ -2,12 +2,14 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from strataframe.config import Tracks
 from strataframe.functions import polygons as P
 from strataframe.operators import massing, meshes, nearest, places, slices, smooth, tracks
+from strataframe.storage import stored
 
 RING = P.RING
 
@@ -130,3 +132,18 @@ def test_nearest_of_nothing(spark):
     assert nearest.nearest_any(points, none, 1.0).count() == nearest.nearest_any(none, points, 1.0).count() == nearest.mutual_any(none, 1.0).count() == 0
     assert sorted(tuple(r) for r in nearest.nearest_any(points, points.filter("id = 1"), 1.0).collect()) == [(1, 1, 0.0), (3, 1, 2e12), (3, 1, 2e12)]
     assert [tuple(r) for r in nearest.mutual_any(points.dropDuplicates(), 1.0).collect()] == [(1, 3, 2e12)]
+
+
+def test_far_places_meet_few_cells(spark, monkeypatch):
+    """Thousands of places far from thousands of targets, some of them together: each keeps a few cells on a level, and the nearest is right."""
+    rng = np.random.default_rng(4)
+    own = np.round(rng.uniform(0, 500, (3000, 2)), 1)
+    own[:600] = np.round(own[:600] / 100, 1)
+    there = np.vstack([np.round(rng.uniform(-20000, 20000, (2000, 2)), 1), own[:500] + 0.3])
+    frame = lambda v: spark.createDataFrame([(k, float(x), float(z)) for k, (x, z) in enumerate(v)], "id long, x double, z double")
+    kept = []
+    monkeypatch.setattr(nearest, "stored", lambda df, name="stage": (found := stored(df, name), kept.append(found.count()) if name == "near" else None)[0])
+    got = {r["id"]: (r["target"], r["d2"]) for r in nearest.nearest_any(frame(there), frame(own), 1.0).collect()}
+    d2 = (there[:, :1] - own[:, 0]) ** 2 + (there[:, 1:] - own[:, 1]) ** 2
+    assert got == {k: (int(row.argmin()), float(row.min())) for k, row in enumerate(d2)}
+    assert kept and max(kept) < 8 * len(there)
