@@ -9,6 +9,7 @@ from strataframe.config import CLUSTER_MASSING, FRACTIONS, TRACK_FRACTIONS, Clus
 from strataframe.functions import motion
 from strataframe.operators import graph, nearest, samples, tracks
 from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.works import neighbours
 
 C = F.col
 
@@ -167,10 +168,7 @@ SELECT m, reason, CASE WHEN reason IS NULL THEN CAST(floors AS INTEGER) END AS f
 
 def bounded_subsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By component of neighbouring parts how many connected sets of two to four they have, and which have too many."""
-    p = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
-    a, b = p.alias("a"), p.alias("b")
-    key = (C("a.p_size") == C("b.p_size")) & (C("a.p_partkey") < C("b.p_partkey")) & (C("b.p_partkey") - C("a.p_partkey") < 60)
-    found, refused = graph.bounded_subsets(a.join(b, key).select(C("a.p_partkey").alias("src"), C("b.p_partkey").alias("dst")), 4, 12)
+    found, refused = graph.bounded_subsets(neighbours(spark, sf_dir), 4, 12)
     kept = found.groupBy("component").agg(F.count("*").alias("sets"), F.max(F.size("members")).alias("most"))
     return kept.unionByName(refused.select("component", F.lit(None).cast("long").alias("sets"), F.lit(None).cast("int").alias("most")))
 

@@ -1,6 +1,7 @@
 """Plans of slices and tiers, tracks and cascades on small cases: nulls, empty tables, repeated rows and refusals."""
 
 import json
+import re
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from strataframe.config import Tracks
 from strataframe.functions import polygons as P
 from strataframe.operators import massing, meshes, nearest, places, slices, smooth, tracks
+from strataframe.plans import works
 from strataframe.storage import stored
 
 RING = P.RING
@@ -147,3 +149,12 @@ def test_far_places_meet_few_cells(spark, monkeypatch):
     d2 = (there[:, :1] - own[:, 0]) ** 2 + (there[:, 1:] - own[:, 1]) ** 2
     assert got == {k: (int(row.argmin()), float(row.min())) for k, row in enumerate(d2)}
     assert kept and max(kept) < 8 * len(there)
+
+
+def test_neighbours_meet_by_stretches(spark, tmp_path):
+    """Parts of one size are many, so the join needs a key that grows with the table."""
+    spark.createDataFrame([(k, k % 2) for k in range(0, 400, 3)], "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = works.neighbours(spark, str(tmp_path))
+    assert re.search(r"Join \[p_size#\d+, at#\d+L?\]", found._jdf.queryExecution().executedPlan().toString())
+    keys = list(range(0, 400, 3))
+    assert sorted(map(tuple, found.collect())) == [(a, b) for a in keys for b in keys if a < b < a + 60 and a % 2 == b % 2]
