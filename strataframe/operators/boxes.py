@@ -24,6 +24,8 @@ REASONS = ("small", "open or disconnected", "small footprint", "size", "non rect
 #: Rise and depth of a probe, how far the base may be above ground (and no more than the height) and below, how even the ground must be, least height on it; share of the smaller
 #: ground area that two may have in common.
 RISE, DEPTH, ABOVE, BELOW, EVEN, SHARED = 500.0, 1000.0, 125.0, 15.0, 4.0, 0.05
+#: Fixed value: so far beyond a bound a measured length, area or share still counts as the bound: what is measured on a turned box is rounded.
+ROUNDING = 1e-6
 GROUND = ("ground unverified", "floating or buried", "uneven ground", "overlap")
 
 
@@ -60,12 +62,12 @@ def classified(triangles: DataFrame) -> DataFrame:
     near = F.least(F.lit(DRIFT), F.least("width", "depth") * DRIFT_SHARE)
     off = F.greatest(*(F.abs(C(f"{v}{i}") - (mid[v] + sign * C(size) / 2)) for v, size in (("u", "width"), ("w", "depth")) for i, sign in ((0, -1), (1, 1))))
     ratio = C("area") / (C("width") * C("depth"))
-    judged = rows.select("m", "k", "ring", ratio.alias("ratio"), F.when(~ratio.between(*RATIO), REASONS[4]).when(off > near, REASONS[5]).alias("fault"))
+    judged = rows.select("m", "k", "ring", ratio.alias("ratio"), F.when(~ratio.between(RATIO[0] - ROUNDING, RATIO[1] + ROUNDING), REASONS[4]).when(off > near + ROUNDING, REASONS[5]).alias("fault"))
     sums = judged.groupBy("m").agg(F.min("ratio").alias("least"), F.min(F.when(C("fault").isNotNull(), F.struct("k", "fault")))["fault"].alias("fault"))
     closed = cut.groupBy("m").agg(F.count("ring").alias("closed"))
     rows = models.join(closed, "m", "left").join(frame, "m", "left").join(sums, "m", "left")
     low, high = F.least("width", "depth"), F.greatest("width", "depth")
-    reason = F.when(small, REASONS[0]).when(C("closed") < len(SLICES), REASONS[1]).when(C("width").isNull() | (C("width") * C("depth") < LEAST_AREA), REASONS[2]).when((low < SIDES[0]) | (high > SIDES[1]), REASONS[3]).otherwise(C("fault"))
+    reason = F.when(small, REASONS[0]).when(C("closed") < len(SLICES), REASONS[1]).when(C("width").isNull() | (C("width") * C("depth") < LEAST_AREA - ROUNDING), REASONS[2]).when((low < SIDES[0] - ROUNDING) | (high > SIDES[1] + ROUNDING), REASONS[3]).otherwise(C("fault"))
     rows = rows.withColumn("reason", reason)
     good = C("reason").isNull()
     values = {"x": C("x"), "z": C("z"), "yaw": -C("turn"), "width": C("width"), "depth": C("depth"), "confidence": F.least(F.lit(1.0), "least")}

@@ -63,3 +63,10 @@ def test_kinds_of_models(spark):
 def test_no_boxes(spark):
     none = boxes.grounded(boxes.classified(spark.createDataFrame([], SCHEMA).select("m", "points")), spark.createDataFrame([], "x0 double, x1 double, z0 double, z1 double, y1 double"))
     assert boxes.clear(none, none.select("ring")).count() == 0
+
+
+def test_sides_at_the_bound(spark):
+    """A box as narrow as may be is a building at whatever angle it stands."""
+    turned = lambda a: [(x * math.cos(a) - z * math.sin(a), x * math.sin(a) + z * math.cos(a)) for x, z in ((0, 0), (65, 0), (65, 20), (0, 20))]
+    frame = spark.createDataFrame([r for m in range(40) for r in tower(m, [([turned(0.02 * m + 0.007)], 0, 40)])], SCHEMA)
+    assert [r["m"] for r in boxes.classified(frame.select("m", "points")).filter("reason IS NOT NULL").collect()] == []
