@@ -142,7 +142,8 @@ def contour_plans(triangles: DataFrame, params: Massing = Massing()) -> DataFram
     steps = stored(steps.select("m", "run", C("last_y").alias("low"), "high", C("rep").alias("own"), "next", "off"), "steps")
     refined = stored(setbacks(whole, steps.drop("off"), p), "refined").join(steps.select("m", "run", F.abs(C("own.area") - C("next.area")).alias("change")), ["m", "run"])
     refined = refined.withColumns({"half": (C("low") + C("high")) / 2, "reach": F.greatest(F.lit(1.0), (C("high") - C("low")) / 2)})
-    ledges = refined.join(planes, "m").withColumn("off", F.abs(C("y") - C("half"))).filter((C("off") < C("reach")) & (C("area") > C("change") * LEDGE)).groupBy("m", "run").agg(F.min(F.struct("off", "y"))["y"].alias("ledge"))
+    # of two planes as near the upper one
+    ledges = refined.join(planes, "m").withColumn("off", F.abs(C("y") - C("half"))).filter((C("off") < C("reach")) & (C("area") > C("change") * LEDGE)).groupBy("m", "run").agg(F.min_by("y", F.struct("off", -C("y"))).alias("ledge"))
     tops = refined.join(ledges, ["m", "run"], "left").select("m", "run", F.coalesce("ledge", "half").alias("step_y"))
     tiers = used.join(tops, ["m", "run"], "left").join(roof.select("m", "y0", "y1", "roof"), "m").withColumn("top", F.coalesce("step_y", "roof")).withColumn("bottom", F.coalesce(F.lag("top").over(order), "y0"))
     tiers = stored(tiers.select("m", "run", "rep", "bottom", "top", "y0"), "tiers")

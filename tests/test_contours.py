@@ -102,3 +102,11 @@ def test_open_sections_may_be_boxes(spark):
     got = {(r["m"], r["y"]): r for r in found}
     assert got[1, 20.0]["fallback"] and got[1, 20.0]["foot"]["area"] == pytest.approx(20000)
     assert got[1, 70.0]["reason"] == got[2, 20.0]["reason"] == "no cross-section"
+
+
+def test_of_two_planes_as_near_the_upper_is_the_setback(spark):
+    """A tier with one sample lies between two that persist; the planes below and above it are as far from the middle of the search."""
+    ring = lambda s: [(-32.5 + s, -35.5 + s), (32.5 - s, -35.5 + s), (32.5 - s, 35.5 - s), (-32.5 + s, 35.5 - s)]
+    rows = tower(1, [([ring(0)], 5, 73), ([ring(3)], 73, 84), ([ring(7)], 84, 110)])
+    got = contours.contour_plans(spark.createDataFrame(rows, SCHEMA)).first()
+    assert [(t["bottom"], t["top"]) for t in got["tiers"]] == [(0, 79), (79, 105)]
