@@ -17,6 +17,8 @@ OPPOSED, TOWARDS = -0.98, 0.70
 BENT, OF_RUN, AT_LEAST, BACK = 0.25, 0.15, 3.0, 0.25
 #: Fixed value: a loop's least area.
 LEAST_AREA = 0.1
+#: Fixed value: so far beyond a bound a computed length still counts as the bound.
+ROUNDING = 1e-9
 
 
 @dataclass(frozen=True)
@@ -33,18 +35,19 @@ class OutlineParams:
 
 @dataclass
 class Section:
-    """vertices in order of their first use, and the neighbours of each."""
+    """vertices in order of their first use, the neighbours of each, and where the segment to a neighbour ends, if not at the vertex itself."""
 
     weld: float
     vertices: Ring = field(default_factory=list)
     near: list[set[int]] = field(default_factory=list)
+    own: dict[tuple[int, int], Point] = field(default_factory=dict)
     cells: dict[tuple[int, int], list[int]] = field(default_factory=lambda: defaultdict(list))
 
     def vertex(self, p: Point) -> int:
         """The first vertex within the weld of p, else a new one."""
-        i, j = (math.floor(v / self.weld) for v in p)
+        i, j = (math.floor(v / (self.weld + ROUNDING)) for v in p)
         around = [k for a in (i - 1, i, i + 1) for b in (j - 1, j, j + 1) for k in self.cells.get((a, b), ())]
-        known = min((k for k in around if math.dist(self.vertices[k], p) <= self.weld), default=None)
+        known = min((k for k in around if math.dist(self.vertices[k], p) <= self.weld + ROUNDING), default=None)
         if known is None:
             known = len(self.vertices)
             self.vertices.append(p)
@@ -57,6 +60,22 @@ class Section:
             self.near[a].add(b)
             self.near[b].add(a)
 
+    def add(self, p: Point, q: Point) -> None:
+        a, b = self.vertex(p), self.vertex(q)
+        self.join(a, b)
+        if a != b:
+            for k, n, end in ((a, b, p), (b, a, q)):
+                if math.dist(self.vertices[k], end) > ROUNDING:
+                    self.own.setdefault((k, n), end)
+
+    def points(self, ring: list[int]) -> Ring:
+        """The places of a ring of vertices: where two segments end apart within the weld, both places."""
+        out = []
+        for before, at, after in zip(ring[-1:] + ring[:-1], ring, ring[1:] + ring[:1]):
+            ends = [self.own.get((at, n), self.vertices[at]) for n in (before, after)]
+            out += ends if math.dist(*ends) > ROUNDING else ends[:1]
+        return out
+
     def ends(self) -> list[int]:
         return [k for k, n in enumerate(self.near) if len(n) == 1]
 
@@ -100,7 +119,7 @@ def close_seams(s: Section, seam: float) -> int:
         delta = at - at[k]
         gap = np.linalg.norm(delta, axis=1)
         way = delta / np.maximum(gap, 1e-12)[:, None]
-        good = (gap > 1e-6) & (gap <= seam) & (out @ out[k] < OPPOSED) & (way @ out[k] > TOWARDS) & (-(way * out).sum(axis=1) > TOWARDS)
+        good = (gap > 1e-6) & (gap <= seam + ROUNDING) & (out @ out[k] < OPPOSED) & (way @ out[k] > TOWARDS) & (-(way * out).sum(axis=1) > TOWARDS)
         good &= (np.abs(_cross(out[k], delta)) <= s.weld) & (np.abs(_cross(out, delta)) <= s.weld)
         good &= np.array([e not in s.near[end] for e in ends], bool)
         if good.any():
@@ -123,11 +142,11 @@ def close_corners(s: Section, gap: float, reach: float) -> int:
         far[[e == end or e in s.near[end] for e in ends]] = np.inf
         j = int(far.argmin())
         sine = float(_cross(out[k], out[j]))
-        if far[j] >= gap or abs(sine) < BENT:
+        if far[j] >= gap - ROUNDING or abs(sine) < BENT:
             continue
         longer = (float(_cross(at[j] - at[k], out[j])) / sine, float(_cross(at[j] - at[k], out[k])) / sine)
         most = [min(reach, max(min(AT_LEAST, reach), OF_RUN * s.run_length(e))) for e in (end, ends[j])]
-        if all(-BACK * s.weld <= x <= m for x, m in zip(longer, most)):
+        if all(-BACK * s.weld - ROUNDING <= x <= m + ROUNDING for x, m in zip(longer, most)):
             choice[end], corner[end] = ends[j], at[k] + longer[0] * out[k]
     made = 0
     for a, b in _mutual(choice):
@@ -168,8 +187,8 @@ def loops_of(s: Section, each: bool) -> tuple[list[Ring], int, bool]:
             while not ring or at != first:
                 ring.append(at)
                 before, at = at, min(k for k in s.near[at] if k != before)
-        points = [s.vertices[k] for k in ring]
-        if len(points) > 2 and abs(signed_area(points)) > LEAST_AREA:
+        points = s.points(ring)
+        if len(ring) > 2 and abs(signed_area(points)) > LEAST_AREA:
             loops.append(points)
         else:
             odd += 1
@@ -181,7 +200,7 @@ def section_loops(segments: list[tuple[Point, Point]], p: OutlineParams) -> dict
     """loops (rings, the largest first), reason where there are none, and figures: vertices, branches, open (loose ends before), seams, corners, invalid."""
     s = Section(p.weld)
     for a, b in segments:
-        s.join(s.vertex(a), s.vertex(b))
+        s.add(a, b)
     branches, open_ = sum(len(n) > 2 for n in s.near), len(s.ends())
     found = {"loops": [], "reason": None, "vertices": len(s.vertices), "branches": branches, "open": open_, "seams": 0, "corners": 0, "invalid": 0}
     if len(s.vertices) < 3:

@@ -95,3 +95,12 @@ def test_outlines_by_group(spark):
 def test_no_sections(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert sections.mended_loops(none, ["m"]).count() == sections.outlines(sections.mended_loops(none, ["m"]), ["m"]).count() == sections.loops(none, ["m"], 0.1).count() == 0
+
+
+def test_ends_as_near_as_the_weld():
+    """A corner cut by as much as the weld is closed and keeps both its ends, also where rounding lengthens the cut."""
+    for cut, area in (((0.0, 0.6), 2000), ((0.1, 0.3), 2000 - 0.015), ((0.36, 0.48), 2000 - 0.0864)):
+        x, z = cut
+        for low in (z, 40 + (z - 40) * 3 / 3 + 1e-15):
+            found = outline.section_loops(path((x, 0), (50, 0), (50, 40), (0, 40), (0, low)), outline.OutlineParams())
+            assert (found["open"], found["corners"], found["reason"]) == (0, 0, None) and abs(P.signed_area(found["loops"][0])) == pytest.approx(area, abs=1e-6)
