@@ -198,11 +198,12 @@ def audited(occupied: DataFrame, models: DataFrame, side: int, share: float = In
 def floor_jaccard(occupied: DataFrame) -> DataFrame:
     """m, a, b, jaccard of the floors a < b of a model that share a cell place.
 
-    The join makes at most one row per cell and other floor of its model.
+    The floors of a place are gathered and paired: at most one row per cell and higher floor of its model, and no join of cells.
     """
     size = occupied.groupBy("m", "k").agg(F.count("*").alias("n"))
-    a, b = (occupied.select("m", F.col("k").alias(x), "i", "j") for x in "ab")
-    common = a.join(b, ["m", "i", "j"]).filter("a < b").groupBy("m", "a", "b").agg(F.count("*").alias("c"))
+    places = occupied.groupBy("m", "i", "j").agg(F.collect_list("k").alias("ks"))
+    pairs = places.select("m", "ks", F.explode("ks").alias("a")).select("m", "a", F.explode(F.filter("ks", lambda b: b > F.col("a"))).alias("b"))
+    common = pairs.groupBy("m", "a", "b").agg(F.count("*").alias("c"))
     for x in "ab":
         common = common.join(size.select("m", F.col("k").alias(x), F.col("n").alias(f"n{x}")), ["m", x])
     return common.select("m", "a", "b", (F.col("c") / (F.col("na") + F.col("nb") - F.col("c"))).alias("jaccard"))

@@ -127,3 +127,11 @@ def test_holes_are_found_without_joins(spark):
     found = masks.holes(cells, SIDE)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 0
     assert [tuple(r) for r in found.filter("NOT outside").select("m", "k", "i", "j").collect()] == [(1, 2, 3, 3)] and found.count() == 2 * 400 - 31
+
+
+def test_floors_are_compared_without_a_join_of_cells(spark):
+    cells = spark.createDataFrame([(1, k, i, j) for k in (1, 2, 3) for i in range(1, 5) for j in range(1, 6 - k)], "m long, k int, i int, j int")
+    found = masks.floor_jaccard(cells)
+    # the two joins are those with the floors' sizes
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    assert sorted(map(tuple, found.collect())) == [(1, 1, 2, 0.75), (1, 1, 3, 0.5), (1, 2, 3, 2 / 3)]
