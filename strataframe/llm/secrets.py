@@ -48,15 +48,13 @@ ALPHABETS = {
 class SecretParams:
     """fdr: false-discovery rate of the added spans. random_p: least p-value under randomness. least_reference: strings
     of joined words (or numbers) that a length needs to be a reference. least_letters: characters of the shortest token of
-    letters alone that is tested. words_joined: words of a string. strings: strings per length that are enough, so that beyond
-    it they share the lengths out."""
+    letters alone that is tested. words_joined: words of a string."""
 
     fdr: float = 0.01
     random_p: float = 0.01
     least_reference: int = 30
     least_letters: int = 16
     words_joined: int = 32
-    strings: int = 500
 
 
 #: Lengths at which ordinary text is measured; between them figures are interpolated.
@@ -145,17 +143,19 @@ def compared(code: Column, b: Column) -> Column:
     return F.when(code == "letters", b["wordlike"]).otherwise(F.log1p(b["discrepancy"]))
 
 
-def ordinary(words: DataFrame, pairs: list[float], p: SecretParams) -> dict[str, list[tuple[int, float, float]]]:
-    """By encoding the (length, mean, standard deviation) of what is compared, for strings of all words, joined in the order of a hash."""
-    n = words.count()
-    bucket = F.pmod(F.xxhash64("w"), F.lit(max(1, n // (64 * p.words_joined))))
+def reference(words: DataFrame, p: SecretParams) -> DataFrame:
+    """n, code, s: strings of all words, joined in the order of a hash; each is there for every length that is asked and in every encoding."""
+    bucket = F.pmod(F.xxhash64("w"), F.lit(max(1, words.count() // (64 * p.words_joined))))
     rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("w", F.lit(1)), "w"))
     dealt = words.select("w", bucket.alias("bucket")).select("w", "bucket", rank.alias("rank")).withColumn("part", F.floor((F.col("rank") - 1) / p.words_joined))
     joined = dealt.groupBy("bucket", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "w"))), lambda x: x["w"]), "").alias("s"))
-    share = max(1, min(len(LENGTHS) // 2, n // p.words_joined // p.strings))
-    asked = F.filter(F.array(*map(F.lit, LENGTHS)), lambda v, i: F.pmod(F.xxhash64("s"), F.lit(share)) == i % share)
     forms = {"base64": F.col("s"), "letters": F.lower("s"), "base32": F.upper("s"), "hex": F.regexp_replace(F.lower("s"), "[^a-f]", "")}
-    cut = joined.select(F.explode(asked).alias("n"), F.array(*(F.struct(F.lit(k).alias("code"), v.alias("s")) for k, v in forms.items())).alias("forms")).select("n", F.inline("forms"))
+    return joined.select(F.explode(F.array(*map(F.lit, LENGTHS))).alias("n"), F.array(*(F.struct(F.lit(k).alias("code"), v.alias("s")) for k, v in forms.items())).alias("forms")).select("n", F.inline("forms"))
+
+
+def ordinary(words: DataFrame, pairs: list[float], p: SecretParams) -> dict[str, list[tuple[int, float, float]]]:
+    """By encoding the (length, mean, standard deviation) of what is compared, over the reference strings of all words."""
+    cut = reference(words, p)
     cut = cut.filter(F.length("s") >= F.col("n")).select("n", "code", battery(F.substring("s", F.lit(1), F.col("n")), pairs, F.col("code")).alias("b"))
     value = compared(F.col("code"), F.col("b"))
     # at most four encodings of as many rows as there are lengths

@@ -686,3 +686,12 @@ def test_words_of_slabs(monkeypatch):
     for half in whole:
         assert len(set(half.tolist())) == len(set(words)) == len(set(zip(words, half.tolist())))
     assert [len(x) for x in ngramjoin.word_hashes(b" \n")[1]] == [0] and len(ngramjoin.word_hashes(b"")[0]) == 0
+
+
+def test_all_words_are_measured_at_all_lengths(spark):
+    """However many words there are, no string is left out at any length."""
+    words = spark.range(40_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("w"))
+    found = secrets.reference(words, secrets.SecretParams()).groupBy("n", "code").agg(F.count("*").alias("k"), F.sum(F.when(F.col("code") == "base64", F.length("s"))).alias("size")).collect()
+    size = words.agg(F.sum(F.length("w"))).first()[0]
+    assert {r["n"] for r in found} == set(secrets.LENGTHS) and len({r["k"] for r in found}) == 1
+    assert {r["size"] for r in found if r["code"] == "base64"} == {size}
