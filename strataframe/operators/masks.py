@@ -54,11 +54,12 @@ def _flat(number: np.ndarray, side: int) -> np.ndarray:
     return labelled(len(number), *(np.concatenate(ends) for ends in zip(*sides)))
 
 
-def bodies(occupied: DataFrame, side: int, kind: str) -> DataFrame:
+def bodies(occupied: DataFrame, side: int, kind: str, own: bool = False) -> DataFrame:
     """The cells with component, the least cell number reachable through shared sides on their floor, and body: with kind "vertical" the least one
     reachable also up and down; with "chain" the least component of the unbranched run of floors that the component is in; "flat" gives no body.
 
     A run goes on from a floor to the next where the one has one component above it and that has one below. One shuffle: a model's cells are labelled together.
+    With own, numbers are those within the model: where m is itself the number of a body, those over all models exceed 64 bits.
     """
 
     def label(model: pa.Table) -> pa.Table:
@@ -67,7 +68,7 @@ def bodies(occupied: DataFrame, side: int, kind: str) -> DataFrame:
         number = k * side * side + (i - 1) * side + j - 1
         known, place = np.unique(number, return_inverse=True)
         flat = _flat(known, side)
-        base = model.column("m").to_numpy().astype(np.int64) * PER_MODEL
+        base = model.column("m").to_numpy().astype(np.int64) * (0 if own else PER_MODEL)
         out = model.append_column("component", pa.array(base + known[flat][place]))
         if kind == "flat":
             return out
@@ -82,11 +83,11 @@ def bodies(occupied: DataFrame, side: int, kind: str) -> DataFrame:
     return by_group(occupied.select(*CELL), ["m"], label, [*occupied.select(*CELL).schema.fields, *fields])
 
 
-def components(occupied: DataFrame, side: int, vertical: bool = False) -> DataFrame:
-    """The cells with component: the least cell number reachable through shared sides, with vertical also up and down."""
+def components(occupied: DataFrame, side: int, vertical: bool = False, own: bool = False) -> DataFrame:
+    """The cells with component: the least cell number reachable through shared sides, with vertical also up and down; with own, numbers within the model."""
     if not vertical:
-        return bodies(occupied, side, "flat")
-    return bodies(occupied, side, "vertical").select(*CELL, F.col("body").alias("component"))
+        return bodies(occupied, side, "flat", own)
+    return bodies(occupied, side, "vertical", own).select(*CELL, F.col("body").alias("component"))
 
 
 def cell_area(cell: Column, i: Column, j: Column, size_x: Column, size_z: Column) -> Column:
@@ -100,8 +101,9 @@ def chains(occupied: DataFrame, side: int) -> DataFrame:
     return bodies(occupied, side, "chain").groupBy("m", "component", "k", F.col("body").alias("chain")).agg(F.count("*").alias("cells")).select("m", "component", "k", "cells", "chain")
 
 
-def holes(occupied: DataFrame, side: int) -> DataFrame:
-    """m, k, i, j, component, outside of the empty cells of every floor that has a cell: outside where their component reaches the border. One shuffle."""
+def holes(occupied: DataFrame, side: int, own: bool = False) -> DataFrame:
+    """m, k, i, j, component, outside of the empty cells of every floor that has a cell: outside where their component reaches the border; with own, component
+    is a number within the model. One shuffle."""
     kinds = occupied.select(*CELL).schema
 
     def label(model: pa.Table) -> pa.Table:
@@ -117,7 +119,7 @@ def holes(occupied: DataFrame, side: int) -> DataFrame:
         outside = np.zeros(len(number), bool)
         outside[found[(i == 0) | (i == side - 1) | (j == 0) | (j == side - 1)]] = True
         m = model.column("m")[0].as_py()
-        columns = [pa.array(np.full(len(at), m)), pa.array(floors[row]), pa.array(i + 1), pa.array(j + 1), pa.array(m * PER_MODEL + number[found]), pa.array(outside[found])]
+        columns = [pa.array(np.full(len(at), m)), pa.array(floors[row]), pa.array(i + 1), pa.array(j + 1), pa.array(number[found] + m * (0 if own else PER_MODEL)), pa.array(outside[found])]
         return pa.table(columns, names=[*CELL, "component", "outside"])
 
     return by_group(occupied.select(*CELL), ["m"], label, [*kinds.fields, ("component", "long"), ("outside", "boolean")])
@@ -151,8 +153,8 @@ def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: f
         area = cell_area(F.col("cell"), F.col("i"), F.col("j"), F.col("size_x"), F.col("size_z"))
         return df.join(sizes.select("m", "cell", "size_x", "size_z"), "m").withColumn("a", area).drop("cell", "size_x", "size_z")
 
-    # written, as both results rest on them and a grid's labels are dear
-    solid = stored(measured(components(occupied, side)), "solid")
+    # written, as both results rest on them and a grid's labels are dear; components count within their model, which may be a body with a large number
+    solid = stored(measured(components(occupied, side, own=True)), "solid")
     bodies = solid.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"), F.min("a").alias("least"))
     floor = W.partitionBy("m", "k")
     bodies = bodies.withColumns({"rank": F.row_number().over(floor.orderBy(F.desc("area"), "component"))})
@@ -162,7 +164,7 @@ def cleaned(occupied: DataFrame, side: int, cell: float | None = None, size_x: f
         F.max(isle & ((F.col("n") > p.island_cells) | (F.col("area") > p.island_area))).alias("big"), F.min("least").alias("least"),
     )
     kept = solid.join(bodies.filter(~isle).select("m", "k", "component"), ["m", "k", "component"], "left_semi").select(*CELL)
-    inner = stored(measured(holes(kept, side).filter("NOT outside")), "inner")
+    inner = stored(measured(holes(kept, side, own=True).filter("NOT outside")), "inner")
     each = inner.groupBy("m", "k", "component").agg(F.count("*").alias("n"), F.sum("a").alias("area"))
     gaps = each.groupBy("m", "k").agg(F.count("*").alias("holes"), F.sum("area").alias("hole_area"), F.max((F.col("n") > p.hole_cells) | (F.col("area") > p.hole_area)).alias("yard"))
     stats = stats.join(gaps, ["m", "k"], "left").withColumns({"holes": F.coalesce("holes", F.lit(0).cast("long")), "hole_area": F.coalesce("hole_area", F.lit(0.0))})

@@ -135,3 +135,11 @@ def test_floors_are_compared_without_a_join_of_cells(spark):
     # the two joins are those with the floors' sizes
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
     assert sorted(map(tuple, found.collect())) == [(1, 1, 2, 0.75), (1, 1, 3, 0.5), (1, 2, 3, 2 / 3)]
+
+
+def test_bodies_with_large_numbers(spark):
+    """A body's number is its model's times PER_MODEL, so that of a cell in the grid of a body would exceed 64 bits."""
+    cells = spark.createDataFrame([(m, k, i, j) for m in (7, 200_000) for k in range(1, 5) for i in range(1, 21) for j in range(1, 19) if i != 10 and (i, j) != (5, 5)], "m long, k int, i int, j int")
+    models = spark.createDataFrame([(m, CELL, SIZE[0], 80.0, SIZE[2], 15.0, 12.5, 4) for m in (7, 200_000)], FIELDS)
+    rows = massing.split_plans(cells, models, SIDE).select("m", "cells", "area", "reason", "source_reason").orderBy("m", "cells").collect()
+    assert [tuple(r)[1:] for r in rows[:2]] == [tuple(r)[1:] for r in rows[2:]] == [(644, 27 * 54.0, None, None), (720, 30 * 54.0, None, None)] and rows[-1]["m"] == 200_000
