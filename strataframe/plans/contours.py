@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataframe.config import FRACTIONS, Massing
 from strataframe.functions import motion, rings
 from strataframe.operators import boxes, contours, roofs, sections
-from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.drawn import draw, drawn, table
 
 C = F.col
 BASE = 5.0
@@ -17,7 +17,7 @@ BASE = 5.0
 def _towers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """m, t, points: for each supplier one to three boxes on each other, set back by drawn lengths, turned; walls and level tops."""
     m = C("m")
-    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
     own = own.select("m", (draw(m, "n", n=3) + 1).alias("n"), (draw(m, "w", n=40) + 60.0).alias("w"), (draw(m, "d", n=40) + 60.0).alias("d"), (draw(m, "yaw", n=700) / 1000.0).alias("yaw"), *((draw(m, v, n=k) + a * 1.0).alias(v) for v, k, a in (("h1", 60, 20), ("h2", 50, 10), ("h3", 30, 2), ("s2", 12, 0), ("s3", 12, 0))))
     box = lambda k, s, low, high: F.struct(F.lit(k).alias("k"), s.alias("s"), low.alias("low"), high.alias("high"))
     y1, y2, zero = BASE + C("h1"), BASE + C("h1") + C("h2"), F.lit(0.0)
@@ -95,7 +95,7 @@ TOP = 60.0
 def _roofed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """m, t, points: for each supplier the walls of a box of which some are missing, and a roof of strips that meet in T-junctions, with a drawn opening."""
     m = C("m")
-    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
     own = own.select("m", (draw(m, "w", n=60) + 40.0).alias("w"), (draw(m, "d", n=60) + 40.0).alias("d"), draw(m, "miss", n=6).alias("miss"), (draw(m, "hw", n=16) - 5.0).alias("hw"), (draw(m, "hd", n=14) + 2.0).alias("hd"))
     v = lambda x, y, z: motion.vector(x, y, z)
     zero, top, w, d = F.lit(0.0), F.lit(TOP), C("w"), C("d")
@@ -133,7 +133,7 @@ SELECT m, method, CASE WHEN method IS NULL THEN '{_G[3]}' END AS reason, CASE WH
 def _prisms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """m, x, z, points: for each supplier a box whose top is shifted and narrower by drawn lengths, turned; some lack a wall."""
     m = C("m")
-    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
     own = own.select("m", (draw(m, "w", n=60) + 16.0).alias("w"), (draw(m, "d", n=60) + 16.0).alias("d"), (draw(m, "h", n=80) + 30.0).alias("h"), (F.greatest(draw(m, "shift", n=12) - 6, F.lit(0)) / 1.0).alias("shift"), (F.greatest(draw(m, "taper", n=20) - 12, F.lit(0)) / 1.0).alias("taper"), (draw(m, "yaw", n=700) / 1000.0).alias("yaw"), (draw(m, "miss", n=8) == 0).alias("miss"),
         (draw(m, "x", n=500) * 1.0 + F.floor(m / 25) * 1000).alias("x"), (draw(m, "z", n=300) * 1.0).alias("z"), (draw(m, "base", n=60) - 20.0).alias("base"))
 
@@ -150,8 +150,8 @@ def _prisms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def box_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which of the suppliers' boxes are buildings: five like slices, level ground of drawn height below, and room beside the larger ones."""
     shapes = _prisms(spark, sf_dir)
-    grounds = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("g")).filter("g % 25 = 0").select((F.floor(C("g") / 25) * 1000 - 200.0).alias("x0"), (F.floor(C("g") / 25) * 1000 + 799.0).alias("x1"), F.lit(-200.0).alias("z0"), F.lit(480.0).alias("z1"), (draw(C("g"), "ground", n=30) - 15.0).alias("y1"))
-    kept = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("g")).filter("g % 25 = 3").select(rings.box_ring(F.floor(C("g") / 25) * 1000 + 100.0, F.lit(40.0), F.floor(C("g") / 25) * 1000 + 220.0, F.lit(120.0)).alias("ring"))
+    grounds = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("g")).filter("g % 25 = 0").select((F.floor(C("g") / 25) * 1000 - 200.0).alias("x0"), (F.floor(C("g") / 25) * 1000 + 799.0).alias("x1"), F.lit(-200.0).alias("z0"), F.lit(480.0).alias("z1"), (draw(C("g"), "ground", n=30) - 15.0).alias("y1"))
+    kept = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("g")).filter("g % 25 = 3").select(rings.box_ring(F.floor(C("g") / 25) * 1000 + 100.0, F.lit(40.0), F.floor(C("g") / 25) * 1000 + 220.0, F.lit(120.0)).alias("ring"))
     found = boxes.grounded(boxes.classified(shapes.select("m", "points")), grounds)
     done = boxes.clear(found, kept)
     side = lambda f: F.round(f("width", "depth"), 4)
@@ -179,7 +179,7 @@ SELECT m, reason, CASE WHEN why IS NULL THEN round(least(wm, dm), 4) END AS narr
 def boxes_clear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Level boxes of customers, walked by falling ground area: those that share no more than a twentieth of the smaller area with one taken before, nor with what is kept."""
     n = C("c_custkey")
-    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(n.alias("m"), (n * 37 % 397 + F.floor(n / 1500) * 4000.0).alias("x"), (n * 91 % 401 * 1.0).alias("z"), (n % 17 + 8.0).alias("width"), (n % 13 + 6.0).alias("depth"))
+    rows = table(spark, sf_dir, "customer").select(n.alias("m"), (n * 37 % 397 + F.floor(n / 1500) * 4000.0).alias("x"), (n * 91 % 401 * 1.0).alias("z"), (n % 17 + 8.0).alias("width"), (n % 13 + 6.0).alias("depth"))
     ring = rings.box_ring(C("x"), C("z"), C("x") + C("width"), C("z") + C("depth"))
     own = rows.filter("m % 50 > 0").withColumns({"ring": ring, "reason": F.lit(None).cast("string")})
     return boxes.clear(own, rows.filter("m % 50 = 0").withColumn("ring", ring), cell=32.0).select("m", "reason")

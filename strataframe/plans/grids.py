@@ -9,6 +9,7 @@ from strataframe.functions import building
 from strataframe.operators import masks, tables
 from strataframe.plans.occupancy import CELLS, FLOODED, SIDE, _cells
 from strataframe.sources import meshes
+from strataframe.plans.drawn import table
 
 C = F.col
 #: Of the grids in these queries: the cell, and the sizes of their boxes, so that the last row and column are cut.
@@ -98,7 +99,7 @@ SELECT m, k, bodies, islands, holes, round(CAST(area AS DOUBLE), 6) AS area, rou
 
 
 def occ_incomplete_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+    models = table(spark, sf_dir, "supplier").select(
         C("s_suppkey").alias("m"), F.lit(CELL).alias("cell"), F.lit(SIZE_X).alias("size_x"), (F.abs("s_acctbal") / 60).alias("size_y"), F.lit(SIZE_Z).alias("size_z"), F.lit(9).alias("floors"),
     )
     # half of the models are a narrow strip
@@ -143,7 +144,7 @@ SELECT a.m, a.k, edges, CAST(n AS DOUBLE) AS area, outer_ AS outer, 0 AS odd FRO
 def grid_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grids written as JSON, some of them broken, and read again: defaults, and why one is refused."""
     s = C("s_suppkey")
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.lit(30.0).alias("size_x"), F.lit(60.0).alias("size_y"), F.lit(30.0).alias("size_z"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.lit(30.0).alias("size_x"), F.lit(60.0).alias("size_y"), F.lit(30.0).alias("size_z"))
     grid = F.struct(
         F.when(s % 11 != 0, F.lit(3.0)).otherwise(-1.0).alias("cell"), F.lit(10).alias("nx"), F.when(s % 7 == 1, F.lit(2000)).otherwise(10).alias("nz"), F.when(s % 13 == 2, F.lit(200)).otherwise(2).alias("floors"),
         F.when(s % 5 == 3, F.lit(-9.0)).otherwise(-15.0).alias("minX"), F.lit(-15.0).alias("minZ"), F.when(s % 9 != 4, F.lit(13.0)).alias("ground"), F.when(s % 2 == 0, F.lit(10.0)).alias("clearUpper"),
@@ -165,7 +166,7 @@ SELECT s AS s_suppkey, reason, CASE WHEN reason IS NULL THEN CASE WHEN s % 2 = 0
 
 def key_match_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New keys against old ones: by key, by a suffix that is unique on both sides where the sizes agree, and refused duplicates."""
-    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(C("c_custkey").alias("id"), (C("c_custkey") % 10).alias("r"), (C("c_custkey") / 10).cast("long").alias("g"))
+    rows = table(spark, sf_dir, "customer").select(C("c_custkey").alias("id"), (C("c_custkey") % 10).alias("r"), (C("c_custkey") / 10).cast("long").alias("g"))
     key = lambda mesh, n: F.concat_ws("_", mesh.cast("string"), n.cast("string"), F.lit("-5"), n.cast("string"))
     n = C("id")
     # by the last digit: 0 to 5 keep their key, 6 to 8 get another mesh, 9 repeats a neighbour's key or suffix

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.operators import floors, nearest
+from strataframe.plans.drawn import table
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return table(spark, sf_dir, name)
 
 
 POINT = "CAST({k} * 37 % 9973 AS DOUBLE) AS x, CAST({k} * 91 % 9967 AS DOUBLE) AS z"

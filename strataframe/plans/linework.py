@@ -11,7 +11,7 @@ from strataframe.functions import outline, slabs
 from strataframe.functions.geometry import signed_area
 from strataframe.functions.outline import OutlineParams
 from strataframe.operators import linework, sections
-from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.drawn import draw, drawn, table
 
 C = F.col
 
@@ -24,7 +24,7 @@ def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """m, a, b: lines across each other for each supplier, at drawn places, that reach beyond the outer ones or not; in the first cell a box, loose or
     joined to a line by one segment; in the last cell a segment of which one end is loose, and some lines end in a gap."""
     m = C("m")
-    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
     own = own.select("m", (draw(m, "nx", n=3) + 2).alias("nx"), (draw(m, "nz", n=3) + 2).alias("nz"), (draw(m, "ex", n=3) * 5).alias("ex"), (draw(m, "ez", n=3) * 5).alias("ez"), draw(m, "box", n=3).alias("box"), draw(m, "gap", n=2).alias("gap"))
     x = lambda i: i * 20 + draw(m, "x", i, n=7)
     z = lambda j: j * 20 + draw(m, "z", j, n=7)
@@ -66,7 +66,7 @@ FROM o JOIN f ON f.m = o.m
 
 def _stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """m, ring of each supplier: 5 to 14 vertices around a middle, at drawn distances."""
-    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
     n = draw(C("m"), "n", n=10) + 5
     far = lambda k: draw(C("m"), "far", k, n=900) / 10.0 + 10
     turn = lambda k: (k + draw(C("m"), "turn", k, n=600) / 1000.0) * 2 * F.pi() / C("n")
@@ -99,7 +99,7 @@ def _gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """m, a, b: the outline of a box of each supplier in segments of PIECE; the upper side has a gap of a drawn length, the lower left corner is missing by
     drawn lengths, and some have a spur, a box inside or a box beside."""
     m = C("m")
-    own = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    own = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
     own = own.select("m", (draw(m, "w", n=60) + 30.0).alias("w"), (draw(m, "d", n=60) + 30.0).alias("d"), F.greatest(draw(m, "gap", n=9) - 4, F.lit(0)).cast("double").alias("gap"), *((F.greatest(draw(m, v, n=80) - 30, F.lit(0)) / 10.0).alias(v) for v in ("cx", "cz")), draw(m, "kind", n=8).alias("kind"))
     side = lambda x0, z0, x1, z1: F.struct(*(v.alias(n) for v, n in ((x0, "x0"), (z0, "z0"), (x1, "x1"), (z1, "z1"))))
     zero, w, d = F.lit(0.0), C("w"), C("d")

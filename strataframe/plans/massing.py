@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.operators import massing
-from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.drawn import draw, drawn, table
 
 C = F.col
 SIDE, CELL, SIZE, GROUND, UPPER = 20, 3.0, 60.0, 15.0, 12.5
@@ -18,7 +18,7 @@ SLAB = massing.FloorParams().slab
 
 
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    return table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
 
 
 def _each(name: str, low: Column | int, high: Column | int) -> Column:

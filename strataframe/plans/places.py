@@ -10,7 +10,7 @@ from strataframe.operators import masks, meshes, places
 from strataframe.plans.levels import BOXES
 from strataframe.plans.occupancy import CELLS, FLOODED, SIDE, _cells
 from strataframe.plans.scalars import TURNED, _turned, _view
-from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.drawn import draw, drawn, table
 from strataframe.plans.scenes import _segments, _SEGMENTS
 from strataframe.plans.works import FRAMES_SQL, _boxes
 
@@ -111,7 +111,7 @@ SELECT hit, arg_min(triangle, (t, triangle)) AS triangle, round(min(t), 6) + 0 A
 
 def loop_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes over eight samples of each supplier, of drawn places and sizes, near enough to compete for a track; some are missing."""
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("sample"))
+    rows = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"), F.explode(F.sequence(F.lit(1), F.lit(8))).alias("sample"))
     rows = rows.withColumn("loop", F.explode(F.array(*map(F.lit, (1, 2, 3, 4))))).filter(draw(C("m"), C("sample"), C("loop"), "miss", n=12) > 0)
     at = lambda name, n: draw(C("m"), C("sample"), C("loop"), name, n=n) / 10.0
     rows = rows.withColumns({"x0": C("loop") * 12 + at("x", 90), "z0": at("z", 90)}).withColumns({"x1": C("x0") + 20 + at("w", 30), "z1": C("z0") + 20 + at("d", 30)})
@@ -151,7 +151,7 @@ SELECT m, sample, loop, CAST(dense_rank() OVER (PARTITION BY m ORDER BY s, l) AS
 def part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each customer as a part: whether its stored box agrees, whether it is deleted when hit, and whether it is below a building."""
     n = C("c_custkey")
-    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    rows = table(spark, sf_dir, "customer").select(
         "c_custkey", F.array(F.when(n % 3 == 0, "NoCSG").otherwise("Wall")).alias("tags"), F.when(n % 5 == 0, "mesh").otherwise("block").alias("kind"),
         F.concat(F.when(n % 4 == 0, "Buildings/Building_7/Floor1/").when(n % 4 == 1, "Trees/").otherwise("x/MyBuilding/"), F.when(n % 7 == 0, "Building_part").otherwise("Slab")).alias("path"),
         motion.vector(-(n % 9) / 10 - 5, F.lit(-10.0), F.lit(-4.0)).alias("lo"), motion.vector(F.lit(5.2), F.lit(10.3), (n % 11) / 20 + 4).alias("hi"),
@@ -246,7 +246,7 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_partkey, l_suppkey, (sign({_ABC})
 
 def part_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with the template of their type, or the default one, and their colour or the ground's; shells of blocks only."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_type", "p_size")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     templates = parts.filter("p_size > 25").groupBy("p_type").agg(F.max("p_size").alias("size"))
     colour = F.coalesce(F.when(C("p_partkey") % 3 == 0, C("p_partkey") % 256), F.when(C("p_partkey") % 5 > 0, C("p_size")), F.lit(128))
     return parts.join(templates, "p_type", "left").select("p_partkey", F.coalesce("size", F.lit(10)).alias("size"), colour.cast("long").alias("colour"))

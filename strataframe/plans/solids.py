@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strataframe.functions import geometry
 from strataframe.operators import spatial
 from strataframe.streaming import hits
+from strataframe.plans.drawn import table
 
 BOXES = """SELECT c_custkey AS id,
   CAST(c_custkey % 97 AS DOUBLE) * 10 + floor(c_custkey / 1500) * 4000 AS x0, CAST(c_custkey % 97 AS DOUBLE) * 10 + 5 + c_nationkey + floor(c_custkey / 1500) * 4000 AS x1,
@@ -19,7 +20,7 @@ FROM {events}"""
 
 
 def _view(spark: SparkSession, sf_dir: str, text: str, name: str) -> DataFrame:
-    return spark.sql(text, **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet")})
+    return spark.sql(text, **{name: table(spark, sf_dir, name)})
 
 
 def box_overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ SELECT id, round((x1 - x0) * (z1 - z0), 6) AS area, id % 30 < x1 - x0 AND id % 1
 
 def top_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25 best by confidence, area and key."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = table(spark, sf_dir, "customer")
     rows = customer.select(F.col("c_custkey").alias("id"), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("c_acctbal") / 5000)), 1).alias("confidence"), (F.col("c_nationkey") * 10).alias("area"))
     return rows.orderBy(F.desc("confidence"), F.desc("area"), "id").limit(25)
 
@@ -85,7 +86,7 @@ _LIVE = f"""WITH g AS ({STAGED.format(supplier="supplier")}), v AS (SELECT * FRO
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet"), _view(spark, sf_dir, STAGED, "supplier")
+    return table(spark, sf_dir, "supplier"), _view(spark, sf_dir, STAGED, "supplier")
 
 
 def apply_archive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from strataframe import sinks
 from strataframe.functions import motion, rings
 from strataframe.functions.geometry import signed_area
 from strataframe.operators import meshes, places, scenes, slices, smooth
-from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.drawn import draw, drawn, table
 from strataframe.plans.works import CORNERS, _corners
 from strataframe.sources import meshes as archives
 from strataframe.storage import fresh_path, stored
@@ -20,7 +20,7 @@ C = F.col
 def store_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances of customers as a store: staged changes of whole sources, what a preview shows, what is applied and archived, and what is current after an undo."""
     n = C("c_custkey")
-    live = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", C("c_nationkey").alias("source"), F.lit("old").alias("state_of"))
+    live = table(spark, sf_dir, "customer").select("c_custkey", C("c_nationkey").alias("source"), F.lit("old").alias("state_of"))
     plans = live.filter(n % 3 == 0).select("c_custkey", "source", F.lit("new").alias("state_of"), F.when((C("source") % 7 == 2) & (n % 2 == 0), "bad").alias("reason"))
     staged, failures = sinks.staged_batch(plans, "source")
     store = sinks.Store(spark, fresh_path(spark, "store"))
@@ -69,9 +69,9 @@ SELECT CAST(mesh AS VARCHAR) AS mesh, vertices, round(2 * x + vertices, 4) AS su
 
 def traced_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plans accepted for parts as proxies, back to the suppliers that the proxies stand for."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(C("p_partkey").alias("proxy"), "p_size")
+    parts = table(spark, sf_dir, "part").select(C("p_partkey").alias("proxy"), "p_size")
     proxies = parts.select("proxy", F.when(C("proxy") % 9 != 4, C("proxy") % 130).alias("source"))
-    sources = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("source"), "s_nationkey")
+    sources = table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("source"), "s_nationkey")
     found = scenes.traced(parts.filter(C("p_size") % 4 == 1), proxies, sources)
     return found.groupBy("s_nationkey").agg(F.count("*").alias("n"), F.min("proxy").alias("first"), F.sum("p_size").alias("size"))
 
@@ -86,7 +86,7 @@ SQL = {store_versions: VERSIONS_SQL, mesh_archives: ARCHIVES_SQL, traced_plans:
 def _slice_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """s_suppkey, plan: plans as JSON of two or more levels of two pieces each about a core, most with a fault of a drawn kind."""
     n = C("s_suppkey")
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(n, draw(n, "fault", n=14).alias("fault"), (draw(n, "w", n=30) + 20.0).alias("w"), (draw(n, "d", n=30) + 20.0).alias("d"), (draw(n, "n", n=4) + 2).alias("n"))
+    rows = table(spark, sf_dir, "supplier").select(n, draw(n, "fault", n=14).alias("fault"), (draw(n, "w", n=30) + 20.0).alias("w"), (draw(n, "d", n=30) + 20.0).alias("d"), (draw(n, "n", n=4) + 2).alias("n"))
     fault = lambda k: C("fault") == k
     point = lambda x, z: F.array(x.cast("double"), z.cast("double"))
     ring = lambda x0, z0, x1, z1: F.array(point(x0, z0), point(x1, z0), point(x1, z1), point(x0, z1))
@@ -127,7 +127,7 @@ SQL |= {slice_plans: SLICES_SQL}
 def batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances of customers changed in two batches of the nations with the most to change, each staged, audited and applied as a whole."""
     n = C("c_custkey")
-    live = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", C("c_nationkey").alias("source"), F.lit(0).alias("batch"))
+    live = table(spark, sf_dir, "customer").select("c_custkey", C("c_nationkey").alias("source"), F.lit(0).alias("batch"))
     store = sinks.Store(spark, fresh_path(spark, "store"))
     store.begin(live)
     for k in (1, 2):
@@ -145,7 +145,7 @@ SELECT c_nationkey AS source, CAST(CASE WHEN c_custkey % 5 < 2 AND r.batch <= 2
 def smooth_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plans of one to three tiers of drawn heights and setbacks as floors, or why not; some tiers leave a gap, overhang, or end too early."""
     n = C("s_suppkey")
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(n, (draw(n, "tiers", n=3) + 1).alias("tiers"), (draw(n, "w", n=30) + 40.0).alias("w"), draw(n, "fault", n=9).alias("fault"), *((draw(n, f"h{k}", n=90) / 2.0 + 2.5).alias(f"h{k}") for k in (1, 2, 3)), *((draw(n, f"s{k}", n=9) - 1.0).alias(f"s{k}") for k in (2, 3)))
+    rows = table(spark, sf_dir, "supplier").select(n, (draw(n, "tiers", n=3) + 1).alias("tiers"), (draw(n, "w", n=30) + 40.0).alias("w"), draw(n, "fault", n=9).alias("fault"), *((draw(n, f"h{k}", n=90) / 2.0 + 2.5).alias(f"h{k}") for k in (1, 2, 3)), *((draw(n, f"s{k}", n=9) - 1.0).alias(f"s{k}") for k in (2, 3)))
     zero = F.lit(0.0)
     spans, base, inset = [], zero, zero
     for k in (1, 2, 3):
@@ -186,7 +186,7 @@ SQL |= {batch_runs: RUNS_SQL, smooth_floors: FLOORS_SQL}
 def exact_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grids of exact boxes of suppliers, with a requested number of floors or none; and of which parts, in a tree, they are made."""
     n = C("s_suppkey")
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(n, (draw(n, "x", n=700) / 10.0 + 5).alias("sx"), (draw(n, "y", n=900) / 10.0 + 10).alias("sy"), (draw(n, "z", n=700) / 10.0 + 5).alias("sz"), F.when(n % 4 == 1, (draw(n, "r", n=5)).cast("double")).when(n % 4 == 2, 1.5).alias("requested"))
+    rows = table(spark, sf_dir, "supplier").select(n, (draw(n, "x", n=700) / 10.0 + 5).alias("sx"), (draw(n, "y", n=900) / 10.0 + 10).alias("sy"), (draw(n, "z", n=700) / 10.0 + 5).alias("sz"), F.when(n % 4 == 1, (draw(n, "r", n=5)).cast("double")).when(n % 4 == 2, 1.5).alias("requested"))
     found = places.exact_boxes(rows)
     return found.select(n, "reason", "nx", "nz", "floors", F.round("cell", 6).alias("cell"), F.round("ground", 6).alias("ground"), F.round("upper", 6).alias("upper"), F.length("mask").alias("cells"))
 
@@ -206,7 +206,7 @@ SELECT s_suppkey, reason, CASE WHEN reason IS NULL THEN CAST(ceil(sx / cell) AS
 def slab_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What turned parts, direct children of their orders, cover from above; protected ones are left out."""
     n = C("p_partkey")
-    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(n, F.when(n % 11 > 0, n % 40).alias("parent"), F.concat(F.when(n % 3 == 0, "Slab").otherwise("Wall"), n.cast("string")).alias("name"), F.when(n % 2 == 0, "wedge").otherwise("block").alias("kind"), F.when(n % 13 == 5, "kept").alias("lock"),
+    rows = table(spark, sf_dir, "part").select(n, F.when(n % 11 > 0, n % 40).alias("parent"), F.concat(F.when(n % 3 == 0, "Slab").otherwise("Wall"), n.cast("string")).alias("name"), F.when(n % 2 == 0, "wedge").otherwise("block").alias("kind"), F.when(n % 13 == 5, "kept").alias("lock"),
         motion.vector((n % 97).cast("double"), (n % 31).cast("double"), (n % 89).cast("double")).alias("at"), motion.vector((n % 7 + 1).cast("double"), (n % 5 + 2).cast("double"), (n % 9 + 1).cast("double")).alias("size"), (n % 60 / 10.0).alias("yaw"))
     own = places.children(rows, "parent", "name", "^Slab", "kind", ("wedge", "block"), ("lock",))
     found = places.slab_shapes(own)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strataframe.config import CLUSTER_MASSING, FRACTIONS, TRACK_FRACTIONS, Clusters, Massing, Tracks, configured
 from strataframe.functions import motion
 from strataframe.operators import graph, nearest, samples, tracks
-from strataframe.plans.drawn import draw, drawn
+from strataframe.plans.drawn import draw, drawn, table
 from strataframe.plans.works import neighbours
 
 C = F.col
@@ -21,7 +21,7 @@ def _walls(lines: list[tuple], low: Column, high: Column) -> Column:
 
 
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(C("s_suppkey").alias("m"))
+    return table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("m"))
 
 
 def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,8 +104,8 @@ SELECT cluster, CAST(n AS BIGINT) AS n, CASE WHEN reason IS NULL THEN concat('Gl
 def nearest_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest supplier of each customer on a wide ground, however far."""
     n, s = C("c_custkey"), C("s_suppkey")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(n.alias("id"), (draw(n, "x", n=60000) / 4.0).alias("x"), (draw(n, "z", n=40000) / 4.0).alias("z"))
-    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(s.alias("id"), (draw(s, "sx", n=6000) / 1.0).alias("x"), (draw(s, "sz", n=4000) / 1.0).alias("z"))
+    customers = table(spark, sf_dir, "customer").select(n.alias("id"), (draw(n, "x", n=60000) / 4.0).alias("x"), (draw(n, "z", n=40000) / 4.0).alias("z"))
+    suppliers = table(spark, sf_dir, "supplier").select(s.alias("id"), (draw(s, "sx", n=6000) / 1.0).alias("x"), (draw(s, "sz", n=4000) / 1.0).alias("z"))
     return nearest.nearest_any(customers, suppliers, 64.0).select("id", "target", F.round("d2", 4).alias("d2"))
 
 
@@ -119,7 +119,7 @@ SELECT id, arg_min(target, (d2, target)) AS target, round(min(d2), 4) AS d2 FROM
 def mutual_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers on a wide ground that are each other's nearest, however far."""
     n = C("c_custkey")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(n.alias("id"), (draw(n, "x", n=60000) / 4.0).alias("x"), (draw(n, "z", n=40000) / 4.0).alias("z"))
+    customers = table(spark, sf_dir, "customer").select(n.alias("id"), (draw(n, "x", n=60000) / 4.0).alias("x"), (draw(n, "z", n=40000) / 4.0).alias("z"))
     return nearest.mutual_any(customers, 32.0).select("a", "b", F.round("d2", 4).alias("d2"))
 
 

@@ -53,3 +53,15 @@ def test_fragments_need_area_bulk_and_stand(spark):
     small = F.col("size") < 10
     got = floors.fragments(df, {"area": small, "envelope": small, "slabs": F.lit(False), "elevated": F.lit(False), "short": small, "no_core": F.lit(False)}).orderBy("id").collect()
     assert [(r["reasons"], r["fragment"]) for r in got] == [([], False), (["area", "envelope", "short"], True)]
+
+
+def test_short_tables_are_dealt(spark):
+    """A small file is one task: what is made of its rows is made in many, and groups of a key need no further shuffle."""
+    from pyspark.sql import functions as F
+
+    from strataframe.plans.drawn import table
+
+    rows = table(spark, "/root/testdata/sf0.001", "supplier")
+    assert rows.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism and rows.count() == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count()
+    made = rows.select(F.col("s_suppkey").alias("m"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k")).groupBy("m", "k").count()
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1 and made.count() == 3 * rows.count()
