@@ -27,12 +27,10 @@ def _around(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
 def nearest_within(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
     """id, target, d2 of each point (id, x, z) that has a target (id, x, z) at most reach away; ties go to the least id.
 
-    Rows at one place are searched for once, however many they are. Null coordinates have no place.
+    Rows at one place are searched for once, however many they are. Null coordinates have no place. The nearest is searched at any distance, as what
+    a cell of the reach holds grows with the crowd in it.
     """
-    places = points.select("x", "z").distinct().filter("x IS NOT NULL AND z IS NOT NULL")
-    found = _around(places, targets.groupBy("x", "z").agg(F.min("id").alias("id")), reach)
-    found = found.groupBy("x", "z").agg(F.min(F.struct("d2", F.col("t_id").alias("target"))).alias("best"))
-    return points.join(found, ["x", "z"]).select("id", "best.target", "best.d2")
+    return nearest_any(points, targets, reach).filter(F.col("d2") <= F.lit(reach * reach))
 
 
 def mutual_nearest(points: DataFrame, reach: float) -> DataFrame:
@@ -40,16 +38,7 @@ def mutual_nearest(points: DataFrame, reach: float) -> DataFrame:
 
     Ties go to the least id. Of several points at one place the two least pair up; they are found by aggregation.
     """
-    placed = points.filter("x IS NOT NULL AND z IS NOT NULL").select("id", "x", "z")
-    places = placed.groupBy("x", "z").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    crowded = places.filter("n > 1").select("x", "z", F.col("id").alias("a"))
-    inside = placed.join(crowded, ["x", "z"]).filter("id > a").groupBy("x", "z", "a").agg(F.min("id").alias("b"))
-    alone = places.filter("n = 1").select("id", "x", "z")
-    best = _around(alone, places.select("id", "x", "z"), reach).filter("id <> t_id").groupBy("id").agg(F.min(F.struct("d2", F.col("t_id").alias("near"))).alias("best"))
-    best = best.select("id", "best.near", "best.d2")
-    back = best.select(F.col("id").alias("near"), F.col("near").alias("id"))
-    pairs = best.join(back, ["id", "near"]).filter("id < near").select(F.col("id").alias("a"), F.col("near").alias("b"), "d2")
-    return pairs.unionByName(inside.select("a", "b", F.lit(0).cast(pairs.schema["d2"].dataType).alias("d2")))
+    return mutual_any(points, reach).filter(F.col("d2") <= F.lit(reach * reach))
 
 
 #: Cells of a level on a side against those of the one above, as a power of 2; the levels; a cell with so few targets is not divided; a level with so

@@ -65,3 +65,11 @@ def test_short_tables_are_dealt(spark):
     assert rows.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism and rows.count() == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count()
     made = rows.select(F.col("s_suppkey").alias("m"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k")).groupBy("m", "k").count()
     assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1 and made.count() == 3 * rows.count()
+
+
+def test_a_crowd_within_reach_is_not_paired(spark):
+    """All points lie in one cell of the reach: the nearest are found without comparing each with each, which a join on cells of the reach would do."""
+    rows = spark.range(3000).selectExpr("id", "CAST(id * 37 % 97 AS DOUBLE) AS x", "CAST(id * 91 % 89 AS DOUBLE) AS z")
+    for found in (nearest.nearest_within(rows, rows, 500.0), nearest.mutual_nearest(rows, 500.0)):
+        assert "__cx" not in found._jdf.queryExecution().toString() and found.count() > 0
+    assert nearest.nearest_within(rows, rows, 500.0).filter("d2 > 0").count() == 0
