@@ -15,15 +15,6 @@ from strataframe.operators.spatial import overlapping_boxes
 from strataframe.storage import stored
 
 
-def _around(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
-    """Columns of points, d2 and the columns of targets with the prefix t_: pairs at most reach apart."""
-    cell = lambda v: F.floor(F.col(v) / F.lit(reach))
-    near = points.withColumn("__cx", F.explode(F.sequence(cell("x") - 1, cell("x") + 1))).withColumn("__cz", F.explode(F.sequence(cell("z") - 1, cell("z") + 1)))
-    dealt = targets.select(*(F.col(c).alias(f"t_{c}") for c in targets.columns)).withColumns({"__cx": cell("t_x"), "__cz": cell("t_z")})
-    d2 = (F.col("x") - F.col("t_x")) * (F.col("x") - F.col("t_x")) + (F.col("z") - F.col("t_z")) * (F.col("z") - F.col("t_z"))
-    return near.join(dealt, ["__cx", "__cz"]).withColumn("d2", d2).filter(F.col("d2") <= F.lit(reach * reach)).drop("__cx", "__cz")
-
-
 def nearest_within(points: DataFrame, targets: DataFrame, reach: float) -> DataFrame:
     """id, target, d2 of each point (id, x, z) that has a target (id, x, z) at most reach away; ties go to the least id.
 

@@ -231,3 +231,30 @@ def test_corner_cells_stay_apart(spark):
     ring = spark.createDataFrame([(1, 1, i, j) for i in range(1, 4) for j in range(1, 4) if (i, j) != (2, 2)], "m int, k int, i int, j int")
     assert sorted(r["area"] for r in masks.loops(ring, 5).collect()) == [-1.0, 9.0]
     assert masks.rectangles(ring, 5).agg(F.sum((F.col("i1") - F.col("i0") + 1) * (F.col("j1") - F.col("j0") + 1))).first()[0] == 8
+
+
+def test_radius_weld_on_random_points(spark):
+    """Against a plain search: crowds, points on cell borders, distances of exactly the reach, and clusters that only one pair of points joins."""
+    import random
+
+    from strataframe.operators import meshes
+
+    rng = random.Random(5)
+    rows = [(k, rng.choice([-1, 1]) * rng.randrange(0, 60) * 2.5, rng.randrange(0, 60) * 2.5) for k in range(260)] + [(1000 + k, 400.0 + k % 7 / 10, 400.0 + k // 7 / 10) for k in range(300)] + [(2000, 410.5, 400.0), (2001, 420.5, 400.0), (2002, 430.6, 400.0)]
+    head = list(range(len(rows)))
+
+    def top(k):
+        while head[k] != k:
+            k = head[k]
+        return k
+
+    for i, (_, x, z) in enumerate(rows):
+        for j in range(i):
+            if (x - rows[j][1]) ** 2 + (z - rows[j][2]) ** 2 <= 100:
+                a, b = sorted((top(i), top(j)))
+                head[b] = a
+    want = {r[0]: rows[top(k)][0] for k, r in enumerate(rows)}
+    frame = spark.createDataFrame([*rows, (3000, None, 1.0)], "id long, x double, z double")
+    found = meshes.radius_weld(frame, 10.0)
+    assert "__cx" not in found._jdf.queryExecution().toString()
+    assert {r["id"]: r["cluster"] for r in found.collect()} == want | {3000: 3000} and len(set(want.values())) > 5
