@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.config import GridMassing, Incomplete
-from strataframe.operators.kernels import by_group, labelled
+from strataframe.operators.kernels import by_group, by_sorted_group, labelled
 from strataframe.storage import stored
 
 CELL = ["m", "k", "i", "j"]
@@ -269,42 +269,39 @@ def rectangles(occupied: DataFrame, side: int) -> DataFrame:
     """m, k, n, i0, i1, j0, j1: rectangles that cover the cells of each floor without overlap, the largest that is left first.
     Of equal ones that whose lower right corner comes first by rows, then the widest."""
 
-    def cut(floor: pa.Table) -> pa.Table:
+    def cut(floor: pa.Table) -> list[dict]:
         i, j = (floor.column(c).to_numpy().astype(np.int64) - 1 for c in "ij")
         checked(np.zeros(1, np.int64), i + 1, j + 1, side)
         grid = np.zeros((side, side), bool)
         grid[i, j] = True
         out = []
         while grid.any():
-            out.append(largest_rectangle(grid))
-            a, b, c, d = out[-1]
+            a, b, c, d = largest_rectangle(grid)
             grid[a : b + 1, c : d + 1] = False
-        at = np.array(out, np.int32) + 1
-        one = floor.slice(0, 1).select(["m", "k"])
-        head = [pa.concat_arrays([one.column(c).combine_chunks()] * len(at)) for c in "mk"]
-        return pa.table([*head, pa.array(np.arange(1, len(at) + 1, dtype=np.int32)), *(pa.array(at[:, n]) for n in range(4))], names=["m", "k", "n", "i0", "i1", "j0", "j1"])
+            out.append({"n": len(out) + 1, "i0": a + 1, "i1": b + 1, "j0": c + 1, "j1": d + 1})
+        return out
 
-    fields = [*occupied.select("m", "k").schema.fields, *((c, "int") for c in ("n", "i0", "i1", "j0", "j1"))]
-    return by_group(occupied.select(*CELL), ["m", "k"], cut, fields)
+    return by_sorted_group(occupied.select(*CELL), ["m", "k"], cut, [(c, "int") for c in ("n", "i0", "i1", "j0", "j1")])
 
 
 def largest_rectangle(grid: np.ndarray) -> tuple[int, int, int, int]:
-    """(first row, last row, first column, last column) of the largest rectangle of true cells; heights of columns are
-    kept as rows go by, and for each height the widest stretch that is as high is tried."""
-    best, found = 0, (0, 0, 0, 0)
-    height = np.zeros(grid.shape[1], np.int64)
-    for i, row in enumerate(grid):
-        height = np.where(row, height + 1, 0)
-        if height.sum() <= best:
-            continue
-        tried = []
-        for h in np.unique(height[height > 0]).tolist():
-            high = np.r_[False, height >= h, False].astype(np.int8)
-            starts, ends = np.flatnonzero(np.diff(high) == 1), np.flatnonzero(np.diff(high) == -1)
-            tried += [(h * (e - s), e, s, h) for s, e in zip(starts.tolist(), ends.tolist())]
-        area, e, s, h = max(tried, key=lambda t: (t[0], -t[1], t[1] - t[2]))
-        if area > best:
-            best, found = area, (i - h + 1, i, s, e - 1)
+    """(first row, last row, first column, last column) of the largest rectangle of true cells; heights of columns are kept as
+    rows go by, and each stretch that is as high as its lowest column is met once, where a lower column ends it."""
+    best, end, found = 0, 0, (0, 0, 0, 0)
+    height = [0] * grid.shape[1]
+    for i, row in enumerate(grid.tolist()):
+        height = [h + 1 if c else 0 for h, c in zip(height, row)]
+        open_: list[tuple[int, int]] = []
+        for e, h in enumerate([*height, 0]):
+            s = e
+            while open_ and open_[-1][1] >= h:
+                s, k = open_.pop()
+                area = k * (e - s)
+                # of those that end at one column the wider comes later
+                if area > best or (area == best and (found[1], end) == (i, e)):
+                    best, end, found = area, e, (i - k + 1, i, s, e - 1)
+            if h:
+                open_.append((s, h))
     return found
 
 

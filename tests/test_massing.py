@@ -143,3 +143,17 @@ def test_bodies_with_large_numbers(spark):
     models = spark.createDataFrame([(m, CELL, SIZE[0], 80.0, SIZE[2], 15.0, 12.5, 4) for m in (7, 200_000)], FIELDS)
     rows = massing.split_plans(cells, models, SIDE).select("m", "cells", "area", "reason", "source_reason").orderBy("m", "cells").collect()
     assert [tuple(r)[1:] for r in rows[:2]] == [tuple(r)[1:] for r in rows[2:]] == [(644, 27 * 54.0, None, None), (720, 30 * 54.0, None, None)] and rows[-1]["m"] == 200_000
+
+
+def test_the_largest_rectangle_costs_no_call_for_each_height(monkeypatch):
+    """Of equal rectangles that whose lower right corner comes first by rows, then the widest; no array is made for a height."""
+    def plain(grid):
+        r, c = grid.shape
+        boxes = [(a, b, d, e) for a in range(r) for b in range(a, r) for d in range(c) for e in range(d, c) if grid[a : b + 1, d : e + 1].all()]
+        return max(boxes, key=lambda q: ((q[1] - q[0] + 1) * (q[3] - q[2] + 1), -q[1], -q[3], q[3] - q[2]), default=(0, 0, 0, 0))
+
+    rng = np.random.default_rng(3)
+    grids = [rng.random(rng.integers(1, 7, 2)) < share for share in (0.4, 0.7, 0.95) for _ in range(60)]
+    want = [plain(g) for g in grids]
+    monkeypatch.setattr(np, "unique", None)
+    assert [masks.largest_rectangle(g) for g in grids] == want
