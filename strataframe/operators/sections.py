@@ -15,10 +15,10 @@ C = F.col
 
 
 def triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """mesh and points (array of three struct<x, y, z>) of each face; faces with a vertex that is missing are left out."""
+    """mesh and points (array of three struct<x, y, z>) of each face; faces with a vertex that is missing are left out. Vertices are many, however small their file, and are not broadcast."""
     rows = faces.select("mesh", *(C(c).cast("long").alias(c) for c in "abc"))
     for c in "abc":
-        rows = rows.join(vertices.select("mesh", C("id").cast("long").alias(c), F.struct("x", "y", "z").alias(f"p{c}")), ["mesh", c])
+        rows = rows.join(vertices.select("mesh", C("id").cast("long").alias(c), F.struct("x", "y", "z").alias(f"p{c}")).hint("merge"), ["mesh", c])
     return rows.select("mesh", F.array("pa", "pb", "pc").alias("points"))
 
 

@@ -104,3 +104,13 @@ def test_ends_as_near_as_the_weld():
         for low in (z, 40 + (z - 40) * 3 / 3 + 1e-15):
             found = outline.section_loops(path((x, 0), (50, 0), (50, 40), (0, 40), (0, low)), outline.OutlineParams())
             assert (found["open"], found["corners"], found["reason"]) == (0, 0, None) and abs(P.signed_area(found["loops"][0])) == pytest.approx(area, abs=1e-6)
+
+
+def test_vertices_are_not_broadcast(spark, tmp_path):
+    """A small file of vertices can hold millions of rows in memory."""
+    from strataframe.operators import sections
+
+    spark.range(3000).selectExpr("id % 2 AS mesh", "id", "0D AS x", "CAST(id AS DOUBLE) AS y", "1D AS z").write.parquet(f"{tmp_path}/v")
+    spark.range(1000).selectExpr("id % 2 AS mesh", "id AS a", "id + 2 AS b", "id + 4 AS c").write.parquet(f"{tmp_path}/f")
+    found = sections.triangles(spark.read.parquet(f"{tmp_path}/v"), spark.read.parquet(f"{tmp_path}/f"))
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 1000
