@@ -44,7 +44,8 @@ def encoded(df: DataFrame, plan: str = "plan") -> DataFrame:
 
 def checked(plans: DataFrame, key: str, cell: float = 32.0) -> tuple[DataFrame, DataFrame]:
     """(verdicts, pieces) of plans (key, plan, and text where it was decoded). verdicts: key, levels, pieces, area, reason. pieces of the plans without fault: key, level, piece, y, thickness, ring."""
-    rows = plans.select(C(key).alias("k"), "plan", (C("text") if "text" in plans.columns else C("plan").isNotNull()).alias("text"))
+    # written, so that a text is read once, not for each field that is asked for
+    rows = stored(plans.select(C(key).alias("k"), "plan", (C("text") if "text" in plans.columns else C("plan").isNotNull()).alias("text")), "plans")
     p = lambda f: C(f"plan.{f}")
     sound = lambda *cs: reduce(lambda a, b: a & b, [F.coalesce(finite(c), F.lit(False)) for c in cs])
     core = [p(f"core.{c}") for c in ("minX", "minZ", "maxX", "maxZ")]
