@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataframe.functions import building, geometry, motion, rings
 from strataframe.operators.rings import _cell, spread, turned_overlaps
@@ -13,9 +18,14 @@ from strataframe.storage import restored, stored
 C = F.col
 
 
+def _floor_grid(models: DataFrame, cell: Column) -> DataFrame:
+    """models with the size of a cell and how many of them there are on a floor's sides."""
+    return models.withColumn("cell", cell).withColumns({"nx": F.ceil(C("sx") / C("cell")).cast("int"), "nz": F.ceil(C("sz") / C("cell")).cast("int")})
+
+
 def _floor_cells(models: DataFrame, cell: Column) -> DataFrame:
     """models with a row per cell of a floor: i, j and the middle x, z in the model's frame."""
-    rows = models.withColumn("cell", cell).withColumns({"nx": F.ceil(C("sx") / C("cell")).cast("int"), "nz": F.ceil(C("sz") / C("cell")).cast("int")})
+    rows = _floor_grid(models, cell)
     rows = rows.withColumn("i", F.explode(F.sequence(F.lit(1), C("nx")))).withColumn("j", F.explode(F.sequence(F.lit(1), C("nz"))))
     return rows.withColumns({"x": building.cell_centre(-C("sx") / 2, C("cell"), C("i")), "z": building.cell_centre(-C("sz") / 2, C("cell"), C("j"))})
 
@@ -44,15 +54,48 @@ def sampled_sections(models: DataFrame, slices: DataFrame) -> DataFrame:
     """m, k, i, j of the cells whose middle and four corners (drawn in a little) lie within the section of their floor.
 
     models: m, sx, sz. slices: m, k, segments (array of arrays of two struct<x, z>) in the model's frame. Cells are a share of the box, at
-    least 3. A point is within where it has an odd number of segments on all four sides.
+    least 3. A point is within where it has an odd number of segments on all four sides. A section is one task's.
     """
-    grid = _floor_cells(models, F.greatest(F.lit(3.0), F.greatest("sx", "sz") / 24)).join(slices, "m")
-    inset = C("cell") * 0.4
-    probes = [geometry.enclosed(C("segments"), C("x") + inset * a, C("z") + inset * b) for a, b in ((0, 0), (1, 1), (1, -1), (-1, 1), (-1, -1))]
-    inside = probes[0]
-    for p in probes[1:]:
-        inside = inside & p
-    return grid.filter(inside).select("m", "k", "i", "j")
+    grid = _floor_grid(models, F.greatest(F.lit(3.0), F.greatest("sx", "sz") / 24)).join(slices.hint("merge"), "m")
+    ends = F.transform("segments", lambda s: F.struct(*(s[e][v].cast("double").alias(f"{p}{v}") for e, p in enumerate("ab") for v in "xz")))
+    rows = grid.select("m", "k", "cell", "nx", "nz", (-C("sx") / 2).alias("x0"), (-C("sz") / 2).alias("z0"), ends.alias("ends"))
+    schema = T.StructType([*rows.select("m", "k").schema.fields, T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType())])
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICES):
+                part = batch.slice(at, SLICES)
+                own, ends = part.drop_columns(["m", "k", "ends"]).to_pylist(), part.column("ends")
+                flat, cuts = ends.values, ends.offsets.to_numpy()
+                a, b = (np.column_stack([flat.field(f"{p}{v}").to_numpy(zero_copy_only=False) for v in "xz"]) for p in "ab")
+                found = [_held_cells(a[x:y], b[x:y], **r) for r, x, y in zip(own, cuts, cuts[1:])]
+                place = pa.array(np.repeat(np.arange(len(own)), [len(i) for i, _ in found]))
+                i, j = (pa.array(np.concatenate(c), pa.int32()) for c in zip(*found))
+                yield pa.RecordBatch.from_arrays([part.column("m").take(place), part.column("k").take(place), i, j], names=["m", "k", "i", "j"])
+
+    return rows.mapInArrow(cells, schema)
+
+
+#: Where a cell is tried, as shares of its size from its middle; sections of which the cells are made together.
+PROBES, SLICES = ((0.0, 0.0), (0.4, 0.4), (0.4, -0.4), (-0.4, 0.4), (-0.4, -0.4)), 256
+
+
+def _held_cells(a: np.ndarray, b: np.ndarray, cell: float, nx: int, nz: int, x0: float, z0: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j), from 1, of the cells of a grid that begins at x0, z0 of which all probes have an odd number of segments a to b (n by 2) on all four sides. Ends that are missing meet nothing."""
+    if None in (cell, nx, nz, x0, z0) or not len(a):
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    i, j = np.repeat(np.arange(1, nx + 1), nz), np.tile(np.arange(1, nz + 1), nx)
+    for dx, dz in PROBES:
+        x, z = x0 + (i - 0.5) * cell + cell * dx, z0 + (j - 0.5) * cell + cell * dz
+        inside = np.ones(len(i), bool)
+        for u, v, p, q in ((0, 1, x, z), (1, 0, z, x)):
+            over = (a[None, :, v] > q[:, None]) != (b[None, :, v] > q[:, None])
+            rise = np.where(a[:, v] == b[:, v], 1.0, b[:, v] - a[:, v])
+            at = a[None, :, u] + (q[:, None] - a[None, :, v]) * (b[:, u] - a[:, u]) / rise
+            for beyond in (at < p[:, None], at > p[:, None]):
+                inside &= (over & beyond).sum(axis=1) % 2 == 1
+        i, j = i[inside], j[inside]
+    return i, j
 
 
 def sample_reasons(models: DataFrame, cells: DataFrame, least_width: float = 12.0, share: float = 0.6, least_cells: int = 4, least_area: float = 150.0) -> DataFrame:

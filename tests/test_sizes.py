@@ -26,3 +26,22 @@ def test_plans_are_parsed_once(spark, monkeypatch):
     seen = kept(monkeypatch, slices)
     slices.checked(slices.decoded(stores._slice_texts(spark, SF)), "s_suppkey")
     assert "from_json" not in plan(seen["levels"]) and "from_json" not in plan(seen["verdicts"])
+
+
+def test_cells_of_sections(spark):
+    """Cells by the kernel against the plain expression; sections, of which a small table makes many, are not broadcast."""
+    rng = random.Random(5)
+    point = lambda: (rng.choice((-9.0, -3.0, 0.0, 4.5, 9.0)) + rng.choice((0.0, 0.3)), rng.uniform(-8, 8))
+    path = lambda n: [point() for _ in range(n)]
+    rings = [path(rng.randint(3, 9)) for _ in range(40)]
+    rows = [(m, 1, [[p, q] for p, q in zip(r, r[1:] + r[:1])]) for m, r in enumerate(rings)] + [(40, 1, []), (41, 1, [[(None, 1.0), (2.0, 3.0)]])]
+    sections = spark.createDataFrame(rows, "m long, k int, segments array<array<struct<x:double,z:double>>>").cache()
+    models = spark.range(43).selectExpr("id AS m", "20D AS sx", "17D AS sz")
+    found = places.sampled_sections(models, sections)
+    assert "Broadcast" not in plan(found)
+    grid = places._floor_cells(models, F.greatest(F.lit(3.0), F.greatest("sx", "sz") / 24)).join(sections, "m")
+    wanted = grid
+    for a, b in ((0, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)):
+        wanted = wanted.filter(geometry.enclosed(F.col("segments"), F.col("x") + F.col("cell") * 0.4 * a, F.col("z") + F.col("cell") * 0.4 * b))
+    wanted = {tuple(r) for r in wanted.select("m", "k", "i", "j").collect()}
+    assert wanted and sorted(wanted) == sorted(tuple(r) for r in found.collect())
