@@ -159,11 +159,12 @@ def tracked(loops: DataFrame, least_ratio: float = 0.78, most_shift: float = 18.
     Pairs of loops of neighbouring samples that are alike in area, place and shape have a cost. In each sample the loops in order take the
     cheapest of theirs that no loop before took, of equal ones the least; what takes none begins a track. Tracks are numbered by model, by where
     they begin. A model without a sample between two has no track over the gap. Nulls in a key or figure pair with nothing.
+    Loops are many, however small the file that they are made of, and are not broadcast.
     """
     later = loops.select("m", "sample", "loop", "ring", "area", "x", "z")
     before = later.select("m", (C("sample") + 1).alias("sample"), C("loop").alias("prev"), *(C(c).alias(f"p_{c}") for c in ("ring", "area", "x", "z")))
     ratio, shift = F.least("area", "p_area") / F.greatest("area", "p_area"), F.hypot(C("x") - C("p_x"), C("z") - C("p_z"))
-    near = later.join(before, ["m", "sample"]).withColumns({"ratio": ratio, "shift": shift}).filter((C("ratio") >= least_ratio) & (C("shift") <= most_shift))
+    near = later.join(before.hint("merge"), ["m", "sample"]).withColumns({"ratio": ratio, "shift": shift}).filter((C("ratio") >= least_ratio) & (C("shift") <= most_shift))
     # written, so that the dearest figure is computed once, and after the others have ruled pairs out
     near = stored(near.select("m", "sample", "loop", "prev", "ratio", "shift", rings.shape_distance(C("p_ring"), C("ring")).alias("apart")), "pairs").filter(C("apart") <= most_apart)
     offers = near.select("m", "sample", F.struct("loop", (C("apart") + C("shift") / 4 + (1 - C("ratio")) * 10).alias("cost"), "prev").alias("offer"))
@@ -177,13 +178,13 @@ def tracked(loops: DataFrame, least_ratio: float = 0.78, most_shift: float = 18.
     # a sample's offers, a few for each of its loops, in order of loop and cost
     taken = offers.groupBy("m", "sample").agg(F.aggregate(F.array_sort(F.collect_list("offer")), F.array().cast(kind), take).alias("taken"))
     taken = taken.select("m", "sample", F.explode("taken").alias("t")).select("m", "sample", "t.loop", "t.prev")
-    own = loops.select("m", "sample", "loop").join(taken, ["m", "sample", "loop"], "left")
+    own = loops.select("m", "sample", "loop").join(taken.hint("merge"), ["m", "sample", "loop"], "left")
     # where each loop's track begins: each round doubles the steps back
     head = F.when(C("prev").isNull(), F.struct("sample", "loop")).otherwise(F.struct((C("sample") - 1).alias("sample"), C("prev").alias("loop")))
     led, path = restored(own.select("m", "sample", "loop", head.alias("head")), None, "tracks")
     while True:
         to = led.select("m", F.struct("sample", "loop").alias("head"), C("head").alias("further"))
-        step = led.join(to, ["m", "head"]).select("m", "sample", "loop", "head", "further")
+        step = led.join(to.hint("merge"), ["m", "head"]).select("m", "sample", "loop", "head", "further")
         if step.filter("head <> further").isEmpty():
             break
         led, path = restored(step.select("m", "sample", "loop", C("further").alias("head")), path, "tracks")

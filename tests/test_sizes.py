@@ -45,3 +45,10 @@ def test_cells_of_sections(spark):
         wanted = wanted.filter(geometry.enclosed(F.col("segments"), F.col("x") + F.col("cell") * 0.4 * a, F.col("z") + F.col("cell") * 0.4 * b))
     wanted = {tuple(r) for r in wanted.select("m", "k", "i", "j").collect()}
     assert wanted and sorted(wanted) == sorted(tuple(r) for r in found.collect())
+
+
+def test_loops_are_not_broadcast(spark, monkeypatch):
+    seen = kept(monkeypatch, places)
+    rows = spark.createDataFrame([(m, s, 1, [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0)], 40.5, 6.0, 3.0) for m in range(3) for s in (1, 2)], "m long, sample int, loop int, ring array<struct<x:double,z:double>>, area double, x double, z double")
+    assert {r["track"] for r in places.tracked(rows).collect()} == {1}
+    assert "Broadcast" not in plan(seen["pairs"])
