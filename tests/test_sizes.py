@@ -52,3 +52,9 @@ def test_loops_are_not_broadcast(spark, monkeypatch):
     rows = spark.createDataFrame([(m, s, 1, [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0)], 40.5, 6.0, 3.0) for m in range(3) for s in (1, 2)], "m long, sample int, loop int, ring array<struct<x:double,z:double>>, area double, x double, z double")
     assert {r["track"] for r in places.tracked(rows).collect()} == {1}
     assert "Broadcast" not in plan(seen["pairs"])
+
+
+def test_parts_are_dealt_before_they_are_compared(spark):
+    """One exchange, and nothing aggregated before it."""
+    text = plan(scenes._built(spark, SF))
+    assert text.count("Exchange") == 1 and "min_by" not in text and "Aggregate" not in text[text.index("Exchange") :]
