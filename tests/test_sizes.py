@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from strataframe.functions import geometry
+from strataframe.functions import geometry, rings
 from strataframe.operators import places, slices
 from strataframe.plans import scenes, stores
 
@@ -58,3 +58,16 @@ def test_parts_are_dealt_before_they_are_compared(spark):
     """One exchange, and nothing aggregated before it."""
     text = plan(scenes._built(spark, SF))
     assert text.count("Exchange") == 1 and "min_by" not in text and "Aggregate" not in text[text.index("Exchange") :]
+
+
+def test_edges_are_made_once_for_all_points(spark):
+    """One array of sides for all probes of a ring, and the same answers as point by point near borders."""
+    rng = random.Random(3)
+    near = lambda: (rng.choice((0.0, 2.0, 4.0)) + rng.choice((0.0, 9e-6, -9e-6, 1.1e-5, 0.5)), rng.choice((0.0, 2.0, 4.0)) + rng.choice((0.0, 9e-6, -1.1e-5, 1.0)))
+    ell = [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0), (2.0, 4.0), (0.0, 4.0)]
+    rows = spark.createDataFrame([(k, ell, near()) for k in range(200)], "id int, ring array<struct<x:double,z:double>>, p struct<x:double,z:double>")
+    plain = geometry.inside_ring(F.col("ring"), F.col("p.x"), F.col("p.z")) | (rings.distance_to_ring(F.col("ring"), F.col("p")) <= 1e-5)
+    found = rows.select(rings.contains_point(F.col("ring"), F.col("p")).alias("a"), plain.alias("b")).collect()
+    assert {r["a"] for r in found} == {True, False} and all(r["a"] == r["b"] for r in found)
+    lone = rows.limit(0).select(rings.contains_probe(F.col("ring"), F.col("ring")).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert lone.count("zip_with") <= 4  # the inner ring's twice, the outer's once
