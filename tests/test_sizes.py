@@ -5,8 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from strataframe.functions import geometry, rings
-from strataframe.operators import places, slices
-from strataframe.plans import scenes, stores
+from strataframe.operators import graph, places, slices
+from strataframe.plans import scenes, stores, works
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +71,24 @@ def test_edges_are_made_once_for_all_points(spark):
     assert {r["a"] for r in found} == {True, False} and all(r["a"] == r["b"] for r in found)
     lone = rows.limit(0).select(rings.contains_probe(F.col("ring"), F.col("ring")).alias("v"))._jdf.queryExecution().analyzed().toString()
     assert lone.count("zip_with") <= 4  # the inner ring's twice, the outer's once
+
+
+def test_components_of_numbered_structs(spark, monkeypatch):
+    """Structs of integers are numbered by arrays, to the same components as texts."""
+    rng = random.Random(11)
+    pairs = [((rng.randint(-3, 3), rng.randint(0, 40)), (rng.randint(-3, 3), rng.randint(0, 40))) for _ in range(120)]
+    rows = spark.createDataFrame(pairs, "src struct<mesh:int,id:long>, dst struct<mesh:int,id:long>")
+    found = {tuple(r["node"]): tuple(r["component"]) for r in graph.connected_components(rows).collect()}
+    group = {x: {x} for p in pairs for x in p}
+    for a, b in pairs:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for x in group[b]:
+                group[x] = group[a]
+    assert found == {x: min(g) for x, g in group.items() if len(g) > 1}
+
+
+def test_meshes_are_welded_once(spark, monkeypatch):
+    runs, own = [], works.meshes.connected_components
+    monkeypatch.setattr(works.meshes, "connected_components", lambda *a: runs.append(1) or own(*a))
+    assert works.weld_points(spark, SF).count() and len(runs) == 1
