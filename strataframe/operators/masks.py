@@ -222,11 +222,29 @@ def lines(occupied: DataFrame, tight: DataFrame | None = None) -> DataFrame:
     return occupied.select(*CELL).unionByName(below).distinct()
 
 
+#: Fixed value: what a step to the next row adds to a place, i and j in one number.
+ROW = 1 << 32
+
+
+def places(occupied: DataFrame) -> DataFrame:
+    """m, k, own: each floor's cells as an array of places (i * ROW + j), each once. Dealt by floor, so that a floor, which is bounded, is put together alone in memory."""
+    place = F.col("i").cast("long") * ROW + F.col("j")
+    return occupied.select("m", "k", place.alias("own")).repartition("m", "k").groupBy("m", "k").agg(F.collect_set("own").alias("own"))
+
+
+def of_place(place: Column) -> tuple[Column, Column]:
+    """(i, j) of a place, j not below 0."""
+    return F.shiftright(place, 32).cast("int"), place.bitwiseAND(F.lit(ROW - 1)).cast("int")
+
+
 def boundary(occupied: DataFrame) -> DataFrame:
     """m, k, axis, i, j: unit edges with one cell only; axis 0 lies before row i, axis 1 before column j."""
-    at = lambda axis, di, dj: F.struct(F.lit(axis).alias("axis"), (F.col("i") + di).alias("i"), (F.col("j") + dj).alias("j"))
-    edges = occupied.select("m", "k", F.explode(F.array(at(0, 0, 0), at(0, 1, 0), at(1, 0, 0), at(1, 0, 1))).alias("e"))
-    return edges.groupBy("m", "k", "e").agg(F.count("*").alias("c")).filter("c = 1").select("m", "k", "e.*")
+    # an edge before a cell that is not after another, or the other way round
+    after = lambda step: F.transform("own", lambda p: p + step)
+    alone = lambda step: F.concat(F.array_except("own", after(step)), F.array_except(after(step), "own"))
+    edges = places(occupied).select("m", "k", F.explode(F.array(*(F.struct(F.lit(axis).alias("axis"), alone(step).alias("at")) for axis, step in ((0, ROW), (1, 1))))).alias("e"))
+    i, j = of_place(F.col("p"))
+    return edges.select("m", "k", "e.axis", F.explode("e.at").alias("p")).select("m", "k", "axis", i.alias("i"), j.alias("j"))
 
 
 def leading(df: DataFrame, keys: list[str], order: str, flag: str) -> DataFrame:

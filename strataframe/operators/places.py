@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataframe.functions import building, geometry, motion, rings
+from strataframe.operators import masks
 from strataframe.operators.rings import _cell, spread, turned_overlaps
 from strataframe.storage import restored, stored
 
@@ -122,8 +124,14 @@ def cropped(bodies: DataFrame, elevated: bool = False) -> DataFrame:
 def cell_corners(cells: DataFrame, cell: float, size_x: float, size_z: float) -> DataFrame:
     """m, k and the four corners x, z of each cell, cut at the box (whose middle is 0); corners that cells share come once for each floor."""
     at = lambda n, size: F.least(F.greatest(-size / 2 + n * cell, F.lit(-size / 2)), F.lit(size / 2))
-    corner = lambda a, b: F.struct(at(C("i") - 1 + a, size_x).alias("x"), at(C("j") - 1 + b, size_z).alias("z"))
-    return cells.select("m", "k", F.inline(F.array(*(corner(a, b) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1)))))).distinct()
+    # the corners of a floor, which is bounded, are put together within its row
+    last = [next(n for n in itertools.count() if -size / 2 + n * cell >= size / 2) for size in (size_x, size_z)]
+    line = lambda n, most: F.least(F.greatest(n, F.lit(0)), F.lit(most))
+    corner = lambda i, j, a, b: line(i - 1 + a, last[0]).cast("long") * masks.ROW + line(j - 1 + b, last[1])
+    around = F.array_distinct(F.flatten(F.transform("own", lambda p: F.array(*(corner(*masks.of_place(p), a, b) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1)))))))
+    i, j = masks.of_place(C("p"))
+    corners = masks.places(cells).select("m", "k", F.explode(around).alias("p")).select("m", "k", i.alias("i"), j.alias("j"))
+    return corners.select("m", "k", at(C("i"), size_x).alias("x"), at(C("j"), size_z).alias("z"))
 
 
 def ground_below(points: DataFrame, surfaces: DataFrame, cell: float, rise: float = 500.0, depth: float = 2000.0) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from strataframe.functions import geometry, rings
-from strataframe.operators import graph, places, slices
+from strataframe.operators import graph, masks, places, slices
 from strataframe.plans import scenes, stores, works
 
 SF = "/root/testdata/sf0.001"
@@ -92,3 +92,17 @@ def test_meshes_are_welded_once(spark, monkeypatch):
     runs, own = [], works.meshes.connected_components
     monkeypatch.setattr(works.meshes, "connected_components", lambda *a: runs.append(1) or own(*a))
     assert works.weld_points(spark, SF).count() and len(runs) == 1
+
+
+def test_floors_are_put_together_alone(spark):
+    """Edges and corners are made within a floor's row, not compared over all floors; as plainly counted."""
+    rng = random.Random(7)
+    some = sorted({(m, k, rng.randint(1, 6), rng.randint(1, 6)) for m in range(4) for k in (1, 2) for _ in range(14)})
+    rows = spark.createDataFrame(some, "m long, k int, i int, j int")
+    seen = [(m, k, *e) for m, k, i, j in some for e in ((0, i, j), (0, i + 1, j), (1, i, j), (1, i, j + 1))]
+    edges, corners = masks.boundary(rows), places.cell_corners(rows, 3.0, 29.0, 28.5)
+    assert sorted(tuple(r) for r in edges.collect()) == sorted(e for e in seen if seen.count(e) == 1)
+    for x, z in ((29.0, 28.5), (8.0, 10.0)):  # the second box ends before the cells do
+        wanted = {(m, k, min(-x / 2 + (i - 1 + a) * 3, x / 2), min(-z / 2 + (j - 1 + b) * 3, z / 2)) for m, k, i, j in some for a in (0, 1) for b in (0, 1)}
+        assert sorted(tuple(r) for r in places.cell_corners(rows, 3.0, x, z).collect()) == sorted(wanted)
+    assert all("HashAggregate(keys=[m#" not in plan(df).replace("ObjectHashAggregate", "") for df in (edges, corners))
