@@ -106,3 +106,21 @@ def test_floors_are_put_together_alone(spark):
         wanted = {(m, k, min(-x / 2 + (i - 1 + a) * 3, x / 2), min(-z / 2 + (j - 1 + b) * 3, z / 2)) for m, k, i, j in some for a in (0, 1) for b in (0, 1)}
         assert sorted(tuple(r) for r in places.cell_corners(rows, 3.0, x, z).collect()) == sorted(wanted)
     assert all("HashAggregate(keys=[m#" not in plan(df).replace("ObjectHashAggregate", "") for df in (edges, corners))
+
+
+def test_buildings_near_hits_are_not_broadcast(spark, tmp_path):
+    """A small file of keys can hold millions of buildings; and hits longer than a cell, without length or without a place count as the others do."""
+    from strataframe.operators import hits
+
+    p = "struct<x:double,y:double,z:double>"
+    spark.range(2000).selectExpr("id AS building", f"CAST(struct(id * 10, 0, 0) AS {p}) AS lo", f"CAST(struct(id * 10 + 4, 6, 4) AS {p}) AS hi").write.parquet(f"{tmp_path}/b")
+    towers = spark.read.parquet(f"{tmp_path}/b")
+    rays = spark.createDataFrame([(1, (-1.0, 1.0, 1.0), (99.0, 1.0, 1.0)), (2, (2.0, 1.0, 1.0), (2.0, 1.0, 1.0)), (3, None, (2.0, 1.0, 1.0)), (4, (2.0, 9.0, 2.0), (2.0, 3.0, 2.0))], f"hit int, start {p}, end {p}")
+    parts = towers.selectExpr("building AS part", "building", f"CAST(struct(lo.x + 2, 3, 2) AS {p}) AS at", f"CAST(struct(4, 6, 4) AS {p}) AS size")
+    found, through = hits.capsule_hits(rays, towers, parts, 1.0, 8.0), hits.surface_hits(rays, towers, 8.0)
+    for plan in (found, through):
+        assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+    got = {(r["hit"], r["part"]): r["distance"] for r in found.collect()}
+    assert sorted(k for k in got if k[0] != 1) == [(2, 0), (4, 0)] and got[2, 0] == 5**0.5 and got[4, 0] == 0
+    assert [k[1] for k in sorted(got) if k[0] == 1] == list(range(11)) and got[1, 0] == 5**0.5 and got[1, 10] == 14**0.5
+    assert sorted(tuple(r) for r in through.collect()) == [*((1, n + 1, n * 10 + 1.0) for n in range(10)), (4, 1, 3.0)]
