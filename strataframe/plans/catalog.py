@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataframe.functions import geometry
 from strataframe.operators import graph, tables
 from strataframe.plans import contours, grids, levels, linework, massing, occupancy, places, scalars, scenes, solids, stores, tracks, works
+from strataframe.storage import tasks
 
 FLAGSHIP = "weld_components"
 
@@ -18,10 +20,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def weld_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts of an order weld; components of the graph with their sizes."""
-    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").filter("l_partkey IS NOT NULL")
-    # every line to the first of its order: a star joins what a chain or all pairs would
-    first = lines.groupBy("l_orderkey").agg(F.min_by("l_partkey", F.struct("l_linenumber", "l_partkey")).alias("dst"))
-    edges = lines.select("l_orderkey", F.col("l_partkey").alias("src")).join(first, "l_orderkey")
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").filter("l_orderkey IS NOT NULL AND l_partkey IS NOT NULL")
+    # every line to the first of its order: a star joins what a chain or all pairs would; orders are dealt to tasks whose share does not grow
+    first = F.first("l_partkey").over(W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey"))
+    edges = lines.repartition(tasks(lines, graph.CHUNK), "l_orderkey").select(F.col("l_partkey").alias("src"), first.alias("dst"))
     found = graph.connected_components(edges)
     return found.groupBy("component").agg(F.count("*").alias("n_nodes"), F.max("node").alias("last_node"))
 

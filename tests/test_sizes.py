@@ -124,3 +124,25 @@ def test_buildings_near_hits_are_not_broadcast(spark, tmp_path):
     assert sorted(k for k in got if k[0] != 1) == [(2, 0), (4, 0)] and got[2, 0] == 5**0.5 and got[4, 0] == 0
     assert [k[1] for k in sorted(got) if k[0] == 1] == list(range(11)) and got[1, 0] == 5**0.5 and got[1, 10] == 14**0.5
     assert sorted(tuple(r) for r in through.collect()) == [*((1, n + 1, n * 10 + 1.0) for n in range(10)), (4, 1, 3.0)]
+
+
+def test_components_are_dealt_to_more_tasks_as_edges_grow(spark, monkeypatch):
+    """The number of tasks was fixed, so that a task's tables grew with the edges."""
+    import random
+
+    from strataframe.operators import graph
+
+    seen = []
+    monkeypatch.setattr(graph, "CHUNK", 50)
+    monkeypatch.setattr(graph, "restored", lambda df, old, name, real=graph.restored: (seen.append(df.rdd.getNumPartitions()), real(df, old, name))[1])
+    rng = random.Random(5)
+    pairs = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(2000)] + [(7, None), (None, 8), (9, 9)] + [(5000, 5001 + k) for k in range(300)]
+    got = dict(graph.connected_components(spark.createDataFrame(pairs, "src long, dst long")).collect())
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in pairs:
+        if None not in (a, b) and a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    assert got == {x: find(x) for x in list(root)}
+    assert max(seen[1:]) > 20
