@@ -18,9 +18,11 @@ from strataframe.functions import polygons, rings
 from strataframe.operators.graph import connected_components
 from strataframe.operators.kernels import by_group
 from strataframe.operators.rings import spread
-from strataframe.storage import restored, stored
+from strataframe.storage import restored, stored, tasks
 
 C = F.col
+#: Segments that one task is dealt to be noded, with all that they meet.
+SEGMENTS = 50_000
 NODE = "struct<x:bigint,z:bigint>"
 
 
@@ -45,14 +47,16 @@ def _apart2(e: Column, a: Column, b: Column) -> Column:
 
 def noded(edges: DataFrame, by: list[str], cell: int, max_rounds: int = 30) -> DataFrame:
     """edges (by, a, b in whole steps) split where they cross, touch or run along each other, and where an end of one lies within
-    half a step of another: in rounds, as a cut moves a segment by up to half a step, until nothing is to be cut."""
+    half a step of another: in rounds, as a cut moves a segment by up to half a step, until nothing is to be cut. Segments meet by sorting, in tasks whose
+    number grows with them."""
     have, path = restored(edges, None, "noded")
     for _ in range(max_rounds):
+        n = tasks(have, SEGMENTS)
         rows = have.withColumn("id", F.struct(*by, "a", "b"))
         ends = lambda v: (F.least(C(f"a.{v}"), C(f"b.{v}")), F.greatest(C(f"a.{v}"), C(f"b.{v}")))
         (x0, x1), (z0, z1) = ends("x"), ends("z")
-        wide = spread(rows.withColumns({"x0": x0 - 1, "x1": x1 + 1, "z0": z0 - 1, "z1": z1 + 1}), C("x0"), C("x1"), C("z0"), C("z1"), cell)
-        p, q = wide.alias("p"), wide.alias("q")
+        wide = spread(rows.withColumns({"x0": x0 - 1, "x1": x1 + 1, "z0": z0 - 1, "z1": z1 + 1}), C("x0"), C("x1"), C("z0"), C("z1"), cell).repartition(n, *by, "gx", "gz")
+        p, q = wide.alias("p"), wide.hint("merge").alias("q")
         low = lambda v: F.floor(F.greatest(C(f"p.{v}0"), C(f"q.{v}0")) / cell)
         meet = (C("p.gx") == C("q.gx")) & (C("p.gz") == C("q.gz")) & (C("p.id") < C("q.id")) & (low("x") == C("p.gx")) & (low("z") == C("p.gz"))
         meet &= (F.greatest("p.x0", "q.x0") <= F.least("p.x1", "q.x1")) & (F.greatest("p.z0", "q.z0") <= F.least("p.z1", "q.z1"))
@@ -65,15 +69,15 @@ def noded(edges: DataFrame, by: list[str], cell: int, max_rounds: int = 30) -> D
         cut = lambda own, e, when: F.when(when, F.struct(C(f"{own}.id").alias("id"), e.cast(NODE).alias("e")))
         on = lambda own, e, f, g: cut(own, e, (e != f) & (e != g) & (_apart2(e, f, g) <= 0.25))
         made = F.array_compact(F.array(cut("p", across, across.isNotNull()), cut("q", across, across.isNotNull()), on("p", c, a, b), on("p", d, a, b), on("q", a, c, d), on("q", b, c, d)))
-        cuts = p.join(q, meet).select(F.explode(made).alias("c")).select("c.*").filter("e <> id.a AND e <> id.b").distinct()
+        cuts = p.join(q, meet).select(F.explode(made).alias("c")).select("c.*").filter("e <> id.a AND e <> id.b").repartition(n, "id").distinct()
         cuts = stored(cuts.groupBy("id").agg(F.collect_list("e").alias("es")), "cuts")
         if cuts.isEmpty():
             return have
         along = lambda e: (e["x"] - C("a.x")) * (C("b.x") - C("a.x")) + (e["z"] - C("a.z")) * (C("b.z") - C("a.z"))
         order = F.transform(F.array_sort(F.transform("es", lambda e: F.struct(along(e).alias("t"), e.alias("e")))), lambda w: w["e"])
-        pieces = rows.join(cuts, "id", "left").withColumn("path", F.concat(F.array("a"), F.coalesce(order, F.array().cast(f"array<{NODE}>")), F.array("b")))
+        pieces = rows.join(cuts.hint("merge"), "id", "left").withColumn("path", F.concat(F.array("a"), F.coalesce(order, F.array().cast(f"array<{NODE}>")), F.array("b")))
         steps = pieces.select(*by, F.explode(F.zip_with(F.slice("path", F.lit(1), F.size("path") - 1), F.slice("path", F.lit(2), F.size("path") - 1), lambda m, n: F.struct(m.alias("m"), n.alias("n")))).alias("s"))
-        have, path = restored(steps.filter("s.m <> s.n").select(*by, F.least("s.m", "s.n").alias("a"), F.greatest("s.m", "s.n").alias("b")).distinct(), path, "noded")
+        have, path = restored(steps.filter("s.m <> s.n").select(*by, F.least("s.m", "s.n").alias("a"), F.greatest("s.m", "s.n").alias("b")).repartition(n, *by, "a", "b").distinct(), path, "noded")
     raise RuntimeError(f"noding did not settle in {max_rounds} rounds")
 
 

@@ -146,3 +146,18 @@ def test_components_are_dealt_to_more_tasks_as_edges_grow(spark, monkeypatch):
             root[high] = low
     assert got == {x: find(x) for x in list(root)}
     assert max(seen[1:]) > 20
+
+
+def test_segments_are_noded_in_more_tasks_as_they_grow(spark, monkeypatch):
+    """The number of tasks was fixed and the segments were broadcast."""
+    from strataframe.operators import linework
+
+    seen, plans = [], []
+    note = lambda df: (seen.append(df.rdd.getNumPartitions()), plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    monkeypatch.setattr(linework, "SEGMENTS", 20, raising=False)
+    monkeypatch.setattr(linework, "stored", lambda df, name, real=linework.stored: (note(df), real(df, name))[1])
+    p = "struct<x:bigint,z:bigint>"
+    lines = [(m, (k * 10, -5), (k * 10, 35)) for m in range(20) for k in range(4)] + [(m, (-5, k * 10), (35, k * 10)) for m in range(20) for k in range(4)]
+    found = linework.noded(spark.createDataFrame(lines, f"m int, a {p}, b {p}"), ["m"], 20).collect()
+    assert len(found) == 20 * 2 * 4 * 5 and all(abs(r["a"]["x"] - r["b"]["x"]) + abs(r["a"]["z"] - r["b"]["z"]) <= 10 for r in found)
+    assert seen[0] >= 8 and not any("Broadcast" in x for x in plans)
