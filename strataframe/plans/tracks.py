@@ -38,12 +38,12 @@ def track_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = blocks.groupBy("m").agg(*((F.min if e == "0" else F.max)(f"{v}{e}").alias(f"{v}{e}") for v in "xyz" for e in "01"))
     x0, x1, z0, z1 = (C(c) for c in ("x0", "x1", "z0", "z1"))
     faces = blocks.select("m", F.explode(_walls([(x0, z0, x1, z0), (x1, z0, x1, z1), (x1, z1, x0, z1), (x0, z1, x0, z0)], C("y0"), C("y1"))).alias("points"))
-    cells = blocks.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(9)))).join(models.select("m", C("y0").alias("b"), C("y1").alias("t")), "m").withColumn("y", C("b") + (C("t") - C("b")) * C("y") / 10)
+    cells = blocks.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(9)))).join(models.select("m", C("y0").alias("b"), C("y1").alias("t")).hint("merge"), "m").withColumn("y", C("b") + (C("t") - C("b")) * C("y") / 10)
     cells = cells.filter((C("y") >= C("y0")) & (C("y") < C("y1"))).select("m", ((x0 + x1) / 2).alias("x"), "y", ((z0 + z1) / 2).alias("z"))
     found, verdicts = tracks.diagnosed(tracks.sampled_loops(faces, models), models, cells)
     shown = F.when(C("reason").isNull(), F.round("confidence", 4))
     rows = found.select("m", "samples", F.when(C("reason").isNull(), F.round("area", 4)).alias("area"), F.round("base", 4).alias("base"), F.round("top", 4).alias("top"), shown.alias("confidence"), "reason")
-    return rows.join(verdicts.select("m", "tracks", "accepted", F.round("volume", 4).alias("volume"), "overlaps", "complete"), "m")
+    return rows.join(verdicts.select("m", "tracks", "accepted", F.round("volume", 4).alias("volume"), "overlaps", "complete").hint("merge"), "m")
 
 
 _T = Tracks()

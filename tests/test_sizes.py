@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from strataframe.functions import geometry, rings
 from strataframe.operators import graph, masks, places, slices
-from strataframe.plans import scenes, stores, works
+from strataframe.operators import tracks as track_operators
+from strataframe.plans import scenes, stores, tracks, works
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +55,14 @@ def test_loops_are_not_broadcast(spark, monkeypatch):
     assert "Broadcast" not in plan(seen["pairs"])
 
 
+def test_faces_of_tracks_are_not_broadcast(spark, monkeypatch):
+    """A small file of suppliers made faces, cuts and cells that were broadcast, some kilobytes a supplier."""
+    seen = kept(monkeypatch, track_operators)
+    found = tracks.track_verdicts(spark, SF)
+    assert {"loops", "tracked", "tracks"} <= set(seen)
+    assert not [name for name, df in (seen | {"rows": found}).items() if "Broadcast" in plan(df)]
+
+
 def test_parts_are_dealt_before_they_are_compared(spark):
     """One exchange, and nothing aggregated before it."""
     text = plan(scenes._built(spark, SF))
